@@ -119,3 +119,239 @@ def q_preview_rows(spark, sf_dir):
 def q_anti_join_books(spark, sf_dir):
     r = FX.reviews(spark, sf_dir)
     return J.exclude_keys(r, FL.category_keys(FX.meta(spark, sf_dir))).select("review_id", "asin")
+
+
+# ---------------------------------------------------------- sources
+from revlens import schemas  # noqa: E402
+from revlens.session import scratch_path  # noqa: E402
+from revlens.sources import files as S  # noqa: E402
+
+
+def raw_reviews(spark, sf_dir):
+    """The review fixture under the raw source's field names."""
+    r = FX.reviews(spark, sf_dir)
+    d = FX.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "source")
+    return r.join(d, "review_id").select(
+        "overall", "vote", F.lit(None).cast("string").alias("reviewTime"),
+        F.col("reviewer_id").alias("reviewerID"), "asin", F.col("reviewer_id").alias("reviewerName"),
+        F.col("review_text").alias("reviewText"), F.col("source").alias("summary"))
+
+
+@register("scan_json_reviews")
+def q_scan_json_reviews(spark, sf_dir):
+    path = scratch_path(spark, "reviews-json")
+    S.write_json(raw_reviews(spark, sf_dir), path)
+    return S.read_json(spark, path, schemas.REVIEWS_RAW)
+
+
+@register("scan_json_inferred")
+def q_scan_json_inferred(spark, sf_dir):
+    path = scratch_path(spark, "reviews-json-inferred")
+    S.write_json(raw_reviews(spark, sf_dir), path)
+    return S.read_json(spark, path, None)
+
+
+@register("scan_csv_reviews")
+def q_scan_csv_reviews(spark, sf_dir):
+    path = scratch_path(spark, "reviews-csv")
+    S.write_csv(raw_reviews(spark, sf_dir), path, header=True)
+    return S.read_csv(spark, path, schemas.REVIEWS_RAW, header=True)
+
+
+KEYWORDS = ["Widget", "Widgets", "widget", "widgets"]
+
+
+def _meta_lines_as_text(spark, sf_dir):
+    path = scratch_path(spark, "meta-lines")
+    S.write_text(FX.meta_lines(spark, sf_dir).select("value"), path)
+    return S.read_text(spark, path)
+
+
+@register("json_keyword_filter")
+def q_json_keyword_filter(spark, sf_dir):
+    return FL.json_keyword_filter(_meta_lines_as_text(spark, sf_dir), KEYWORDS)
+
+
+@register("json_rejects")
+def q_json_rejects(spark, sf_dir):
+    return FL.json_rejects(_meta_lines_as_text(spark, sf_dir))
+
+
+# -------------------------------------------------- products, joins (X1, J)
+from revlens.operators import products as PR  # noqa: E402
+
+KPI_ANCHOR = "2000-01-01 00:00:00"
+
+
+def kpis(spark, sf_dir):
+    li = FX.table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("asin"),
+        F.col("l_quantity").alias("rating"), F.col("l_shipdate").alias("ts"))
+    return PR.product_kpis(li, KPI_ANCHOR)
+
+
+def products(spark, sf_dir):
+    return PR.product_table(FX.meta(spark, sf_dir), kpis(spark, sf_dir))
+
+
+@register("product_kpis")
+def q_product_kpis(spark, sf_dir):
+    return kpis(spark, sf_dir)
+
+
+@register("products_with_similar")
+def q_products_with_similar(spark, sf_dir):
+    return J.attach(products(spark, sf_dir), FX.similar_products(spark, sf_dir), "asin", "inner")
+
+
+@register("similar_enriched_wide")
+def q_similar_enriched_wide(spark, sf_dir):
+    p = products(spark, sf_dir)
+    return J.enrich_slots_wide(J.attach(p, FX.similar_products(spark, sf_dir)), p)
+
+
+@register("similar_enriched_long")
+def q_similar_enriched_long(spark, sf_dir):
+    p = products(spark, sf_dir)
+    return J.enrich_slots_long(J.attach(p, FX.similar_products(spark, sf_dir)), p)
+
+
+@register("similar_products_topk")
+def q_similar_products_topk(spark, sf_dir):
+    e = FX.table(spark, sf_dir, "embeddings")
+    return PR.similar_wide(PR.similar_topk(e, k=5))
+
+
+# ------------------------------------------------------------ sampling (K)
+from revlens.fixtures import hash32  # noqa: E402
+from revlens.operators import sampling as K  # noqa: E402
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return K.stratified_split(cleaned(spark, sf_dir).select("review_id", "label"))
+
+
+@register("holdout_split")
+def q_holdout_split(spark, sf_dir):
+    return K.holdout_split(cleaned(spark, sf_dir).select("review_id", "label"))
+
+
+@register("union_splits")
+def q_union_splits(spark, sf_dir):
+    s = K.stratified_split(cleaned(spark, sf_dir).select("review_id", "label"))
+    train = [s.filter((F.col("label") == c) & (F.col("split") == "train")) for c in (2.0, 1.0, 0.0)]
+    return K.union_all(train)
+
+
+BALANCED_N = 150
+
+
+@register("balanced_sample")
+def q_balanced_sample(spark, sf_dir):
+    c = cleaned(spark, sf_dir).select("review_id", "label")
+    c = c.withColumn("order_key", hash32(F.concat(F.col("review_id").cast("string"), F.lit(":42"))))
+    return K.cap_per_group(c, "label", BALANCED_N, "order_key", "review_id")
+
+
+@register("shuffle_rows")
+def q_shuffle_rows(spark, sf_dir):
+    c = cleaned(spark, sf_dir).select("review_id", "label")
+    return c.withColumn("shuffle_key", K.shuffle_key(F.col("review_id"))).orderBy("shuffle_key", "review_id")
+
+
+# ---------------------------------------------------------- evaluation (E)
+from revlens.operators import evaluation as EV  # noqa: E402
+
+
+@register("eval_accuracy")
+def q_eval_accuracy(spark, sf_dir):
+    return EV.accuracy(FX.predictions(spark, sf_dir))
+
+
+@register("eval_weighted")
+def q_eval_weighted(spark, sf_dir):
+    return EV.weighted_metrics(FX.predictions(spark, sf_dir))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return EV.confusion_matrix(FX.predictions(spark, sf_dir), [0, 1, 2])
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    return EV.classification_report(FX.predictions(spark, sf_dir))
+
+
+@register("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    return EV.roc_points(FX.predictions(spark, sf_dir), "label", "score", 2).select("threshold", "fpr", "tpr")
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return EV.roc_auc(FX.predictions(spark, sf_dir), "label", "score", 2)
+
+
+# ------------------------------------------------------------- aspects (A)
+from revlens.operators import aspects as A  # noqa: E402
+from revlens.operators import polarity as POL  # noqa: E402
+
+
+def pairs(spark, sf_dir):
+    return A.aspect_pairs(FX.tokens(spark, sf_dir), FX.FIXTURE_NEGATIONS)
+
+
+def polarity_of(spark, sf_dir, phrases):
+    return POL.phrase_polarity(phrases, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark))
+
+
+def scored_pairs(spark, sf_dir):
+    p = pairs(spark, sf_dir)
+    phrases = p.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
+    return A.score_pairs(p, polarity_of(spark, sf_dir, phrases))
+
+
+for _r in range(1, 8):
+    def _rule_q(spark, sf_dir, _r=_r):
+        return pairs(spark, sf_dir).filter(F.col("rule") == _r).select("doc_id", "asin", "idx", "aspect", "modifier")
+    register(f"aspect_rule{_r}")(_rule_q)
+
+
+@register("stopword_override")
+def q_stopword_override(spark, sf_dir):
+    return A.effective_stop(FX.tokens(spark, sf_dir)).select("doc_id", "idx", "text", "is_stop")
+
+
+@register("aspect_pairs")
+def q_aspect_pairs(spark, sf_dir):
+    return scored_pairs(spark, sf_dir).select("doc_id", "asin", "rule", "idx", "aspect", "modifier", "polarity")
+
+
+@register("phrase_polarity")
+def q_phrase_polarity(spark, sf_dir):
+    phrases = pairs(spark, sf_dir).select(F.col("modifier").alias("phrase")).distinct()
+    return polarity_of(spark, sf_dir, phrases)
+
+
+def _freq(spark, sf_dir):
+    return A.aspect_frequency(pairs(spark, sf_dir))
+
+
+@register("aspect_frequency")
+def q_aspect_frequency(spark, sf_dir):
+    return _freq(spark, sf_dir).select("asin", "aspect", "mentions", F.col("first_seen.rule").alias("first_rule"),
+                                       F.col("first_seen.doc_id").alias("first_doc_id"),
+                                       F.col("first_seen.idx").alias("first_idx"))
+
+
+@register("top_aspects")
+def q_top_aspects(spark, sf_dir):
+    return A.top_aspects(_freq(spark, sf_dir)).select("asin", "aspect", "mentions", "rank")
+
+
+@register("product_aspects")
+def q_product_aspects(spark, sf_dir):
+    sp = scored_pairs(spark, sf_dir)
+    return A.product_aspects(sp, A.top_aspects(A.aspect_frequency(sp)))
