@@ -186,3 +186,18 @@ def clean_text(c: Column, emoji: dict[str, str] | None = None) -> Column:
     c = strip_punctuation(c)
     c = F.btrim(c, F.lit(ASCII_SPACE))
     return F.regexp_replace(c, r"[ \t\n\x0b\f\r\x1c-\x1f]{2,}", " ")
+
+
+# Java's default \s (the ML Tokenizer's separator): ASCII only.
+JAVA_SPACE = r"[ \t\n\x0b\f\r]"
+
+
+def tokenize(c: Column) -> Column:
+    """L1 as a native expression, equal to ``pyspark.ml.feature.Tokenizer``:
+    lower-case, split on single whitespace characters, inner empty words
+    kept, trailing empty words dropped (an all-whitespace text gives no
+    words, the empty text one empty word)."""
+    low = F.lower(c)
+    body = F.regexp_replace(low, JAVA_SPACE + "+$", "")
+    return F.when((low != F.lit("")) & (body == F.lit("")), F.array().cast("array<string>")) \
+            .otherwise(F.split(body, JAVA_SPACE, -1))

@@ -248,3 +248,43 @@ SQL["top_aspects"] = aspect_sql("SELECT asin, aspect, mentions, rank FROM top",
 SQL["product_aspects"] = aspect_sql(
     "SELECT sp.asin, sp.aspect, sp.modifier, sp.polarity FROM sp JOIN top ON top.asin = sp.asin AND top.aspect = sp.aspect",
     SCORED)
+
+# ------------------------------------------------------- lexical rewrites
+_cm = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.CONTRACTION_MAP)
+SQL["expand_contractions"] = cleaned_sql(
+    f"SELECT review_id, array_to_string(list_transform(string_split(review_text, ' '), "
+    f"lambda w: CASE w {_cm} ELSE w END), ' ') AS review_text FROM cleaned")
+_tags = ", ".join(f"'{t}'" for t in FX.POS_KEEP_TAGS)
+SQL["pos_filter"] = with_views(["tokens"], f"""
+SELECT doc_id, ' ' || coalesce(string_agg(text || ' ', '' ORDER BY idx) FILTER (WHERE tag IN ({_tags})), '') AS text
+FROM tokens GROUP BY doc_id""")
+_lm = " ".join(f"WHEN '{p}|{w}' THEN '{l}'" for w, p, l in FX.LEMMA_MAP)
+SQL["lemmatize_lookup"] = with_views(["tokens"], f"""
+SELECT doc_id, string_agg(CASE (CASE WHEN contains(lower(tag), 'v') THEN 'v' ELSE 'n' END) || '|' || text {_lm}
+                          ELSE text END, ' ' ORDER BY idx) AS text
+FROM tokens GROUP BY doc_id""")
+
+# ---------------------------------------------------------------- features
+TOK = ("tok", "SELECT review_id, label, string_split_regex(review_text, '[ \\t\\n\\x0b\\f\\r]') AS words FROM cleaned")
+SQL["tokenize_words"] = cleaned_sql("SELECT review_id, words FROM tok", [TOK])
+SQL["tfidf_exact"] = cleaned_sql("""
+SELECT review_id, word, tf, df, round(ln((m + 1.0) / (df + 1.0)), 10) AS idf,
+       round(tf * ln((m + 1.0) / (df + 1.0)), 10) AS tfidf
+FROM tf JOIN dfr USING (word), (SELECT count(*) AS m FROM tok)""", [
+    TOK, ("tf", "SELECT review_id, word, count(*) AS tf FROM (SELECT review_id, unnest(words) AS word FROM tok) "
+                "GROUP BY ALL"),
+    ("dfr", "SELECT word, count(*) AS df FROM tf GROUP BY word")])
+VOCAB = ("vocab", f"""SELECT word, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, word) + {D.FIRST_WORD_ID - 1} AS INTEGER) AS id
+FROM (SELECT word, count(*) AS cnt FROM (SELECT unnest(words) AS word FROM tok) GROUP BY word)""")
+SQL["build_vocabulary"] = cleaned_sql("SELECT * FROM vocab", [TOK, VOCAB])
+SQL["encode_fixed_length"] = cleaned_sql(f"""
+SELECT review_id, CAST([{D.CLS_ID}] || ids || [{D.SEP_ID}] || list_resize([]::INTEGER[], {D.MAX_LEN - 2} - len(ids), {D.PAD_ID})
+                       AS INTEGER[]) AS input_ids,
+       CAST(list_resize([]::INTEGER[], len(ids) + 2, 1) || list_resize([]::INTEGER[], {D.MAX_LEN - 2} - len(ids), 0)
+            AS INTEGER[]) AS attention_mask,
+       CAST(label AS INTEGER) AS targets
+FROM (SELECT e.review_id, list(coalesce(v.id, {D.UNK_ID}) ORDER BY e.pos) AS ids
+      FROM (SELECT review_id, unnest(range(len(ws))) AS pos, unnest(ws) AS word
+            FROM (SELECT review_id, words[1:{D.MAX_LEN - 2}] AS ws FROM tok)) e
+      LEFT JOIN vocab v ON v.word = e.word GROUP BY e.review_id) s
+JOIN tok USING (review_id)""", [TOK, VOCAB])

@@ -355,3 +355,119 @@ def q_top_aspects(spark, sf_dir):
 def q_product_aspects(spark, sf_dir):
     sp = scored_pairs(spark, sf_dir)
     return A.product_aspects(sp, A.top_aspects(A.aspect_frequency(sp)))
+
+
+# ------------------------------------------------- lexical rewrites (T19-21)
+from revlens.operators import lexical as LX  # noqa: E402
+
+
+@register("expand_contractions")
+def q_expand_contractions(spark, sf_dir):
+    m = T.dictionary_to_map(FX.contraction_map(spark), "short", "long")
+    return cleaned(spark, sf_dir).select("review_id", LX.expand_contractions(F.col("review_text"), m).alias("review_text"))
+
+
+@register("pos_filter")
+def q_pos_filter(spark, sf_dir):
+    return LX.pos_filter(FX.tokens(spark, sf_dir), FX.POS_KEEP_TAGS)
+
+
+@register("lemmatize_lookup")
+def q_lemmatize_lookup(spark, sf_dir):
+    rows = FX.lemma_map(spark).limit(100_001).collect()
+    if len(rows) > 100_000:
+        raise ValueError("lemma dictionary too large for a literal map")
+    return LX.lemmatize(FX.tokens(spark, sf_dir), {(r.word, r.pos): r.lemma for r in rows})
+
+
+# -------------------------------------------------- features, models (L, M5)
+from revlens.operators import features as FE  # noqa: E402
+from revlens.operators import models as MD  # noqa: E402
+
+
+def tokenized(spark, sf_dir):
+    """Cleaned reviews with their L1 words (native form of the Tokenizer)."""
+    return cleaned(spark, sf_dir).select("review_id", "label", "review_text",
+                                         T.tokenize(F.col("review_text")).alias("words"))
+
+
+@register("tokenize_words")
+def q_tokenize_words(spark, sf_dir):
+    return FE.tokenizer().transform(cleaned(spark, sf_dir)).select("review_id", "words")
+
+
+@register("hashing_tf")
+def q_hashing_tf(spark, sf_dir):
+    return FE.hashing_tf().transform(tokenized(spark, sf_dir)).select("review_id", "tf")
+
+
+@register("idf_features")
+def q_idf_features(spark, sf_dir):
+    tf = FE.hashing_tf().transform(tokenized(spark, sf_dir)).select("review_id", "tf")
+    return FE.idf().fit(tf).transform(tf).select("review_id", "features")
+
+
+@register("tfidf_exact")
+def q_tfidf_exact(spark, sf_dir):
+    return FE.tfidf_exact(tokenized(spark, sf_dir))
+
+
+@register("build_vocabulary")
+def q_build_vocabulary(spark, sf_dir):
+    return FE.build_vocabulary(tokenized(spark, sf_dir))
+
+
+def encoded(spark, sf_dir):
+    t = tokenized(spark, sf_dir)
+    return FE.encode_fixed_length(t, FE.build_vocabulary(t))
+
+
+@register("encode_fixed_length")
+def q_encode_fixed_length(spark, sf_dir):
+    return encoded(spark, sf_dir)
+
+
+@register("score_batches")
+def q_score_batches(spark, sf_dir):
+    return MD.score_batches(encoded(spark, sf_dir), MD.linear_bag_model()).select("review_id", "targets", "prediction")
+
+
+def _train_test(spark, sf_dir):
+    s = K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label"))
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+@register("naive_bayes_predict")
+def q_naive_bayes_predict(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = MD.naive_bayes_pipeline().fit(train)
+    return model.transform(test).select("review_id", "label", "prediction")
+
+
+@register("naive_bayes_metrics")
+def q_naive_bayes_metrics(spark, sf_dir):
+    return EV.weighted_metrics(q_naive_bayes_predict(spark, sf_dir))
+
+
+@register("logistic_predict")
+def q_logistic_predict(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    pred = MD.logistic_pipeline().fit(train).transform(test)
+    return pred.select("review_id", "label", "prediction", MD.probabilities(pred).alias("probability"))
+
+
+@register("features_as_array")
+def q_features_as_array(spark, sf_dir):
+    return q_logistic_predict(spark, sf_dir).select("review_id", "probability")
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = MD.save_and_load(MD.naive_bayes_pipeline().fit(train), scratch_path(spark, "nb-model"))
+    return model.transform(test).select("review_id", "label", "prediction")
+
+
+@register("surrogate_id")
+def q_surrogate_id(spark, sf_dir):
+    return FL.surrogate_id(cleaned(spark, sf_dir).select("review_id", "asin", "label"), ["review_id"])
