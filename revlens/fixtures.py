@@ -21,8 +21,28 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations"]
 
 
+# Tables whose rows carry heavy per-row work (whole texts), with the key
+# to spread them by when a scan yields too few splits.
+SPREAD_KEYS = {"documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    if key is not None:
+        df = spread_if_narrow(df, key)
+    return df
+
+
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan by ``key`` only when it has fewer input splits
+    than the cluster's parallelism (e.g. a file with one row group); a
+    large input already arrives in many splits and is left alone, so no
+    shuffle is added at scale."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
 
 
 def bucket(e: Column, n: int) -> Column:
@@ -168,25 +188,38 @@ FIXTURE_BOOSTERS = [("very", 0.293), ("really", 0.293), ("and", 0.293), ("by", -
 POS_KEEP_TAGS = ["NN", "NNP", "NNPS", "NNS", "JJ", "JJR", "JJS", "VB", "VBD", "VBG", "VBN", "VBP", "VBZ"]
 
 
+def values_table(spark: SparkSession, rows: list, columns: list[str]) -> DataFrame:
+    """A small in-code dictionary as an inline VALUES relation: the
+    optimizer knows its size, so joins against it broadcast on their own."""
+    def lit(v):
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if isinstance(v, float):
+            return f"CAST({v!r} AS DOUBLE)"
+        return str(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
 def emoji_map(spark):
-    return spark.createDataFrame(EMOJI_MAP, "ch string, name string")
+    return values_table(spark, EMOJI_MAP, ["ch", "name"])
 
 
 def contraction_map(spark):
-    return spark.createDataFrame(CONTRACTION_MAP, "short string, long string")
+    return values_table(spark, CONTRACTION_MAP, ["short", "long"])
 
 
 def lemma_map(spark):
-    return spark.createDataFrame(LEMMA_MAP, "word string, pos string, lemma string")
+    return values_table(spark, LEMMA_MAP, ["word", "pos", "lemma"])
 
 
 def negations(spark):
-    return spark.createDataFrame([(w,) for w in FIXTURE_NEGATIONS], "word string")
+    return values_table(spark, FIXTURE_NEGATIONS, ["word"])
 
 
 def boosters(spark):
-    return spark.createDataFrame(FIXTURE_BOOSTERS, "word string, scalar double")
+    return values_table(spark, FIXTURE_BOOSTERS, ["word", "scalar"])
 
 
 def pronouns(spark):
-    return spark.createDataFrame([(w,) for w in D.PRODUCT_PRONOUNS], "word string")
+    return values_table(spark, D.PRODUCT_PRONOUNS, ["word"])

@@ -23,10 +23,6 @@ def effective_stop(tokens: DataFrame, pronouns: list[str] = D.PRODUCT_PRONOUNS)
     return tokens.withColumn("is_stop", F.col("is_stop") & ~F.col("text").isin(pronouns))
 
 
-def _last(value: Column, cond: Column) -> Column:
-    return F.max_by(F.when(cond, value), F.when(cond, F.col("idx")))
-
-
 def _aspect(a: Column, pronouns: list[str]) -> Column:
     """Product pronouns become "product"."""
     return F.when(a.isin(pronouns), F.lit("product")).otherwise(a)
@@ -36,18 +32,53 @@ def _prefixed(prefix: Column, m: Column) -> Column:
     return F.when(prefix.isNotNull(), F.concat(prefix, F.lit(" "), m)).otherwise(m)
 
 
-def child_summary(tokens: DataFrame, negations: list[str]) -> DataFrame:
-    """One row per (doc_id, head) with the children each rule looks at."""
-    t = tokens
-    children = t.filter(F.col("idx") != F.col("head_idx"))
-    first_adv = (children.filter(F.col("dep") == "advmod")
-                         .groupBy("doc_id", F.col("head_idx").alias("idx"))
-                         .agg(F.min_by("text", "idx").alias("first_adv")))
-    c = children.join(first_adv, on=["doc_id", "idx"], how="left")
+def _roles(t: DataFrame, child_cond: Column, payload: list[str]) -> DataFrame:
+    """Each token once as itself (key = idx) and once as a child of its head
+    (key = head_idx, when ``child_cond``); a Generate, so the input's
+    partitioning by doc_id is kept and the grouping below needs no shuffle."""
+    cols = [F.col(c) for c in payload]
+    me = F.struct(F.col("idx").alias("key"), F.lit(True).alias("self"), *cols)
+    ch = F.when(child_cond & (F.col("idx") != F.col("head_idx")),
+                F.struct(F.col("head_idx").alias("key"), F.lit(False).alias("self"), *cols))
+    return (t.select("doc_id", F.explode(F.array(me, ch)).alias("r"))
+             .filter(F.col("r").isNotNull())
+             .select("doc_id", "r.*"))
+
+
+def _own(c: str) -> Column:
+    return F.max(F.when(F.col("self"), F.col(c))).alias(c)
+
+
+def _last(value: Column, cond: Column) -> Column:
+    cond = cond & ~F.col("self")
+    return F.max_by(F.when(cond, value), F.when(cond, F.col("idx")))
+
+
+def with_first_advmod(tokens: DataFrame) -> DataFrame:
+    """Each token with the text of its first ``advmod`` child."""
+    cols = ["asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop"]
+    r = _roles(tokens, F.col("dep") == "advmod", cols)
+    adv = ~F.col("self")
+    return (r.groupBy("doc_id", "key")
+             .agg(*[_own(c) for c in cols],
+                  F.min_by(F.when(adv, F.col("text")), F.when(adv, F.col("idx"))).alias("first_adv"))
+             .filter(F.col("idx").isNotNull())
+             .drop("key"))
+
+
+def head_summary(tokens: DataFrame, negations: list[str]) -> DataFrame:
+    """One row per token (as a head) with its own fields and, over its
+    children, what each rule looks at ("last wins" = max_by idx)."""
+    t = with_first_advmod(tokens)
+    cols = ["asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop", "first_adv"]
+    r = _roles(t, F.lit(True), cols)
     ns = ~F.col("is_stop")
     dep = F.col("dep")
     text = F.col("text")
-    return c.groupBy("doc_id", F.col("head_idx").alias("idx")).agg(
+    amod = F.when((dep == "amod") & ns & (~F.col("self") | (F.col("idx") == F.col("head_idx"))),
+                  F.struct("idx", "text", "first_adv"))
+    return r.groupBy("doc_id", "key").agg(
+        *[_own(c) for c in ["asin", "idx", "text", "pos", "is_stop"]],
         _last(text, (dep == "nsubj") & ns).alias("nsubj"),
         _last(text, dep.isin("nsubj", "nsubjpass") & ns).alias("nsubj_any"),
         _last(text, (dep == "dobj") & (F.col("pos") == "ADJ") & ns).alias("dobj_adj"),
@@ -58,8 +89,9 @@ def child_summary(tokens: DataFrame, negations: list[str]) -> DataFrame:
         _last(_prefixed(F.col("first_adv"), text), (dep == "advmod") & ns).alias("advmod"),
         _last(text, (dep == "cop") & ns).alias("cop"),
         _last(text, (dep == "attr") & ns).alias("attr"),
-        F.max((dep == "det") & text.isin(negations)).alias("det_neg"),
-    ), first_adv
+        F.max(~F.col("self") & (dep == "det") & text.isin(negations)).alias("det_neg"),
+        F.collect_list(amod).alias("amods"),
+    ).filter(F.col("idx").isNotNull()).drop("key")
 
 
 def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
@@ -67,47 +99,42 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
     """A1-A7 + A10: every (aspect, modifier) pair with its rule and the
     emitting token; ``score_phrase`` is the phrase whose polarity the pair
     carries (rule 5 scores rule 4's modifier of the same token, null when
-    rule 4 found none)."""
-    t = effective_stop(tokens, pronouns).select("doc_id", "asin", "idx", "text", "head_idx", "dep", "pos", "tag",
-                                                "is_stop")
-    g, first_adv = child_summary(t, negations)
-    heads = t.select("doc_id", "asin", "idx", F.col("text").alias("h_text"), F.col("pos").alias("h_pos"),
-                     F.col("is_stop").alias("h_stop"))
-    hg = heads.join(g, on=["doc_id", "idx"], how="inner")
+    rule 4 found none).
+
+    One exchange: tokens are hash-partitioned by document, then two
+    grouped passes keyed by (doc_id, token) reuse that partitioning."""
+    t = (effective_stop(tokens, pronouns)
+         .select("doc_id", "asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop")
+         .repartition("doc_id"))
+    hg = head_summary(t, negations)
 
     m2 = _prefixed(F.col("neg"), F.col("dobj_adj"))
     m3 = _prefixed(F.col("pfx_modal"), F.col("acomp"))
     m4 = _prefixed(F.col("neg"), F.col("advmod"))
     m7 = _prefixed(F.col("neg"), F.col("attr"))
-    intj = (F.col("h_pos") == "INTJ") & ~F.col("h_stop")
+    intj = (F.col("pos") == "INTJ") & ~F.col("is_stop")
     rules = [
         (2, F.col("nsubj"), m2, m2),
         (3, F.col("nsubj"), m3, m3),
         (4, F.col("nsubj_any"), m4, m4),
-        (5, F.when(F.col("cop").isNotNull(), F.col("nsubj")), F.col("h_text"), m4),
-        (6, F.when(intj, F.col("nsubj")), F.col("h_text"), F.col("h_text")),
+        (5, F.when(F.col("cop").isNotNull(), F.col("nsubj")), F.col("text"), m4),
+        (6, F.when(intj, F.col("nsubj")), F.col("text"), F.col("text")),
         (7, F.col("nsubj"), m7, m7),
     ]
-    rule_struct = F.array(*[
+    rule_structs = [
         F.when(a.isNotNull() & m.isNotNull(),
-               F.struct(F.lit(r).alias("rule"), _aspect(a, pronouns).alias("aspect"), m.alias("modifier"),
-                        p.alias("score_phrase")))
-        for r, a, m, p in rules])
-    r27 = (hg.select("doc_id", "asin", "idx", F.explode(rule_struct).alias("p"))
-             .filter(F.col("p").isNotNull())
-             .select("doc_id", "asin", "p.rule", "idx", "p.aspect", "p.modifier", "p.score_phrase"))
-
-    # Rule 1: non-stop amod token -> (its head, [not] [first advmod child] token)
-    amod = t.filter((F.col("dep") == "amod") & ~F.col("is_stop")).select("doc_id", "asin", "idx", "text", "head_idx")
-    head_txt = t.select("doc_id", F.col("idx").alias("head_idx"), F.col("text").alias("a_text"))
-    head_neg = g.select("doc_id", F.col("idx").alias("head_idx"), "det_neg")
-    r1 = (amod.join(head_txt, on=["doc_id", "head_idx"], how="inner")
-              .join(first_adv, on=["doc_id", "idx"], how="left")
-              .join(head_neg, on=["doc_id", "head_idx"], how="left"))
-    m1 = F.concat_ws(" ", F.when(F.col("det_neg"), F.lit("not")), F.col("first_adv"), F.col("text"))
-    r1 = r1.select("doc_id", "asin", F.lit(1).alias("rule"), "idx", _aspect(F.col("a_text"), pronouns).alias("aspect"),
-                   m1.alias("modifier"), m1.alias("score_phrase"))
-    return r1.unionByName(r27)
+               F.struct(F.lit(r).alias("rule"), F.col("idx").alias("idx"), _aspect(a, pronouns).alias("aspect"),
+                        m.alias("modifier"), p.alias("score_phrase")))
+        for r, a, m, p in rules]
+    # Rule 1: each non-stop amod child -> (head, [not] [first advmod child] child)
+    m1 = lambda x: F.concat_ws(" ", F.when(F.col("det_neg"), F.lit("not")), x["first_adv"], x["text"])
+    r1 = F.transform("amods", lambda x: F.struct(
+        F.lit(1).alias("rule"), x["idx"].alias("idx"), _aspect(F.col("text"), pronouns).alias("aspect"),
+        m1(x).alias("modifier"), m1(x).alias("score_phrase")))
+    all_pairs = F.concat(r1, F.array(*rule_structs))
+    return (hg.select("doc_id", "asin", F.explode(all_pairs).alias("p"))
+              .filter(F.col("p").isNotNull())
+              .select("doc_id", "asin", "p.rule", "p.idx", "p.aspect", "p.modifier", "p.score_phrase"))
 
 
 def score_pairs(pairs: DataFrame, polarity: DataFrame) -> DataFrame:

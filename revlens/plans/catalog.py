@@ -297,6 +297,7 @@ def q_roc_auc(spark, sf_dir):
 # ------------------------------------------------------------- aspects (A)
 from revlens.operators import aspects as A  # noqa: E402
 from revlens.operators import polarity as POL  # noqa: E402
+from revlens.plans import aspect_job as AJ  # noqa: E402
 
 
 def pairs(spark, sf_dir):
@@ -308,9 +309,8 @@ def polarity_of(spark, sf_dir, phrases):
 
 
 def scored_pairs(spark, sf_dir):
-    p = pairs(spark, sf_dir)
-    phrases = p.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
-    return A.score_pairs(p, polarity_of(spark, sf_dir, phrases))
+    return AJ.scored_aspect_pairs(FX.tokens(spark, sf_dir), FX.lexicon(spark, sf_dir), FX.negations(spark),
+                                  FX.boosters(spark), FX.FIXTURE_NEGATIONS)
 
 
 for _r in range(1, 8):
@@ -353,8 +353,8 @@ def q_top_aspects(spark, sf_dir):
 
 @register("product_aspects")
 def q_product_aspects(spark, sf_dir):
-    sp = scored_pairs(spark, sf_dir)
-    return A.product_aspects(sp, A.top_aspects(A.aspect_frequency(sp)))
+    return AJ.product_aspect_table(FX.tokens(spark, sf_dir), FX.lexicon(spark, sf_dir), FX.negations(spark),
+                                   FX.boosters(spark), FX.FIXTURE_NEGATIONS)
 
 
 # ------------------------------------------------- lexical rewrites (T19-21)
