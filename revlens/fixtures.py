@@ -39,9 +39,10 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     than the cluster's parallelism (e.g. a file with one row group); a
     large input already arrives in many splits and is left alone, so no
     shuffle is added at scale."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, key)
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        # same count as a later repartition(key), so Spark can drop that one
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
     return df
 
 

@@ -1,0 +1,75 @@
+import math
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from revlens import fixtures as FX
+from revlens.operators import evaluation as EV
+from revlens.operators import sampling as K
+from revlens.operators.ordered import dense_rank_by, running_sums
+from tests.conftest import SF_SMALL
+
+
+def test_splits_disjoint_and_complete(spark):
+    df = spark.range(5000).withColumnRenamed("id", "review_id").withColumn("label", F.col("review_id") % 3)
+    s = K.stratified_split(df)
+    counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
+    assert sum(counts.values()) == 5000
+    assert abs(counts["train"] / 5000 - 0.6) < 0.05 and abs(counts["test"] / 5000 - 0.2) < 0.05
+    assert s.select("review_id").distinct().count() == 5000
+
+
+def test_cap_per_group_equals_row_number_with_hot_group(spark):
+    # group 'a' holds half of all rows
+    df = (spark.range(20000).withColumn("g", F.when(F.col("id") % 2 == 0, "a").otherwise(F.concat(F.lit("g"),
+                                                                                              (F.col("id") % 7).cast("string"))))
+               .withColumn("k", FX.hash32(F.col("id").cast("string"))))
+    for n in (1, 37, 1234, 50000):
+        got = K.cap_per_group(df, "g", n, "k", "id", coarse_bits=6)
+        w = Window.partitionBy("g").orderBy("k", "id")
+        exp = df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).drop("rn")
+        assert got.count() == exp.count()
+        assert got.exceptAll(exp.select(*got.columns)).count() == 0
+
+
+def test_running_sums_and_rank(spark):
+    df = spark.range(1000).withColumn("v", (F.col("id") % 7).cast("long")).withColumn("o", (F.col("id") * 37) % 1000)
+    got = {r.o: r.cum_v for r in running_sums(df, F.col("o").desc(), ["v"], n_ranges=5).collect()}
+    vals = sorted(((r.o, r.v) for r in df.collect()), reverse=True)
+    acc = 0
+    for o, v in vals:
+        acc += v
+        assert got[o] == acc
+    ranks = {r.o: r.rank for r in dense_rank_by(df, F.col("o").asc(), n_ranges=4).collect()}
+    assert all(ranks[o] == o + 1 for o in ranks)
+
+
+def test_weighted_metrics_match_evaluator(spark):
+    p = FX.predictions(spark, SF_SMALL).select(F.col("label").cast("double"), F.col("prediction").cast("double"))
+    got = EV.weighted_metrics(p).first()
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+    for name, col in [("weightedPrecision", "weighted_precision"), ("weightedRecall", "weighted_recall"),
+                      ("f1", "weighted_f1"), ("accuracy", "accuracy")]:
+        assert math.isclose(ev.evaluate(p, {ev.metricName: name}), got[col], abs_tol=1e-9)
+
+
+def test_absent_class_has_zero_precision(spark):
+    p = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 2.0), (1.0, 2.0)], "label double, prediction double")
+    rep = {r["class"]: r for r in EV.classification_report(p).collect()}
+    assert rep["1"].precision == 0.0 and rep["1"].recall == 0.0 and rep["1"].f1 == 0.0
+    assert rep["accuracy"].f1 == 0.5 and rep["accuracy"].support == 4
+
+
+def test_auc_matches_binary_evaluator(spark):
+    p = FX.predictions(spark, SF_SMALL)
+    got = EV.roc_auc(p, "label", "score", 2).first().auc
+    b = p.select((F.col("label") == 2).cast("double").alias("y"), F.col("score").cast("double").alias("s"))
+    ev = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s", metricName="areaUnderROC")
+    assert math.isclose(ev.evaluate(b), got, abs_tol=1e-9)
+
+
+def test_confusion_matrix_totals(spark):
+    p = FX.predictions(spark, SF_SMALL)
+    cm = EV.confusion_matrix(p, [0, 1, 2]).collect()
+    assert sum(r.pred_0 + r.pred_1 + r.pred_2 for r in cm) == p.count()
