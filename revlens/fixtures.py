@@ -156,17 +156,22 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
     w = d.select("doc_id", F.posexplode(F.split(F.col("text"), " ")).alias("i", "w")).filter(F.col("w") != "")
     i = F.col("i")
-    key = F.concat(F.col("doc_id").cast("string"), F.lit(":"), i.cast("string"))
+    # one md5 per token; four 8-hex-digit slices drive the four annotations
+    h = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":"), i.cast("string")))
+    w = w.select("doc_id", "i", "w", h.alias("h"))
+
+    def part(k: int, n: int) -> Column:
+        return F.conv(F.substring(F.col("h"), 8 * k + 1, 8), 16, 10).cast("bigint") % F.lit(n)
     return w.select(
         "doc_id",
         _p(F.col("doc_id") % 50).alias("asin"),
         i.alias("idx"),
         F.lower(F.col("w")).alias("text"),
         F.when(i % 5 == 0, i).when(i % 5 == 4, i - 1).otherwise(i - i % 5).alias("head_idx"),
-        F.when(i % 5 == 0, F.lit("ROOT")).otherwise(_pick(DEPS, bucket(key, 11))).alias("dep"),
-        _pick(POS, bucket(F.concat(F.lit("p"), key), 4)).alias("pos"),
-        _pick(TAGS, bucket(F.concat(F.lit("t"), key), 3)).alias("tag"),
-        (bucket(F.concat(F.lit("s"), key), 4) == 0).alias("is_stop"),
+        F.when(i % 5 == 0, F.lit("ROOT")).otherwise(_pick(DEPS, part(0, 11))).alias("dep"),
+        _pick(POS, part(1, 4)).alias("pos"),
+        _pick(TAGS, part(2, 3)).alias("tag"),
+        (part(3, 4) == 0).alias("is_stop"),
     )
 
 

@@ -32,10 +32,14 @@ def _prefixed(prefix: Column, m: Column) -> Column:
     return F.when(prefix.isNotNull(), F.concat(prefix, F.lit(" "), m)).otherwise(m)
 
 
+# dependency labels any rule reads on a child; other children are dropped early
+RULE_DEPS = ["amod", "advmod", "det", "nsubj", "nsubjpass", "dobj", "neg", "acomp", "aux", "cop", "attr"]
+
+
 def _roles(t: DataFrame, child_cond: Column, payload: list[str]) -> DataFrame:
     """Each token once as itself (key = idx) and once as a child of its head
     (key = head_idx, when ``child_cond``); a Generate, so the input's
-    partitioning by doc_id is kept and the grouping below needs no shuffle."""
+    partitioning by doc_id is kept and the windows below need no shuffle."""
     cols = [F.col(c) for c in payload]
     me = F.struct(F.col("idx").alias("key"), F.lit(True).alias("self"), *cols)
     ch = F.when(child_cond & (F.col("idx") != F.col("head_idx")),
@@ -45,13 +49,17 @@ def _roles(t: DataFrame, child_cond: Column, payload: list[str]) -> DataFrame:
              .select("doc_id", "r.*"))
 
 
-def _own(c: str) -> Column:
-    return F.max(F.when(F.col("self"), F.col(c))).alias(c)
+# A token and its children share the window (doc_id, key); with no order
+# the frame is the whole group, so each aggregate is computed once per
+# group.  Windows beat a grouped aggregate here: keys are nearly unique,
+# so a partial + final aggregation would only double the work.
+def _group():
+    return Window.partitionBy("doc_id", "key")
 
 
 def _last(value: Column, cond: Column) -> Column:
     cond = cond & ~F.col("self")
-    return F.max_by(F.when(cond, value), F.when(cond, F.col("idx")))
+    return F.max_by(F.when(cond, value), F.when(cond, F.col("idx"))).over(_group())
 
 
 def with_first_advmod(tokens: DataFrame) -> DataFrame:
@@ -59,26 +67,23 @@ def with_first_advmod(tokens: DataFrame) -> DataFrame:
     cols = ["asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop"]
     r = _roles(tokens, F.col("dep") == "advmod", cols)
     adv = ~F.col("self")
-    return (r.groupBy("doc_id", "key")
-             .agg(*[_own(c) for c in cols],
-                  F.min_by(F.when(adv, F.col("text")), F.when(adv, F.col("idx"))).alias("first_adv"))
-             .filter(F.col("idx").isNotNull())
-             .drop("key"))
+    first = F.min_by(F.when(adv, F.col("text")), F.when(adv, F.col("idx"))).over(_group())
+    return r.select("doc_id", *cols, F.col("self"), first.alias("first_adv")).filter(F.col("self")).drop("self")
 
 
-def head_summary(tokens: DataFrame, negations: list[str]) -> DataFrame:
-    """One row per token (as a head) with its own fields and, over its
-    children, what each rule looks at ("last wins" = max_by idx)."""
+def head_view(tokens: DataFrame, negations: list[str]) -> DataFrame:
+    """Every (token as head) and (token as child of its head) row, carrying
+    the head's text and, over the head's children, what each rule reads
+    ("last wins" = max_by idx)."""
     t = with_first_advmod(tokens)
     cols = ["asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop", "first_adv"]
-    r = _roles(t, F.lit(True), cols)
+    r = _roles(t, F.col("dep").isin(RULE_DEPS), cols)
     ns = ~F.col("is_stop")
     dep = F.col("dep")
     text = F.col("text")
-    amod = F.when((dep == "amod") & ns & (~F.col("self") | (F.col("idx") == F.col("head_idx"))),
-                  F.struct("idx", "text", "first_adv"))
-    return r.groupBy("doc_id", "key").agg(
-        *[_own(c) for c in ["asin", "idx", "text", "pos", "is_stop"]],
+    return r.select(
+        "doc_id", *cols, "self",
+        F.max(F.when(F.col("self"), text)).over(_group()).alias("h_text"),
         _last(text, (dep == "nsubj") & ns).alias("nsubj"),
         _last(text, dep.isin("nsubj", "nsubjpass") & ns).alias("nsubj_any"),
         _last(text, (dep == "dobj") & (F.col("pos") == "ADJ") & ns).alias("dobj_adj"),
@@ -89,9 +94,8 @@ def head_summary(tokens: DataFrame, negations: list[str]) -> DataFrame:
         _last(_prefixed(F.col("first_adv"), text), (dep == "advmod") & ns).alias("advmod"),
         _last(text, (dep == "cop") & ns).alias("cop"),
         _last(text, (dep == "attr") & ns).alias("attr"),
-        F.max(~F.col("self") & (dep == "det") & text.isin(negations)).alias("det_neg"),
-        F.collect_list(amod).alias("amods"),
-    ).filter(F.col("idx").isNotNull()).drop("key")
+        F.max(~F.col("self") & (dep == "det") & text.isin(negations)).over(_group()).alias("det_neg"),
+    )
 
 
 def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
@@ -102,12 +106,13 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
     rule 4 found none).
 
     One exchange: tokens are hash-partitioned by document, then two
-    grouped passes keyed by (doc_id, token) reuse that partitioning."""
+    windows keyed by (doc_id, token) reuse that partitioning."""
     t = (effective_stop(tokens, pronouns)
          .select("doc_id", "asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop")
          .repartition("doc_id"))
-    hg = head_summary(t, negations)
+    hv = head_view(t, negations)
 
+    is_self = F.col("self")
     m2 = _prefixed(F.col("neg"), F.col("dobj_adj"))
     m3 = _prefixed(F.col("pfx_modal"), F.col("acomp"))
     m4 = _prefixed(F.col("neg"), F.col("advmod"))
@@ -121,20 +126,21 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
         (6, F.when(intj, F.col("nsubj")), F.col("text"), F.col("text")),
         (7, F.col("nsubj"), m7, m7),
     ]
-    rule_structs = [
-        F.when(a.isNotNull() & m.isNotNull(),
-               F.struct(F.lit(r).alias("rule"), F.col("idx").alias("idx"), _aspect(a, pronouns).alias("aspect"),
-                        m.alias("modifier"), p.alias("score_phrase")))
+    # Rule 1: a non-stop amod token (seen as its head's child, or as its own
+    # head) -> (head, [not] [first advmod child] token)
+    amod = ((F.col("dep") == "amod") & ~F.col("is_stop") & F.col("h_text").isNotNull()
+            & (~is_self | (F.col("idx") == F.col("head_idx"))))
+    m1 = F.concat_ws(" ", F.when(F.col("det_neg"), F.lit("not")), F.col("first_adv"), F.col("text"))
+    structs = [F.when(amod, F.struct(F.lit(1).alias("rule"), _aspect(F.col("h_text"), pronouns).alias("aspect"),
+                                     m1.alias("modifier"), m1.alias("score_phrase")))]
+    structs += [
+        F.when(is_self & a.isNotNull() & m.isNotNull(),
+               F.struct(F.lit(r).alias("rule"), _aspect(a, pronouns).alias("aspect"), m.alias("modifier"),
+                        p.alias("score_phrase")))
         for r, a, m, p in rules]
-    # Rule 1: each non-stop amod child -> (head, [not] [first advmod child] child)
-    m1 = lambda x: F.concat_ws(" ", F.when(F.col("det_neg"), F.lit("not")), x["first_adv"], x["text"])
-    r1 = F.transform("amods", lambda x: F.struct(
-        F.lit(1).alias("rule"), x["idx"].alias("idx"), _aspect(F.col("text"), pronouns).alias("aspect"),
-        m1(x).alias("modifier"), m1(x).alias("score_phrase")))
-    all_pairs = F.concat(r1, F.array(*rule_structs))
-    return (hg.select("doc_id", "asin", F.explode(all_pairs).alias("p"))
+    return (hv.select("doc_id", "asin", "idx", F.explode(F.array(*structs)).alias("p"))
               .filter(F.col("p").isNotNull())
-              .select("doc_id", "asin", "p.rule", "p.idx", "p.aspect", "p.modifier", "p.score_phrase"))
+              .select("doc_id", "asin", "p.rule", "idx", "p.aspect", "p.modifier", "p.score_phrase"))
 
 
 def score_pairs(pairs: DataFrame, polarity: DataFrame) -> DataFrame:

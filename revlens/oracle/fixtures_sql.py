@@ -54,6 +54,10 @@ _suffix_case = "CASE review_id % 10 " + " ".join(
 
 _key = "(CAST(doc_id AS VARCHAR) || ':' || CAST(i AS VARCHAR))"
 
+
+def _part(k: int, n: int) -> str:
+    return f"((('0x' || substr(h, {8 * k + 1}, 8))::BIGINT) % {n})"
+
 VIEWS: dict[str, tuple[list[str], str]] = {
     "reviews": ([], """
 SELECT doc_id AS review_id, 'P' || CAST(doc_id % 50 AS VARCHAR) AS asin,
@@ -86,13 +90,14 @@ FROM reviews"""),
     "tokens": ([], f"""
 SELECT doc_id, 'P' || CAST(doc_id % 50 AS VARCHAR) AS asin, CAST(i AS INTEGER) AS idx, lower(w) AS text,
        CAST(CASE WHEN i % 5 = 0 THEN i WHEN i % 5 = 4 THEN i - 1 ELSE i - i % 5 END AS INTEGER) AS head_idx,
-       CASE WHEN i % 5 = 0 THEN 'ROOT' ELSE {_pick(FX.DEPS, BUCKET(_key, 11))} END AS dep,
-       {_pick(FX.POS, BUCKET("'p' || " + _key, 4))} AS pos,
-       {_pick(FX.TAGS, BUCKET("'t' || " + _key, 3))} AS tag,
-       {BUCKET("'s' || " + _key, 4)} = 0 AS is_stop
-FROM (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS w
-      FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents WHERE lang = 'en')) e
-WHERE w <> ''"""),
+       CASE WHEN i % 5 = 0 THEN 'ROOT' ELSE {_pick(FX.DEPS, _part(0, 11))} END AS dep,
+       {_pick(FX.POS, _part(1, 4))} AS pos,
+       {_pick(FX.TAGS, _part(2, 3))} AS tag,
+       {_part(3, 4)} = 0 AS is_stop
+FROM (SELECT doc_id, i, w, md5({_key}) AS h
+      FROM (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS w
+            FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents WHERE lang = 'en')) e0
+      WHERE w <> '') e"""),
     "lexicon": (["tokens"], f"""
 SELECT text AS word, CAST({BUCKET("text", 9)} - 4 AS DOUBLE) AS valence
 FROM (SELECT DISTINCT text FROM tokens) t WHERE {BUCKET("'k' || text", 3)} = 0"""),
