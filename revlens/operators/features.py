@@ -62,17 +62,17 @@ def encode_fixed_length(docs: DataFrame, vocab: DataFrame, doc_id: str = "review
     an attention mask (truncation to ``max_len - 2`` words is the
     operator's meaning)."""
     body = max_len - 2
-    ex = (docs.select(doc_id, F.posexplode_outer(F.slice(words, 1, body)).alias("pos", "word"))
+    ex = (docs.select(doc_id, F.col(label).cast("int").alias("targets"),
+                      F.posexplode_outer(F.slice(words, 1, body)).alias("pos", "word"))
               .filter(F.col("pos").isNotNull()))
     ided = ex.join(vocab.select("word", "id"), "word", "left").withColumn("id", F.coalesce("id", F.lit(D.UNK_ID)))
-    seq = (ided.groupBy(doc_id)
+    # the label rides along in the grouping key: no join back to the documents
+    seq = (ided.groupBy(doc_id, "targets")
                .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
-               .select(doc_id, F.transform("__s", lambda x: x["id"]).alias("__ids")))
+               .select(doc_id, "targets", F.transform("__s", lambda x: x["id"]).alias("__ids")))
     n = F.size("__ids")
     ids = F.concat(F.array(F.lit(D.CLS_ID)), F.col("__ids"), F.array(F.lit(D.SEP_ID)),
                    F.array_repeat(F.lit(D.PAD_ID), F.lit(body) - n))
     mask = F.concat(F.array_repeat(F.lit(1), n + 2), F.array_repeat(F.lit(0), F.lit(body) - n))
-    targets = docs.select(doc_id, F.col(label).cast("int").alias("targets"))
-    return (seq.join(targets, doc_id)
-               .select(doc_id, ids.cast("array<int>").alias("input_ids"), mask.cast("array<int>").alias("attention_mask"),
-                       "targets"))
+    return seq.select(doc_id, ids.cast("array<int>").alias("input_ids"),
+                      mask.cast("array<int>").alias("attention_mask"), "targets")

@@ -123,7 +123,7 @@ def q_anti_join_books(spark, sf_dir):
 
 # ---------------------------------------------------------- sources
 from revlens import schemas  # noqa: E402
-from revlens.session import scratch_path  # noqa: E402
+from revlens.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from revlens.sources import files as S  # noqa: E402
 
 
@@ -418,7 +418,10 @@ def q_build_vocabulary(spark, sf_dir):
 
 
 def encoded(spark, sf_dir):
-    t = tokenized(spark, sf_dir)
+    # the tokenized reviews feed both the vocabulary and the encoding:
+    # checkpoint them once instead of cleaning the text twice
+    ensure_checkpoint_dir(spark)
+    t = tokenized(spark, sf_dir).select("review_id", "label", "words").checkpoint(eager=True)
     return FE.encode_fixed_length(t, FE.build_vocabulary(t))
 
 
@@ -433,7 +436,11 @@ def q_score_batches(spark, sf_dir):
 
 
 def _train_test(spark, sf_dir):
-    s = K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label"))
+    """Holdout split of the cleaned reviews, checkpointed once: feature
+    fitting, model fitting and scoring each re-read it instead of
+    re-running the text cleaning."""
+    ensure_checkpoint_dir(spark)
+    s = K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label")).checkpoint(eager=True)
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
