@@ -235,8 +235,8 @@ SCORED = polarity_ctes("SELECT DISTINCT score_phrase AS phrase FROM pairs WHERE
            "FROM pairs p LEFT JOIN pol ON pol.phrase = p.score_phrase"),
     ("freq", "SELECT asin, aspect, count(*) AS mentions, min({'rule': rule, 'doc_id': doc_id, 'idx': idx}) AS fs "
              "FROM sp GROUP BY asin, aspect"),
-    ("top", "SELECT * FROM (SELECT asin, aspect, mentions, row_number() OVER (PARTITION BY asin ORDER BY mentions DESC, "
-            "fs.rule, fs.doc_id, fs.idx) AS rank FROM freq) WHERE rank <= 5"),
+    ("top", "SELECT * FROM (SELECT asin, aspect, mentions, CAST(row_number() OVER (PARTITION BY asin ORDER BY "
+            "mentions DESC, fs.rule, fs.doc_id, fs.idx) AS INTEGER) AS rank FROM freq) WHERE rank <= 5"),
 ]
 SQL["aspect_pairs"] = aspect_sql("SELECT * FROM sp", SCORED)
 SQL["phrase_polarity"] = aspect_sql("SELECT phrase, polarity FROM pol",
