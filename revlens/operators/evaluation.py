@@ -97,7 +97,7 @@ def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame
     per_score = (scored.groupBy(F.col(score).alias("threshold"))
                        .agg(F.sum(F.when(F.col(label) == positive, 1).otherwise(0)).cast("bigint").alias("tp"),
                             F.sum(F.when(F.col(label) == positive, 0).otherwise(1)).cast("bigint").alias("fp")))
-    cum = running_sums(per_score, F.col("threshold").desc(), ["tp", "fp"])
+    cum = running_sums(per_score, [("threshold", False)], ["tp", "fp"])
     P = per_score.select(F.sum("tp")).scalar()
     N = per_score.select(F.sum("fp")).scalar()
     return cum.select("threshold", "tp", "fp", "cum_tp", "cum_fp",

@@ -52,7 +52,7 @@ def build_vocabulary(docs: DataFrame, words: str = "words", first_id: int = D.FI
     special ids.  Ranking uses range-partitioned running counts, not a
     global single-task window."""
     counts = explode_words(docs, words).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = dense_rank_by(counts, F.struct(-F.col("cnt"), F.col("word")), name="rank")
+    ranked = dense_rank_by(counts, [("cnt", False), ("word", True)], name="rank")
     return ranked.select("word", "cnt", (F.col("rank") + F.lit(first_id - 1)).cast("int").alias("id"))
 
 

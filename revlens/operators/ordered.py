@@ -1,44 +1,87 @@
-"""Order-dependent totals without a single-task global window.
+"""Order-dependent totals without a single-task window.
 
-A ``Window.orderBy`` with no partition key moves every row to one task.
-Here rows are range-partitioned on the order key (equal keys land in the
-same range), each range computes its running sums locally, and the
-per-range totals - one row per range, a proven small table - are prefix-
-summed and broadcast back as offsets."""
+A ``Window.orderBy`` with no partition key moves every row to one task,
+and a per-group window moves a whole group to one task.  Here each row
+gets a deterministic *range id*: split points of the order key are taken
+from a small seeded sample (at most ``n_ranges * per_range`` keys reach
+the driver), and the id is computed from the key by comparisons, so every
+branch of the plan - and every recomputation after a lost executor -
+assigns the same range.  Each (range, group) computes local running sums;
+the per-(range, group) totals are prefix-summed over ranges and joined
+back as offsets."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+OrderSpec = list[tuple[str, bool]]  # (column, ascending); descending columns must be numeric
 
-def running_sums(df: DataFrame, order: Column, value_cols: list[str], n_ranges: int | None = None,
-                 prefix: str = "cum_") -> DataFrame:
+
+def _key_exprs(order: OrderSpec) -> list[Column]:
+    return [F.col(c) if asc else -F.col(c) for c, asc in order]
+
+
+def _greater(keys: list[Column], bound: tuple) -> Column:
+    """Lexicographic keys > bound."""
+    out = None
+    for i in range(len(keys) - 1, -1, -1):
+        gt = keys[i] > F.lit(bound[i])
+        out = gt if out is None else (gt | ((keys[i] == F.lit(bound[i])) & out))
+    return out
+
+
+def range_ids(df: DataFrame, order: OrderSpec, n_ranges: int, per_range: int = 64, seed: int = 17) -> Column:
+    """A deterministic, order-preserving range id in [0, n_ranges)."""
+    keys = _key_exprs(order)
+    total = df.count()
+    if total == 0 or n_ranges <= 1:
+        return F.lit(0)
+    frac = min(1.0, n_ranges * per_range / total)
+    sample = sorted(tuple(r) for r in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+                    .sample(fraction=frac, seed=seed).collect())
+    if not sample:
+        return F.lit(0)
+    bounds = []
+    for j in range(1, n_ranges):
+        b = sample[min(len(sample) - 1, j * len(sample) // n_ranges)]
+        if not bounds or b > bounds[-1]:
+            bounds.append(b)
+    rid = F.lit(0)
+    for b in bounds:
+        rid = rid + F.when(_greater(keys, b), F.lit(1)).otherwise(F.lit(0))
+    return rid
+
+
+def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_ranges: int | None = None,
+                 prefix: str = "cum_", partition_by: list[str] | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over all rows up to and including this
-    one under ``order`` (rows with equal keys must be pre-aggregated or are
-    ordered arbitrarily among themselves)."""
+    one under ``order`` (keys unique, or equal keys pre-aggregated),
+    restarting per ``partition_by`` group when given.  A group holding a
+    third of all rows spans many ranges, so it is spread over many tasks."""
     spark = df.sparkSession
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order).withColumn("__range", F.spark_partition_id())
-    w_run = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy("__range")
-    local = ranged.select(
-        "*",
-        *[F.sum(c).over(w_run).alias(f"__run_{c}") for c in value_cols],
-        *[F.sum(c).over(w_all).alias(f"__tot_{c}") for c in value_cols],
-    )
-    totals = local.groupBy("__range").agg(*[F.first(f"__tot_{c}").alias(f"__tot_{c}") for c in value_cols])
-    w_prev = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__range", *[F.coalesce(F.sum(f"__tot_{c}").over(w_prev), F.lit(0)).alias(f"__off_{c}")
-                                         for c in value_cols])
-    out = local.join(F.broadcast(offsets), on="__range", how="inner")
+    keys = list(partition_by or [])
+    ordered = [(k, True) for k in keys] + list(order)
+    ranged = df.withColumn("__range", range_ids(df, ordered, n))
+    part = ["__range", *keys]
+    order_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
+    w_run = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", *[F.sum(c).over(w_run).alias(f"__run_{c}") for c in value_cols])
+    totals = ranged.groupBy(*part).agg(*[F.sum(c).alias(f"__tot_{c}") for c in value_cols])
+    w_prev = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, *[F.coalesce(F.sum(f"__tot_{c}").over(w_prev), F.lit(0)).alias(f"__off_{c}")
+                                     for c in value_cols])
+    # without groups the offsets table has one row per range: a proven bound
+    out = local.join(F.broadcast(offsets) if not keys else offsets, on=part, how="inner")
     return out.select(*df.columns, *[(F.col(f"__run_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
                                      for c in value_cols])
 
 
-def dense_rank_by(df: DataFrame, order: Column, name: str = "rank", n_ranges: int | None = None) -> DataFrame:
-    """1-based position of each row under ``order`` (keys assumed unique),
-    computed with ``running_sums`` instead of a global row_number."""
+def dense_rank_by(df: DataFrame, order: OrderSpec, name: str = "rank", n_ranges: int | None = None,
+                  partition_by: list[str] | None = None) -> DataFrame:
+    """1-based position of each row under ``order`` (keys unique within each
+    ``partition_by`` group), without a single-task or per-group window."""
     ones = df.withColumn("__one", F.lit(1))
-    return running_sums(ones, order, ["__one"], n_ranges, prefix="__cum").withColumnRenamed(
-        "__cum__one", name).drop("__one")
+    return running_sums(ones, order, ["__one"], n_ranges, prefix="__cum", partition_by=partition_by) \
+        .withColumnRenamed("__cum__one", name).drop("__one")

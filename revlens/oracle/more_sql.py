@@ -288,3 +288,10 @@ FROM (SELECT e.review_id, list(coalesce(v.id, {D.UNK_ID}) ORDER BY e.pos) AS ids
             FROM (SELECT review_id, words[1:{D.MAX_LEN - 2}] AS ws FROM tok)) e
       LEFT JOIN vocab v ON v.word = e.word GROUP BY e.review_id) s
 JOIN tok USING (review_id)""", [TOK, VOCAB])
+
+# ------------------------------------------------------------ grouping (G1)
+SQL["reviews_per_product"] = cleaned_sql(f"""
+SELECT asin, CAST(row_number() OVER (PARTITION BY asin ORDER BY review_id) AS INTEGER) AS pos, review_id, review_text
+FROM (SELECT asin, review_id, array_to_string(list_transform(string_split(review_text, ' '),
+             lambda w: CASE w {_cm} ELSE w END), ' ') AS review_text
+      FROM cleaned WHERE vote >= 5 AND review_text IS NOT NULL)""")

@@ -478,3 +478,17 @@ def q_model_round_trip(spark, sf_dir):
 @register("surrogate_id")
 def q_surrogate_id(spark, sf_dir):
     return FL.surrogate_id(cleaned(spark, sf_dir).select("review_id", "asin", "label"), ["review_id"])
+
+
+# ------------------------------------------------------ grouping (G1 long)
+from revlens.operators import grouping as GR  # noqa: E402
+
+
+@register("reviews_per_product")
+def q_reviews_per_product(spark, sf_dir):
+    """G1 in long form over the aspect job's input: cleaned reviews with at
+    least five votes, contractions expanded."""
+    m = T.dictionary_to_map(FX.contraction_map(spark), "short", "long")
+    c = FL.min_votes(cleaned(spark, sf_dir), 5)
+    c = c.select("asin", "review_id", LX.expand_contractions(F.col("review_text"), m).alias("review_text"))
+    return GR.reviews_per_product(c)

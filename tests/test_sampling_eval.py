@@ -35,13 +35,13 @@ def test_cap_per_group_equals_row_number_with_hot_group(spark):
 
 def test_running_sums_and_rank(spark):
     df = spark.range(1000).withColumn("v", (F.col("id") % 7).cast("long")).withColumn("o", (F.col("id") * 37) % 1000)
-    got = {r.o: r.cum_v for r in running_sums(df, F.col("o").desc(), ["v"], n_ranges=5).collect()}
+    got = {r.o: r.cum_v for r in running_sums(df, [("o", False)], ["v"], n_ranges=5).collect()}
     vals = sorted(((r.o, r.v) for r in df.collect()), reverse=True)
     acc = 0
     for o, v in vals:
         acc += v
         assert got[o] == acc
-    ranks = {r.o: r.rank for r in dense_rank_by(df, F.col("o").asc(), n_ranges=4).collect()}
+    ranks = {r.o: r.rank for r in dense_rank_by(df, [("o", True)], n_ranges=4).collect()}
     assert all(ranks[o] == o + 1 for o in ranks)
 
 
@@ -73,3 +73,13 @@ def test_confusion_matrix_totals(spark):
     p = FX.predictions(spark, SF_SMALL)
     cm = EV.confusion_matrix(p, [0, 1, 2]).collect()
     assert sum(r.pred_0 + r.pred_1 + r.pred_2 for r in cm) == p.count()
+
+
+def test_partitioned_rank_with_hot_group(spark):
+    df = (spark.range(30000).withColumn("g", F.when(F.col("id") % 3 != 0, F.lit("hot"))
+                                          .otherwise(F.concat(F.lit("g"), (F.col("id") % 11).cast("string"))))
+               .withColumn("o", (F.col("id") * 7919) % 30011))
+    got = dense_rank_by(df, [("o", True)], name="pos", n_ranges=7, partition_by=["g"])
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert got.count() == 30000
+    assert got.select("id", "g", "o", "pos").exceptAll(exp.select("id", "g", "o", "pos")).count() == 0
