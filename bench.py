@@ -29,6 +29,8 @@ HEADLINE = [
     "similar_enriched_long",  # J4 + X1
     "similar_products_topk",  # X2
     "json_keyword_filter",    # S4/S7 + F5
+    "reviews_per_product",    # G1 (long form)
+    "chunk_reviews",          # G2
 ]
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.ordered import dense_rank_by
+from revlens.operators.ordered import dense_rank_by, running_sums
 
 
 def reviews_per_product(df: DataFrame, product: str = "asin", order_key: str = "review_id",
@@ -21,3 +21,79 @@ def reviews_per_product(df: DataFrame, product: str = "asin", order_key: str = "
     rows = df.filter(F.col(text).isNotNull()).select(product, order_key, text)
     ranked = dense_rank_by(rows, [(order_key, True)], name="pos", partition_by=[product])
     return ranked.select(product, F.col("pos").cast("int").alias("pos"), order_key, text)
+
+
+def _ckpt(df: DataFrame) -> DataFrame:
+    return df.checkpoint(eager=True)
+
+
+def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin", order_key: str = "review_id",
+                  text: str = "review_text") -> DataFrame:
+    """Per product, reviews in ``order_key`` order are appended to a
+    chunk while the chunk's character sum (joining spaces not counted)
+    stays within ``limit``; a review that would pass it starts a new chunk.
+    A first review longer than ``limit`` leaves an empty chunk 0 before it.
+    Output: (product, chunk, n_reviews, text) with texts joined by spaces.
+
+    Exact and distributed.  With P the prefix sum of lengths, the chunk
+    starting at review s ends before next(s) = max(s+1, first j with
+    P(j) > P(s-1) + limit); that j is found by an equi-join on
+    character-offset buckets of width ``limit``.  The chain of chunk
+    starts from the first review is recovered by pointer doubling: log2 of
+    the longest product's review count rounds of joins keyed by (product,
+    position), each checkpointed.  No step gathers a product in one task;
+    a chunk (at most ``limit`` characters, or one long review) is the only
+    group collected."""
+    spark = df.sparkSession
+    rows = df.filter(F.col(text).isNotNull()).select(product, order_key, text)
+    skel_in = rows.select(product, order_key, F.length(text).cast("long").alias("len"), F.lit(1).alias("one"))
+    skel = running_sums(skel_in, [(order_key, True)], ["one", "len"], partition_by=[product])
+    skel = _ckpt(skel.select(product, order_key, "len", F.col("cum_one").alias("pos"), F.col("cum_len").alias("P"))
+                     .withColumn("P0", F.col("P") - F.col("len")))
+    sizes = skel.groupBy(product).agg(F.max("pos").alias("n"),
+                                      F.max(F.when(F.col("pos") == 1, F.col("len") > limit)).alias("first_long"))
+    # next chunk start of every review (as if it started a chunk)
+    cover = (skel.filter(F.col("len") > 0)
+                 .select(product, F.col("pos").alias("j"), F.col("P0").alias("jp0"), F.col("P").alias("jp"),
+                         F.explode(F.sequence(F.floor(F.col("P0") / limit), F.floor((F.col("P") - 1) / limit)))
+                          .alias("bucket")))
+    tgt = skel.select(product, F.col("pos").alias("s"), (F.col("P0") + limit).alias("T"),
+                      F.floor((F.col("P0") + limit) / limit).alias("bucket"))
+    hit = tgt.join(cover, [tgt[product] == cover[product], tgt["bucket"] == cover["bucket"],
+                           cover["jp0"] <= tgt["T"], tgt["T"] < cover["jp"]], "left") \
+             .select(tgt[product].alias(product), "s", "j")
+    succ = (hit.join(sizes, product)
+               .select(product, "s",
+                       # no review holds the cut-off offset: the chain ends (greatest() skips nulls)
+                       F.when(F.col("j").isNull(), F.col("n") + 1)
+                        .otherwise(F.greatest(F.col("s") + 1, F.col("j"))).alias("nxt"),
+                       "n"))
+    # pointer doubling: level k maps s to the start 2^k chunks later
+    sentinel = sizes.select(product, (F.col("n") + 1).alias("s"), (F.col("n") + 1).alias("nxt"), "n")
+    levels = [_ckpt(succ.unionByName(sentinel))]
+    max_n = sizes.agg(F.max("n")).first()[0] or 0
+    for _ in range(1, max(1, int(max_n).bit_length())):
+        a = levels[-1].alias("a")
+        b = levels[-1].alias("b")
+        levels.append(_ckpt(a.join(b, (F.col(f"a.{product}") == F.col(f"b.{product}")) & (F.col("a.nxt") == F.col("b.s")))
+                             .select(F.col(f"a.{product}").alias(product), F.col("a.s"), F.col("b.nxt"), F.col("a.n"))))
+    starts = sizes.select(product, F.lit(1).cast("long").alias("s"), "n")
+    for lv in reversed(levels):
+        step = starts.join(lv.select(product, "s", "nxt"), [product, "s"]).select(product, F.col("nxt").alias("s"), "n")
+        starts = _ckpt(starts.unionByName(step.filter(F.col("s") <= F.col("n"))))
+    # chunk number of every review: chunk starts up to its position
+    marked = (skel.join(starts.select(product, F.col("s").alias("pos"), F.lit(1).alias("is_start")),
+                        [product, "pos"], "left")
+                  .select(product, order_key, "pos", F.coalesce("is_start", F.lit(0)).alias("is_start")))
+    numbered = running_sums(marked, [("pos", True)], ["is_start"], partition_by=[product])
+    numbered = numbered.join(sizes.select(product, "first_long"), product).select(
+        product, order_key, "pos",
+        (F.col("cum_is_start") - 1 + F.when(F.col("first_long"), 1).otherwise(0)).cast("int").alias("chunk"))
+    full = (rows.join(numbered, [product, order_key])
+                .groupBy(product, "chunk")
+                .agg(F.count(F.lit(1)).alias("n_reviews"),
+                     F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", text))), lambda x: x[text]),
+                                  " ").alias("text")))
+    empty = sizes.filter(F.col("first_long")).select(product, F.lit(0).alias("chunk"),
+                                                      F.lit(0).cast("long").alias("n_reviews"), F.lit("").alias("text"))
+    return full.unionByName(empty)

@@ -295,3 +295,32 @@ SELECT asin, CAST(row_number() OVER (PARTITION BY asin ORDER BY review_id) AS IN
 FROM (SELECT asin, review_id, array_to_string(list_transform(string_split(review_text, ' '),
              lambda w: CASE w {_cm} ELSE w END), ' ') AS review_text
       FROM cleaned WHERE vote >= 5 AND review_text IS NOT NULL)""")
+
+L_CHUNK = 20000
+SQL["chunk_reviews"] = ("WITH RECURSIVE " + cleaned_sql(f"""
+SELECT ch.asin, CAST(ch.chunk AS INTEGER) AS chunk, CAST(ch.n_reviews AS BIGINT) AS n_reviews, ch.text FROM (
+  SELECT i.asin, c.ord - 1 + CASE WHEN f.first_long THEN 1 ELSE 0 END AS chunk, count(*) AS n_reviews,
+         string_agg(i.review_text, ' ' ORDER BY i.pos) AS text
+  FROM items i
+  JOIN (SELECT asin, s, row_number() OVER (PARTITION BY asin ORDER BY s) AS ord,
+               lead(s, 1, CAST(1099511627776 AS BIGINT)) OVER (PARTITION BY asin ORDER BY s) AS e FROM chain) c
+    ON c.asin = i.asin AND i.pos >= c.s AND i.pos < c.e
+  JOIN firsts f ON f.asin = i.asin
+  GROUP BY i.asin, c.ord, f.first_long) ch
+UNION ALL SELECT asin, 0, 0, '' FROM firsts WHERE first_long""", [
+    ("base", f"""SELECT asin, review_id, array_to_string(list_transform(string_split(review_text, ' '),
+             lambda w: CASE w {_cm} ELSE w END), ' ') AS review_text
+             FROM cleaned WHERE vote >= 5 AND review_text IS NOT NULL"""),
+    ("items", """SELECT asin, review_id, review_text, length(review_text) AS len,
+                 row_number() OVER (PARTITION BY asin ORDER BY review_id) AS pos,
+                 sum(length(review_text)) OVER (PARTITION BY asin ORDER BY review_id ROWS UNBOUNDED PRECEDING) AS P
+                 FROM base"""),
+    ("sizes", "SELECT asin, max(pos) AS n FROM items GROUP BY asin"),
+    ("firsts", f"SELECT asin, len > {L_CHUNK} AS first_long FROM items WHERE pos = 1"),
+    ("nx", f"""SELECT a.asin, a.pos AS s,
+               greatest(a.pos + 1, 1 + (SELECT count(*) FROM items b WHERE b.asin = a.asin AND b.P <= a.P - a.len + {L_CHUNK}))
+               AS nxt FROM items a"""),
+    ("chain", """SELECT asin, CAST(1 AS BIGINT) AS s FROM sizes
+                 UNION ALL SELECT c.asin, nx.nxt FROM chain c JOIN nx ON nx.asin = c.asin AND nx.s = c.s
+                 JOIN sizes z ON z.asin = c.asin WHERE nx.nxt <= z.n"""),
+])).replace("WITH RECURSIVE WITH ", "WITH RECURSIVE ", 1)
