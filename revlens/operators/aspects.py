@@ -172,3 +172,25 @@ def product_aspects(scored_pairs: DataFrame, top: DataFrame) -> DataFrame:
     (asin, aspect, modifier, polarity), rows with nulls dropped."""
     return (scored_pairs.join(top.select("asin", "aspect"), on=["asin", "aspect"], how="inner")
                         .select("asin", "aspect", "modifier", "polarity").dropna())
+
+
+def aspect_map_pages(scored_pairs: DataFrame, top: DataFrame, page_size: int = 1000) -> DataFrame:
+    """M2, bounded: the original builds, per product, a map from each top
+    aspect to the list of all its (modifier, polarity) mentions - a list
+    that grows with the product's reviews.  Here the list is cut into
+    pages of at most ``page_size`` mentions in mention order (rule, doc,
+    token): (asin, aspect, part, modifiers, polarities).  Positions come from
+    range-partitioned running counts, so a hot aspect spans many tasks."""
+    from revlens.operators.ordered import dense_rank_by
+    m = scored_pairs.join(top.select("asin", "aspect"), on=["asin", "aspect"], how="inner") \
+                    .select("asin", "aspect", "rule", "doc_id", "idx", "modifier", "polarity")
+    ranked = dense_rank_by(m, [("rule", True), ("doc_id", True), ("idx", True)], name="pos",
+                           partition_by=["asin", "aspect"])
+    paged = ranked.withColumn("part", ((F.col("pos") - 1) / page_size).cast("int"))
+    item = F.struct("pos", F.col("modifier").alias("adj"), F.col("polarity").alias("polarity"))
+    # the (modifier, polarity) list as two aligned arrays
+    return (paged.groupBy("asin", "aspect", "part")
+                 .agg(F.array_sort(F.collect_list(item)).alias("__m"))
+                 .select("asin", "aspect", "part",
+                         F.transform("__m", lambda x: x["adj"]).alias("modifiers"),
+                         F.transform("__m", lambda x: x["polarity"]).alias("polarities")))

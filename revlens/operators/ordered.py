@@ -47,10 +47,16 @@ def range_ids(df: DataFrame, order: OrderSpec, n_ranges: int, per_range: int = 6
         b = sample[min(len(sample) - 1, j * len(sample) // n_ranges)]
         if not bounds or b > bounds[-1]:
             bounds.append(b)
-    rid = F.lit(0)
-    for b in bounds:
-        rid = rid + F.when(_greater(keys, b), F.lit(1)).otherwise(F.lit(0))
-    return rid
+    return _tree(keys, bounds, 0, len(bounds))
+
+
+def _tree(keys: list[Column], bounds: list[tuple], lo: int, hi: int) -> Column:
+    """Number of ``bounds[lo:hi]`` below the key, as a balanced decision
+    tree: log2(n) comparisons per row."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(_greater(keys, bounds[mid]), _tree(keys, bounds, mid + 1, hi)).otherwise(_tree(keys, bounds, lo, mid))
 
 
 def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_ranges: int | None = None,

@@ -324,3 +324,12 @@ UNION ALL SELECT asin, 0, 0, '' FROM firsts WHERE first_long""", [
                  UNION ALL SELECT c.asin, nx.nxt FROM chain c JOIN nx ON nx.asin = c.asin AND nx.s = c.s
                  JOIN sizes z ON z.asin = c.asin WHERE nx.nxt <= z.n"""),
 ])).replace("WITH RECURSIVE WITH ", "WITH RECURSIVE ", 1)
+
+SQL["aspect_map"] = aspect_sql("""
+SELECT asin, aspect, part, list(modifier ORDER BY pos) AS modifiers, list(polarity ORDER BY pos) AS polarities FROM (
+  SELECT sp.asin, sp.aspect, sp.modifier, sp.polarity,
+         row_number() OVER (PARTITION BY sp.asin, sp.aspect ORDER BY sp.rule, sp.doc_id, sp.idx) AS pos,
+         CAST((row_number() OVER (PARTITION BY sp.asin, sp.aspect ORDER BY sp.rule, sp.doc_id, sp.idx) - 1) / 1000
+              AS INTEGER) AS part
+  FROM sp JOIN top ON top.asin = sp.asin AND top.aspect = sp.aspect) m
+GROUP BY asin, aspect, part""", SCORED)

@@ -11,6 +11,9 @@ from revlens.operators import aspects as A
 from revlens.operators import polarity as POL
 from revlens.session import ensure_checkpoint_dir
 
+# mentions per page of the aspect -> modifiers map (M2)
+MAP_PAGE_SIZE = 1000
+
 
 def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
                         negation_words: list[str] = D.NEGATION_WORDS, checkpoint: bool = True) -> DataFrame:

@@ -351,6 +351,12 @@ def q_top_aspects(spark, sf_dir):
     return A.top_aspects(_freq(spark, sf_dir)).select("asin", "aspect", "mentions", "rank")
 
 
+@register("aspect_map")
+def q_aspect_map(spark, sf_dir):
+    sp = scored_pairs(spark, sf_dir)
+    return A.aspect_map_pages(sp, A.top_aspects(A.aspect_frequency(sp)), page_size=AJ.MAP_PAGE_SIZE)
+
+
 @register("product_aspects")
 def q_product_aspects(spark, sf_dir):
     return AJ.product_aspect_table(FX.tokens(spark, sf_dir), FX.lexicon(spark, sf_dir), FX.negations(spark),

@@ -80,3 +80,13 @@ def test_polarity(spark):
     assert got["xyz"] == 0.0
     assert got["not very good"] == norm(2.293 * -0.74)
     assert got["very bad"] == norm(-2.293)
+
+
+def test_aspect_map_pages_in_mention_order(spark):
+    rows = [("P1", "sound", 2, 1, 4, "loud", 0.1), ("P1", "sound", 1, 3, 1, "clear", 0.2),
+            ("P1", "sound", 1, 1, 9, "deep", 0.3), ("P1", "battery", 5, 1, 1, "long", 0.4)]
+    sp = spark.createDataFrame(rows, "asin string, aspect string, rule int, doc_id long, idx int, modifier string, "
+                                     "polarity double")
+    top = spark.createDataFrame([("P1", "sound"), ("P1", "battery")], "asin string, aspect string")
+    got = sorted((r.aspect, r.part, list(r.modifiers)) for r in A.aspect_map_pages(sp, top, page_size=2).collect())
+    assert got == [("battery", 0, ["long"]), ("sound", 0, ["deep", "clear"]), ("sound", 1, ["loud"])]

@@ -83,3 +83,11 @@ def test_partitioned_rank_with_hot_group(spark):
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert got.count() == 30000
     assert got.select("id", "g", "o", "pos").exceptAll(exp.select("id", "g", "o", "pos")).count() == 0
+
+
+def test_many_ranges(spark):
+    df = spark.range(5000).withColumn("o", (F.col("id") * 13) % 5003).withColumn("v", F.lit(1))
+    got = running_sums(df, [("o", True)], ["v"], n_ranges=200)
+    exp = sorted(r.o for r in df.collect())
+    rank = {o: i + 1 for i, o in enumerate(exp)}
+    assert all(r.cum_v == rank[r.o] for r in got.collect())
