@@ -9,12 +9,12 @@ identical rows.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
+from revlens.session import default_parallelism, input_splits
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -40,7 +40,8 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     large input already arrives in many splits and is left alone, so no
     shuffle is added at scale."""
     spark = df.sparkSession
-    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+    splits = input_splits(df)
+    if splits is not None and splits < default_parallelism(spark):
         # same count as a later repartition(key), so Spark can drop that one
         return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
     return df

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.ordered import dense_rank_by, running_sums
+from revlens.session import materialize
 
 
 def reviews_per_product(df: DataFrame, product: str = "asin", order_key: str = "review_id",
@@ -24,7 +25,7 @@ def reviews_per_product(df: DataFrame, product: str = "asin", order_key: str = "
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin", order_key: str = "review_id",

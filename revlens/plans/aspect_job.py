@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from revlens import dictionaries as D
 from revlens.operators import aspects as A
 from revlens.operators import polarity as POL
-from revlens.session import ensure_checkpoint_dir
+from revlens.session import materialize
 
 # mentions per page of the aspect -> modifiers map (M2)
 MAP_PAGE_SIZE = 1000
@@ -23,8 +23,7 @@ def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: Dat
     not send the job back to the token table."""
     pairs = A.aspect_pairs(tokens, negation_words)
     if checkpoint:
-        ensure_checkpoint_dir(tokens.sparkSession)
-        pairs = pairs.checkpoint(eager=True)
+        pairs = materialize(pairs)
     phrases = pairs.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
     pol = POL.phrase_polarity(phrases, lexicon, negations_df, boosters)
     return A.score_pairs(pairs, pol)

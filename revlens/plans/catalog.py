@@ -123,7 +123,7 @@ def q_anti_join_books(spark, sf_dir):
 
 # ---------------------------------------------------------- sources
 from revlens import schemas  # noqa: E402
-from revlens.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from revlens.session import materialize, scratch_path  # noqa: E402
 from revlens.sources import files as S  # noqa: E402
 
 
@@ -426,8 +426,7 @@ def q_build_vocabulary(spark, sf_dir):
 def encoded(spark, sf_dir):
     # the tokenized reviews feed both the vocabulary and the encoding:
     # checkpoint them once instead of cleaning the text twice
-    ensure_checkpoint_dir(spark)
-    t = tokenized(spark, sf_dir).select("review_id", "label", "words").checkpoint(eager=True)
+    t = materialize(tokenized(spark, sf_dir).select("review_id", "label", "words"))
     return FE.encode_fixed_length(t, FE.build_vocabulary(t))
 
 
@@ -445,8 +444,7 @@ def _train_test(spark, sf_dir):
     """Holdout split of the cleaned reviews, checkpointed once: feature
     fitting, model fitting and scoring each re-read it instead of
     re-running the text cleaning."""
-    ensure_checkpoint_dir(spark)
-    s = K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label")).checkpoint(eager=True)
+    s = materialize(K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label")))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
@@ -494,11 +492,10 @@ def aspect_input(spark, sf_dir):
     """The aspect job's review input - cleaned, at least five votes,
     contractions expanded - checkpointed once: the ordering passes scan it
     several times (key sample, counts, rows) and must not re-clean texts."""
-    ensure_checkpoint_dir(spark)
     m = T.dictionary_to_map(FX.contraction_map(spark), "short", "long")
     c = FL.min_votes(cleaned(spark, sf_dir), 5)
     c = c.select("asin", "review_id", LX.expand_contractions(F.col("review_text"), m).alias("review_text"))
-    return c.checkpoint(eager=True)
+    return materialize(c)
 
 
 @register("reviews_per_product")

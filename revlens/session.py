@@ -69,3 +69,30 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint
+    folder (never a local checkpoint).  Sessions without a SparkContext
+    (Spark Connect) cannot checkpoint this way; the plan is then returned
+    as is - same rows, longer lineage."""
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+    except Exception:  # noqa: BLE001 - no SparkContext in this session
+        return df
+    return df.checkpoint(eager=True)
+
+
+def input_splits(df) -> int | None:
+    """Number of input splits of a scan, or None when not observable."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def default_parallelism(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
