@@ -41,9 +41,12 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     shuffle is added at scale."""
     spark = df.sparkSession
     splits = input_splits(df)
-    if splits is not None and splits < default_parallelism(spark):
-        # same count as a later repartition(key), so Spark can drop that one
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    par = default_parallelism(spark)
+    if splits is not None and splits < par:
+        # two partitions per core: enough to balance uneven texts; when the
+        # session's shuffle partitions match, a later repartition(key) sees
+        # the same partitioning and Spark drops it
+        return df.repartition(2 * par, key)
     return df
 
 

@@ -1,20 +1,28 @@
 """Order-dependent totals without a single-task window.
 
 A ``Window.orderBy`` with no partition key moves every row to one task,
-and a per-group window moves a whole group to one task.  Here each row
-gets a deterministic *range id*: split points of the order key are taken
-from a small seeded sample (at most ``n_ranges * per_range`` keys reach
-the driver), and the id is computed from the key by comparisons, so every
-branch of the plan - and every recomputation after a lost executor -
-assigns the same range.  Each (range, group) computes local running sums;
-the per-(range, group) totals are prefix-summed over ranges and joined
-back as offsets."""
+and a per-group window moves a whole group to one task.  Here rows are
+range-partitioned on (group, order key) by Spark's range partitioner and
+tagged with their range id, and that tagging is pinned once by a reliable
+checkpoint: every consumer of the ids (local running sums, per-range
+totals) and every retry after a lost executor reads the same ids.  (Two
+independent range exchanges would sample different split points.)  Each
+(range, group) computes local running sums; the per-(range, group)
+totals are prefix-summed over ranges and joined back as offsets.
+
+Sessions that cannot checkpoint fall back to split points from a small
+seeded sample, evaluated per row as a decision tree (capped at 64
+ranges to keep generated code small)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.session import can_checkpoint
+
+FALLBACK_MAX_RANGES = 64
+
 OrderSpec = list[tuple[str, bool]]  # (column, ascending); descending columns must be numeric
 
 
@@ -66,10 +74,15 @@ def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_range
     restarting per ``partition_by`` group when given.  A group holding a
     third of all rows spans many ranges, so it is spread over many tasks."""
     spark = df.sparkSession
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition_by or [])
     ordered = [(k, True) for k in keys] + list(order)
-    ranged = df.withColumn("__range", range_ids(df, ordered, n))
+    if can_checkpoint(spark):
+        sort_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in ordered]
+        parts = df.repartitionByRange(n_ranges, *sort_cols) if n_ranges else df.repartitionByRange(*sort_cols)
+        ranged = parts.withColumn("__range", F.spark_partition_id()).checkpoint(eager=True)
+    else:
+        n = min(n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), FALLBACK_MAX_RANGES)
+        ranged = df.withColumn("__range", range_ids(df, ordered, n))
     part = ["__range", *keys]
     order_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
     w_run = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -71,14 +71,20 @@ def env_int(name: str, default: int) -> int:
         return default
 
 
+def can_checkpoint(spark) -> bool:
+    try:
+        ensure_checkpoint_dir(spark)
+        return True
+    except Exception:  # noqa: BLE001 - no SparkContext in this session
+        return False
+
+
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint
     folder (never a local checkpoint).  Sessions without a SparkContext
     (Spark Connect) cannot checkpoint this way; the plan is then returned
     as is - same rows, longer lineage."""
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-    except Exception:  # noqa: BLE001 - no SparkContext in this session
+    if not can_checkpoint(df.sparkSession):
         return df
     return df.checkpoint(eager=True)
 

@@ -91,3 +91,13 @@ def test_many_ranges(spark):
     exp = sorted(r.o for r in df.collect())
     rank = {o: i + 1 for i, o in enumerate(exp)}
     assert all(r.cum_v == rank[r.o] for r in got.collect())
+
+
+def test_running_sums_fallback_without_checkpoint(spark, monkeypatch):
+    import revlens.operators.ordered as O
+    monkeypatch.setattr(O, "can_checkpoint", lambda s: False)
+    df = (spark.range(20000).withColumn("g", F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.lit("cold")))
+               .withColumn("o", (F.col("id") * 7) % 20011))
+    got = O.dense_rank_by(df, [("o", True)], name="pos", n_ranges=500, partition_by=["g"])
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert got.select("id", "pos").exceptAll(exp.select("id", "pos")).count() == 0
