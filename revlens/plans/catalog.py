@@ -413,20 +413,25 @@ def q_idf_features(spark, sf_dir):
     return FE.idf().fit(tf).transform(tf).select("review_id", "features")
 
 
+def word_lists(spark, sf_dir):
+    """Tokenized cleaned reviews, checkpointed once: the word-level jobs
+    read them in two branches (term and document frequencies; vocabulary
+    and encoding) and must not clean the texts twice."""
+    return materialize(tokenized(spark, sf_dir).select("review_id", "label", "words"))
+
+
 @register("tfidf_exact")
 def q_tfidf_exact(spark, sf_dir):
-    return FE.tfidf_exact(tokenized(spark, sf_dir))
+    return FE.tfidf_exact(word_lists(spark, sf_dir))
 
 
 @register("build_vocabulary")
 def q_build_vocabulary(spark, sf_dir):
-    return FE.build_vocabulary(tokenized(spark, sf_dir))
+    return FE.build_vocabulary(word_lists(spark, sf_dir))
 
 
 def encoded(spark, sf_dir):
-    # the tokenized reviews feed both the vocabulary and the encoding:
-    # checkpoint them once instead of cleaning the text twice
-    t = materialize(tokenized(spark, sf_dir).select("review_id", "label", "words"))
+    t = word_lists(spark, sf_dir)
     return FE.encode_fixed_length(t, FE.build_vocabulary(t))
 
 
