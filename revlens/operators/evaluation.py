@@ -1,8 +1,8 @@
 """Prediction evaluation.
 
-Every metric derives from one grouped count per (label, prediction): the
-big table is scanned and shuffled once (partially aggregated map-side),
-and the rest works on at most classes^2 rows."""
+Every metric derives from one grouped pass over the predictions
+(partially aggregated map-side, so the shuffle carries at most a few
+rows per class and map task); the rest works on per-class rows."""
 
 from __future__ import annotations
 
@@ -18,18 +18,26 @@ def pair_counts(pred: DataFrame, label: str = "label", prediction: str = "predic
                 .agg(F.count(F.lit(1)).alias("n")))
 
 
-def per_class(counts: DataFrame) -> DataFrame:
-    """Per class (union of labels and predictions): tp, support, predicted,
-    precision, recall, f1 (0 where undefined)."""
-    by_label = counts.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    by_pred = counts.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = counts.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    c = (by_label.join(by_pred, "cls", "full").join(tp, "cls", "left")
-                 .select("cls", *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x)
-                                  for x in ["support", "predicted", "tp"]]))
+def class_stats(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Per class (union of labels and predictions): support, predicted, tp -
+    one pass over the predictions: each row counts once for its label's
+    class and once for its predicted class (partially aggregated before
+    the single shuffle)."""
+    y = F.col(label).cast("double")
+    p = F.col(prediction).cast("double")
+    roles = F.array(F.struct(y.alias("cls"), F.lit(1).alias("s"), F.lit(0).alias("p"), (y == p).cast("int").alias("t")),
+                    F.struct(p.alias("cls"), F.lit(0).alias("s"), F.lit(1).alias("p"), F.lit(0).alias("t")))
+    return (pred.select(F.explode(roles).alias("r"))
+                .groupBy(F.col("r.cls").alias("cls"))
+                .agg(F.sum("r.s").cast("bigint").alias("support"), F.sum("r.p").cast("bigint").alias("predicted"),
+                     F.sum("r.t").cast("bigint").alias("tp")))
+
+
+def per_class(stats: DataFrame) -> DataFrame:
+    """Precision, recall, f1 per class (0 where undefined)."""
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    c = c.withColumn("precision", p).withColumn("recall", r)
+    c = stats.withColumn("precision", p).withColumn("recall", r)
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
     return c.withColumn("f1", f1)
@@ -46,7 +54,7 @@ def weighted_metrics(pred: DataFrame, label: str = "label", prediction: str = "p
                      digits: int = 12) -> DataFrame:
     """Support-weighted precision, recall and F1 over the classes that
     occur as labels (the multiclass evaluator's definition), plus accuracy."""
-    pc = per_class(pair_counts(pred, label, prediction)).filter(F.col("support") > 0)
+    pc = per_class(class_stats(pred, label, prediction)).filter(F.col("support") > 0)
     tot = F.sum("support")
     return pc.agg(
         F.round(F.sum(F.col("support") * F.col("precision")) / tot, digits).alias("weighted_precision"),
@@ -69,7 +77,7 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
                           digits: int = 12) -> DataFrame:
     """Per class precision, recall, f1, support; then accuracy, macro
     and weighted averages (classes = labels and predictions seen)."""
-    pc = per_class(pair_counts(pred, label, prediction))
+    pc = per_class(class_stats(pred, label, prediction))
     rnd = lambda c: F.round(c, digits)
     rows = pc.select(F.col("cls").cast("int").cast("string").alias("class"),
                      rnd(F.col("precision")).alias("precision"), rnd(F.col("recall")).alias("recall"),
