@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
 from revlens.operators.ordered import dense_rank_by
+from revlens.session import materialize
 
 
 def explode_words(docs: DataFrame, words: str = "words", *keep: str) -> DataFrame:
@@ -39,7 +40,9 @@ def tfidf_exact(docs: DataFrame, doc_id: str = "review_id", words: str = "words"
     (document, word).  The document count is a scalar subquery."""
     tf = (explode_words(docs.select(doc_id, words), words, doc_id)
               .groupBy(doc_id, "word").agg(F.count(F.lit(1)).alias("tf")))
-    df_ = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # materialised so both join inputs are shuffle stages: AQE broadcasts the
+    # vocabulary by measured size or splits the partitions of common words
+    df_ = materialize(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     m = docs.select(F.count(F.lit(1))).scalar()
     idf_c = F.log((m + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return (tf.join(df_, "word")

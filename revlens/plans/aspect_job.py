@@ -25,7 +25,12 @@ def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: Dat
     if checkpoint:
         pairs = materialize(pairs)
     phrases = pairs.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
-    pol = POL.phrase_polarity(phrases, lexicon, negations_df, boosters)
+    # Materialised so that both join inputs are shuffle stages: AQE then
+    # broadcasts the phrase table by its measured size, or splits the pair
+    # partitions of a very common phrase (skew join).  Left partitioned by
+    # phrase from its own window, the join could do neither.
+    pol = materialize(POL.phrase_polarity(phrases, lexicon, negations_df, boosters)) if checkpoint else \
+        POL.phrase_polarity(phrases, lexicon, negations_df, boosters)
     return A.score_pairs(pairs, pol)
 
 
