@@ -51,8 +51,10 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     skel = running_sums(skel_in, [(order_key, True)], ["one", "len"], partition_by=[product])
     skel = _ckpt(skel.select(product, order_key, "len", F.col("cum_one").alias("pos"), F.col("cum_len").alias("P"))
                      .withColumn("P0", F.col("P") - F.col("len")))
-    sizes = skel.groupBy(product).agg(F.max("pos").alias("n"),
-                                      F.max(F.when(F.col("pos") == 1, F.col("len") > limit)).alias("first_long"))
+    # per-product sizes are joined back to per-review rows: materialised so
+    # AQE can broadcast them by measured size or split a hot product's rows
+    sizes = _ckpt(skel.groupBy(product).agg(F.max("pos").alias("n"),
+                                            F.max(F.when(F.col("pos") == 1, F.col("len") > limit)).alias("first_long")))
     # next chunk start of every review (as if it started a chunk)
     cover = (skel.filter(F.col("len") > 0)
                  .select(product, F.col("pos").alias("j"), F.col("P0").alias("jp0"), F.col("P").alias("jp"),

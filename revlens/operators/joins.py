@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 
 def exclude_keys(df: DataFrame, keys: DataFrame, key: str = "asin") -> DataFrame:
-    """Left anti join - drop rows whose key is listed; null keys stay."""
-    return df.join(keys.select(key).distinct(), on=key, how="left_anti")
+    """Left anti join - drop rows whose key is listed; null keys stay.
+    Duplicate keys do not change an anti join, so no distinct() is taken:
+    both inputs stay plain shuffle stages, which lets AQE broadcast the key
+    list by measured size or split the partition of a hot key."""
+    return df.join(keys.select(key), on=key, how="left_anti")
 
 
 def attach(left: DataFrame, right: DataFrame, key: str = "asin", how: str = "inner") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revlens.session import materialize
+
 
 def product_kpis(ratings: DataFrame, anchor: str, product: str = "asin", rating: str = "rating",
                  ts: str = "ts") -> DataFrame:
@@ -87,7 +89,9 @@ def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col
     unit = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(block_col).alias("blk"),
         F.transform(vec_col, lambda x: x.cast("double") / norm).alias("u"))
-    sizes = unit.groupBy("blk").agg(F.count(F.lit(1)).alias("n"))
+    # one row per block, joined back to every vector: materialised so AQE
+    # broadcasts it by measured size (or splits a hot block's rows)
+    sizes = materialize(unit.groupBy("blk").agg(F.count(F.lit(1)).alias("n")))
     tiles = (unit.join(sizes, "blk")
                  .withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(block_rows)).cast("long")))
                  .groupBy("blk", "tile")
