@@ -99,3 +99,31 @@ def test_streaming_cleaning_equals_batch(spark, tmp_path):
         FX.meta(spark, SF_SMALL))
     assert streamed.count() == batch.count() > 0
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
+
+
+def test_hot_key_is_split_by_aqe(spark):
+    """A key holding a third of all rows: with broadcasts disabled, the anti
+    join of J1 must run as a skew-split sort-merge join, not one hot task."""
+    from revlens.operators import joins as J
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(600_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+                F.concat(F.lit("P"), (F.col("id") % 50000).cast("string"))).alias("asin"), "id")
+        keys = spark.range(0, 50000, 7).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("asin"))
+        out = J.exclude_keys(rows, keys)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
