@@ -108,7 +108,7 @@ def test_hot_key_is_split_by_aqe(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -120,7 +120,7 @@ def test_hot_key_is_split_by_aqe(spark):
         out = J.exclude_keys(rows, keys)
         out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        assert "SortMergeJoin(skew=true)" in plan
+        assert "SortMergeJoin(skew=true)" in plan, plan
     finally:
         for k, v in old.items():
             if v is None:
