@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
 from revlens.session import default_parallelism, input_splits
+from revlens.sources.files import values_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -198,19 +199,6 @@ FIXTURE_BOOSTERS = [("very", 0.293), ("really", 0.293), ("and", 0.293), ("by", -
 POS_KEEP_TAGS = ["NN", "NNP", "NNPS", "NNS", "JJ", "JJR", "JJS", "VB", "VBD", "VBG", "VBN", "VBP", "VBZ"]
 
 
-def values_table(spark: SparkSession, rows: list, columns: list[str]) -> DataFrame:
-    """A small in-code dictionary as an inline VALUES relation: the
-    optimizer knows its size, so joins against it broadcast on their own."""
-    def lit(v):
-        if isinstance(v, str):
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        if isinstance(v, float):
-            return f"CAST({v!r} AS DOUBLE)"
-        return str(v)
-    body = ", ".join("(" + ", ".join(lit(v) for v in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
-
-
 def emoji_map(spark):
     return values_table(spark, EMOJI_MAP, ["ch", "name"])
 
