@@ -29,7 +29,7 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 
 def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin", order_key: str = "review_id",
-                  text: str = "review_text") -> DataFrame:
+                  text: str = "review_text", block_reviews: int = 65536) -> DataFrame:
     """Per product, reviews in ``order_key`` order are appended to a
     chunk while the chunk's character sum (joining spaces not counted)
     stays within ``limit``; a review that would pass it starts a new chunk.
@@ -40,11 +40,10 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     starting at review s ends before next(s) = max(s+1, first j with
     P(j) > P(s-1) + limit); that j is found by an equi-join on
     character-offset buckets of width ``limit``.  The chain of chunk
-    starts from the first review is recovered by pointer doubling: log2 of
-    the longest product's review count rounds of joins keyed by (product,
-    position), each checkpointed.  No step gathers a product in one task;
-    a chunk (at most ``limit`` characters, or one long review) is the only
-    group collected."""
+    starts from the first review is then recovered block-wise (see
+    ``_chain_starts``).  No step gathers a product in one task; a block of
+    ``block_reviews`` positions and a chunk (at most ``limit`` characters,
+    or one long review) are the only groups collected."""
     spark = df.sparkSession
     rows = df.filter(F.col(text).isNotNull()).select(product, order_key, text)
     skel_in = rows.select(product, order_key, F.length(text).cast("long").alias("len"), F.lit(1).alias("one"))
@@ -71,19 +70,7 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
                        F.when(F.col("j").isNull(), F.col("n") + 1)
                         .otherwise(F.greatest(F.col("s") + 1, F.col("j"))).alias("nxt"),
                        "n"))
-    # pointer doubling: level k maps s to the start 2^k chunks later
-    sentinel = sizes.select(product, (F.col("n") + 1).alias("s"), (F.col("n") + 1).alias("nxt"), "n")
-    levels = [_ckpt(succ.unionByName(sentinel))]
-    max_n = sizes.agg(F.max("n")).first()[0] or 0
-    for _ in range(1, max(1, int(max_n).bit_length())):
-        a = levels[-1].alias("a")
-        b = levels[-1].alias("b")
-        levels.append(_ckpt(a.join(b, (F.col(f"a.{product}") == F.col(f"b.{product}")) & (F.col("a.nxt") == F.col("b.s")))
-                             .select(F.col(f"a.{product}").alias(product), F.col("a.s"), F.col("b.nxt"), F.col("a.n"))))
-    starts = sizes.select(product, F.lit(1).cast("long").alias("s"), "n")
-    for lv in reversed(levels):
-        step = starts.join(lv.select(product, "s", "nxt"), [product, "s"]).select(product, F.col("nxt").alias("s"), "n")
-        starts = _ckpt(starts.unionByName(step.filter(F.col("s") <= F.col("n"))))
+    starts = _chain_starts(spark, succ, sizes, product, block_reviews)
     # chunk number of every review: chunk starts up to its position
     marked = (skel.join(starts.select(product, F.col("s").alias("pos"), F.lit(1).alias("is_start")),
                         [product, "pos"], "left")
@@ -100,3 +87,86 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     empty = sizes.filter(F.col("first_long")).select(product, F.lit(0).alias("chunk"),
                                                       F.lit(0).cast("long").alias("n_reviews"), F.lit("").alias("text"))
     return full.unionByName(empty)
+
+
+_EXIT_SCHEMA = "prod string, e long, x long"
+_START_SCHEMA = "prod string, s long"
+
+
+def _block_exits(pdf):
+    """Per block: for every entry node, the first chain node outside the
+    block (vectorised pointer jumping over the block's successor array)."""
+    import numpy as np
+    import pandas as pd
+    pdf = pdf.sort_values("s")
+    pos = pdf["s"].to_numpy(np.int64)
+    nxt = pdf["nxt"].to_numpy(np.int64)
+    first, end = pos[0], pos[-1] + 1
+    jump = nxt.copy()
+    for _ in range(max(1, int(len(pos)).bit_length()) + 1):
+        inside = jump < end
+        if not inside.any():
+            break
+        jump = np.where(inside, jump[np.clip(jump - first, 0, len(pos) - 1)], jump)
+    ent = pdf["is_entry"].to_numpy(bool)
+    return pd.DataFrame({"prod": pdf["prod"].to_numpy()[ent], "e": pos[ent], "x": jump[ent]})
+
+
+def _block_starts(pdf):
+    """Per entered block: chain nodes from its actual entry while inside."""
+    import numpy as np
+    import pandas as pd
+    pdf = pdf.sort_values("s")
+    pos = pdf["s"].to_numpy(np.int64)
+    nxt = pdf["nxt"].to_numpy(np.int64)
+    first, end = pos[0], pos[-1] + 1
+    out = []
+    for e in pdf.loc[pdf["entry"], "s"].to_numpy(np.int64):
+        x = e
+        while x < end:
+            out.append(x)
+            x = nxt[x - first]
+    return pd.DataFrame({"prod": pd.Series([pdf["prod"].iloc[0]] * len(out), dtype=object),
+                         "s": np.asarray(out, dtype=np.int64)})
+
+
+def _chain_starts(spark, succ: DataFrame, sizes: DataFrame, product: str, block_reviews: int) -> DataFrame:
+    """Chunk starts = the chain 1 -> next(1) -> ... per product.
+
+    Positions are cut into blocks of ``block_reviews``.  A block can only be
+    entered at review 1 or at the target of a successor edge from an
+    earlier block; a per-block kernel maps each such entry to the first
+    chain node past the block.  Pointer doubling then runs over entries
+    only (log2(blocks) rounds of joins, each checkpointed), and a second
+    per-block kernel lists the chain inside every block actually entered."""
+    R = block_reviews
+    nodes = succ.select(F.col(product).alias("prod"), "s", "nxt", "n",
+                        F.floor((F.col("s") - 1) / R).alias("blk"))
+    cross = (nodes.filter((F.floor((F.col("nxt") - 1) / R) > F.col("blk")) & (F.col("nxt") <= F.col("n")))
+                  .select("prod", F.col("nxt").alias("s"), F.lit(True).alias("is_entry")))
+    entries = cross.unionByName(nodes.filter(F.col("s") == 1).select("prod", "s", F.lit(True).alias("is_entry"))) \
+                   .dropDuplicates(["prod", "s"])
+    flagged = _ckpt(nodes.join(entries, ["prod", "s"], "left")
+                         .withColumn("is_entry", F.coalesce("is_entry", F.lit(False))))
+    exits = _ckpt(flagged.select("prod", "blk", "s", "nxt", "is_entry")
+                         .groupBy("prod", "blk").applyInPandas(_block_exits, _EXIT_SCHEMA))
+    nmax = sizes.select(F.col(product).alias("prod"), "n")
+    # doubling over the entry graph e -> x (x is an entry of a later block or n + 1)
+    level = _ckpt(exits.join(nmax, "prod"))
+    levels = [level]
+    max_blocks = (sizes.agg(F.max("n")).first()[0] or 0) // R + 1
+    for _ in range(1, max(1, int(max_blocks).bit_length())):
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        nxt_level = (a.join(b, (F.col("a.prod") == F.col("b.prod")) & (F.col("a.x") == F.col("b.e")), "left")
+                      .select(F.col("a.prod").alias("prod"), F.col("a.e").alias("e"),
+                              F.coalesce(F.col("b.x"), F.col("a.x")).alias("x"), F.col("a.n").alias("n")))
+        levels.append(_ckpt(nxt_level))
+    reached = nmax.select("prod", F.lit(1).cast("long").alias("e"), "n")
+    for lv in reversed(levels):
+        step = reached.join(lv.select("prod", "e", "x"), ["prod", "e"]).select("prod", F.col("x").alias("e"), "n")
+        reached = _ckpt(reached.unionByName(step.filter(F.col("e") <= F.col("n"))).dropDuplicates(["prod", "e"]))
+    blocks = flagged.join(reached.select("prod", F.col("e").alias("s"), F.lit(True).alias("entry")), ["prod", "s"],
+                          "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
+    starts = blocks.select("prod", "blk", "s", "nxt", "entry").groupBy("prod", "blk") \
+                   .applyInPandas(_block_starts, _START_SCHEMA)
+    return starts.select(F.col("prod").alias(product), "s")
