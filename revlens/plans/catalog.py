@@ -449,7 +449,10 @@ def _train_test(spark, sf_dir):
     """Holdout split of the cleaned reviews, checkpointed once: feature
     fitting, model fitting and scoring each re-read it instead of
     re-running the text cleaning."""
-    s = materialize(K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label")))
+    # rebalance: AQE sizes the partitions by data volume, so each model
+    # iteration aggregates one gradient per sizeable partition
+    s = materialize(K.holdout_split(cleaned(spark, sf_dir).select("review_id", "review_text", "label"))
+                    .hint("rebalance"))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
