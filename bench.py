@@ -39,7 +39,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 "spark.driver.extraJavaOptions": os.environ.get("BENCH_JAVA_OPTS", "")})
     # warm-up: JVM, Python workers, parquet footers
     QUERIES["clean_label_summary"](spark, sf_dir).collect()
     times = {}
