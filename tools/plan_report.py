@@ -14,7 +14,7 @@ from revlens.session import build_session  # noqa: E402
 
 
 def summary(plan: str) -> dict:
-    plan = plan.split("== Initial Plan ==")[0]   # final adaptive plan only
+    plan = plan.split("\n+- == Initial Plan ==")[0]   # top-level final adaptive plan only
     lines = plan.splitlines()
     count = lambda pat: sum(1 for ln in lines if re.search(pat, ln))
     scans = []
