@@ -35,17 +35,46 @@ def probabilities(pred: DataFrame, col: str = "probability") -> Column:
     return vector_to_array(pred[col])
 
 
-def linear_bag_model(vocab_buckets: int = 4096, n_classes: int = 3, seed: int = 7):
-    """A small numpy model for ``score_batches``: mean of per-id class
-    weights over the non-padding positions, arg-max class."""
+def fit_bag_model(encoded: DataFrame, buckets: int = 4096, n_classes: int = 3, ids_col: str = "input_ids",
+                  target: str = "targets", alpha: float = 1.0) -> np.ndarray:
+    """A hashed bag-of-ids multinomial Naive Bayes, learned by one
+    distributed aggregation: counts per (id bucket, class) over the real
+    positions (special ids excluded), partially aggregated before the
+    shuffle.  Returns log P(bucket | class) + log P(class) as a
+    (buckets + 1, classes) array: a fixed-size table, whatever the data
+    size (the last row holds the class priors)."""
+    from pyspark.sql import functions as F
+    from revlens import dictionaries as D
+    toks = (encoded.select(F.col(target).alias("y"), F.explode(ids_col).alias("id"))
+                   .filter(F.col("id") >= D.FIRST_WORD_ID)
+                   .select("y", F.pmod(F.col("id"), F.lit(buckets)).alias("b")))
+    counts = np.full((buckets, n_classes), alpha)
+    for r in toks.groupBy("b", "y").count().collect():     # at most buckets x classes rows
+        if 0 <= r["y"] < n_classes:
+            counts[r["b"], r["y"]] += r["count"]
+    prior = np.full(n_classes, alpha)
+    for r in encoded.groupBy(target).count().collect():     # one row per class
+        if r[target] is not None and 0 <= r[target] < n_classes:
+            prior[r[target]] += r["count"]
+    logp = np.log(counts / counts.sum(axis=0, keepdims=True))
+    return np.vstack([logp, np.log(prior / prior.sum())])
+
+
+def bag_model(table: np.ndarray):
+    """``make_predict_fn`` for ``score_batches`` from a ``fit_bag_model``
+    table: sum of per-position log-likelihoods plus prior, arg-max class."""
+    from revlens import dictionaries as D
+    buckets = table.shape[0] - 1
+    first_word = D.FIRST_WORD_ID
+
     def make_predict_fn():
-        w = np.random.default_rng(seed).normal(size=(vocab_buckets, n_classes))
+        logp, prior = table[:-1], table[-1]
 
         def predict(ids: np.ndarray) -> np.ndarray:
             ids = ids.astype(np.int64)
-            mask = (ids != 0)[..., None]
-            logits = (w[ids % vocab_buckets] * mask).sum(axis=1) / np.maximum(mask.sum(axis=1), 1)
-            return logits.argmax(axis=1).astype(np.int32)
+            real = (ids >= first_word)[..., None]
+            scores = (logp[ids % buckets] * real).sum(axis=1) + prior
+            return scores.argmax(axis=1).astype(np.int32)
         return predict
     return make_predict_fn
 

@@ -442,7 +442,13 @@ def q_encode_fixed_length(spark, sf_dir):
 
 @register("score_batches")
 def q_score_batches(spark, sf_dir):
-    return MD.score_batches(encoded(spark, sf_dir), MD.linear_bag_model()).select("review_id", "targets", "prediction")
+    """A bag-of-ids model fitted on the training split (one distributed
+    aggregation, fixed-size table), applied in Arrow batches to the test
+    split of the encoded reviews."""
+    enc = materialize(K.holdout_split(encoded(spark, sf_dir)))
+    table = MD.fit_bag_model(enc.filter(F.col("split") == "train"))
+    test = enc.filter(F.col("split") == "test")
+    return MD.score_batches(test, MD.bag_model(table)).select("review_id", "targets", "prediction")
 
 
 def _train_test(spark, sf_dir):

@@ -82,5 +82,13 @@ def test_vocabulary_ranks(spark):
 
 def test_score_batches(spark):
     enc = C.encoded(spark, SF_SMALL)
-    out = MD.score_batches(enc, MD.linear_bag_model(), batch_size=16).select("prediction").collect()
+    table = MD.fit_bag_model(enc, buckets=256)
+    assert table.shape == (257, 3)
+    out = MD.score_batches(enc, MD.bag_model(table), batch_size=16).select("targets", "prediction").collect()
     assert out and all(r.prediction in (0, 1, 2) for r in out)
+    # the batch path equals the same model applied in plain numpy
+    ids = np.array([list(r.input_ids) for r in enc.select("input_ids").orderBy("review_id").collect()])
+    exp = MD.bag_model(table)()(ids)
+    got = [r.prediction for r in MD.score_batches(enc, MD.bag_model(table), batch_size=7)
+           .orderBy("review_id").select("prediction").collect()]
+    assert list(exp) == got
