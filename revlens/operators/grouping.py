@@ -93,41 +93,46 @@ _EXIT_SCHEMA = "prod string, e long, x long"
 _START_SCHEMA = "prod string, s long"
 
 
-def _block_exits(pdf):
-    """Per block: for every entry node, the first chain node outside the
-    block (vectorised pointer jumping over the block's successor array)."""
+def _kernels():
+    """The two per-block kernels, defined as closures so that they are
+    shipped to the Python workers by value: a worker does not need this
+    package on its path."""
     import numpy as np
     import pandas as pd
-    pdf = pdf.sort_values("s")
-    pos = pdf["s"].to_numpy(np.int64)
-    nxt = pdf["nxt"].to_numpy(np.int64)
-    first, end = pos[0], pos[-1] + 1
-    jump = nxt.copy()
-    for _ in range(max(1, int(len(pos)).bit_length()) + 1):
-        inside = jump < end
-        if not inside.any():
-            break
-        jump = np.where(inside, jump[np.clip(jump - first, 0, len(pos) - 1)], jump)
-    ent = pdf["is_entry"].to_numpy(bool)
-    return pd.DataFrame({"prod": pdf["prod"].to_numpy()[ent], "e": pos[ent], "x": jump[ent]})
-
-
-def _block_starts(pdf):
-    """Per entered block: chain nodes from its actual entry while inside."""
-    import numpy as np
-    import pandas as pd
-    pdf = pdf.sort_values("s")
-    pos = pdf["s"].to_numpy(np.int64)
-    nxt = pdf["nxt"].to_numpy(np.int64)
-    first, end = pos[0], pos[-1] + 1
-    out = []
-    for e in pdf.loc[pdf["entry"], "s"].to_numpy(np.int64):
-        x = e
-        while x < end:
-            out.append(x)
-            x = nxt[x - first]
-    return pd.DataFrame({"prod": pd.Series([pdf["prod"].iloc[0]] * len(out), dtype=object),
-                         "s": np.asarray(out, dtype=np.int64)})
+
+    def block_exits(pdf):
+        """For every entry node of the block, the first chain node outside
+        it (vectorised pointer jumping over the block's successor array)."""
+        pdf = pdf.sort_values("s")
+        pos = pdf["s"].to_numpy(np.int64)
+        nxt = pdf["nxt"].to_numpy(np.int64)
+        first, end = pos[0], pos[-1] + 1
+        jump = nxt.copy()
+        for _ in range(max(1, int(len(pos)).bit_length()) + 1):
+            inside = jump < end
+            if not inside.any():
+                break
+            jump = np.where(inside, jump[np.clip(jump - first, 0, len(pos) - 1)], jump)
+        ent = pdf["is_entry"].to_numpy(bool)
+        return pd.DataFrame({"prod": pd.Series(pdf["prod"].to_numpy()[ent], dtype=object),
+                             "e": pos[ent], "x": jump[ent]})
+
+    def block_starts(pdf):
+        """Chain nodes of an entered block, from its actual entry while inside."""
+        pdf = pdf.sort_values("s")
+        pos = pdf["s"].to_numpy(np.int64)
+        nxt = pdf["nxt"].to_numpy(np.int64)
+        first, end = pos[0], pos[-1] + 1
+        out = []
+        for e in pdf.loc[pdf["entry"], "s"].to_numpy(np.int64):
+            x = e
+            while x < end:
+                out.append(x)
+                x = nxt[x - first]
+        return pd.DataFrame({"prod": pd.Series([pdf["prod"].iloc[0]] * len(out), dtype=object),
+                             "s": np.asarray(out, dtype=np.int64)})
+
+    return block_exits, block_starts
 
 
 def _chain_starts(spark, succ: DataFrame, sizes: DataFrame, product: str, block_reviews: int) -> DataFrame:
@@ -148,8 +153,9 @@ def _chain_starts(spark, succ: DataFrame, sizes: DataFrame, product: str, block_
                    .dropDuplicates(["prod", "s"])
     flagged = _ckpt(nodes.join(entries, ["prod", "s"], "left")
                          .withColumn("is_entry", F.coalesce("is_entry", F.lit(False))))
+    block_exits, block_starts = _kernels()
     exits = _ckpt(flagged.select("prod", "blk", "s", "nxt", "is_entry")
-                         .groupBy("prod", "blk").applyInPandas(_block_exits, _EXIT_SCHEMA))
+                         .groupBy("prod", "blk").applyInPandas(block_exits, _EXIT_SCHEMA))
     nmax = sizes.select(F.col(product).alias("prod"), "n")
     # doubling over the entry graph e -> x (x is an entry of a later block or n + 1)
     level = _ckpt(exits.join(nmax, "prod"))
@@ -168,5 +174,5 @@ def _chain_starts(spark, succ: DataFrame, sizes: DataFrame, product: str, block_
     blocks = flagged.join(reached.select("prod", F.col("e").alias("s"), F.lit(True).alias("entry")), ["prod", "s"],
                           "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
     starts = blocks.select("prod", "blk", "s", "nxt", "entry").groupBy("prod", "blk") \
-                   .applyInPandas(_block_starts, _START_SCHEMA)
+                   .applyInPandas(block_starts, _START_SCHEMA)
     return starts.select(F.col("prod").alias(product), "s")

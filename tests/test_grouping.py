@@ -46,3 +46,36 @@ def test_reviews_per_product_positions(spark):
                                "asin string, review_id long, review_text string")
     got = sorted(tuple(r) for r in reviews_per_product(df).collect())
     assert got == [("A", 1, 2, "y"), ("A", 2, 5, "x"), ("B", 1, 1, "z")]
+
+
+def test_worker_functions_ship_by_value(tmp_path):
+    """Python-worker code must not need this package on the worker's path:
+    the kernels are closures and are pickled by value."""
+    import subprocess
+    import sys
+
+    import numpy as np
+    import pandas as pd
+    from pyspark import cloudpickle
+
+    from revlens.operators.grouping import _kernels
+    from revlens.operators.models import bag_model
+    from revlens.operators.products import _block_topk
+
+    exits, starts = _kernels()
+    fns = {"exits": exits, "starts": starts, "topk": _block_topk(2), "bag": bag_model(np.zeros((9, 3)))}
+    p = tmp_path / "fns.pkl"
+    p.write_bytes(cloudpickle.dumps(fns))
+    code = f"""
+import sys
+sys.path = [x for x in sys.path if 'repo' not in x]
+import pandas as pd, numpy as np
+from pyspark import cloudpickle
+f = cloudpickle.loads(open({str(p)!r}, 'rb').read())
+df = pd.DataFrame({{'prod': ['A'] * 3, 's': [1, 2, 3], 'nxt': [3, 4, 4], 'is_entry': [True, False, False],
+                   'entry': [True, False, False]}})
+print(len(f['exits'](df)), len(f['starts'](df)), f['bag']()(np.array([[5, 6, 0]])).tolist())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split()[:2] == ["1", "2"]
