@@ -108,8 +108,10 @@ def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame
     cum = running_sums(per_score, [("threshold", False)], ["tp", "fp"])
     P = per_score.select(F.sum("tp")).scalar()
     N = per_score.select(F.sum("fp")).scalar()
+    # try_divide: a single-class input has no curve (null), not an ANSI error
     return cum.select("threshold", "tp", "fp", "cum_tp", "cum_fp",
-                      (F.col("cum_fp") / N).alias("fpr"), (F.col("cum_tp") / P).alias("tpr"))
+                      F.try_divide(F.col("cum_fp").cast("double"), N).alias("fpr"),
+                      F.try_divide(F.col("cum_tp").cast("double"), P).alias("tpr"))
 
 
 def roc_auc(scored: DataFrame, label: str, score: str, positive, digits: int = 10) -> DataFrame:
@@ -117,5 +119,6 @@ def roc_auc(scored: DataFrame, label: str, score: str, positive, digits: int = 1
     pts = roc_points(scored, label, score, positive)
     P = F.sum(F.col("tp").cast("double"))
     N = F.sum(F.col("fp").cast("double"))
-    area = F.sum(F.col("fp").cast("double") * (2 * F.col("cum_tp") - F.col("tp")).cast("double")) / (2 * P * N)
+    area = F.try_divide(F.sum(F.col("fp").cast("double") * (2 * F.col("cum_tp") - F.col("tp")).cast("double")),
+                        2 * P * N)
     return pts.agg(F.round(area, digits).alias("auc"))

@@ -86,9 +86,12 @@ def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col
     all-pairs table is materialised.  The final top-k per vector merges
     at most k x tiles candidates."""
     norm = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    # a zero vector stays zero (cosine 0 with every vector) instead of
+    # failing the division under ANSI mode
     unit = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(block_col).alias("blk"),
-        F.transform(vec_col, lambda x: x.cast("double") / norm).alias("u"))
+        F.when(norm > 0, F.transform(vec_col, lambda x: x.cast("double") / norm))
+         .otherwise(F.transform(vec_col, lambda x: x.cast("double") * 0.0)).alias("u"))
     # one row per block, joined back to every vector: materialised so AQE
     # broadcasts it by measured size (or splits a hot block's rows)
     sizes = materialize(unit.groupBy("blk").agg(F.count(F.lit(1)).alias("n")))

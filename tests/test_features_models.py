@@ -92,3 +92,13 @@ def test_score_batches(spark):
     got = [r.prediction for r in MD.score_batches(enc, MD.bag_model(table), batch_size=7)
            .orderBy("review_id").select("prediction").collect()]
     assert list(exp) == got
+
+
+def test_similar_topk_zero_vector_and_ties(spark):
+    from revlens.operators import products as PR
+    rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [0.0, 1.0], 0), (4, [0.0, 0.0], 0), (5, [1.0, 1.0], 1)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    top = {(r.id, r.rank): r.nbr for r in PR.similar_topk(v, k=2, block_rows=2).collect()}
+    assert top[(1, 1)] == 2 and top[(2, 1)] == 1           # parallel vectors first
+    assert top[(4, 1)] == 1 and top[(4, 2)] == 2           # zero vector: all ties at 0, by id
+    assert (5, 1) not in top                               # alone in its block

@@ -101,3 +101,9 @@ def test_running_sums_fallback_without_checkpoint(spark, monkeypatch):
     got = O.dense_rank_by(df, [("o", True)], name="pos", n_ranges=500, partition_by=["g"])
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert got.select("id", "pos").exceptAll(exp.select("id", "pos")).count() == 0
+
+
+def test_single_class_roc_is_null_not_error(spark):
+    p = spark.createDataFrame([(2, 0.3), (2, 0.7)], "label int, score double")
+    assert EV.roc_auc(p, "label", "score", 2).first().auc is None
+    assert all(r.fpr is None for r in EV.roc_points(p, "label", "score", 2).collect())
