@@ -2,10 +2,12 @@
 
 Input: one row per token ``(doc_id, asin, idx, text, head_idx, dep, pos,
 tag, is_stop)``.  A token's *children* are the tokens whose ``head_idx``
-points at it (a token is never its own child).  The seven dependency rules
-become one grouped pass over children keyed by ``(doc_id, head_idx)``
-plus joins to the head token; "the last matching child wins" is
-``max_by(text, idx)``, "the first" is ``min_by(text, idx)``.  Every
+points at it (a token is never its own child).  Each token is emitted once
+as itself and once as a child of its head; two windows over
+``(doc_id, token)`` then see a head together with its children (the first
+attaches every token's first ``advmod`` child, the second computes what
+each rule reads).  "The last matching child wins" is
+``max_by(text, idx)``, "the first" is ``min_by(text, idx)``.  The only
 exchange is keyed by document, never by product, so a popular product
 does not concentrate work in one task.
 """
