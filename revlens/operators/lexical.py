@@ -15,13 +15,33 @@ def _literal_map(d: dict) -> Column:
 
 
 def expand_contractions(c: Column, mapping: dict[str, str]) -> Column:
-    """Replace each space-separated word found in ``mapping``."""
+    """Replace each space-separated word found in ``mapping`` (a small
+    dictionary as a literal map: no shuffle)."""
     if not mapping:
         return c
     m = _literal_map(mapping)
     return F.array_join(F.transform(F.split(c, " ", -1), lambda w: F.coalesce(F.try_element_at(m, w), w)), " ")
 
 
+def expand_contractions_df(df: DataFrame, key: str, text: str, dictionary: DataFrame,
+                           short: str = "short", long: str = "long", max_literal: int = 100_000) -> DataFrame:
+    """T19 for a dictionary table of any size: a literal map up to
+    ``max_literal`` entries (checked by a bounded count), otherwise words
+    are exploded, left-joined to the dictionary and rebuilt in order per
+    row (a shuffle keyed by the row, bounded by one text)."""
+    small = dictionary.select(short, long).limit(max_literal + 1).collect()
+    if len(small) <= max_literal:
+        return df.withColumn(text, expand_contractions(F.col(text), {r[0]: r[1] for r in small}))
+    words = df.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("__i", "__w"))
+    d = dictionary.select(F.col(short).alias("__w"), F.col(long).alias("__l")).dropDuplicates(["__w"])
+    rebuilt = (words.join(d, "__w", "left")
+                    .groupBy(key)
+                    .agg(F.array_sort(F.collect_list(F.struct("__i", F.coalesce("__l", "__w").alias("w"))))
+                         .alias("__s"))
+                    .select(key, F.array_join(F.transform("__s", lambda x: x["w"]), " ").alias("__t")))
+    return df.join(rebuilt, key, "left").withColumn(text, F.col("__t")).drop("__t")
+
+
 def _rebuild(tokens: DataFrame, word: Column, keep: Column | None = None) -> DataFrame:
     item = F.struct(F.col("idx"), word.alias("w"))
     if keep is not None:
@@ -39,11 +59,15 @@ def pos_filter(tokens: DataFrame, keep_tags: list[str]) -> DataFrame:
                                                                  "")).alias("text"))
 
 
-def lemmatize(tokens: DataFrame, lemmas: dict[tuple[str, str], str]) -> DataFrame:
+def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Lemma of each token as a verb when its tag holds a 'v' (any
-    case), else as a noun; unknown words stay; text rebuilt by spaces."""
-    m = _literal_map({f"{p}|{w}": l for (w, p), l in lemmas.items()})
+    case), else as a noun; unknown words stay; text rebuilt by spaces.
+    ``lemmas`` is a (word, pos, lemma) table of any size: a left join, which
+    Catalyst broadcasts when the table is small and shuffles otherwise."""
     pos = F.when(F.lower(F.col("tag")).contains("v"), F.lit("v")).otherwise(F.lit("n"))
-    lemma = F.coalesce(F.try_element_at(m, F.concat(pos, F.lit("|"), F.col("text"))), F.col("text"))
-    r = _rebuild(tokens, lemma)
+    t = tokens.select("doc_id", "idx", "text", pos.alias("__pos"))
+    lm = lemmas.select(F.col("word").alias("text"), F.col("pos").alias("__pos"), F.col("lemma").alias("__lemma")) \
+               .dropDuplicates(["text", "__pos"])
+    j = t.join(lm, ["text", "__pos"], "left")
+    r = _rebuild(j, F.coalesce(F.col("__lemma"), F.col("text")))
     return r.select("doc_id", F.array_join("words", " ").alias("text"))

@@ -369,8 +369,8 @@ from revlens.operators import lexical as LX  # noqa: E402
 
 @register("expand_contractions")
 def q_expand_contractions(spark, sf_dir):
-    m = T.dictionary_to_map(FX.contraction_map(spark), "short", "long")
-    return cleaned(spark, sf_dir).select("review_id", LX.expand_contractions(F.col("review_text"), m).alias("review_text"))
+    c = cleaned(spark, sf_dir).select("review_id", "review_text")
+    return LX.expand_contractions_df(c, "review_id", "review_text", FX.contraction_map(spark))
 
 
 @register("pos_filter")
@@ -380,10 +380,7 @@ def q_pos_filter(spark, sf_dir):
 
 @register("lemmatize_lookup")
 def q_lemmatize_lookup(spark, sf_dir):
-    rows = FX.lemma_map(spark).limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("lemma dictionary too large for a literal map")
-    return LX.lemmatize(FX.tokens(spark, sf_dir), {(r.word, r.pos): r.lemma for r in rows})
+    return LX.lemmatize(FX.tokens(spark, sf_dir), FX.lemma_map(spark))
 
 
 # -------------------------------------------------- features, models (L, M5)
@@ -506,10 +503,8 @@ def aspect_input(spark, sf_dir):
     """The aspect job's review input - cleaned, at least five votes,
     contractions expanded - checkpointed once: the ordering passes scan it
     several times (key sample, counts, rows) and must not re-clean texts."""
-    m = T.dictionary_to_map(FX.contraction_map(spark), "short", "long")
-    c = FL.min_votes(cleaned(spark, sf_dir), 5)
-    c = c.select("asin", "review_id", LX.expand_contractions(F.col("review_text"), m).alias("review_text"))
-    return materialize(c)
+    c = FL.min_votes(cleaned(spark, sf_dir), 5).select("asin", "review_id", "review_text")
+    return materialize(LX.expand_contractions_df(c, "review_id", "review_text", FX.contraction_map(spark)))
 
 
 @register("reviews_per_product")

@@ -43,3 +43,12 @@ def test_one_hot_product_is_chunked_across_blocks(spark):
     assert all(a + len(b.split(" ")[0]) > 40 for a, b in zip(lens, texts[1:]))
     pos = GR.reviews_per_product(df).filter(F.col("asin") == "HOT").agg(F.min("pos"), F.max("pos")).first()
     assert tuple(pos) == (1, 3000)
+
+
+def test_contractions_large_dictionary_path_equals_literal(spark):
+    from revlens.operators import lexical as LX
+    df = spark.createDataFrame([(1, "it was on it"), (2, ""), (3, "x  it")], "id long, t string")
+    d = spark.createDataFrame([("it", "it is"), ("was", "was not"), ("on", "on the")], "short string, long string")
+    a = sorted(tuple(r) for r in LX.expand_contractions_df(df, "id", "t", d).collect())
+    b = sorted(tuple(r) for r in LX.expand_contractions_df(df, "id", "t", d, max_literal=1).collect())
+    assert a == b == [(1, "it is was not on the it is"), (2, ""), (3, "x  it is")]
