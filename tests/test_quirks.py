@@ -47,3 +47,13 @@ def test_s8_single_file_option(spark):
     S.write_csv(df, p, single_file=True)
     local = p.replace("file:", "")
     assert len(glob.glob(f"{local}/part-*")) == 1
+
+
+def test_s1_bad_json_line_becomes_null_row(spark, tmp_path):
+    from revlens import schemas
+    p = tmp_path / "r.json"
+    p.write_text('{"overall": 5.0, "asin": "P1", "reviewText": "ok"}\n{not json\n{"asin": "P2"}\n')
+    rows = S.read_json(spark, str(p), schemas.REVIEWS_RAW).collect()
+    assert len(rows) == 3
+    assert sum(1 for r in rows if all(v is None for v in r)) == 1          # the undecodable line
+    assert sorted(r.asin for r in rows if r.asin) == ["P1", "P2"]           # absent fields are null
