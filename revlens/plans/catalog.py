@@ -6,10 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import fixtures as FX
+from revlens import schemas
+from revlens.fixtures import hash32
 from revlens.functions import text as T
+from revlens.operators import aspects as A
+from revlens.operators import evaluation as EV
+from revlens.operators import features as FE
 from revlens.operators import filters as FL
+from revlens.operators import grouping as GR
 from revlens.operators import joins as J
+from revlens.operators import lexical as LX
+from revlens.operators import models as MD
+from revlens.operators import polarity as POL
+from revlens.operators import products as PR
+from revlens.operators import sampling as K
+from revlens.plans import aspect_job as AJ
 from revlens.plans import cleaning
+from revlens.session import materialize, scratch_path
+from revlens.sources import files as S
 
 QUERIES: dict = {}
 
@@ -122,9 +136,6 @@ def q_anti_join_books(spark, sf_dir):
 
 
 # ---------------------------------------------------------- sources
-from revlens import schemas  # noqa: E402
-from revlens.session import materialize, scratch_path  # noqa: E402
-from revlens.sources import files as S  # noqa: E402
 
 
 def raw_reviews(spark, sf_dir):
@@ -178,7 +189,6 @@ def q_json_rejects(spark, sf_dir):
 
 
 # -------------------------------------------------- products, joins (X1, J)
-from revlens.operators import products as PR  # noqa: E402
 
 KPI_ANCHOR = "2000-01-01 00:00:00"
 
@@ -223,8 +233,6 @@ def q_similar_products_topk(spark, sf_dir):
 
 
 # ------------------------------------------------------------ sampling (K)
-from revlens.fixtures import hash32  # noqa: E402
-from revlens.operators import sampling as K  # noqa: E402
 
 
 @register("stratified_split")
@@ -261,7 +269,6 @@ def q_shuffle_rows(spark, sf_dir):
 
 
 # ---------------------------------------------------------- evaluation (E)
-from revlens.operators import evaluation as EV  # noqa: E402
 
 
 @register("eval_accuracy")
@@ -295,9 +302,6 @@ def q_roc_auc(spark, sf_dir):
 
 
 # ------------------------------------------------------------- aspects (A)
-from revlens.operators import aspects as A  # noqa: E402
-from revlens.operators import polarity as POL  # noqa: E402
-from revlens.plans import aspect_job as AJ  # noqa: E402
 
 
 def pairs(spark, sf_dir):
@@ -364,7 +368,6 @@ def q_product_aspects(spark, sf_dir):
 
 
 # ------------------------------------------------- lexical rewrites (T19-21)
-from revlens.operators import lexical as LX  # noqa: E402
 
 
 @register("expand_contractions")
@@ -384,8 +387,6 @@ def q_lemmatize_lookup(spark, sf_dir):
 
 
 # -------------------------------------------------- features, models (L, M5)
-from revlens.operators import features as FE  # noqa: E402
-from revlens.operators import models as MD  # noqa: E402
 
 
 def tokenized(spark, sf_dir):
@@ -496,7 +497,6 @@ def q_surrogate_id(spark, sf_dir):
 
 
 # ------------------------------------------------------ grouping (G1 long)
-from revlens.operators import grouping as GR  # noqa: E402
 
 
 def aspect_input(spark, sf_dir):
