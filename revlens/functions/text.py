@@ -80,11 +80,6 @@ def py_strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^[{PY_SPACE}]+|[{PY_SPACE}]+$", "")
 
 
-def ascii_strip(c: Column) -> Column:
-    """str.strip() for ASCII-only text: a plain trim by a character set."""
-    return F.btrim(c, F.lit(ASCII_SPACE))
-
-
 # The trailing run of hashtags; the tag exemption of the original rule
 # is guarded by a backspace character, so it practically never applies.
 _TRAILING_TAG = r"(?U)#(?!hashtag\x08)[\w-]+(?=(?:[" + PY_SPACE + r"]+#[\w-]+)*[" + PY_SPACE + r"]*$)"

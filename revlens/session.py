@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,13 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/revlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def can_checkpoint(spark) -> bool:
     try:
         ensure_checkpoint_dir(spark)
