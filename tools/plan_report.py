@@ -19,7 +19,9 @@ def summary(plan: str) -> dict:
     count = lambda pat: sum(1 for ln in lines if re.search(pat, ln))
     scans = []
     for ln in lines:
-        if "FileScan" in ln or "Scan ExistingRDD" in ln:
+        if "Scan ExistingRDD" in ln:
+            scans.append("checkpointed intermediate (reliable checkpoint read)")
+        elif "FileScan" in ln:
             rs = re.search(r"ReadSchema: (struct<[^>]*>)", ln)
             pf = re.search(r"PushedFilters: (\[[^\]]*\])", ln)
             df_ = re.search(r"DataFilters: (\[.*?\]), Format", ln)
