@@ -79,3 +79,22 @@ print(len(f['exits'](df)), len(f['starts'](df)), f['bag']()(np.array([[5, 6, 0]]
     out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
     assert out.stdout.split()[:2] == ["1", "2"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=30), min_size=1, max_size=4),
+       st.integers(1, 50), st.sampled_from([1, 2, 5, 64]))
+def test_greedy_chunks_property(spark, products, limit, block):
+    rows, expected = [], []
+    for p, lens in enumerate(products):
+        texts = ["z" * k for k in lens]
+        rows += [(f"Q{p}", i + 1, t) for i, t in enumerate(texts)]
+        expected += [(f"Q{p}", *c) for c in brute_chunks(texts, limit)]
+    df = spark.createDataFrame(rows, "asin string, review_id long, review_text string")
+    got = sorted((r.asin, r.chunk, r.n_reviews, r.text)
+                 for r in greedy_chunks(df, limit, block_reviews=block).collect())
+    assert got == sorted(expected)
