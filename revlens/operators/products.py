@@ -75,16 +75,17 @@ def _block_topk(k: int):
 
 
 def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-                 block_col: str = "label", block_rows: int = 1024) -> DataFrame:
+                 block_col: str = "label", block_rows: int = 1024, b_factor: int = 8) -> DataFrame:
     """For every vector, the ``k`` most cosine-similar vectors of the
     same block (``label``); ties by rounded similarity, then id.
 
-    Exact search.  Each block is cut into tiles of at most ``block_rows``
-    vectors; tile pairs of a block are joined on the block key and a
-    vectorised kernel (numpy matrix product per tile pair) emits only each
-    row's local top-k, so no task ever holds more than two tiles and no
-    all-pairs table is materialised.  The final top-k per vector merges
-    at most k x tiles candidates."""
+    Exact search.  Each block is cut into query tiles of about
+    ``block_rows`` vectors and candidate tiles ``b_factor`` times larger;
+    the tile pairs of a block are joined on the block key and a vectorised
+    kernel (numpy matrix product per tile pair) emits only each row's local
+    top-k, so no task holds more than two tiles and no all-pairs table is
+    materialised.  The final top-k per vector merges at most
+    k x (candidate tiles) rows."""
     norm = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     # a zero vector stays zero (cosine 0 with every vector) instead of
     # failing the division under ANSI mode
@@ -95,12 +96,14 @@ def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col
     # one row per block, joined back to every vector: materialised so AQE
     # broadcasts it by measured size (or splits a hot block's rows)
     sizes = materialize(unit.groupBy("blk").agg(F.count(F.lit(1)).alias("n")))
-    tiles = (unit.join(sizes, "blk")
-                 .withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(block_rows)).cast("long")))
-                 .groupBy("blk", "tile")
-                 .agg(F.collect_list("id").alias("ids"), F.collect_list("u").alias("vecs")))
-    a = tiles.select("blk", F.col("ids").alias("a_ids"), F.col("vecs").alias("a_vecs"))
-    b = tiles.select("blk", F.col("ids").alias("b_ids"), F.col("vecs").alias("b_vecs"))
+    sized = unit.join(sizes, "blk")
+
+    def tiles(rows: int) -> DataFrame:
+        return (sized.withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(rows)).cast("long")))
+                     .groupBy("blk", "tile")
+                     .agg(F.collect_list("id").alias("ids"), F.collect_list("u").alias("vecs")))
+    a = tiles(block_rows).select("blk", F.col("ids").alias("a_ids"), F.col("vecs").alias("a_vecs"))
+    b = tiles(block_rows * b_factor).select("blk", F.col("ids").alias("b_ids"), F.col("vecs").alias("b_vecs"))
     pairs = a.join(b, "blk").select("a_ids", "a_vecs", "b_ids", "b_vecs")
     cand = pairs.mapInPandas(_block_topk(k), _PAIR_SCHEMA)
     rn = F.row_number().over(Window.partitionBy("id").orderBy(F.col("sim").desc(), F.col("nbr").asc()))

@@ -102,3 +102,14 @@ def test_similar_topk_zero_vector_and_ties(spark):
     assert top[(1, 1)] == 2 and top[(2, 1)] == 1           # parallel vectors first
     assert top[(4, 1)] == 1 and top[(4, 2)] == 2           # zero vector: all ties at 0, by id
     assert (5, 1) not in top                               # alone in its block
+
+
+def test_similar_topk_independent_of_tiling(spark):
+    from revlens import fixtures as FX
+    from revlens.operators import products as PR
+    e = FX.table(spark, SF_SMALL, "embeddings")
+    base = sorted(tuple(r) for r in PR.similar_wide(PR.similar_topk(e, k=5)).collect())
+    for rows, factor in [(7, 1), (3, 5), (50, 2)]:
+        got = sorted(tuple(r) for r in PR.similar_wide(PR.similar_topk(e, k=5, block_rows=rows, b_factor=factor))
+                     .collect())
+        assert got == base
