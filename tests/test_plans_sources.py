@@ -132,3 +132,21 @@ def test_hot_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("parts", ["3", "37"])
+def test_order_dependent_results_independent_of_partitioning(spark, parts):
+    con = duckdb.connect()
+    for t in FX.TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        for name in ["roc_curve", "build_vocabulary", "reviews_per_product", "chunk_reviews", "aspect_map",
+                     "balanced_sample", "top_aspects"]:
+            df = E.queries()[name](spark, SF_SMALL)
+            res = con.execute(E.oracle_sql()[name])
+            assert digest(df.columns, [tuple(r) for r in df.collect()]) == \
+                digest([d[0] for d in res.description], res.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
