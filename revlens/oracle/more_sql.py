@@ -206,11 +206,13 @@ def polarity_ctes(phrases_sql: str) -> list[tuple[str, str]]:
         ("phr", phrases_sql),
         ("pw", "SELECT phrase, unnest(range(len(ws))) AS pos, unnest(ws) AS w FROM "
                "(SELECT phrase, string_split(phrase, ' ') AS ws FROM phr)"),
+        ("pws", r"""SELECT phrase, pos, w, lower(CASE WHEN length(regexp_replace(w, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g')) <= 2
+               THEN w ELSE regexp_replace(w, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g') END) AS wl FROM pw"""),
         ("pj", """SELECT pw.phrase, pw.pos, lx.valence IS NOT NULL AS in_lex,
        CASE WHEN bs.scalar IS NULL THEN lx.valence END AS v, bs.scalar AS boost,
-       (ng.word IS NOT NULL OR contains(lower(pw.w), 'n''t')) AS neg
-FROM pw LEFT JOIN lexicon lx ON lx.word = lower(pw.w) LEFT JOIN negations ng ON ng.word = lower(pw.w)
-LEFT JOIN boosters bs ON bs.word = lower(pw.w)"""),
+       (ng.word IS NOT NULL OR contains(pw.wl, 'n''t')) AS neg
+FROM pws pw LEFT JOIN lexicon lx ON lx.word = pw.wl LEFT JOIN negations ng ON ng.word = pw.wl
+LEFT JOIN boosters bs ON bs.word = pw.wl"""),
         ("pl", f"SELECT phrase, v, {lags} FROM pj WINDOW w AS (PARTITION BY phrase ORDER BY pos)"),
         ("p1", f"SELECT *, {step('v', 1, D.BOOSTER_DECAY[0])} AS c1 FROM pl"),
         ("p2", f"SELECT *, {step('c1', 2, D.BOOSTER_DECAY[1])} AS c2 FROM p1"),

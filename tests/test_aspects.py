@@ -65,11 +65,11 @@ def test_top_aspects_ties_by_first_mention(spark):
 
 
 def test_polarity(spark):
-    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "word string, valence double")
+    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.0), (")", 5.0)], "word string, valence double")
     neg = spark.createDataFrame([("not",)], "word string")
     bst = spark.createDataFrame([("very", 0.293)], "word string, scalar double")
     ph = spark.createDataFrame([("good",), ("very good",), ("not good",), ("xyz",), ("not very good",),
-                                ("very bad",)], "phrase string")
+                                ("very bad",), ("good!!",), ("(very) good",), (":)",)], "phrase string")
     got = {r.phrase: r.polarity for r in POL.phrase_polarity(ph, lex, neg, bst).collect()}
 
     def norm(s):
@@ -80,6 +80,8 @@ def test_polarity(spark):
     assert got["xyz"] == 0.0
     assert got["not very good"] == norm(2.293 * -0.74)
     assert got["very bad"] == norm(-2.293)
+    assert got["good!!"] == norm(2.0) and got["(very) good"] == norm(2.293)   # outer punctuation stripped
+    assert got[":)"] == 0.0                                                   # short tokens kept whole
 
 
 def test_aspect_map_pages_in_mention_order(spark):
