@@ -57,12 +57,10 @@ def json_keyword_filter(lines: DataFrame, keywords: list[str], value_col: str =
     """keep JSON lines whose re-serialised record contains any keyword
     (case-sensitive; keys or values).  Undecodable lines are dropped here
     and routed by ``json_rejects``."""
-    parsed = F.to_json(F.try_parse_json(F.col(value_col)))
-    cond = None
-    for k in keywords:
-        c = F.instr(parsed, F.lit(k)) > 0
-        cond = c if cond is None else (cond | c)
-    return lines.filter(F.try_parse_json(F.col(value_col)).isNotNull() & cond)
+    # one parse per line: a line that does not parse re-serialises to null,
+    # which fails the match; keywords are matched literally (\Q...\E)
+    pattern = "|".join("\\Q" + k.replace("\\E", "\\E\\\\E\\Q") + "\\E" for k in keywords)
+    return lines.filter(F.to_json(F.try_parse_json(F.col(value_col))).rlike(pattern))
 
 
 def json_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:

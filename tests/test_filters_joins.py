@@ -47,3 +47,10 @@ def test_null_slot_keys(spark):
     assert w2.product_name_sim2 == "nullkey"
     lg = J.enrich_slots_long(base, prods, attrs=["product_name"]).first()
     assert (lg.product_name_sim1, lg.product_name_sim2, lg.product_name_sim4) == ("b", None, "a")
+
+
+def test_json_keywords_are_literal(spark):
+    lines = spark.createDataFrame([('{"a": "a.b"}',), ('{"a": "axb"}',), ('{"a": "c+d"}',), ('{"a": "[x]"}',)],
+                                  "value string")
+    assert rows(FL.json_keyword_filter(lines, ["a.b", "c+d", "[x]"])) == \
+        sorted([('{"a": "a.b"}',), ('{"a": "c+d"}',), ('{"a": "[x]"}',)])
