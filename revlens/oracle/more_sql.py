@@ -86,23 +86,24 @@ SQL["shuffle_rows"] = cleaned_sql(
     "FROM cleaned ORDER BY shuffle_key, review_id")
 
 # --------------------------------------------------------------- evaluation
-PC = """
-counts AS (SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS n
-           FROM predictions GROUP BY ALL),
-cls AS (SELECT label AS cls FROM counts UNION SELECT prediction FROM counts),
-pc0 AS (SELECT c.cls,
+PC = [
+    ("counts", """SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS n
+                  FROM predictions GROUP BY ALL"""),
+    ("cls", "SELECT label AS cls FROM counts UNION SELECT prediction FROM counts"),
+    ("pc0", """SELECT c.cls,
           coalesce((SELECT sum(n) FROM counts WHERE label = c.cls), 0) AS support,
           coalesce((SELECT sum(n) FROM counts WHERE prediction = c.cls), 0) AS predicted,
           coalesce((SELECT sum(n) FROM counts WHERE label = c.cls AND prediction = c.cls), 0) AS tp
-        FROM cls c),
-pc1 AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
-               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc0),
-pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
-       FROM pc1)"""
+        FROM cls c"""),
+    ("pc1", """SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc0"""),
+    ("pc", """SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END
+              AS f1 FROM pc1"""),
+]
 
 
 def _ev(body):
-    return with_views(["reviews", "predictions"], "", []).rstrip() + "," + PC + "\n" + body
+    return with_views(["reviews", "predictions"], body, PC)
 
 
 SQL["eval_accuracy"] = with_views(["reviews", "predictions"],
@@ -124,17 +125,18 @@ UNION ALL SELECT 'macro avg', round(avg(precision), 12), round(avg(recall), 12),
 UNION ALL SELECT 'weighted avg', round(sum(support * precision) / sum(support), 12),
        round(sum(support * recall) / sum(support), 12), round(sum(support * f1) / sum(support), 12),
        CAST(sum(support) AS BIGINT) FROM pc""")
-ROC = """
-s AS (SELECT score AS threshold, CAST(sum(CASE WHEN label = 2 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
-             CAST(sum(CASE WHEN label = 2 THEN 0 ELSE 1 END) AS BIGINT) AS fp FROM predictions GROUP BY score),
-c AS (SELECT threshold, tp, fp, CAST(sum(tp) OVER (ORDER BY threshold DESC) AS BIGINT) AS cum_tp,
-             CAST(sum(fp) OVER (ORDER BY threshold DESC) AS BIGINT) AS cum_fp FROM s),
-t AS (SELECT sum(tp) AS P, sum(fp) AS N FROM s)"""
-SQL["roc_curve"] = with_views(["reviews", "predictions"], "", []).rstrip() + "," + ROC + """
-SELECT threshold, CAST(cum_fp AS DOUBLE) / N AS fpr, CAST(cum_tp AS DOUBLE) / P AS tpr FROM c, t"""
-SQL["roc_auc"] = with_views(["reviews", "predictions"], "", []).rstrip() + "," + ROC + """
+ROC = [
+    ("s", """SELECT score AS threshold, CAST(sum(CASE WHEN label = 2 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(sum(CASE WHEN label = 2 THEN 0 ELSE 1 END) AS BIGINT) AS fp FROM predictions GROUP BY score"""),
+    ("c", """SELECT threshold, tp, fp, CAST(sum(tp) OVER (ORDER BY threshold DESC) AS BIGINT) AS cum_tp,
+             CAST(sum(fp) OVER (ORDER BY threshold DESC) AS BIGINT) AS cum_fp FROM s"""),
+    ("t", "SELECT sum(tp) AS P, sum(fp) AS N FROM s"),
+]
+SQL["roc_curve"] = with_views(["reviews", "predictions"], """
+SELECT threshold, CAST(cum_fp AS DOUBLE) / N AS fpr, CAST(cum_tp AS DOUBLE) / P AS tpr FROM c, t""", ROC)
+SQL["roc_auc"] = with_views(["reviews", "predictions"], """
 SELECT round(sum(CAST(fp AS DOUBLE) * CAST(2 * cum_tp - tp AS DOUBLE)) / (2.0 * max(P) * max(N)), 10) AS auc
-FROM c, t"""
+FROM c, t""", ROC)
 
 # ------------------------------------------------------------------ aspects
 PRON = ", ".join(f"'{w}'" for w in D.PRODUCT_PRONOUNS)
