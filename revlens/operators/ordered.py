@@ -8,63 +8,26 @@ checkpoint: every consumer of the ids (local running sums, per-range
 totals) and every retry after a lost executor reads the same ids.  (Two
 independent range exchanges would sample different split points.)  Each
 (range, group) computes local running sums; the per-(range, group)
-totals are prefix-summed over ranges and joined back as offsets.
-
-Sessions that cannot checkpoint fall back to split points from a small
-seeded sample, evaluated per row as a decision tree (capped at 64
-ranges to keep generated code small)."""
+totals are prefix-summed over ranges and joined back as offsets.  A null
+group key is a group like any other."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
 
-from revlens.session import can_checkpoint
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-FALLBACK_MAX_RANGES = 64
+from revlens.session import materialize
 
 OrderSpec = list[tuple[str, bool]]  # (column, ascending); descending columns must be numeric
 
 
-def _key_exprs(order: OrderSpec) -> list[Column]:
-    return [F.col(c) if asc else -F.col(c) for c, asc in order]
-
-
-def _greater(keys: list[Column], bound: tuple) -> Column:
-    """Lexicographic keys > bound."""
-    out = None
-    for i in range(len(keys) - 1, -1, -1):
-        gt = keys[i] > F.lit(bound[i])
-        out = gt if out is None else (gt | ((keys[i] == F.lit(bound[i])) & out))
-    return out
-
-
-def range_ids(df: DataFrame, order: OrderSpec, n_ranges: int, per_range: int = 64, seed: int = 17) -> Column:
-    """A deterministic, order-preserving range id in [0, n_ranges)."""
-    keys = _key_exprs(order)
-    total = df.count()
-    if total == 0 or n_ranges <= 1:
-        return F.lit(0)
-    frac = min(1.0, n_ranges * per_range / total)
-    sample = sorted(tuple(r) for r in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-                    .sample(fraction=frac, seed=seed).collect())
-    if not sample:
-        return F.lit(0)
-    bounds = []
-    for j in range(1, n_ranges):
-        b = sample[min(len(sample) - 1, j * len(sample) // n_ranges)]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    return _tree(keys, bounds, 0, len(bounds))
-
-
-def _tree(keys: list[Column], bounds: list[tuple], lo: int, hi: int) -> Column:
-    """Number of ``bounds[lo:hi]`` below the key, as a balanced decision
-    tree: log2(n) comparisons per row."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_greater(keys, bounds[mid]), _tree(keys, bounds, mid + 1, hi)).otherwise(_tree(keys, bounds, lo, mid))
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null equal to null; the keys appear once."""
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_ranges: int | None = None,
@@ -73,16 +36,10 @@ def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_range
     one under ``order`` (keys unique, or equal keys pre-aggregated),
     restarting per ``partition_by`` group when given.  A group holding a
     third of all rows spans many ranges, so it is spread over many tasks."""
-    spark = df.sparkSession
     keys = list(partition_by or [])
-    ordered = [(k, True) for k in keys] + list(order)
-    if can_checkpoint(spark):
-        sort_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in ordered]
-        parts = df.repartitionByRange(n_ranges, *sort_cols) if n_ranges else df.repartitionByRange(*sort_cols)
-        ranged = parts.withColumn("__range", F.spark_partition_id()).checkpoint(eager=True)
-    else:
-        n = min(n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), FALLBACK_MAX_RANGES)
-        ranged = df.withColumn("__range", range_ids(df, ordered, n))
+    sort_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in [(k, True) for k in keys] + list(order)]
+    parts = df.repartitionByRange(n_ranges, *sort_cols) if n_ranges else df.repartitionByRange(*sort_cols)
+    ranged = materialize(parts.withColumn("__range", F.spark_partition_id()))
     part = ["__range", *keys]
     order_cols = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
     w_run = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -92,7 +49,7 @@ def running_sums(df: DataFrame, order: OrderSpec, value_cols: list[str], n_range
     offsets = totals.select(*part, *[F.coalesce(F.sum(f"__tot_{c}").over(w_prev), F.lit(0)).alias(f"__off_{c}")
                                      for c in value_cols])
     # without groups the offsets table has one row per range: a proven bound
-    out = local.join(F.broadcast(offsets) if not keys else offsets, on=part, how="inner")
+    out = null_safe_join(local, F.broadcast(offsets) if not keys else offsets, part)
     return out.select(*df.columns, *[(F.col(f"__run_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
                                      for c in value_cols])
 

@@ -23,63 +23,60 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "revlens", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with ``DEFAULT_CONF``.  Master, memory and partition counts
+    are the cluster's business (``spark-submit`` options); they are set here
+    only when a caller (tests, bench) names them."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "8g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    tests) create one under the system temp folder."""
+    """The configured checkpoint folder.  Where none is set, a single-JVM
+    session (``local[n]``: driver and executors are one process) gets a
+    temporary one; a cluster session is an error, because a folder of the
+    driver's machine is not visible to the executors."""
+    sc = spark.sparkContext
     d = checkpoint_dir(spark)
     if d is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         d = tempfile.mkdtemp(prefix="revlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
-    return d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate
-    tables (sink/scan round trips, saved models)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/revlens-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def can_checkpoint(spark) -> bool:
-    try:
-        ensure_checkpoint_dir(spark)
-        return True
-    except Exception:  # noqa: BLE001 - no SparkContext in this session
-        return False
+    tables (sink/scan round trips, saved models); removed when the driver's
+    JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revlens-{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint
-    folder (never a local checkpoint).  Sessions without a SparkContext
-    (Spark Connect) cannot checkpoint this way; the plan is then returned
-    as is - same rows, longer lineage."""
-    if not can_checkpoint(df.sparkSession):
-        return df
+    folder (never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
