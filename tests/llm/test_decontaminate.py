@@ -1,0 +1,100 @@
+import hashlib
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from revlens.llm import decontaminate as D
+
+
+def brute_words(text):
+    out, word = [], ""
+    for c in text or "":
+        c = chr(ord(c) + 32) if "A" <= c <= "Z" else c
+        if "0" <= c <= "9" or "a" <= c <= "z" or ord(c) >= 0x80:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out + ([word] if word else [])
+
+
+def brute(docs, items, window=10):
+    out = []
+    for ident, text in docs:
+        words, hit, names = brute_words(text), set(), set()
+        for item, t in items:
+            iw = brute_words(t)
+            size = min(window, len(iw))
+            for k in range(len(iw) - size + 1 if size else 0):
+                for p in range(len(words) - size + 1):
+                    if words[p:p + size] == iw[k:k + size]:
+                        hit |= set(range(p, p + size))
+                        names.add("null" if item is None else str(item))
+        out.append((ident, len(words), len(hit), sorted(names)))
+    return out
+
+
+def run(spark, docs, items, **kw):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    rows = D.find_contamination(d, b, ["doc_id"], **kw).select("row.doc_id", "n_words", "n_hit", "items", "longest").collect()
+    return [(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows], rows
+
+
+def test_matches_brute_force_also_in_many_blocks(spark):
+    random.seed(11)
+    vocabulary = ["a", "B", "é", "1", "cat's", "dog--x", "的"]
+    text = lambda n: random.choice([" ", ", "]).join(random.choice(vocabulary) for _ in range(n))
+    items = [(i, text(random.choice([0, 1, 2, 3, 4, 7, 12]))) for i in range(25)] + [(None, text(5)), (3, text(6)), (4, None)]
+    docs = [(i, text(random.choice([0, 1, 3, 20, 60]))) for i in range(120)] + [(500, None), (501, ""), (501, ""), (None, text(9))]
+    want = brute(docs, items, window=4)
+    for block_bytes in (1 << 20, 60):
+        got, _ = run(spark, docs, items, window=4, block_bytes=block_bytes)
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_longest_match_and_its_places(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, "x y " + " ".join(f"w{i}" for i in range(5, 22)) + " z w1 w2 w3 w4"), (2, "w1 w2 w3")]
+    _, rows = run(spark, docs, [(7, item)])
+    one = next(r for r in rows if r.doc_id == 1)
+    assert one.longest.asDict() == {"item_id": "7", "item_word": 5, "doc_word": 2, "n_words": 17}
+    assert one.n_hit == 17 and next(r for r in rows if r.doc_id == 2).longest is None
+
+
+def test_repeated_words_and_very_long_texts(spark):
+    docs = [(1, "the " * 100_000), (2, ("the " * 9 + "end ") * 2_000)]
+    got, _ = run(spark, docs, [(1, "the " * 12), (2, "the " * 9 + "end")])
+    assert got == [(1, 100_000, 100_000, ["1"]), (2, 20_000, 20_000, ["2"])]
+
+
+def test_empty_tables(spark):
+    assert run(spark, [(1, "a b c")], [])[0] == [(1, 3, 0, [])]
+    assert run(spark, [], [(1, "a b")])[0] == []
+
+
+def test_suffix_array_is_sorted():
+    random.seed(2)
+    tokens = np.array([random.choice([0, 1, 1, 2, 3]) for _ in range(400)] + [0, 0], dtype=np.int32)
+    order = D.suffix_array(tokens)
+
+    def suffix(i):
+        out = []
+        while tokens[i]:
+            out.append(int(tokens[i]))
+            i += 1
+        return out
+    got = [suffix(i) for i in order]
+    assert got == sorted(got) and sorted(order.tolist()) == np.flatnonzero(tokens).tolist()
+
+
+def test_stage_and_query_columns(spark, odd_docs, save):
+    item = "lorem ipsum dolor sit amet consectetur lorem ipsum dolor sit"
+    sf = save(benchmark=spark.createDataFrame([(1, item), (2, None)], "item_id long, text string"), documents=odd_docs)
+    clash = odd_docs.withColumn("n_hit", F.lit(5)).withColumn("items", F.lit("x"))
+    out = D.stage(spark, clash, sf)
+    assert out.columns == clash.columns
+    assert out.count() == odd_docs.count() - 1 and 3 not in {r.doc_id for r in out.collect()}
+    row = next(r for r in D.op4_decontaminate(spark, sf).collect() if r.doc_id == 3)
+    assert row.contaminated and row.n_items == 1 and row.items_sha256 == hashlib.sha256(b"1").hexdigest()
