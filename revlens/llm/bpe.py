@@ -20,11 +20,13 @@ library; repeated rows give equal rows.  Texts of any length are read whole.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import operator
 import os
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +38,15 @@ from revlens.llm.common import map_texts, strings, table, worker_state
 LEAF_CHARS = 8_192
 WINDOW_CHARS = 64
 #: Pieces kept per worker in each of the two generations of the cache.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 
 DROPPED_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 ODD_CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to str.split, not to the tokenizer
-# white space other than one plain space or line feed between two other characters
-ODD_SPACE = re.compile(r"\s\s|[^\S \n]|^\s|\s$|᠎")
+# a byte-level piece that stands in odd white space: empty, a lone line feed, or with white space inside
+ODD_PIECE = re.compile(r"\n?|.*?(?:(?!^)\n|[^\S\n]|\u180e).*", re.S)
+PLAIN_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # letters in every version of Unicode
+WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s'\0\u180e]+)")
+LETTER_INSIDE = re.compile(r"[^\w\s].*[^\W\d_]", re.S)
 
 
 def default_path(name: str) -> str:
@@ -148,53 +153,92 @@ def tree_encode(tokenizer, text: str, leaf: int = LEAF_CHARS, window: int = WIND
 
 # ---- pieces -------------------------------------------------------------------------------
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    itself if visible, else the next free one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+BYTE_LETTERS = byte_letters()
+
+
 class Pieces:
     """Encodings of pieces, each made once while it stays in the cache (two
-    generations; what is used again moves to the younger one)."""
+    generations; what is used again moves to the younger one).
+
+    ``make`` turns the ids of a piece into what is kept, ``plus`` joins two of
+    these.  Byte-level pieces leave out their leading space; a piece that
+    begins with a line feed has none, and a zero mark means: as written."""
 
-    def __init__(self, spec: str, make, limit: int = CACHE_PIECES, leaf: int = LEAF_CHARS):
+    def __init__(self, spec: str, make, plus=operator.add, limit: int = CACHE_PIECES, leaf: int = LEAF_CHARS):
         self.tokenizer, self.rule = load(spec), cut_rule(spec)
-        self.make, self.limit, self.leaf = make, limit, leaf
+        self.make, self.plus, self.limit, self.leaf = make, plus, limit, leaf
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
-
-    def ids_of(self, pieces: list[str]) -> list[list[int]]:
-        short = [p for p in pieces if len(p) <= self.leaf]
-        done = iter(self.tokenizer.encode_batch_fast(short, add_special_tokens=False))
-        return [next(done).ids if len(p) <= self.leaf else tree_encode(self.tokenizer, p, self.leaf) for p in pieces]
-
-    def lookup(self, pieces: list[str]) -> list:
-        """The values of the pieces, in order."""
+        gc.set_threshold(200_000)  # the cache holds strings and bytes, which the cycle collector need not visit
+        j = json.loads(spec)
+        # letters alone are one word to the model, unless a special token could lie in them
+        self.simple_words = self.rule == "byte_level" and not j["model"].get("dropout") and all(
+            LETTER_INSIDE.match(a["content"]) for a in j.get("added_tokens", []))
+        self.model = self.tokenizer.model
+
+    def lookup(self, text: str) -> list:
+        """The values of the pieces of a text, in order."""
+        pieces = self.cut(text)
         values = list(map(self.young.get, pieces))
         if None in values:
-            young, old = self.young, self.old
-            missing = []
-            for p in {p for p, v in zip(pieces, values) if v is None}:
-                v = old.get(p)
-                if v is None:
-                    missing.append(p)
-                else:
-                    young[p] = v
-            if missing:
-                texts = [self.text_of(p) for p in missing]
-                for p, ids in zip(missing, self.ids_of(texts)):
-                    young[p] = self.make(ids)
-            values = list(map(young.get, pieces))
-            if len(young) > self.limit:
-                self.old, self.young = young, {}
+            if not self.learn({p for p, v in zip(pieces, values) if v is None}):
+                pieces = self.cut_odd(text)
+                self.learn(set(pieces))
+            values = list(map(self.young.get, pieces))
+            if len(self.young) > self.limit:
+                self.old, self.young = self.young, {}
         return values
 
+    def learn(self, pieces) -> bool:
+        """Put the pieces into the younger generation; False if one of them
+        shows that its text must be cut the other way."""
+        young, old, make, simple = self.young, self.old, self.make, self.simple_words
+        plain, marked, tokenize, space = PLAIN_LETTERS.fullmatch, WORD_AND_MARKS.fullmatch, self.model.tokenize, BYTE_LETTERS[32]
+        rest: list[str] = []
+        pairs: list[tuple[str, str, str]] = []
+        for p in pieces:
+            v = old.get(p)
+            if v is not None:
+                young[p] = v
+            elif simple and p.isascii() and p.isalpha():  # the library's model on one pre-token
+                young[p] = make([t.id for t in tokenize(space + p)])
+            elif simple and plain(p):
+                young[p] = make([t.id for t in tokenize(space + "".join([BYTE_LETTERS[b] for b in p.encode()]))])
+            elif simple and (m := marked(p)):
+                pairs.append((p, m[1], "\0" + m[2]))
+            elif self.rule == "byte_level" and p[:1] != "\0" and ODD_PIECE.fullmatch(p):
+                return False
+            else:
+                rest.append(p)
+        if pairs:
+            self.learn({part for _, *parts in pairs for part in parts if part not in young})
+            for p, word, marks in pairs:
+                young[p] = self.plus(young[word], young[marks])
+        if rest:
+            texts = [self.text_of(p) for p in rest]
+            done = iter(self.tokenizer.encode_batch_fast([t for t in texts if len(t) <= self.leaf], add_special_tokens=False))
+            for p, t in zip(rest, texts):
+                young[p] = make(next(done).ids if len(t) <= self.leaf else tree_encode(self.tokenizer, t, self.leaf))
+        return True
+
     def text_of(self, piece: str) -> str:
-        """What a cut piece stands for (see ``cut``)."""
-        if self.rule != "byte_level":
-            return piece
-        if piece[:1] == "\n":
+        """What a cut piece stands for."""
+        if self.rule != "byte_level" or piece[0] == "\n":
             return piece
-        return piece[1:] if piece[:1] == "\0" else " " + piece
+        return piece[1:] if piece[0] == "\0" else " " + piece
 
     def cut(self, text: str) -> list[str]:
-        """The pieces of a text.  Byte-level pieces leave out their leading
-        space; one without a space begins with a line feed or a zero mark."""
+        """The pieces of a text.  In a byte-level text every space and line
+        feed begins a piece, which is right unless white space is adjacent to
+        it; that shows in the pieces (ODD_PIECE), which are then never kept."""
         if not text:
             return []
         if self.rule == "dropped":
@@ -202,7 +246,7 @@ class Pieces:
                 return [p for p in DROPPED_SPACE.split(text) if p]
             return text.split()
         if self.rule == "byte_level":
-            if "\0" in text or ODD_SPACE.search(text):
+            if "\0" in text:
                 return self.cut_odd(text)
             parts = text.replace("\n", " \n").split(" ")
             parts[0] = "\0" + parts[0]
@@ -211,11 +255,8 @@ class Pieces:
 
     def cut_odd(self, text: str) -> list[str]:
         """Cuts before single spaces and line feeds that stand between two
-        characters that are no white space."""
-        out = []
-        for p in re.split(r"(?<=[^\s᠎])(?=[ \n][^\s᠎])", text):
-            out.append(p[1:] if p[0] == " " and len(p) > 1 and p[1] not in "\0\n" else "\0" + p if p[0] != "\n" else p)
-        return out
+        characters that are no white space; the pieces as written."""
+        return ["\0" + p for p in re.split(r"(?<=[^\s\u180e])(?=[ \n][^\s\u180e])", text)]
 
 
 # ---- operator -----------------------------------------------------------------------------
@@ -230,7 +271,7 @@ def encode(docs: DataFrame, spec: str, carry: list[str], text: str = "text", lea
         pieces = worker_state(("bpe-ids", hash(spec), leaf), lambda: Pieces(spec, tuple, leaf=leaf))
 
         def kernel(texts: pa.Array) -> list[pa.Array]:
-            out = [[i for v in pieces.lookup(pieces.cut(t)) for i in v] for t in strings(texts)]
+            out = [[i for v in pieces.lookup(t) for i in v] for t in strings(texts)]
             return [pa.array(out, pa.list_(pa.int32()))]
 
         return kernel
@@ -267,7 +308,7 @@ def digests(docs: DataFrame, spec: str, carry: list[str], text: str = "text", le
             def piece(ids):
                 return (" ".join(map(str, ids)), box[0].tokenizer.decode(ids, skip_special_tokens=False) if no_decoder else "")
 
-            box.append(Pieces(spec, piece, leaf=leaf))
+            box.append(Pieces(spec, piece, plus=lambda a, b: tuple(" ".join(filter(None, x)) for x in zip(a, b)), leaf=leaf))
             return box[0]
 
         pieces = worker_state(("bpe-digests", hash(spec), leaf), make)
@@ -275,7 +316,7 @@ def digests(docs: DataFrame, spec: str, carry: list[str], text: str = "text", le
         def kernel(texts: pa.Array) -> list[pa.Array]:
             counts, ids_sha, text_sha = [], [], []
             for t in strings(texts):
-                values = pieces.lookup(pieces.cut(t))
+                values = pieces.lookup(t)
                 ids = " ".join([v[0] for v in values if v[0]])
                 if no_decoder:
                     decoded = " ".join([v[1] for v in values if v[0]])

@@ -15,6 +15,7 @@ length are one row.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -38,7 +39,8 @@ FILE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField
 
 
 def packed(ids) -> bytes:
-    return np.array(ids, dtype="<i4").tobytes()
+    """The ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 def write(docs: DataFrame, path: str, spec: str, text: str = "text", ident: str = "doc_id", end_id: int = END_ID) -> None:
@@ -53,17 +55,11 @@ def write(docs: DataFrame, path: str, spec: str, text: str = "text", ident: str
         at = [0]
 
         def kernel(texts: pa.Array) -> list[pa.Array]:
-            buffers = []
-            for t in strings(texts):
-                buffers += pieces.lookup(pieces.cut(t))
-                buffers.append(end)
-                at.append(at[-1] + 1)
-            del at[:-1]
-            data = b"".join(buffers)
-            ends = np.flatnonzero([b is end for b in buffers])
-            sizes = np.fromiter((len(b) for b in buffers), dtype=np.int64, count=len(buffers)) // 4
-            offsets = np.concatenate([[0], np.cumsum(sizes)[ends]]).astype(np.int32)
-            n = len(offsets) - 1
+            docs = [b"".join(pieces.lookup(t)) + end for t in strings(texts)]
+            data = b"".join(docs)
+            n = len(docs)
+            at[0] += n
+            offsets = np.concatenate([[0], np.cumsum([len(d) for d in docs], dtype=np.int64) // 4]).astype(np.int32)
             values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
             place = np.arange(at[0] - n, at[0], dtype=np.int64)
             return [pa.array(place), pa.ListArray.from_arrays(pa.array(offsets), values)]

@@ -21,11 +21,11 @@ def test_pieces_equal_the_whole_text(name):
     random.seed(1)
     spec = bpe.tokenizer_json(bpe.default_path(name))
     pieces = bpe.Pieces(spec, tuple, limit=300, leaf=64)
-    for k in range(3_000):
+    for k in range(6_000):
         text = "".join(random.choice(PARTS) for _ in range(random.randint(0, 60)))
         if k % 3 == 0:
             text = text.replace(" ", "").replace("\n", "").replace("\t", "") * 3
-        got = [i for v in pieces.lookup(pieces.cut(text)) for i in v]
+        got = [i for v in pieces.lookup(text) for i in v]
         assert got == pieces.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
