@@ -33,6 +33,7 @@ SAMPLE_DOCS = 400
 EXCERPT_CHARS = 1_200
 DICT_BYTES = 65_536
 MAX_LANGUAGES = 256
+SALTS = 64
 #: Encoding: zstandard level, bytes per block, and the relative gap between the best
 #: and second-best size under which a text is rejected.
 LEVEL = 9
@@ -55,7 +56,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     """(language, dictionary) pairs, the language with most rows first.
 
     The sample of a language is the ``sample_docs`` texts of smallest hash (a
-    partial top-k before the shuffle); each gives an excerpt at a place that
+    top-k before each of two shuffles, so one task gets at most SALTS times
+    ``sample_docs`` rows of a language); each gives an excerpt at a place that
     depends on the hash."""
     rows = labelled.select(col(text).alias("t"), col(lang).alias("l")).filter(
         F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
@@ -63,8 +65,12 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     hashed = rows.withColumn("h", F.xxhash64("t"))
     start = F.pmod("h", F.greatest(F.length("t") - excerpt_chars, F.lit(0)) + 1).cast("int") + 1
     cut = hashed.select("l", "h", F.substring("t", start, F.lit(excerpt_chars)).alias("e"))
-    best = Window.partitionBy("l").orderBy("h", "e")
-    sample = cut.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= sample_docs)
+    # a language may hold most rows: the smallest of each of SALTS parts first, then of those few
+    part = F.pmod(F.hash("h"), F.lit(SALTS))
+    some = cut.withColumn("part", part).withColumn("k", F.row_number().over(
+        Window.partitionBy("l", "part").orderBy("h", "e"))).filter(F.col("k") <= sample_docs).drop("part", "k")
+    sample = some.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "e"))) \
+        .filter(F.col("k") <= sample_docs)
     texts: dict[str, list[str]] = {}
     for r in sample.select("l", "k", "e").orderBy("l", "k").collect():
         texts.setdefault(r["l"], []).append(r["e"])
