@@ -15,6 +15,7 @@ name) but marked ``rejected``; without any labelled row every text is
 
 from __future__ import annotations
 
+import math
 import re
 
 import pyarrow as pa
@@ -26,10 +27,10 @@ from revlens.llm.common import col, held_out, map_texts, table
 
 UNKNOWN = "und"
 
-#: The training sample: at most SAMPLE_DOCS excerpts of EXCERPT_CHARS characters per
+#: The training sample: about SAMPLE_DOCS (at most SAMPLE_DOCS + SALTS) excerpts of EXCERPT_CHARS characters per
 #: language, of which DICT_BYTES normalised bytes make the dictionary, and at most
 #: MAX_LANGUAGES languages (the most frequent ones).  These bounds hold at any input size.
-SAMPLE_DOCS = 400
+SAMPLE_DOCS = 384
 EXCERPT_CHARS = 1_200
 DICT_BYTES = 65_536
 MAX_LANGUAGES = 256
@@ -55,24 +56,21 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
           max_languages: int = MAX_LANGUAGES) -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the language with most rows first.
 
-    The sample of a language is the ``sample_docs`` texts of smallest hash (a
-    top-k before each of two shuffles, so one task gets at most SALTS times
-    ``sample_docs`` rows of a language); each gives an excerpt at a place that
-    depends on the hash."""
+    The sample of a language is about ``sample_docs`` texts, those of smallest
+    hash in each of SALTS parts (a partial top-k before the shuffle); each
+    gives an excerpt at a place that depends on the hash."""
     rows = labelled.select(col(text).alias("t"), col(lang).alias("l")).filter(
         F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
     counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()
     hashed = rows.withColumn("h", F.xxhash64("t"))
     start = F.pmod("h", F.greatest(F.length("t") - excerpt_chars, F.lit(0)) + 1).cast("int") + 1
     cut = hashed.select("l", "h", F.substring("t", start, F.lit(excerpt_chars)).alias("e"))
-    # a language may hold most rows: the smallest of each of SALTS parts first, then of those few
-    part = F.pmod(F.hash("h"), F.lit(SALTS))
-    some = cut.withColumn("part", part).withColumn("k", F.row_number().over(
-        Window.partitionBy("l", "part").orderBy("h", "e"))).filter(F.col("k") <= sample_docs).drop("part", "k")
-    sample = some.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "e"))) \
-        .filter(F.col("k") <= sample_docs)
+    # a language may hold most rows: an equal share of the sample from each of SALTS parts of the hashes
+    share = math.ceil(sample_docs / SALTS)
+    best = Window.partitionBy("l", F.pmod(F.hash("h"), F.lit(SALTS))).orderBy("h", "e")
+    sample = cut.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= share)
     texts: dict[str, list[str]] = {}
-    for r in sample.select("l", "k", "e").orderBy("l", "k").collect():
+    for r in sample.select("l", "h", "e").orderBy("l", "h", "e").collect():
         texts.setdefault(r["l"], []).append(r["e"])
     out = []
     for r in counts:

@@ -154,9 +154,10 @@ def find_spans(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_w
     h = F.xxhash64(col(ident), col(text))
     slim = docs.select(col(ident).cast("long").alias("id"), h.alias("h"), col(text).alias("t"))
     chunked = staged(chunks(slim, ["id", "h"], "t").select("row.*", "digests", "ends"), "chunks")
-    repeats = repeated_chunks(chunked.dropDuplicates(["id", "h"]))
+    repeats = repeated_chunks(chunked)
     # a run of enough words has enough bytes: documents below that need no look at their text
-    per_doc = staged(repeats.groupBy("id", "h").agg(F.collect_list(F.struct("begin", "end", "source")).alias("marks"),
+    # (a set, because identical rows give the same chunks twice)
+    per_doc = staged(repeats.groupBy("id", "h").agg(F.collect_set(F.struct("begin", "end", "source")).alias("marks"),
                                                     F.sum(F.col("end") - F.col("begin")).alias("n"))
                      .filter(F.col("n") >= 2 * min_words - 1).drop("n"), "repeats-by-document")
     rows = docs.select(F.struct(*[col(c) for c in carry]).alias("carried"), col(ident).cast("long").alias("id"), h.alias("h"),

@@ -1,5 +1,6 @@
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from revlens.llm import exact_dedup, language_id
@@ -59,6 +60,12 @@ def brute(rows, best=max):
     return {t: (best((x for x in ids if x is not None), default=None), len(ids)) for t, ids in groups.items()}
 
 
+@pytest.fixture(params=[1_024, 0, 20])
+def hot_rows(request, monkeypatch):
+    """No group is hot, all are, some are."""
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", request.param)
+
+
 def check_copies(df, rows, keep="largest"):
     got = exact_dedup.mark(df, carry=["doc_id", "text"], keep=keep).select("row.*", "keep_id", "group_size", "kept").collect()
     assert len(got) == len(rows)
@@ -72,13 +79,13 @@ def check_copies(df, rows, keep="largest"):
     assert kept == {t: 1 for t in want}
 
 
-def test_copies_match_brute_force(spark, make_docs):
+def test_copies_match_brute_force(spark, make_docs, hot_rows):
     rows = [(i, ["a", "b", "a ", "A", None, "", "x" * 3000, "x" * 3000 + "y"][i * i % 8]) for i in range(200)]
     check_copies(make_docs(rows), rows)
     check_copies(make_docs(rows), rows, keep="smallest")
 
 
-def test_one_hot_group_and_hash_ties(spark, make_docs, monkeypatch):
+def test_one_hot_group_and_hash_ties(spark, make_docs, hot_rows, monkeypatch):
     rows = [(i, "hot" if i % 3 else f"cold {i}") for i in range(3_000)]
     check_copies(make_docs(rows), rows)
     # equal heads, hashes and salts: the full comparison alone tells texts apart
@@ -89,13 +96,13 @@ def test_one_hot_group_and_hash_ties(spark, make_docs, monkeypatch):
     check_copies(make_docs(rows[:300]), rows[:300])
 
 
-def test_copies_of_odd_rows(spark, odd_docs):
+def test_copies_of_odd_rows(spark, odd_docs, hot_rows):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     check_copies(odd_docs, rows)
     assert exact_dedup.mark(odd_docs.limit(0)).count() == 0
 
 
-def test_stage_keeps_columns_and_one_row_each(spark, odd_docs):
+def test_stage_keeps_columns_and_one_row_each(spark, odd_docs, hot_rows):
     clash = odd_docs.withColumn("kept", F.lit("mine")).withColumn("sha", F.lit(1)).withColumn("row", F.lit(2))
     out = exact_dedup.stage(spark, clash, "")
     assert out.columns == clash.columns
