@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from revlens.plans import jobs
@@ -17,10 +18,27 @@ def main(argv=None):
     p.add_argument("--meta", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--exclude-category", default="Books")
+    p.add_argument("--emoji", help="CSV of (ch, name)")
     p = sub.add_parser("aspects")
     p.add_argument("--tokens", required=True)
     p.add_argument("--lexicon", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--negations", help="text file of the scorer's negation words, one per line")
+    p.add_argument("--boosters", help="CSV of (word, scalar)")
+    p.add_argument("--top-k", type=int, default=5)
+    p = sub.add_parser("aspect-input")
+    p.add_argument("--clean", required=True)
+    p.add_argument("--contractions", required=True, help="CSV of (short, long)")
+    p.add_argument("--out", required=True)
+    p.add_argument("--min-votes", type=int, default=5)
+    p = sub.add_parser("split")
+    p.add_argument("--clean", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--per-label", type=int, default=20_000)
+    p = sub.add_parser("score")
+    p.add_argument("--clean", required=True)
+    p.add_argument("--model", required=True, help="module:function that returns a predict function")
+    p.add_argument("--predictions", required=True)
     p = sub.add_parser("classify")
     p.add_argument("--clean", required=True)
     p.add_argument("--model", required=True)
@@ -38,11 +56,19 @@ def main(argv=None):
     p.add_argument("--out", required=True)
     p.add_argument("--rejects")
     a = ap.parse_args(argv)
-    spark = build_session(master="local[*]")
+    spark = build_session()
     if a.job == "preprocess":
-        jobs.preprocess(spark, a.reviews, a.meta, a.out, a.exclude_category)
+        jobs.preprocess(spark, a.reviews, a.meta, a.out, a.exclude_category, a.emoji)
     elif a.job == "aspects":
-        jobs.extract_aspects(spark, a.tokens, a.lexicon, a.out)
+        jobs.extract_aspects(spark, a.tokens, a.lexicon, a.out, negations_path=a.negations, boosters_path=a.boosters,
+                             top_k=a.top_k)
+    elif a.job == "aspect-input":
+        jobs.aspect_input(spark, a.clean, a.contractions, a.out, a.min_votes)
+    elif a.job == "split":
+        jobs.split_sets(spark, a.clean, a.out, a.per_label)
+    elif a.job == "score":
+        module, _, name = a.model.partition(":")
+        jobs.score(spark, a.clean, getattr(importlib.import_module(module), name), a.predictions)
     elif a.job == "classify":
         m = jobs.train_classifier(spark, a.clean, a.model, a.predictions, a.kind)
         print(json.dumps(m.first().asDict()))

@@ -26,17 +26,39 @@ NEGATION_SCALAR = -0.74
 NORMALIZE_ALPHA = 15.0
 BOOSTER_DECAY = [1.0, 0.95, 0.9]
 
-# FIXED VALUES: a default booster table (word, signed increment); users
-# pass their own table for real lexicons.
-DEFAULT_BOOSTERS = [
-    ("absolutely", 0.293), ("completely", 0.293), ("extremely", 0.293),
-    ("highly", 0.293), ("incredibly", 0.293), ("most", 0.293),
-    ("really", 0.293), ("so", 0.293), ("totally", 0.293), ("very", 0.293),
-    ("barely", -0.293), ("hardly", -0.293), ("less", -0.293),
-    ("little", -0.293), ("marginally", -0.293), ("partly", -0.293),
-    ("scarcely", -0.293), ("slightly", -0.293), ("somewhat", -0.293),
+# FIXED VALUES: negation words of the published phrase scorer.
+SCORER_NEGATIONS = [
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt",
+    "ain't", "aren't", "can't", "couldn't", "daren't", "didn't", "doesn't",
+    "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither",
+    "don't", "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't",
+    "neednt", "needn't", "never", "none", "nope", "nor", "not", "nothing", "nowhere",
+    "oughtnt", "shant", "shouldnt", "uhuh", "wasnt", "werent",
+    "oughtn't", "shan't", "shouldn't", "uh-uh", "wasn't", "weren't",
+    "without", "wont", "wouldnt", "won't", "wouldn't", "rarely", "seldom", "despite",
 ]
 
+# FIXED VALUES: booster words of the published phrase scorer (one word each;
+# its entries of several words never match a single word).
+BOOSTERS_UP = [
+    "absolutely", "amazingly", "awfully", "completely", "considerably", "decidedly",
+    "deeply", "effing", "enormously", "entirely", "especially", "exceptionally",
+    "extremely", "fabulously", "flipping", "flippin", "fricking", "frickin",
+    "frigging", "friggin", "fully", "fucking", "greatly", "hella", "highly", "hugely",
+    "incredibly", "intensely", "majorly", "more", "most", "particularly", "purely",
+    "quite", "really", "remarkably", "so", "substantially", "thoroughly", "totally",
+    "tremendously", "uber", "unbelievably", "unusually", "utterly", "very",
+]
+BOOSTERS_DOWN = [
+    "almost", "barely", "hardly", "kinda", "kindof", "kind-of", "less", "little",
+    "marginally", "occasionally", "partly", "scarcely", "slightly", "somewhat",
+    "sorta", "sortof", "sort-of",
+]
+DEFAULT_BOOSTERS = [(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN]
+
+# FIXED VALUES: emoticons removed by the cleaning step, in this order.
+EMOTICONS = [":|", ":)", ":(", ":/"]
+
 # FIXED VALUES: ASCII punctuation removed by the cleaning step (Python's
 # string.punctuation, in its order).
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

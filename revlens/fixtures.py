@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
-from revlens.session import default_parallelism, input_splits
 from revlens.sources.files import values_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
@@ -22,33 +21,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations"]
 
 
-# Tables whose rows carry heavy per-row work (whole texts), with the key
-# to spread them by when a scan yields too few splits.
-SPREAD_KEYS = {"documents": "doc_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    if key is not None:
-        df = spread_if_narrow(df, key)
-    return df
-
-
-def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan by ``key`` only when it has fewer input splits
-    than the cluster's parallelism (e.g. a file with one row group); a
-    large input already arrives in many splits and is left alone, so no
-    shuffle is added at scale."""
-    spark = df.sparkSession
-    splits = input_splits(df)
-    par = default_parallelism(spark)
-    if splits is not None and splits < par:
-        # two partitions per core: enough to balance uneven texts; when the
-        # session's shuffle partitions match, a later repartition(key) sees
-        # the same partitioning and Spark drops it
-        return df.repartition(2 * par, key)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bucket(e: Column, n: int) -> Column:
@@ -84,7 +58,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Suffixes appended to whole review texts, one per doc_id % 10, to
 # exercise every cleaning step.
 NOISE_SUFFIXES = [" <br /> one; two", " [a] [[b]] z", " ///// end // x",
-                  " &#34;q&#34; 5&#3; &#9;", " :) :( :/ :| ok",
+                  " &#34;q&#34; 5&#3; &#9;", " :) :( :/ :| ok ::|) :::)( ::/:",
                   " mid#tag a_b #one #two", " $x a&b c", " https://a.b/c @me end",
                   "  \t tab ", "\r\nLINE"]
 
@@ -136,11 +110,13 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(
         "review_id",
         F.when(F.col("overall") >= 4, 2).when(F.col("overall") > 2, 1).otherwise(0).alias("label"),
-        bucket(F.concat(F.lit("y"), rid), 3).alias("prediction"),
+        # class 3 is never a label
+        F.when(F.col("review_id") % 29 == 7, F.lit(3)).otherwise(bucket(F.concat(F.lit("y"), rid), 3)).alias("prediction"),
         bucket(F.concat(F.lit("z"), rid), 20).alias("score"),
     )
 
 
+# FIXED VALUES: dependency and tag names as the parser of the rules writes them.
 DEPS = ["amod", "advmod", "det", "nsubj", "dobj", "neg", "acomp", "aux", "nsubjpass", "cop", "attr"]
 POS = ["ADJ", "NOUN", "VERB", "INTJ"]
 TAGS = ["MD", "JJ", "NN"]
@@ -154,11 +130,11 @@ def _pick(values: list[str], b: Column) -> Column:
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A parsed-token table over every English document, whole text.
+    """A parsed-token table over every document, whole text.
 
     Annotations are hashed, not linguistic: they exercise every relation
     and position the aspect rules look at."""
-    d = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    d = table(spark, sf_dir, "documents")
     w = d.select("doc_id", F.posexplode(F.split(F.col("text"), " ")).alias("i", "w")).filter(F.col("w") != "")
     i = F.col("i")
     # one md5 per token; four 8-hex-digit slices drive the four annotations

@@ -20,39 +20,35 @@ PY_SPACE = r"\s\x1c-\x1f"
 ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
 
+def _quoted(s: str) -> str:
+    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def demojize(c: Column, mapping: dict[str, str]) -> Column:
-    """Replace each mapped character (emoji) by its name.
+    """Replace each mapped character or sequence (emoji) by its name, the
+    longest sequence first, in one pass.
 
-    ``mapping`` is a small user dictionary (checked to stay small by the
-    caller, see ``dictionary_to_map``).  Single code points are looked up
-    in a map over the text's code points; longer sequences are replaced
-    first, longest first, as literal replacements."""
+    One regex cuts the text into mapped sequences and runs of characters that
+    begin none of them; only pieces that begin like a sequence are looked up.
+    The expression has the same few nodes for any number of entries."""
     if not mapping:
         return c
-    multi = sorted((k for k in mapping if len(k) > 1), key=len, reverse=True)
-    single = {k: v for k, v in mapping.items() if len(k) == 1}
-    out = c
-    for k in multi:
-        out = F.replace(out, F.lit(k), F.lit(mapping[k]))
-    if single:
-        m = F.create_map(*[x for k, v in sorted(single.items()) for x in (F.lit(k), F.lit(v))])
-        chars = F.regexp_extract_all(out, F.lit("(?s)."), 0)
-        mapped = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at(m, ch), ch)), "")
-        klass = "".join(_class_escape(k) for k in sorted(single))
-        out = F.when(out.rlike(f"[{klass}]"), mapped).otherwise(out)
-    return out
+    keys = sorted(mapping, key=lambda k: (-len(k), k))
+    first = "".join(_class_escape(k) for k in sorted({k[0] for k in keys}))
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s){'|'.join(map(_quoted, keys))}|[^{first}]+|."), F.lit(0))
+    names = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(mapping[k]) for k in keys]))
+    named = F.transform(pieces, lambda p: F.when(p.rlike(f"^[{first}]"), F.coalesce(F.try_element_at(names, p), p)).otherwise(p))
+    return F.when(c.rlike(f"[{first}]"), F.array_join(named, "")).otherwise(c)
 
 
 def _class_escape(ch: str) -> str:
     return "\\" + ch if ch in "\\^-[]&" else ch
 
 
-def dictionary_to_map(df: DataFrame, key: str, value: str, max_entries: int = 100_000) -> dict:
-    """Bring a user dictionary table to the driver, refusing unbounded ones."""
-    rows = df.select(key, value).limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        raise ValueError(f"dictionary has more than {max_entries} entries; use a join-based form")
-    return {r[0]: r[1] for r in rows}
+def dictionary_to_map(df: DataFrame, key: str, value: str) -> dict:
+    """An emoji table on the driver: it is part of the regex of ``demojize``.
+    Such tables are bounded by the writing system (a few thousand entries)."""
+    return {r[0]: r[1] for r in df.select(key, value).filter(F.col(key).isNotNull() & (F.col(key) != "")).collect()}
 
 
 def normalize_newlines(c: Column) -> Column:
@@ -118,7 +114,7 @@ def newline_to_space(c: Column) -> Column:
 
 
 def strip_brackets(c: Column) -> Column:
-    """Bracketed text -> space."""
+    """Bracketed text -> space (fixed pattern)."""
     return F.regexp_replace(c, r"\[?\[.+?\]?\]", " ")
 
 
@@ -128,15 +124,17 @@ def strip_slashes(c: Column) -> Column:
 
 
 def strip_html_entities(c: Column) -> Column:
-    """Numeric HTML entities -> space (pair-greedy, digit-led, single)."""
+    """Numeric HTML entities -> space (fixed patterns: pair-greedy, digit-led, single)."""
     c = F.regexp_replace(c, r"\&\#.+\&\#\d+?;", " ")
     c = F.regexp_replace(c, r"\d+\&\#\d+?;", " ")
     return F.regexp_replace(c, r"\&\#\d+?;", " ")
 
 
 def strip_emoticons(c: Column) -> Column:
-    """Remove ':|', ':)', ':(' and ':/'."""
-    return F.regexp_replace(c, r":[|)(/]", "")
+    """Remove ':|', then ':)', then ':(', then ':/' (a removal may bring the next one together)."""
+    for face in D.EMOTICONS:
+        c = F.replace(c, F.lit(face), F.lit(""))
+    return c
 
 
 def strip_nonprintable(c: Column) -> Column:

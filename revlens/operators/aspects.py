@@ -147,9 +147,12 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
 
 def score_pairs(pairs: DataFrame, polarity: DataFrame) -> DataFrame:
     """Attach the polarity of each pair's score phrase (0 when none)."""
-    return (pairs.join(polarity.withColumnRenamed("phrase", "score_phrase"), on="score_phrase", how="left")
-                 .withColumn("polarity", F.coalesce(F.col("polarity"), F.lit(0.0)))
-                 .drop("score_phrase"))
+    # rows without a phrase are no join key: they would all meet in one partition
+    some = (pairs.filter(F.col("score_phrase").isNotNull())
+                 .join(polarity.withColumnRenamed("phrase", "score_phrase"), on="score_phrase", how="left")
+                 .withColumn("polarity", F.coalesce(F.col("polarity"), F.lit(0.0))).drop("score_phrase"))
+    none = pairs.filter(F.col("score_phrase").isNull()).drop("score_phrase").withColumn("polarity", F.lit(0.0))
+    return some.unionByName(none)
 
 
 def aspect_frequency(pairs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.ordered import running_sums
+from revlens.session import materialize
 
 
 def pair_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -66,8 +67,13 @@ def weighted_metrics(pred: DataFrame, label: str = "label", prediction: str = "p
 
 def confusion_matrix(pred: DataFrame, classes: list[int], label: str = "label",
                      prediction: str = "prediction") -> DataFrame:
-    """One row per true label, one column per predicted class."""
+    """One row per class seen as label or as prediction, one column per predicted class."""
     c = pair_counts(pred, label, prediction)
+    roles = F.array(F.struct("label", "prediction", "n"),
+                    F.when(F.col("prediction").isNotNull(),
+                           F.struct(F.col("prediction").alias("label"), F.lit(None).cast("double").alias("prediction"),
+                                    F.lit(0).cast("bigint").alias("n"))))
+    c = c.select(F.explode(roles).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
     aggs = [F.sum(F.when(F.col("prediction") == float(k), F.col("n")).otherwise(0)).cast("bigint").alias(f"pred_{k}")
             for k in classes]
     return c.groupBy(F.col("label").cast("int").alias("label")).agg(*aggs)
@@ -77,7 +83,7 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
                           digits: int = 12) -> DataFrame:
     """Per class precision, recall, f1, support; then accuracy, macro
     and weighted averages (classes = labels and predictions seen)."""
-    pc = per_class(class_stats(pred, label, prediction))
+    pc = materialize(per_class(class_stats(pred, label, prediction)))  # a row per class, read four times
     rnd = lambda c: F.round(c, digits)
     rows = pc.select(F.col("cls").cast("int").cast("string").alias("class"),
                      rnd(F.col("precision")).alias("precision"), rnd(F.col("recall")).alias("recall"),
@@ -99,19 +105,25 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
 
 def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame:
     """E5: one-vs-rest ROC curve, one point per distinct score threshold
-    (descending): fpr and tpr of "score >= threshold".  Rows are reduced to
+    (descending): fpr and tpr of "score >= threshold", and the origin (threshold infinity).  Rows are reduced to
     per-score counts first; the cumulative counts come from range-
     partitioned running sums, not a single-task window."""
     per_score = (scored.groupBy(F.col(score).alias("threshold"))
                        .agg(F.sum(F.when(F.col(label) == positive, 1).otherwise(0)).cast("bigint").alias("tp"),
                             F.sum(F.when(F.col(label) == positive, 0).otherwise(1)).cast("bigint").alias("fp")))
     cum = running_sums(per_score, [("threshold", False)], ["tp", "fp"])
-    P = per_score.select(F.sum("tp")).scalar()
-    N = per_score.select(F.sum("fp")).scalar()
+    # the running sums rest on a checkpoint: the totals don't read the predictions again
+    totals = cum.agg(F.max("cum_tp").alias("P"), F.max("cum_fp").alias("N"))
+    P, N = totals.select("P").scalar(), totals.select("N").scalar()
     # try_divide: a single-class input has no curve (null), not an ANSI error
-    return cum.select("threshold", "tp", "fp", "cum_tp", "cum_fp",
-                      F.try_divide(F.col("cum_fp").cast("double"), N).alias("fpr"),
-                      F.try_divide(F.col("cum_tp").cast("double"), P).alias("tpr"))
+    points = cum.select(F.col("threshold").cast("double").alias("threshold"), "tp", "fp", "cum_tp", "cum_fp",
+                        F.try_divide(F.col("cum_fp").cast("double"), N).alias("fpr"),
+                        F.try_divide(F.col("cum_tp").cast("double"), P).alias("tpr"))
+    zero = F.lit(0).cast("bigint")
+    origin = totals.filter(F.col("P").isNotNull()).select(
+        F.lit(float("inf")).alias("threshold"), zero.alias("tp"), zero.alias("fp"), zero.alias("cum_tp"), zero.alias("cum_fp"),
+        F.try_divide(F.lit(0.0), F.col("N")).alias("fpr"), F.try_divide(F.lit(0.0), F.col("P")).alias("tpr"))
+    return points.unionByName(origin)
 
 
 def roc_auc(scored: DataFrame, label: str, score: str, positive, digits: int = 10) -> DataFrame:

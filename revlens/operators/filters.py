@@ -43,9 +43,10 @@ def category_keys(meta: DataFrame, category: str = "Books", cat_col: str = "main
 
 
 def surrogate_id(df: DataFrame, key_cols: list[str], name: str = "uid") -> DataFrame:
-    """a row id that does not depend on partitioning: a 64-bit hash of
-    the business key (instead of monotonically_increasing_id)."""
-    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in key_cols]))
+    """a row id that does not depend on partitioning: 60 bits of the md5
+    of the business key (instead of monotonically_increasing_id)."""
+    key = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in key_cols])
+    return df.withColumn(name, F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint"))
 
 
 def preview(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:

@@ -45,7 +45,10 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     ``block_reviews`` positions and a chunk (at most ``limit`` characters,
     or one long review) are the only groups collected."""
     spark = df.sparkSession
-    rows = df.filter(F.col(text).isNotNull()).select(product, order_key, text)
+    # every join below is on the product: a null product gets a key of its own
+    kind = df.schema[product].dataType
+    keyed = F.when(F.col(product).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(product).cast("string")))
+    rows = df.filter(F.col(text).isNotNull()).select(keyed.alias(product), order_key, text)
     skel_in = rows.select(product, order_key, F.length(text).cast("long").alias("len"), F.lit(1).alias("one"))
     skel = running_sums(skel_in, [(order_key, True)], ["one", "len"], partition_by=[product])
     skel = _ckpt(skel.select(product, order_key, "len", F.col("cum_one").alias("pos"), F.col("cum_len").alias("P"))
@@ -86,7 +89,8 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
                                   " ").alias("text")))
     empty = sizes.filter(F.col("first_long")).select(product, F.lit(0).alias("chunk"),
                                                       F.lit(0).cast("long").alias("n_reviews"), F.lit("").alias("text"))
-    return full.unionByName(empty)
+    back = F.when(F.col(product) != "n", F.expr(f"substring(`{product}`, 2)")).cast(kind)
+    return full.unionByName(empty).withColumn(product, back)
 
 
 _EXIT_SCHEMA = "prod string, e long, x long"

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.session import materialize
+
 
 def exclude_keys(df: DataFrame, keys: DataFrame, key: str = "asin") -> DataFrame:
     """Left anti join - drop rows whose key is listed; null keys stay.
@@ -45,15 +47,19 @@ def enrich_slots_wide(base: DataFrame, products: DataFrame, n_slots: int = 5,
 
 def enrich_slots_long(base: DataFrame, products: DataFrame, n_slots: int = 5,
                       key: str = "asin", attrs: list[str] = SLOT_ATTRS) -> DataFrame:
-    """Same result as J3 with one join: unpivot the slots, join the
-    product table once, pivot back with conditional max per slot."""
-    slot_cols = [f"sim_prod{s}" for s in range(1, n_slots + 1)]
-    longf = base.select(key, F.posexplode(F.array(*[F.col(c) for c in slot_cols])).alias("slot", "sim"))
-    right = products.select(F.col(key).alias("sim"), *attrs)
-    joined = longf.join(right, on="sim", how="left")
-    aggs = []
-    for s in range(n_slots):
-        for a in attrs:
-            aggs.append(F.max(F.when(F.col("slot") == s, F.col(a))).alias(f"{a}_sim{s + 1}"))
-    wide = joined.groupBy(key).agg(*aggs)
-    return base.join(wide, on=key, how="left")
+    """The same rows as J3 with one join of the product table: unpivot the
+    slots, join once, and bring each slot's matches back to its row.  Rows are
+    identified by a key of their own, so repeated base keys stay apart; a
+    product that occurs several times multiplies the row, as in J3."""
+    row = "__row"
+    rows = materialize(base.withColumn(row, F.monotonically_increasing_id()))
+    slot_cols = [F.col(f"sim_prod{s}") for s in range(1, n_slots + 1)]
+    longf = rows.select(row, F.posexplode(F.array(*slot_cols)).alias("slot", "sim")).filter(F.col("sim").isNotNull())
+    right = products.select(F.col(key).alias("sim"), F.struct(*attrs).alias("p"))
+    found = longf.join(right, on="sim").groupBy(row).agg(*[
+        F.collect_list(F.when(F.col("slot") == s, F.col("p"))).alias(f"__p{s + 1}") for s in range(n_slots)])
+    out = rows.join(found, row, "left")
+    for s in range(1, n_slots + 1):
+        out = out.withColumn(f"__p{s}", F.explode_outer(f"__p{s}"))
+    return out.select(*base.columns, *[F.col(f"__p{s}")[a].alias(f"{a}_sim{s}")
+                                       for s in range(1, n_slots + 1) for a in attrs])

@@ -1,45 +1,35 @@
 """Dictionary-based word rewrites.
 
-Small user dictionaries (size-checked on the driver) become literal maps
-inside the projection: no shuffle, no Python worker.  Token-table inputs
-are regrouped per document, which is bounded by one text."""
+Dictionaries are tables; words meet them in an equi-join, which Catalyst
+broadcasts only below its size threshold.  Token-table inputs are regrouped
+per document, which is bounded by one text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _literal_map(d: dict) -> Column:
-    return F.create_map(*[x for k, v in sorted(d.items()) for x in (F.lit(k), F.lit(v))])
-
-
-def expand_contractions(c: Column, mapping: dict[str, str]) -> Column:
-    """Replace each space-separated word found in ``mapping`` (a small
-    dictionary as a literal map: no shuffle)."""
-    if not mapping:
-        return c
-    m = _literal_map(mapping)
-    return F.array_join(F.transform(F.split(c, " ", -1), lambda w: F.coalesce(F.try_element_at(m, w), w)), " ")
+from revlens.session import materialize
 
 
 def expand_contractions_df(df: DataFrame, key: str, text: str, dictionary: DataFrame,
-                           short: str = "short", long: str = "long", max_literal: int = 100_000) -> DataFrame:
-    """T19 for a dictionary table of any size: a literal map up to
-    ``max_literal`` entries (checked by a bounded count), otherwise words
-    are exploded, left-joined to the dictionary and rebuilt in order per
-    row (a shuffle keyed by the row, bounded by one text)."""
-    small = dictionary.select(short, long).limit(max_literal + 1).collect()
-    if len(small) <= max_literal:
-        return df.withColumn(text, expand_contractions(F.col(text), {r[0]: r[1] for r in small}))
-    words = df.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("__i", "__w"))
-    d = dictionary.select(F.col(short).alias("__w"), F.col(long).alias("__l")).dropDuplicates(["__w"])
-    rebuilt = (words.join(d, "__w", "left")
-                    .groupBy(key)
-                    .agg(F.array_sort(F.collect_list(F.struct("__i", F.coalesce("__l", "__w").alias("w"))))
-                         .alias("__s"))
-                    .select(key, F.array_join(F.transform("__s", lambda x: x["w"]), " ").alias("__t")))
-    return df.join(rebuilt, key, "left").withColumn(text, F.col("__t")).drop("__t")
+                           short: str = "short", long: str = "long") -> DataFrame:
+    """Replace each space-separated word found in the dictionary table.
+
+    Every row has a key of its own, so repeated values of ``key`` do not
+    matter; a null text stays null; of several entries for a word the smallest
+    counts.  Only words that are in the dictionary are shuffled, by row."""
+    row = "__row"
+    rows = materialize(df.withColumn(row, F.monotonically_increasing_id()))
+    words = (rows.select(row, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("__i", "__w"))
+                 .filter(F.col("__w").isNotNull()))
+    d = dictionary.filter(F.col(short).isNotNull()).groupBy(F.col(short).alias("__w")).agg(F.min(long).alias("__l"))
+    found = (words.join(d, "__w").filter(F.col("__l").isNotNull())
+                  .groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("__i", "__l"))).alias("__m")))
+    new = F.array_join(F.transform(F.split(F.col(text), " ", -1),
+                                   lambda w, i: F.coalesce(F.try_element_at(F.col("__m"), i), w)), " ")
+    return (rows.join(found, row, "left")
+                .withColumn(text, F.when(F.col("__m").isNull(), F.col(text)).otherwise(new)).select(*df.columns))
 
 
 def _rebuild(tokens: DataFrame, word: Column, keep: Column | None = None) -> DataFrame:

@@ -45,17 +45,20 @@ def fit_bag_model(encoded: DataFrame, buckets: int = 4096, n_classes: int = 3, i
     size (the last row holds the class priors)."""
     from pyspark.sql import functions as F
     from revlens import dictionaries as D
+    # rows without a label teach nothing; a label outside the classes is an error of the caller
+    encoded = encoded.filter(F.col(target).isNotNull())
+    wrong = encoded.filter(~F.col(target).between(0, n_classes - 1)).select(target).first()
+    if wrong:
+        raise ValueError(f"label {wrong[0]} is not one of the {n_classes} classes")
     toks = (encoded.select(F.col(target).alias("y"), F.explode(ids_col).alias("id"))
                    .filter(F.col("id") >= D.FIRST_WORD_ID)
                    .select("y", F.pmod(F.col("id"), F.lit(buckets)).alias("b")))
     counts = np.full((buckets, n_classes), alpha)
     for r in toks.groupBy("b", "y").count().collect():     # at most buckets x classes rows
-        if 0 <= r["y"] < n_classes:
-            counts[r["b"], r["y"]] += r["count"]
+        counts[r["b"], r["y"]] += r["count"]
     prior = np.full(n_classes, alpha)
     for r in encoded.groupBy(target).count().collect():     # one row per class
-        if r[target] is not None and 0 <= r[target] < n_classes:
-            prior[r[target]] += r["count"]
+        prior[r[target]] += r["count"]
     logp = np.log(counts / counts.sum(axis=0, keepdims=True))
     return np.vstack([logp, np.log(prior / prior.sum())])
 

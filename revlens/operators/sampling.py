@@ -9,20 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.fixtures import bucket, hash32
+from revlens.fixtures import hash32
+from revlens.operators.ordered import null_safe_join
 
 
-def split_column(key: Column, weights: list[float], names: list[str], seed: int = 42,
-                 resolution: int = 100) -> Column:
-    """Assign each row to a named split by a hash bucket of (key, seed)."""
-    b = bucket(F.concat(key.cast("string"), F.lit(f":{seed}")), resolution)
-    total = sum(weights)
-    edges, acc = [], 0.0
+def split_edges(weights: list[float]) -> list[int]:
+    """Upper ends of all splits but the last on the 32-bit hash scale."""
+    total, acc, edges = sum(weights), 0.0, []
     for w in weights[:-1]:
         acc += w
-        edges.append(round(acc / total * resolution))
+        edges.append(round(acc / total * (1 << 32)))
+    return edges
+
+
+def split_column(key: Column, weights: list[float], names: list[str], seed: int = 42) -> Column:
+    """Assign each row to a named split by the 32-bit hash of (key, seed); a
+    null key counts as the text ``null``."""
+    b = hash32(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f":{seed}")))
     out = None
-    for e, name in zip(edges, names):
+    for e, name in zip(split_edges(weights), names):
         out = F.when(b < e, F.lit(name)) if out is None else out.when(b < e, F.lit(name))
     return out.otherwise(F.lit(names[-1])) if out is not None else F.lit(names[-1])
 
@@ -70,7 +75,7 @@ def cap_per_group(df: DataFrame, group: str, n: int, order_key: str, tie: str,
     keep = (hist.filter(F.col("__before") < n)
                 .select(group, "__coarse", F.least(F.col("__cnt"), F.lit(n) - F.col("__before")).alias("__quota"),
                         "__cnt"))
-    joined = rows.join(keep, on=[group, "__coarse"], how="inner")
+    joined = null_safe_join(rows, keep, [group, "__coarse"])
     full = joined.filter(F.col("__quota") == F.col("__cnt"))
     part = joined.filter(F.col("__quota") < F.col("__cnt"))
     rn = F.row_number().over(Window.partitionBy(group, "__coarse").orderBy(order_key, tie))

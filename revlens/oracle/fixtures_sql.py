@@ -84,7 +84,7 @@ FROM part"""),
         for s, off in enumerate([11, 22, 33, 44, 55], start=1)) + " FROM meta WHERE asin <> 'P13'"),
     "predictions": (["reviews"], f"""
 SELECT review_id, CASE WHEN overall >= 4 THEN 2 WHEN overall > 2 THEN 1 ELSE 0 END AS label,
-       {BUCKET("'y' || CAST(review_id AS VARCHAR)", 3)} AS prediction,
+       CASE WHEN review_id % 29 = 7 THEN 3 ELSE {BUCKET("'y' || CAST(review_id AS VARCHAR)", 3)} END AS prediction,
        {BUCKET("'z' || CAST(review_id AS VARCHAR)", 20)} AS score
 FROM reviews"""),
     "tokens": ([], f"""
@@ -96,7 +96,7 @@ SELECT doc_id, 'P' || CAST(doc_id % 50 AS VARCHAR) AS asin, CAST(i AS INTEGER) A
        {_part(3, 4)} = 0 AS is_stop
 FROM (SELECT doc_id, i, w, md5({_key}) AS h
       FROM (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS w
-            FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents WHERE lang = 'en')) e0
+            FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents)) e0
       WHERE w <> '') e"""),
     "lexicon": (["tokens"], f"""
 SELECT text AS word, CAST({BUCKET("text", 9)} - 4 AS DOUBLE) AS valence
@@ -110,6 +110,10 @@ FROM (SELECT DISTINCT text FROM tokens) t WHERE {BUCKET("'k' || text", 3)} = 0""
 }
 
 
+# CTEs that several others read: computed once
+ONCE = {"tokens", "te", "ch", "fa", "c", "g", "hg", "pairs", "sp", "tok"}
+
+
 def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``body`` with CTEs for ``names`` (and their dependencies),
     then any ``extra`` (name, sql) CTEs in the given order."""
@@ -124,8 +128,9 @@ def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None
 
     for n in names:
         visit(n)
-    ctes = [f"{n} AS ({VIEWS[n][1].strip()})" for n in order]
-    ctes += [f"{n} AS ({s.strip()})" for n, s in (extra or [])]
+    kind = lambda n: "AS MATERIALIZED" if n in ONCE else "AS"
+    ctes = [f"{n} {kind(n)} ({VIEWS[n][1].strip()})" for n in order]
+    ctes += [f"{n} {kind(n)} ({s.strip()})" for n, s in (extra or [])]
     if not ctes:
         return body.strip()
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()

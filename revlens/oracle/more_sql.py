@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from revlens import dictionaries as D
 from revlens import fixtures as FX
+from revlens.operators.sampling import split_edges
 from revlens.oracle.catalog_sql import SQL, cleaned_sql
-from revlens.oracle.fixtures_sql import BUCKET, HASH32, with_views
+from revlens.oracle.fixtures_sql import HASH32, with_views
 
 # ------------------------------------------------------------------ sources
 RAW = """SELECT r.overall, r.vote, CAST(NULL AS VARCHAR) AS reviewTime, r.reviewer_id AS reviewerID, r.asin,
@@ -61,11 +62,8 @@ FROM r WHERE rk <= 5 GROUP BY id"""
 
 # ----------------------------------------------------------------- sampling
 def _split(key, weights, names, seed=42):
-    b = BUCKET(f"CAST({key} AS VARCHAR) || ':{seed}'", 100)
-    total, acc, parts = sum(weights), 0.0, []
-    for w, n in zip(weights[:-1], names):
-        acc += w
-        parts.append(f"WHEN {b} < {round(acc / total * 100)} THEN '{n}'")
+    b = HASH32(f"CAST({key} AS VARCHAR) || ':{seed}'")
+    parts = [f"WHEN {b} < {e} THEN '{n}'" for e, n in zip(split_edges(weights), names)]
     return f"CASE {' '.join(parts)} ELSE '{names[-1]}' END"
 
 
@@ -75,7 +73,7 @@ SQL["holdout_split"] = cleaned_sql(
     f"SELECT review_id, label, {_split('review_id', [0.7, 0.3], ['train', 'test'])} AS split FROM cleaned")
 SQL["union_splits"] = cleaned_sql(
     f"SELECT * FROM (SELECT review_id, label, {_split('review_id', [0.6, 0.2, 0.2], ['train', 'val', 'test'])} AS split "
-    "FROM cleaned) WHERE split = 'train'")
+    "FROM cleaned)")
 SQL["balanced_sample"] = cleaned_sql(f"""
 SELECT review_id, label, order_key FROM (
   SELECT review_id, label, {HASH32("CAST(review_id AS VARCHAR) || ':42'")} AS order_key,
@@ -114,8 +112,8 @@ SQL["eval_weighted"] = _ev("""SELECT round(sum(support * precision) / sum(suppor
   round(sum(support * f1) / sum(support), 12) AS weighted_f1,
   round(sum(tp) / sum(support), 12) AS accuracy FROM pc WHERE support > 0""")
 SQL["confusion_matrix"] = _ev("SELECT CAST(label AS INTEGER) AS label, " + ", ".join(
-    f"CAST(sum(CASE WHEN prediction = {k} THEN n ELSE 0 END) AS BIGINT) AS pred_{k}" for k in range(3))
-    + " FROM counts GROUP BY label")
+    f"CAST(sum(CASE WHEN prediction = {k} THEN n ELSE 0 END) AS BIGINT) AS pred_{k}" for k in range(4))
+    + " FROM (SELECT * FROM counts UNION ALL SELECT DISTINCT prediction, NULL, 0 FROM counts) GROUP BY label")
 SQL["classification_report"] = _ev("""
 SELECT CAST(CAST(cls AS INTEGER) AS VARCHAR) AS class, round(precision, 12) AS precision, round(recall, 12) AS recall,
        round(f1, 12) AS f1, CAST(support AS BIGINT) AS support FROM pc
@@ -133,7 +131,8 @@ ROC = [
     ("t", "SELECT sum(tp) AS P, sum(fp) AS N FROM s"),
 ]
 SQL["roc_curve"] = with_views(["reviews", "predictions"], """
-SELECT threshold, CAST(cum_fp AS DOUBLE) / N AS fpr, CAST(cum_tp AS DOUBLE) / P AS tpr FROM c, t""", ROC)
+SELECT CAST(threshold AS DOUBLE) AS threshold, CAST(cum_fp AS DOUBLE) / N AS fpr, CAST(cum_tp AS DOUBLE) / P AS tpr FROM c, t
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0 FROM t WHERE P IS NOT NULL""", ROC)
 SQL["roc_auc"] = with_views(["reviews", "predictions"], """
 SELECT round(sum(CAST(fp AS DOUBLE) * CAST(2 * cum_tp - tp AS DOUBLE)) / (2.0 * max(P) * max(N)), 10) AS auc
 FROM c, t""", ROC)
@@ -232,7 +231,8 @@ def aspect_sql(body, extra=None):
 
 
 for _r in range(1, 8):
-    SQL[f"aspect_rule{_r}"] = aspect_sql(f"SELECT doc_id, asin, idx, aspect, modifier FROM pairs WHERE rule = {_r}")
+    _one = _r1 if _r == 1 else _r27.split("\nUNION ALL ")[_r - 2]
+    SQL[f"aspect_rule{_r}"] = with_views(["tokens"], f"SELECT doc_id, asin, idx, aspect, modifier FROM ({_one})", ASPECT_CTES[:-1])
 SQL["stopword_override"] = aspect_sql("SELECT doc_id, idx, text, is_stop FROM te")
 SCORED = polarity_ctes("SELECT DISTINCT score_phrase AS phrase FROM pairs WHERE score_phrase IS NOT NULL") + [
     ("sp", "SELECT p.doc_id, p.asin, p.rule, p.idx, p.aspect, p.modifier, coalesce(pol.polarity, 0.0) AS polarity "
@@ -337,3 +337,6 @@ SELECT asin, aspect, part, list(modifier ORDER BY pos) AS modifiers, list(polari
               AS INTEGER) AS part
   FROM sp JOIN top ON top.asin = sp.asin AND top.aspect = sp.aspect) m
 GROUP BY asin, aspect, part""", SCORED)
+
+SQL["surrogate_id"] = cleaned_sql("""
+SELECT review_id, asin, label, CAST('0x' || substr(md5(CAST(review_id AS VARCHAR)), 1, 15) AS BIGINT) AS uid FROM cleaned""")

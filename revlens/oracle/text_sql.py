@@ -92,7 +92,9 @@ def strip_html_entities(x):
 
 
 def strip_emoticons(x):
-    return rr(x, r":[|)(/]", "")
+    for face in D.EMOTICONS:
+        x = f"replace({x}, {lit(face)}, '')"
+    return x
 
 
 def strip_nonprintable(x):

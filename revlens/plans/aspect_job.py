@@ -15,27 +15,30 @@ from revlens.session import materialize
 MAP_PAGE_SIZE = 1000
 
 
-def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
-                        negation_words: list[str] = D.NEGATION_WORDS, checkpoint: bool = True) -> DataFrame:
-    """A10 + A11.  The pairs feed two consumers (distinct phrases to score,
-    and the rows to score), so they are checkpointed once to the shared
-    checkpoint folder: the token pass runs once and a lost executor does
-    not send the job back to the token table."""
-    pairs = A.aspect_pairs(tokens, negation_words)
-    if checkpoint:
-        pairs = materialize(pairs)
+def scored(pairs: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame) -> DataFrame:
+    """A11 on materialized pairs: the distinct phrases are scored once and
+    joined back to their uses."""
     phrases = pairs.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
     # Materialised so that both join inputs are shuffle stages: AQE then
     # broadcasts the phrase table by its measured size, or splits the pair
     # partitions of a very common phrase (skew join).  Left partitioned by
     # phrase from its own window, the join could do neither.
-    pol = materialize(POL.phrase_polarity(phrases, lexicon, negations_df, boosters)) if checkpoint else \
-        POL.phrase_polarity(phrases, lexicon, negations_df, boosters)
+    pol = materialize(POL.phrase_polarity(phrases, lexicon, negations_df, boosters))
     return A.score_pairs(pairs, pol)
 
 
+def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
+                        negation_words: list[str] = D.NEGATION_WORDS) -> DataFrame:
+    """A10 + A11.  The pairs feed two consumers (distinct phrases to score,
+    and the rows to score), so they are checkpointed once to the shared
+    checkpoint folder: the token pass runs once and a lost executor does
+    not send the job back to the token table."""
+    return scored(materialize(A.aspect_pairs(tokens, negation_words)), lexicon, negations_df, boosters)
+
+
 def product_aspect_table(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
-                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5,
-                         checkpoint: bool = True) -> DataFrame:
-    sp = scored_aspect_pairs(tokens, lexicon, negations_df, boosters, negation_words, checkpoint)
-    return A.product_aspects(sp, A.top_aspects(A.aspect_frequency(sp), k))
+                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5) -> DataFrame:
+    """A12.  The top aspects come from the pairs; only the rows are scored."""
+    pairs = materialize(A.aspect_pairs(tokens, negation_words))
+    top = A.top_aspects(A.aspect_frequency(pairs), k)
+    return A.product_aspects(scored(pairs, lexicon, negations_df, boosters), top)

@@ -166,7 +166,7 @@ def q_scan_json_inferred(spark, sf_dir):
 def q_scan_csv_reviews(spark, sf_dir):
     path = scratch_path(spark, "reviews-csv")
     S.write_csv(raw_reviews(spark, sf_dir), path, header=True)
-    return S.read_csv(spark, path, schemas.REVIEWS_RAW, header=True)
+    return S.read_csv(spark, path, schemas.REVIEWS_RAW, header=True, multi_line=True)
 
 
 KEYWORDS = ["Widget", "Widgets", "widget", "widgets"]
@@ -248,8 +248,8 @@ def q_holdout_split(spark, sf_dir):
 @register("union_splits")
 def q_union_splits(spark, sf_dir):
     s = K.stratified_split(cleaned(spark, sf_dir).select("review_id", "label"))
-    train = [s.filter((F.col("label") == c) & (F.col("split") == "train")) for c in (2.0, 1.0, 0.0)]
-    return K.union_all(train)
+    return K.union_all([s.filter((F.col("label") == c) & (F.col("split") == part))
+                        for part in ("train", "val", "test") for c in (2.0, 1.0, 0.0)])
 
 
 BALANCED_N = 150
@@ -283,7 +283,7 @@ def q_eval_weighted(spark, sf_dir):
 
 @register("confusion_matrix")
 def q_confusion_matrix(spark, sf_dir):
-    return EV.confusion_matrix(FX.predictions(spark, sf_dir), [0, 1, 2])
+    return EV.confusion_matrix(FX.predictions(spark, sf_dir), [0, 1, 2, 3])
 
 
 @register("classification_report")
@@ -357,8 +357,9 @@ def q_top_aspects(spark, sf_dir):
 
 @register("aspect_map")
 def q_aspect_map(spark, sf_dir):
-    sp = scored_pairs(spark, sf_dir)
-    return A.aspect_map_pages(sp, A.top_aspects(A.aspect_frequency(sp)), page_size=AJ.MAP_PAGE_SIZE)
+    found = materialize(pairs(spark, sf_dir))
+    sp = AJ.scored(found, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark))
+    return A.aspect_map_pages(sp, A.top_aspects(A.aspect_frequency(found)), page_size=AJ.MAP_PAGE_SIZE)
 
 
 @register("product_aspects")
@@ -412,20 +413,19 @@ def q_idf_features(spark, sf_dir):
 
 
 def word_lists(spark, sf_dir):
-    """Tokenized cleaned reviews, checkpointed once: the word-level jobs
-    read them in two branches (term and document frequencies; vocabulary
-    and encoding) and must not clean the texts twice."""
+    """Tokenized cleaned reviews, checkpointed once: encoding reads them in two
+    branches (vocabulary and rows) and must not clean the texts twice."""
     return materialize(tokenized(spark, sf_dir).select("review_id", "label", "words"))
 
 
 @register("tfidf_exact")
 def q_tfidf_exact(spark, sf_dir):
-    return FE.tfidf_exact(word_lists(spark, sf_dir))
+    return FE.tfidf_exact(tokenized(spark, sf_dir))
 
 
 @register("build_vocabulary")
 def q_build_vocabulary(spark, sf_dir):
-    return FE.build_vocabulary(word_lists(spark, sf_dir))
+    return FE.build_vocabulary(tokenized(spark, sf_dir))
 
 
 def encoded(spark, sf_dir):

@@ -12,13 +12,17 @@ from pyspark.sql import types as T
 
 from revlens import dictionaries as D
 from revlens import schemas
+from revlens.fixtures import hash32 as FX_hash32
 from revlens.functions import text as TX
 from revlens.operators import evaluation as EV
+from revlens.operators import features as FE
 from revlens.operators import filters as FL
 from revlens.operators import joins as J
+from revlens.operators import lexical as LX
 from revlens.operators import models as MD
 from revlens.operators import sampling as K
 from revlens.plans import aspect_job, cleaning
+from revlens.session import materialize
 from revlens.sources import files as S
 
 RAW_TO_INTERNAL = {"reviewText": "review_text", "reviewerID": "reviewer_id"}
@@ -62,12 +66,15 @@ BOOSTERS = T.StructType([T.StructField("word", T.StringType()), T.StructField("s
 
 def extract_aspects(spark: SparkSession, tokens_path: str, lexicon_path: str, out_path: str,
                     negations: list[str] = D.NEGATION_WORDS, boosters_path: str | None = None,
-                    top_k: int = 5) -> DataFrame:
+                    top_k: int = 5, negations_path: str | None = None,
+                    scorer_negations: list[str] = D.SCORER_NEGATIONS) -> DataFrame:
     """Parsed tokens (Parquet) + valence lexicon (CSV word,valence) ->
-    (asin, aspect, modifier, polarity) JSON lines."""
+    (asin, aspect, modifier, polarity) JSON lines.  ``negations`` are the words
+    of the determiner rule; the phrase scorer has its own negation words."""
     tokens = spark.read.schema(TOKENS).parquet(tokens_path)
     lexicon = S.read_csv(spark, lexicon_path, LEXICON)
-    neg = S.values_table(spark, list(negations), ["word"])
+    neg = (S.read_text(spark, negations_path).select(F.col("value").alias("word")) if negations_path
+           else S.values_table(spark, list(scorer_negations), ["word"]))
     bst = (S.read_csv(spark, boosters_path, BOOSTERS) if boosters_path
            else S.values_table(spark, D.DEFAULT_BOOSTERS, ["word", "scalar"]))
     out = aspect_job.product_aspect_table(tokens, lexicon, neg, bst, negations, k=top_k)
@@ -82,7 +89,8 @@ def train_classifier(spark: SparkSession, clean_path: str, model_path: str, pred
     a header; returns the weighted metrics."""
     data = read_clean(spark, clean_path).select(F.xxhash64("reviewer_id", "asin", "review_text").alias("uid"),
                                                 "review_text", F.col("label").cast("double").alias("label"))
-    split = K.holdout_split(data, key="uid", weights=(1 - test_fraction, test_fraction), seed=seed)
+    # read by the IDF fit, the model fit and the scoring
+    split = materialize(K.holdout_split(data, key="uid", weights=(1 - test_fraction, test_fraction), seed=seed))
     pipe = MD.naive_bayes_pipeline() if kind == "naive_bayes" else MD.logistic_pipeline()
     model = pipe.fit(split.filter(F.col("split") == "train"))
     model.write().overwrite().save(model_path)
@@ -129,3 +137,42 @@ def filter_metadata(spark: SparkSession, lines_path: str, keywords: list[str], o
     if rejects_path:
         S.write_text(FL.json_rejects(lines), rejects_path)
     return kept
+
+
+CONTRACTIONS = T.StructType([T.StructField("short", T.StringType()), T.StructField("long", T.StringType())])
+
+
+def aspect_input(spark: SparkSession, clean_path: str, contractions_path: str, out_path: str, votes: int = 5) -> DataFrame:
+    """Cleaned reviews with at least ``votes`` votes, contractions written out,
+    as JSON lines: the texts that the parser of the aspect job reads."""
+    clean = FL.min_votes(read_clean(spark, clean_path), votes)
+    out = LX.expand_contractions_df(clean, "reviewer_id", "review_text", S.read_csv(spark, contractions_path, CONTRACTIONS))
+    S.write_json(_raw(out), out_path)
+    return out
+
+
+def split_sets(spark: SparkSession, clean_path: str, out_path: str, per_label: int = 20_000,
+               weights=(0.6, 0.2, 0.2), seed: int = 42) -> DataFrame:
+    """At most ``per_label`` cleaned reviews of each label, split and shuffled
+    into the CSV folders train, val and test (reviewText, label)."""
+    data = read_clean(spark, clean_path).select("reviewer_id", "asin", "review_text", "label")
+    data = FL.surrogate_id(data, ["reviewer_id", "asin", "review_text"], "uid") \
+        .withColumn("order_key", FX_hash32(F.concat(F.col("uid").cast("string"), F.lit(f":{seed}"))))
+    capped = K.cap_per_group(data, "label", per_label, "order_key", "uid")
+    sets = materialize(K.stratified_split(capped, key="uid", weights=weights, seed=seed))
+    for name in ("train", "val", "test"):
+        part = sets.filter(F.col("split") == name).orderBy(K.shuffle_key(F.col("uid"), seed), "uid")
+        S.write_csv(part.select(F.col("review_text").alias("reviewText"), "label"), f"{out_path.rstrip('/')}/{name}")
+    return sets
+
+
+def score(spark: SparkSession, clean_path: str, make_predict_fn, predictions_path: str) -> DataFrame:
+    """Encode cleaned reviews, apply the user's model in Arrow batches, write
+    (label, prediction) CSV with a header."""
+    words = materialize(read_clean(spark, clean_path).filter(F.col("review_text").isNotNull())
+                        .select(F.monotonically_increasing_id().alias("review_id"), "label",
+                                TX.tokenize(F.col("review_text")).alias("words")))
+    encoded = FE.encode_fixed_length(words, FE.build_vocabulary(words))
+    out = MD.score_batches(encoded, make_predict_fn).select(F.col("targets").alias("label"), "prediction")
+    S.write_csv(out, predictions_path)
+    return out

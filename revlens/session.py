@@ -78,18 +78,3 @@ def materialize(df):
     folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def input_splits(df) -> int | None:
-    """Number of input splits of a scan, or None when not observable."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def default_parallelism(spark) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))

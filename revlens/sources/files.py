@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from revlens import schemas
 
-CSV_OPTS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
+CSV_OPTS = {"header": "true", "escape": '"', "quote": '"'}
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = schemas.REVIEWS_RAW) -> DataFrame:
@@ -23,9 +23,10 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = schema
     return r.json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
-    """S3: CSV with header; quoted fields may span lines."""
-    opts = dict(CSV_OPTS, header=str(header).lower())
+def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, multi_line: bool = False) -> DataFrame:
+    """S3: CSV with header.  ``multi_line`` is needed where quoted fields hold
+    line ends; such a file cannot be split, so it is one task."""
+    opts = dict(CSV_OPTS, header=str(header).lower(), multiLine=str(multi_line).lower())
     return spark.read.schema(schema).options(**opts).csv(path)
 
 

@@ -3,8 +3,9 @@
 Cleaning, labelling and the category exclusion hold no state, so the same
 plan runs on a ``readStream`` source: new JSON-lines files are cleaned as
 they arrive and appended to a Parquet sink.  The excluded-category keys
-are a static table (stream-static anti join); the checkpoint lives in the
-shared checkpoint folder, so a restarted query resumes where it stopped."""
+are a static table (stream-static anti join).  The checkpoint belongs to the
+sink (by default the folder beside it), so a restarted query resumes where it
+stopped."""
 
 from __future__ import annotations
 
@@ -14,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from revlens import schemas
 from revlens.plans.cleaning import clean_reviews
-from revlens.session import scratch_path
 
 RAW_TO_FIXTURE = {"reviewText": "review_text", "reviewerID": "reviewer_id"}
 
@@ -33,7 +33,7 @@ def start_cleaning(spark: SparkSession, source: str, sink: str, meta: DataFrame
     """Clean every review file under ``source`` into Parquet at ``sink``."""
     cleaned = clean_reviews(review_stream(spark, source), meta, emoji=emoji)
     w = (cleaned.writeStream.format("parquet").outputMode("append")
-                .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+                .option("checkpointLocation", checkpoint or sink.rstrip("/") + ".checkpoint")
                 .option("path", sink))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -45,10 +45,10 @@ def test_one_hot_product_is_chunked_across_blocks(spark):
     assert tuple(pos) == (1, 3000)
 
 
-def test_contractions_large_dictionary_path_equals_literal(spark):
+def test_contractions_with_nulls_and_repeated_keys(spark):
     from revlens.operators import lexical as LX
-    df = spark.createDataFrame([(1, "it was on it"), (2, ""), (3, "x  it")], "id long, t string")
-    d = spark.createDataFrame([("it", "it is"), ("was", "was not"), ("on", "on the")], "short string, long string")
-    a = sorted(tuple(r) for r in LX.expand_contractions_df(df, "id", "t", d).collect())
-    b = sorted(tuple(r) for r in LX.expand_contractions_df(df, "id", "t", d, max_literal=1).collect())
-    assert a == b == [(1, "it is was not on the it is"), (2, ""), (3, "x  it is")]
+    df = spark.createDataFrame([(1, "it was on it"), (1, "it"), (2, ""), (3, "x  it"), (4, None), (None, "was")], "id long, t string")
+    d = spark.createDataFrame([("it", "it is"), ("was", "was not"), ("on", "on the"), ("it", "zzz"), (None, "n")],
+                              "short string, long string")
+    got = sorted((tuple(r) for r in LX.expand_contractions_df(df, "id", "t", d).collect()), key=str)
+    assert got == sorted([(1, "it is was not on the it is"), (1, "it is"), (2, ""), (3, "x  it is"), (4, None), (None, "was not")], key=str)

@@ -38,7 +38,7 @@ def test_greedy_chunks_match_brute_force(spark):
     assert got == sorted(expected)
     for R in (1, 2, 3, 7, 1000):   # blocks smaller than, around and larger than a chunk
         got = sorted((r.asin, r.chunk, r.n_reviews, r.text) for r in greedy_chunks(df, limit, block_reviews=R).collect())
-    assert got == sorted(expected)
+        assert got == sorted(expected), R
 
 
 def test_reviews_per_product_positions(spark):

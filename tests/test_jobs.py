@@ -24,7 +24,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     S.write_csv(FX.lexicon(spark, SF_SMALL), f"{d}/lexicon")
     S.write_csv(FX.boosters(spark), f"{d}/boosters")
     asp = jobs.extract_aspects(spark, f"{d}/tokens", f"{d}/lexicon", f"{d}/aspects",
-                               negations=FX.FIXTURE_NEGATIONS, boosters_path=f"{d}/boosters")
+                               negations=FX.FIXTURE_NEGATIONS, scorer_negations=FX.FIXTURE_NEGATIONS,
+                               boosters_path=f"{d}/boosters")
     ref = C.QUERIES["product_aspects"](spark, SF_SMALL)
     assert asp.exceptAll(ref.select(*asp.columns)).count() == 0 and asp.count() == ref.count()
 

@@ -28,7 +28,7 @@ def test_q15_predictions_written_with_header(spark):
     df = spark.createDataFrame([(2, 2), (0, 1)], "label int, prediction int")
     p = scratch_path(spark, "t-pred")
     S.write_csv(df, p, header=True)
-    back = S.read_csv(spark, p, df.schema)
+    back = S.read_csv(spark, p, df.schema, multi_line=True)
     assert sorted(map(tuple, back.collect())) == [(0, 1), (2, 2)]   # no row lost to a header
 
 

@@ -71,8 +71,8 @@ def test_auc_matches_binary_evaluator(spark):
 
 def test_confusion_matrix_totals(spark):
     p = FX.predictions(spark, SF_SMALL)
-    cm = EV.confusion_matrix(p, [0, 1, 2]).collect()
-    assert sum(r.pred_0 + r.pred_1 + r.pred_2 for r in cm) == p.count()
+    cm = EV.confusion_matrix(p, [0, 1, 2, 3]).collect()
+    assert sum(r.pred_0 + r.pred_1 + r.pred_2 + r.pred_3 for r in cm) == p.count()
 
 
 def test_partitioned_rank_with_hot_group(spark):
@@ -93,16 +93,6 @@ def test_many_ranges(spark):
     assert all(r.cum_v == rank[r.o] for r in got.collect())
 
 
-def test_running_sums_fallback_without_checkpoint(spark, monkeypatch):
-    import revlens.operators.ordered as O
-    monkeypatch.setattr(O, "can_checkpoint", lambda s: False)
-    df = (spark.range(20000).withColumn("g", F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.lit("cold")))
-               .withColumn("o", (F.col("id") * 7) % 20011))
-    got = O.dense_rank_by(df, [("o", True)], name="pos", n_ranges=500, partition_by=["g"])
-    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")))
-    assert got.select("id", "pos").exceptAll(exp.select("id", "pos")).count() == 0
-
-
 def test_single_class_roc_is_null_not_error(spark):
     p = spark.createDataFrame([(2, 0.3), (2, 0.7)], "label int, score double")
     assert EV.roc_auc(p, "label", "score", 2).first().auc is None
