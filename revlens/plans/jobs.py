@@ -72,7 +72,7 @@ def extract_aspects(spark: SparkSession, tokens_path: str, lexicon_path: str, ou
     (asin, aspect, modifier, polarity) JSON lines.  ``negations`` are the words
     of the determiner rule; the phrase scorer has its own negation words."""
     tokens = spark.read.schema(TOKENS).parquet(tokens_path)
-    lexicon = S.read_csv(spark, lexicon_path, LEXICON)
+    lexicon = S.read_csv(spark, lexicon_path, LEXICON, multi_line=True)  # a small file whose words may hold line ends
     neg = (S.read_text(spark, negations_path).select(F.col("value").alias("word")) if negations_path
            else S.values_table(spark, list(scorer_negations), ["word"]))
     bst = (S.read_csv(spark, boosters_path, BOOSTERS) if boosters_path
