@@ -309,7 +309,7 @@ def digests(docs: DataFrame, spec: str, carry: list[str], text: str = "text", le
                 return (" ".join(map(str, ids)), box[0].tokenizer.decode(ids, skip_special_tokens=False) if no_decoder else "")
 
             box.append(Pieces(spec, piece, plus=lambda a, b: tuple(" ".join(filter(None, x)) for x in zip(a, b)),
-                              limit=CACHE_PIECES // 3, leaf=leaf))  # two strings a piece
+                              limit=CACHE_PIECES // 2, leaf=leaf))  # two strings a piece
             return box[0]
 
         pieces = worker_state(("bpe-digests", hash(spec), leaf), make)
