@@ -37,8 +37,10 @@ from revlens.llm.common import map_texts, strings, table, worker_state
 #: Characters of an uncut piece above which it is encoded as a tree, and the first window on each side of a join.
 LEAF_CHARS = 8_192
 WINDOW_CHARS = 64
-#: Pieces kept per worker in each of the two generations of the cache.
+#: Pieces kept per worker in each of the two generations of the cache, and their mean length
+#: above which a generation ends early (long pieces would outgrow a bound on their number).
 CACHE_PIECES = 400_000
+CACHE_MEAN_CHARS = 24
 
 DROPPED_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 ODD_CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to str.split, not to the tokenizer
@@ -177,6 +179,7 @@ class Pieces:
         self.make, self.plus, self.limit, self.leaf = make, plus, limit, leaf
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
+        self.chars = 0  # of the pieces in the younger generation
         gc.set_threshold(200_000)  # the cache holds strings and bytes, which the cycle collector need not visit
         j = json.loads(spec)
         # letters alone are one word to the model, unless a special token could lie in them
@@ -193,8 +196,8 @@ class Pieces:
                 pieces = self.cut_odd(text)
                 self.learn(set(pieces))
             values = list(map(self.young.get, pieces))
-            if len(self.young) > self.limit:
-                self.old, self.young = self.young, {}
+            if len(self.young) > self.limit or self.chars > self.limit * CACHE_MEAN_CHARS:
+                self.old, self.young, self.chars = self.young, {}, 0
         return values
 
     def learn(self, pieces) -> bool:
@@ -202,6 +205,7 @@ class Pieces:
         shows that its text must be cut the other way."""
         young, old, make, simple = self.young, self.old, self.make, self.simple_words
         plain, marked, tokenize, space = PLAIN_LETTERS.fullmatch, WORD_AND_MARKS.fullmatch, self.model.tokenize, BYTE_LETTERS[32]
+        self.chars += sum(map(len, pieces))
         rest: list[str] = []
         pairs: list[tuple[str, str, str]] = []
         for p in pieces:

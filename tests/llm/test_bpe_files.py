@@ -29,6 +29,18 @@ def test_pieces_equal_the_whole_text(name):
         assert got == pieces.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_long_pieces_do_not_outgrow_the_cache(name):
+    random.seed(7)
+    pieces = bpe.Pieces(bpe.tokenizer_json(bpe.default_path(name)), tuple, limit=100)
+    bound = 100 * bpe.CACHE_MEAN_CHARS
+    for _ in range(200):
+        text = "".join(random.choice("abcé1!") for _ in range(random.randint(500, 900)))
+        got = [i for v in pieces.lookup(text) for i in v]
+        assert got == pieces.tokenizer.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, pieces.young)) <= bound and sum(map(len, pieces.old)) <= bound + 1_000
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_tree_concatenation_equals_one_encoding(name):
     random.seed(4)
