@@ -6,6 +6,11 @@ encoded once per dictionary, and the language whose dictionary gives the
 smallest total wins.  Only letters and their word order take part (lower
 case, everything else becomes one space).
 
+A text of a few words alone gains nothing from any dictionary (the encoder
+stores it raw, and all languages tie).  It is therefore encoded behind several
+short leads of each language's sample, which are not in its dictionary, and
+its size is what it adds to them.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0
 and is rejected; a tie or a margin below ``min_margin`` is still given its
 best language (ties go to the language with more training rows, then by
@@ -40,6 +45,10 @@ SALTS = 64
 LEVEL = 9
 BLOCK = 2_048
 MIN_MARGIN = 0.003
+#: Texts of at most SHORT_BYTES follow LEADS leads of at most LEAD_BYTES each.
+SHORT_BYTES = 256
+LEADS = 8
+LEAD_BYTES = 256
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -75,23 +84,42 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     out = []
     for r in counts:
         parts = [normalise(e) for e in dict.fromkeys(texts.get(r["l"], []))]
+        # the leads come first, each from another excerpt
+        parts = [p[:LEAD_BYTES] for p in parts[:LEADS]] + [p[LEAD_BYTES:] for p in parts[:LEADS]] + parts[LEADS:]
         out.append((r["l"], b" ".join(p for p in parts if p)[:dict_bytes]))
     return [(name, content) for name, content in out if content]
 
 
-def compressors(dictionaries: list[tuple[str, bytes]], level: int):
+def leads_of(content: bytes) -> tuple[list[bytes], bytes]:
+    """The leads of a language's sample (at most a quarter of it) and the rest, its dictionary."""
+    size = min(LEAD_BYTES, len(content) // (4 * LEADS))
+    return [content[i * size:(i + 1) * size] + b" " for i in range(LEADS)], content[LEADS * size:]
+
+
+def coders(dictionaries: list[tuple[str, bytes]], level: int):
+    """(encode, leads, their total size) per language."""
     import zstandard
 
     out = []
     for _, content in dictionaries:
-        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        leads, rest = leads_of(content)
+        d = zstandard.ZstdCompressionDict(rest, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=level)
-        out.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False,
-                                            write_checksum=False, write_dict_id=False))
+        encode = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False,
+                                          write_checksum=False, write_dict_id=False).compress
+        out.append((encode, leads, sum([len(encode(x)) for x in leads])))
     return out
 
 
-def judge(sizes: list[int], names: list[str], min_margin: float) -> tuple[str, float, float, bool]:
+def sizes_of(data: bytes, languages, block: int) -> list[float]:
+    """Encoded size of a normalised text per language."""
+    if len(data) <= SHORT_BYTES:
+        return [(sum([len(encode(x + data)) for x in leads]) - alone) / LEADS for encode, leads, alone in languages]
+    blocks = [data[i:i + block] for i in range(0, len(data), block)]
+    return [sum([len(encode(b)) for b in blocks]) for encode, _, _ in languages]
+
+
+def judge(sizes: list[float], names: list[str], min_margin: float) -> tuple[str, float, float, bool]:
     """(language, score, margin, rejected) of the encoded sizes.  The score is
     the best language's share when a size in bytes counts as a code length."""
     best = min(sizes)
@@ -108,17 +136,16 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], carry: list
     names = [n for n, _ in dictionaries]
 
     def make_kernel():
-        encoders = [c.compress for c in compressors(dictionaries, level)]
+        languages = coders(dictionaries, level)
 
         def kernel(texts: pa.Array) -> list[pa.Array]:
             out = []
             for t in texts.to_pylist():
                 data = normalise(t) if t else b""
-                if not data or not encoders:
+                if not data or not languages:
                     out.append((UNKNOWN, 0.0, 0.0, True))
                     continue
-                blocks = [data[i:i + block] for i in range(0, len(data), block)]
-                out.append(judge([sum([len(encode(b)) for b in blocks]) for encode in encoders], names, min_margin))
+                out.append(judge(sizes_of(data, languages, block), names, min_margin))
             a, b, c, d = zip(*out) if out else ((), (), (), ())
             return [pa.array(a, pa.string()), pa.array(b, pa.float64()), pa.array(c, pa.float64()),
                     pa.array(d, pa.bool_())]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.llm import exact_dedup, language_id
+from revlens.llm.common import held_out
 from tests.conftest import SF_CHECK
 
 
@@ -18,6 +19,25 @@ def test_held_out_accuracy_and_few_rejects(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_short_texts_are_told_apart(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    dictionaries = language_id.train(docs.filter(~held_out("doc_id")))
+    # the first sentence and a half of every held-out document, too short to gain from a dictionary alone
+    cut = docs.filter(held_out("doc_id") & F.col("text").rlike("^[A-Z\\p{Lu}][^\\d]{60}")) \
+        .withColumn("text", F.substring("text", 1, 40)).dropDuplicates(["text"])
+    rows = language_id.identify(cut, dictionaries, ["doc_id", "lang"]).select("row.*", "lang_pred", "rejected").collect()
+    assert len(rows) > 100
+    assert sum(r.rejected for r in rows) / len(rows) < 0.04
+    assert sum(r.lang_pred == r.lang for r in rows) / len(rows) > 0.9
+
+
+def test_leads_are_not_in_the_dictionary():
+    for content in (b"", b"abc", bytes(range(97, 123)) * 40, b"x" * 65_536):
+        leads, rest = language_id.leads_of(content)
+        assert len(leads) == language_id.LEADS and b"".join(x[:-1] for x in leads) + rest == content
+        assert len(rest) >= len(content) * 3 // 4
+
+
 def test_predictions_do_not_see_the_label(spark, make_docs):
     train = [(i, "the cat and the dog went home " * 3 + str(i), "en") for i in range(6)] + \
             [(i, "der hund und die katze gehen heim " * 3, "de") for i in range(6, 12)]

@@ -21,11 +21,13 @@ def brute_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     dictionaries = language_id.train(docs.filter(~held_out("doc_id")))
     names = [n for n, _ in dictionaries]
-    encoders = [c.compress for c in language_id.compressors(dictionaries, language_id.LEVEL)]
+    languages = language_id.coders(dictionaries, language_id.LEVEL)
     rows = []
     for r in docs.collect():
         data = language_id.normalise(r.text or "")
-        sizes = [sum(len(e(data[i:i + language_id.BLOCK])) for i in range(0, len(data), language_id.BLOCK)) for e in encoders]
+        sizes = [sum(len(e(data[i:i + language_id.BLOCK])) for i in range(0, len(data), language_id.BLOCK)) for e, _, _ in languages]
+        if len(data) <= 256:
+            sizes = [sum(len(e(x + data)) - len(e(x)) for x in leads) / 8 for e, leads, _ in languages]
         if data and not language_id.judge(sizes, names, language_id.MIN_MARGIN)[3]:
             rows.append((r.doc_id, r.text))
     last = {}
