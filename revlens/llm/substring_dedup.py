@@ -1,21 +1,33 @@
 """Substring dedup by content-defined chunking.
 
-A gear hash rolls over the UTF-8 bytes of every text; where its chosen bits
-are zero a chunk ends.  The hash sees the last 16 bytes only, so chunks inside
-a passage are the same wherever the passage stands, and resist insertions
-around it.  A chunk whose digest also occurs in a document with a smaller
-identifier is a repeat.  Consecutive repeats make a span, and a span of at
-least ``min_words`` words is cut; the document with the smallest identifier
-keeps the passage.
-
-A passage loses up to its first and last chunk to the surrounding text (about
-11 words together on average), so ``min_words`` is well below the length of
-the passages it is meant for: 18 finds nearly all passages of 50 words.
+The query (``find_passages``) reports every passage of at least ``min_words``
+whole words that occurs, byte for byte, in a document with a smaller
+identifier too: spans are the unions of the overlapping windows of
+``min_words`` words that do.  The document with the smallest identifier keeps
+the passage.  Two steps find them without comparing documents:
+
+1. A gear hash rolls over the UTF-8 bytes of every text and sees the last 16
+   bytes only.  The smallest hash of every ANCHOR_WINDOW places in a row ends
+   a chunk, so no stretch is without ends.  Two places where the same at least
+   2 * ANCHOR_WINDOW + 15 = 95 bytes stand share a chunk (with the 16 bytes
+   before it), and what lies outside the shared chunks is under ANCHOR_WINDOW
+   bytes a side.  Texts that repeat one word need 55 bytes and a period.
+2. Only around chunks that occur under several identifiers are the windows of
+   ``min_words`` words made, and grouped by digest.
+
+So passages of ``min_words`` words and 95 bytes are all found, whatever stands
+around them, 48 words of any length among them; shorter ones may be missed.
+A word of the passage that is joined to its surroundings does not count.
+
+``find_spans`` is the older and coarser form: chunks end where the chosen bits
+of the hash are zero, consecutive repeated chunks make a span, and a passage
+loses up to its first and last chunk, or all, where chunk ends are sparse.
 
 Defined results: null and empty texts have no chunk; documents with the same
 identifier, and repeats inside one document, are not repeats of each other;
-rows with a null identifier neither give nor lose passages; text without
-chunk ends is cut every MAX_CHUNK bytes.  Whole texts of any length are read.
+rows with a null identifier neither give nor lose passages; ``find_spans``
+cuts text without chunk ends every MAX_CHUNK bytes.  Whole texts of any length
+are read.
 """
 
 from __future__ import annotations
@@ -34,8 +46,11 @@ CHUNK_BITS = 5  # a chunk has about 2^5 bytes
 MIN_CHUNK = 8  # of chunk ends closer than this the first one counts
 MAX_CHUNK = 1_024
 MIN_WORDS = 18
+REACH = 16  # bytes that the gear hash sees
+ANCHOR_WINDOW = 40  # the smallest hash of so many places in a row ends a chunk
 BYTES_AT_ONCE = 1 << 22
 WORD = re.compile(rb"\S+")
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def gear_table() -> np.ndarray:
@@ -179,6 +194,176 @@ def find_spans(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_w
     return found.filter(F.size("spans") > 0).select(F.col("row.carried").alias("row"), "spans")
 
 
+# ---- passages -----------------------------------------------------------------------------
+
+def anchors(data: bytes) -> np.ndarray:
+    """Ends (exclusive) of the chunks between smallest hashes: the last smallest one of every
+    ANCHOR_WINDOW places whose 16 bytes lie in the text, and the end of the text."""
+    n = len(data)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    found = [np.zeros(0, dtype=np.int64)]
+    for begin in range(REACH - 1, n - ANCHOR_WINDOW + 1, BYTES_AT_ONCE):
+        stop = min(begin + BYTES_AT_ONCE, n - ANCHOR_WINDOW + 1)
+        h = gear_hash(raw[begin - REACH + 1:stop + ANCHOR_WINDOW - 1])[REACH - 1:]
+        m = len(h)
+        low = (h.astype(np.int64) << 32) | np.arange(m, 0, -1)
+        reach = 1
+        while 2 * reach <= ANCHOR_WINDOW:
+            low = np.minimum(low[:-reach], low[reach:])
+            reach *= 2
+        if reach < ANCHOR_WINDOW:
+            low = np.minimum(low[:reach - ANCHOR_WINDOW], low[ANCHOR_WINDOW - reach:])
+        at = m - (low & 0xFFFFFFFF) + begin
+        found.append(at[np.concatenate([[True], at[1:] != at[:-1]])] + 1)
+    return np.unique(np.concatenate([*found, [n][:n]])).astype(np.int64)
+
+
+def anchored_chunks(data: bytes) -> tuple[list[int], list[int], list[int]]:
+    """Digests, begins and ends of the chunks, each with the 16 bytes before it; equal
+    neighbours (repeated words) are one."""
+    import xxhash
+
+    ends = anchors(data)
+    begins = np.maximum(np.concatenate([[0], ends[:-1]])[:len(ends)] - REACH, 0)
+    digest = xxhash.xxh3_64_intdigest
+    digests = np.array([digest(data[b:e]) for b, e in zip(begins.tolist(), ends.tolist())], dtype=np.uint64)
+    first = np.flatnonzero(np.concatenate([[True], digests[1:] != digests[:-1]])[:len(ends)])
+    last = np.append(first[1:], len(ends))[:len(first)] - 1
+    return digests[first].tolist(), begins[first].tolist(), ends[last].tolist()
+
+
+def word_windows(data: bytes, marks: list[tuple[int, int]], min_words: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Digests, begins, ends and first word of the windows of ``min_words`` whole words within
+    ANCHOR_WINDOW bytes of the marks.  Words are numbered within a stretch of marks."""
+    import xxhash
+
+    digest = xxhash.xxh3_64_intdigest
+    stretches: list[list[int]] = []
+    for begin, end in sorted(marks):
+        begin, end = max(begin - ANCHOR_WINDOW, 0), min(end + ANCHOR_WINDOW, len(data))
+        if stretches and begin <= stretches[-1][1]:
+            stretches[-1][1] = max(stretches[-1][1], end)
+        else:
+            stretches.append([begin, end])
+    out = ([], [], [], [])
+    for begin, end in stretches:
+        words = [m.span() for m in WORD.finditer(data, begin, end)]
+        if words and words[0][0] == begin > 0 and not data[begin - 1:begin].isspace():
+            del words[0]
+        if words and words[-1][1] == end < len(data) and not data[end:end + 1].isspace():
+            del words[-1]
+        for k in range(len(words) - min_words + 1):
+            b, e = words[k][0], words[k + min_words - 1][1]
+            for column, value in zip(out, (digest(data[b:e]), b, e, k)):
+                column.append(value)
+    return out
+
+
+def merged_windows(marks: list[tuple[int, int, int, int]], min_words: int) -> list[tuple[int, int, int, int]]:
+    """(first byte, end, words, source) of the unions of overlapping windows (begin, end, first word, source)."""
+    out, k = [], 0
+    marks = sorted(marks)
+    while k < len(marks):
+        begin, end, first, source = marks[k]
+        last = first
+        k += 1
+        while k < len(marks) and marks[k][0] < end:
+            _, end, last, other = marks[k]
+            source = min(source, other)
+            k += 1
+        out.append((begin, end, last - first + min_words, source))
+    return out
+
+
+def released(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, and the shuffle files of the step are let go when it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE, None)
+    conf.set(RELEASE, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.unset(RELEASE) if before is None else conf.set(RELEASE, before)
+
+
+def discard(made: DataFrame) -> None:
+    """Delete the staged table that ``made`` reads, after its last use."""
+    spark = made.sparkSession
+    for file in made.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def pieces(docs: DataFrame, column: str, names: list[str], make_lists) -> DataFrame:
+    """id, h and one row per piece: its digest and the named integers.  ``make_lists(value)`` gives
+    the digests and integers of a row's pieces as lists."""
+    piece = T.StructType([T.StructField("digest", T.LongType()), *[T.StructField(n, T.IntegerType()) for n in names]])
+
+    def make_kernel():
+        def kernel(values: pa.Array) -> list[pa.Array]:
+            columns, sizes = [[] for _ in piece.names], [0]
+            texts = utf8(values.field(0)) if pa.types.is_struct(values.type) else utf8(values)
+            marks = values.field(1).to_pylist() if pa.types.is_struct(values.type) else [None] * len(texts)
+            for data, m in zip(texts, marks):
+                for c, found in zip(columns, make_lists(data, m)):
+                    c += found
+                sizes.append(len(columns[0]))
+            arrays = [pa.array(np.array(columns[0], dtype=np.uint64).view(np.int64), pa.int64())]
+            arrays += [pa.array(c, pa.int32()) for c in columns[1:]]
+            return [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(arrays, names=piece.names))]
+
+        return kernel
+
+    made = map_texts(docs, column, ["id", "h"], [T.StructField("pieces", T.ArrayType(piece))], make_kernel)
+    kept = released(made.filter(F.size("pieces") > 0).select("row.*", "pieces"), "pieces")
+    return kept.select("id", "h", F.explode("pieces").alias("p")).select("id", "h", "p.*")
+
+
+def shared_digests(found: DataFrame) -> DataFrame:
+    """digest, source: the digests under more than one identifier, with the smallest."""
+    return released(found.groupBy("digest").agg(F.min("id").alias("source"), F.max("id").alias("last"))
+                    .filter("source < last").select("digest", "source"), "shared-digests")
+
+
+def find_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = MIN_WORDS,
+                  carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the carried columns) and spans of the documents that have a repeated passage.
+    Identical rows share their spans."""
+    carry = list(carry or [ident])
+    ident_col, h = col(ident).cast("long").alias("id"), F.xxhash64(col(ident), col(text)).alias("h")
+    slim = docs.select(ident_col, h, col(text).alias("t")).filter("id is not null and t <> ''")
+    chunked = pieces(slim, "t", ["begin", "end"], lambda data, _: anchored_chunks(data))
+    # the windows of the first document are needed as well as those of the later ones; begin and size travel as one number
+    place = (F.shiftleft(F.col("begin").cast("long"), 32) + F.col("end") - F.col("begin")).alias("place")
+    placed = chunked.select("h", "digest", place)
+    marks = released(placed.join(shared_digests(chunked).select("digest"), "digest")
+                     .groupBy("h").agg(F.collect_set("place").alias("marks")), "marks")
+    discard(chunked)
+    near = slim.join(marks, "h").select("id", "h", F.struct("t", "marks").alias("x"))
+    windows = pieces(near, "x", ["begin", "end", "word"],
+                     lambda data, m: word_windows(data, [(p >> 32, (p >> 32) + (p & 0xFFFFFFFF)) for p in m], min_words))
+    # a set, because identical rows give the same windows twice
+    repeats = windows.select("id", "h", "digest", place, "word").join(shared_digests(windows), "digest") \
+        .filter("source < id").groupBy("id", "h").agg(F.collect_set(F.struct("place", "word", "source")).alias("marks"))
+
+    def make_kernel():
+        def kernel(marks: pa.Array) -> list[pa.Array]:
+            out = []
+            for row in marks.to_pylist():
+                places = [(m["place"] >> 32, (m["place"] >> 32) + (m["place"] & 0xFFFFFFFF), m["word"], m["source"]) for m in row]
+                out.append([dict(zip(SPAN.names, s)) for s in merged_windows(places, min_words)])
+            kind = pa.list_(pa.struct([(f.name, pa.int64() if f.name == "source_doc_id" else pa.int32()) for f in SPAN.fields]))
+            return [pa.array(out, kind)]
+
+        return kernel
+
+    spans = released(map_texts(repeats, "marks", ["id", "h"], [T.StructField("spans", T.ArrayType(SPAN))], make_kernel)
+                     .select("row.*", "spans"), "spans")
+    discard(windows)
+    rows = docs.select(F.struct(*[col(c) for c in carry]).alias("row"), ident_col, h)
+    return rows.join(spans, ["id", "h"]).select("row", "spans")
+
+
 def cut(text: str | None, spans: list) -> str:
     """A text without its repeated spans (bytes that no longer form a character are dropped)."""
     data, out, at = (text or "").encode(), b"", 0
@@ -189,6 +374,6 @@ def cut(text: str | None, spans: list) -> str:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per repeated span: where it is and the smallest document that has a chunk of it."""
-    found = find_spans(table(spark, sf_dir, "documents"))
+    """One row per repeated span: where it is and the smallest document that has a window of it."""
+    found = find_passages(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")

@@ -146,3 +146,73 @@ def test_odd_rows_hot_group_and_cut(spark, odd_docs, make_docs):
     assert got == brute_spans(hot, S.MIN_WORDS) and len(got) == 599
     spans = [{"first_byte": 0, "end_byte": 3, "n_words": 1}]
     assert S.cut("one two", spans) == " two" and S.cut(None, []) == ""
+
+
+# ---- passages of whole words --------------------------------------------------------------
+
+def brute_passages(docs, m):
+    """Unions of overlapping windows of m words that a document with a smaller identifier has as well."""
+    found = []
+    first = {}
+    for ident, text in docs:
+        data = (text or "").encode()
+        at = [w.span() for w in S.WORD.finditer(data)]
+        windows = [(at[k][0], at[k + m - 1][1], k) for k in range(len(at) - m + 1)] if ident is not None else []
+        found.append((ident, data, windows))
+        for b, e, _ in windows:
+            first[data[b:e]] = min(first.get(data[b:e], ident), ident)
+    out = []
+    for ident, data, windows in found:
+        spans = []
+        for b, e, k in windows:
+            source = first[data[b:e]]
+            if source < ident:
+                if spans and b < spans[-1][1]:
+                    spans[-1][1:] = [e, spans[-1][2], k, min(source, spans[-1][4])]
+                else:
+                    spans.append([b, e, k, k, source])
+        out += [(ident, b, e, k - f + m, source) for b, e, f, k, source in spans]
+    return sorted(out)
+
+
+def got_passages(df, **kw):
+    rows = S.find_passages(df, **kw).select("row.doc_id", F.explode("spans").alias("s")).collect()
+    return sorted((r.doc_id, *r.s) for r in rows)
+
+
+def test_anchors_match_brute_force(monkeypatch):
+    monkeypatch.setattr(S, "BYTES_AT_ONCE", 100)
+    for data in (b"", b"x", b"nd " * 700, words(300, 1).encode(), bytes(2_000), words(9, 2).encode(), b"ab" * 27, b"ab" * 28):
+        h = S.gear_hash(np.frombuffer(data, dtype=np.uint8)).tolist()
+        want = {len(data)} if data else set()
+        for begin in range(15, len(data) - S.ANCHOR_WINDOW + 1):
+            want.add(min(range(begin, begin + S.ANCHOR_WINDOW), key=lambda i: (h[i], -i)) + 1)
+        assert S.anchors(data).tolist() == sorted(want)
+
+
+def test_sparse_and_short_passages_are_found_whole(spark, make_docs):
+    """Passages that repeat a short word, of one-letter words, and of just 50 words, each in two surroundings."""
+    r = random.Random(7)
+    passages = [w * 50 for w in ("nd ", "a ", "the ", "été ", "to be ")]
+    passages += [" ".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(50)) for _ in range(15)]
+    passages += [words(50, 40 + k) for k in range(30)]
+    rows = []
+    for k, p in enumerate(passages):
+        for side in (0, 1):
+            i = side * 1_000 + k
+            rows.append((i, words(20 + i % 37, 20_000 + i) + " " + p.strip() + " " + words(25, 30_000 + i)))
+    got = got_passages(make_docs(rows))
+    assert got == brute_passages(rows, S.MIN_WORDS)
+    assert {g[0]: (g[3], g[4]) for g in got} == {1_000 + k: (len(p.split()), k) for k, p in enumerate(passages)}
+
+
+def test_passages_on_odd_and_given_rows(spark, odd_docs, make_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    more = [*rows, (70, "first " + rows[2][1][:3_000]), (70, "first " + rows[2][1][:3_000]), (None, rows[2][1])]
+    assert got_passages(odd_docs.limit(0)) == []
+    assert sorted(set(got_passages(make_docs(more)))) == sorted(set(brute_passages(more, S.MIN_WORDS)))
+    given = spark.read.parquet(f"{SF_CHECK}/documents.parquet").filter("doc_id < 400")
+    want = brute_passages([(r.doc_id, r.text) for r in given.collect()], S.MIN_WORDS)
+    got = got_passages(given)
+    long = lambda spans: [s for s in spans if s[2] - s[1] >= 95]
+    assert len(long(want)) > 50 and long(got) == long(want) and set(got) <= set(want)
