@@ -214,7 +214,8 @@ def links(distinct: DataFrame, radius: int = MAX_DISTANCE, most: int = BUCKET_ME
 
 def near_duplicates(docs: DataFrame, carry: list[str], text: str = "text", ident: str = "doc_id",
                     shingle: int = SHINGLE_WORDS, radius: int = MAX_DISTANCE) -> DataFrame:
-    """``row``, fp and component_id (the smallest identifier reachable over links) per document."""
+    """``row``, fp, component_id (the smallest identifier reachable over links) and root (the smallest
+    fingerprint reachable, which tells components apart that share an identifier) per document."""
     names = list(dict.fromkeys([*carry, ident]))
     marked = staged(fingerprints(docs, names, text, shingle), "fingerprints")
     ids = marked.select("fp", F.col("row")[ident].alias("id"))
@@ -222,9 +223,10 @@ def near_duplicates(docs: DataFrame, carry: list[str], text: str = "text", ident
     roots = components(links(groups.select("fp"), radius)).withColumnRenamed("node", "fp")
     linked = staged(groups.join(roots, "fp").select("fp", "root", "low"), "linked")
     lowest = staged(linked.groupBy("root").agg(F.min("low").alias("lowest")), "lowest")
-    moved = linked.join(lowest, "root").select("fp", "lowest")
-    place = staged(groups.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id")), "place")
-    return marked.join(place, "fp", "left").select("row", "fp", "component_id")
+    moved = linked.join(lowest, "root").select("fp", "root", "lowest")
+    place = staged(groups.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id"),
+                                                           F.coalesce("root", "fp").alias("root")), "place")
+    return marked.join(place, "fp", "left").select("row", "fp", "component_id", "root")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,10 +243,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The decision is made on identifiers and hashes; the texts are shuffled once."""
     h1, h2 = F.xxhash64(col("doc_id"), col("text")), F.hash(col("text"), col("doc_id"))
     slim = docs.select(col("doc_id").alias("id"), col("text").alias("t"), h1.alias("h1"), h2.alias("h2"))
-    found = near_duplicates(slim, ["id", "h1", "h2"], text="t", ident="id").select("row.*", "fp", "component_id")
+    found = near_duplicates(slim, ["id", "h1", "h2"], text="t", ident="id").select("row.*", "fp", "component_id", "root")
     own = found.filter(F.col("id").eqNullSafe(F.col("component_id")))
-    stays = staged(own.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
-                   .agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2"), "stays")
+    stays = staged(own.groupBy("root").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2"), "stays")
     rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), h1.alias("h1"), h2.alias("h2"))
     once = Window.partitionBy("h1", "h2").orderBy("h1")
     return rows.join(stays, ["h1", "h2"]).withColumn("k", F.row_number().over(once)).filter("k = 1").select("row.*")

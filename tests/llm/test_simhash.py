@@ -130,3 +130,28 @@ def test_odd_rows_and_stage(spark, odd_docs):
 def test_stage_keeps_one_row_when_no_identifier_is_known(spark, make_docs):
     docs = make_docs([(None, "same words here now"), (None, "same words here now"), (None, "quite another text of words")])
     assert simhash.stage(spark, docs, "").count() == 2
+
+
+def near_texts():
+    """Two texts with different fingerprints within the radius."""
+    words = [f"word{i}" for i in range(400)]
+    base = " ".join(words)
+    for i in range(400):
+        other = " ".join([*words[:i], "changed", *words[i + 1:]])
+        if 1 <= bin(brute_fingerprint(base) ^ brute_fingerprint(other)).count("1") <= 2:
+            return base, other
+    raise AssertionError("no near text")
+
+
+def test_stage_tells_components_under_one_identifier_apart(spark, make_docs):
+    base, other = near_texts()
+    docs = make_docs([(1, "one clean document of its own"), (1, "quite another text of other words"), (1, base), (2, other)])
+    kept = sorted((r.doc_id, r.text) for r in simhash.stage(spark, docs, "").collect())
+    assert kept == sorted([(1, "one clean document of its own"), (1, "quite another text of other words"), (1, base)])
+
+
+def test_stage_keeps_one_row_of_linked_texts_without_identifier(spark, make_docs):
+    base, other = near_texts()
+    docs = make_docs([(None, base), (None, other), (None, "quite another text of other words")])
+    kept = [r.text for r in simhash.stage(spark, docs, "").collect()]
+    assert len(kept) == 2 and "quite another text of other words" in kept
