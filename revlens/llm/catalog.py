@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from revlens.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, quality, simhash, substring_dedup,
-                         token_files, warc)
+from revlens.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, packing, quality, simhash,
+                         substring_dedup, token_files, warc)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_warc": warc.op10_warc,
+    "op13_packing": packing.op13_packing,
 }
 
 SQL = {

@@ -8,14 +8,13 @@ ids, the place of each document in the whole sequence and a checksum from the
 files.
 
 Defined results: a null text is the end id alone; documents with the same
-identifier are ordered by their text's hash, then by the text; null
-identifiers come first; an empty table gives an empty dataset.  Texts of any
-length are one row.
+identifier are ordered by their text's hash (equal hashes in any order) and
+may span several parts; null identifiers come first; an empty table gives an
+empty dataset.  Texts of any length are one row.
 """
 
 from __future__ import annotations
 
-import struct
 import zlib
 
 import numpy as np
@@ -24,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.bpe import Pieces, default_path, tokenizer_json
-from revlens.llm.common import col, map_texts, staged, strings, table, worker_state
+from revlens.llm.bpe import default_path, tokenizer_json
+from revlens.llm.common import col, map_texts, staged, table, worker_state
+from revlens.llm.token_batches import BatchEncoder
 from revlens.session import scratch_path
 
 END_ID = 0
@@ -38,31 +38,24 @@ FILE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField
                             T.StructField("place", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
 
-def packed(ids) -> bytes:
-    """The ids as little-endian 32-bit integers."""
-    return struct.pack(f"<{len(ids)}i", *ids)
-
-
 def write(docs: DataFrame, path: str, spec: str, text: str = "text", ident: str = "doc_id", end_id: int = END_ID) -> None:
     """Encode and write; ``part`` and ``place`` (row within the part) give the order of the documents."""
-    slim = docs.select(col(ident).cast("long").alias("doc_id"), col(text).alias("t"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("t"), "t") \
+    slim = docs.select(col(ident).cast("long").alias("doc_id"), col(text).alias("t"), F.xxhash64(col(text)).alias("h"),
+                       F.monotonically_increasing_id().alias("salt"))
+    # hash and salt split the rows of one identifier, equal texts included
+    ordered = slim.repartitionByRange("doc_id", "h", "salt").sortWithinPartitions("doc_id", "h") \
         .withColumn("part", F.spark_partition_id())
 
     def make_kernel():
-        pieces = worker_state(("token-files", hash(spec)), lambda: Pieces(spec, packed))
-        end = packed([end_id])
+        encoder = worker_state(("token-batches", hash(spec), end_id), lambda: BatchEncoder(spec, end_id))
         at = [0]
 
         def kernel(texts: pa.Array) -> list[pa.Array]:
-            docs = [b"".join(pieces.lookup(t)) + end for t in strings(texts)]
-            data = b"".join(docs)
-            n = len(docs)
+            offsets, ids = encoder.encode(texts)
+            n = len(texts)
             at[0] += n
-            offsets = np.concatenate([[0], np.cumsum([len(d) for d in docs], dtype=np.int64) // 4]).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
             place = np.arange(at[0] - n, at[0], dtype=np.int64)
-            return [pa.array(place), pa.ListArray.from_arrays(pa.array(offsets), values)]
+            return [pa.array(place), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))]
 
         return kernel
 

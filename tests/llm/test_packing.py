@@ -1,0 +1,152 @@
+"""Packing into sequences and the batch encoder behind it."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from revlens.llm import packing
+from revlens.llm.bpe import default_path, load, tokenizer_json
+from revlens.llm.token_batches import BatchEncoder
+
+SPEC = tokenizer_json(default_path("byte_bpe_50k.json"))
+
+
+def library(texts, end=0):
+    return [e.ids + [end] for e in load(SPEC).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def encoded(encoder, texts):
+    offsets, ids = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+
+
+def test_batch_encoder_equals_library():
+    rng = random.Random(7)
+    atoms = ["the", "Wörter", "ñandú", "It's", "don't,", "x1", "3.14", "...", "\n", "\n\n", "  ", " ", "\t", "a" * 300, "한국어", "😀",
+             "<|endoftext|>", "foo,bar", "end.", " ", "\0", "\x1f", " ", "_under_", "'s", "'", "ß", "Ā", "é", "-", "\r\n"]
+    texts = ["".join(rng.choice(atoms) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    texts += [None, "", " ", "\n", "\0", " lead", "trail ", "x" * 30_000]
+    expected = library(texts)
+    assert encoded(BatchEncoder(SPEC, 0), texts) == expected
+    # a cache that is emptied again and again, short slices and short leaves
+    small = BatchEncoder(SPEC, 0, cache=20, slice_chars=500, leaf=40)
+    assert encoded(small, texts) == expected
+    assert encoded(small, texts[::-1]) == expected[::-1]
+    assert encoded(BatchEncoder(SPEC, 0), []) == []
+
+
+def test_batch_encoder_of_other_tokenizers_goes_whole():
+    spec = tokenizer_json(default_path("word_bpe_49k.json"))
+    texts = ["One two  three", None, "l'été 4"]
+    expected = [e.ids for e in load(spec).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert encoded(BatchEncoder(spec), texts) == expected
+
+
+def one_by_one(counts, capacity):
+    """Best-two-fit a sequence at a time, by its wording."""
+    left = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
+    out = []
+    while left:
+        held, gap = [], capacity
+        for n in list(left):
+            if n <= gap:
+                held.append(n)
+                left.remove(n)
+                gap -= n
+        if gap:
+            small = min(held)
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[i + 1:] if small < a + b <= gap + small]
+            if pairs:
+                _, a, b = max(pairs)
+                held.remove(small)
+                left.remove(a)
+                left.remove(b)
+                left = sorted([*left, small], reverse=True)
+                held += [a, b]
+        out.append(tuple(sorted(held)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_patterns_equal_one_sequence_at_a_time(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([7, 20, 60])
+    counts = {rng.randint(1, capacity): rng.randint(1, 12) for _ in range(rng.randint(1, 12))}
+    found = [tuple(sorted(n for n, c in net.items() for _ in range(c)))
+             for copies, net in packing.patterns(counts, capacity) for _ in range(copies)]
+    assert sorted(found) == sorted(one_by_one(counts, capacity))
+
+
+def test_two_documents_replace_the_smallest():
+    # greedy: 50 + 40, gap 10; 30 + 20 fill the expanded gap of 50
+    assert packing.patterns({50: 1, 40: 1, 30: 1, 20: 1}, 100) == [(1, {50: 1, 30: 1, 20: 1}), (1, {40: 1})]
+    assert packing.patterns({}, 10) == []
+    assert packing.patterns({10: 10 ** 12}, 10) == [(10 ** 12, {10: 1})]
+    with pytest.raises(ValueError):
+        packing.patterns({11: 1}, 10)
+
+
+def check(rows, texts, capacity):
+    ids = {}
+    for r in rows:
+        ids.setdefault(r["doc_id"], []).append(r)
+    for (key, text), all_ids in zip(texts, library([t for _, t in texts])):
+        mine = sorted(ids[key], key=lambda r: r["piece"])
+        assert [r["piece"] for r in mine] == list(range(len(mine)))
+        assert sum(r["length"] for r in mine) == len(all_ids)
+        assert all(r["length"] == capacity for r in mine[1:])
+        at = 0
+        for r in mine:
+            part = np.array(all_ids[at:at + r["length"]], "<u4").tobytes()
+            assert (r["start"], r["ids_crc32"]) == (at, zlib.crc32(part))
+            at += r["length"]
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(by_sequence)
+
+
+def test_query_places_every_piece(spark, make_docs, save):
+    rng = random.Random(3)
+    texts = [(i, " ".join(rng.choice(["of", "and", "whenever", "Zq"]) for _ in range(int(rng.expovariate(1 / 400)))))
+             for i in range(300)]
+    texts += [(1000 + i, "same text again") for i in range(400)] + [(2000, None), (2001, ""), (2002, "word " * 9000)]
+    docs = make_docs(texts).repartition(5).withColumn("length", F.lit("clash")).withColumn("piece", F.lit(None).cast("int")) \
+        .withColumn("part", F.lit(1)).withColumn("row", F.lit(2))
+    rows = packing.op13_packing(spark, save(documents=docs)).collect()
+    used = check(rows, texts, 2048)
+    assert used <= -(-sum(r["length"] for r in rows) // 2048) + 1
+
+
+def test_null_and_repeated_identifiers_and_empty_tables(spark, make_docs, save, odd_docs):
+    rows = packing.op13_packing(spark, save(documents=odd_docs)).collect()
+    assert sum(r["doc_id"] is None for r in rows) == 2
+    assert sum(r["doc_id"] == 4 for r in rows) == 2
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in rows)
+    assert all(s != t or o + n == p for (s, o, n), (t, p, _) in zip(places, places[1:]))
+    empty = packing.op13_packing(spark, save(documents=odd_docs.limit(0)))
+    assert empty.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and not empty.collect()
+
+
+def test_sequences_hold_the_ids(spark, make_docs):
+    texts = [(i, "word " * (7 * i % 50)) for i in range(60)]
+    docs = make_docs(texts).repartition(3)
+    path_free = packing.staged(packing.pieces(docs, SPEC, ["doc_id"], capacity=32, with_ids=True), "test-pieces")
+    packed = packing.pack(path_free, capacity=32).cache()
+    rows = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    whole = dict(zip((k for k, _ in texts), library([t for _, t in texts])))
+    assert sum(map(len, rows.values())) == sum(map(len, whole.values()))
+    for r in packed.select("row.doc_id", "start", "length", "sequence_id", "offset").collect():
+        assert rows[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]] == \
+            whole[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+    packed.unpersist()
