@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from revlens.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, packing, quality, simhash,
-                         substring_dedup, token_files, warc)
+from revlens.llm import (bpe, chat_format, decontaminate, exact_dedup, hard_negatives, language_id, packing, quality,
+                         simhash, substring_dedup, token_files, warc, whitening)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_warc": warc.op10_warc,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_packing": packing.op13_packing,
 }
 
@@ -24,4 +26,5 @@ SQL = {
     "op4_decontaminate": decontaminate.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
     "op10_warc": warc.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
