@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 from revlens.llm.bpe import BYTE_LETTERS, LEAF_CHARS, Pieces, tree_encode
 
 #: Characters of text cut at once; parts kept, and their mean length above which they count as more.
-SLICE_CHARS = 8 << 20
-CACHE_PARTS = 1_000_000
+SLICE_CHARS = 4 << 20
+CACHE_PARTS = 500_000
 CACHE_MEAN_CHARS = 24
 
 #: Letters in every version of Unicode, and marks that end a run of letters (an apostrophe may begin a suffix).
