@@ -133,6 +133,7 @@ class BatchEncoder:
             to = max(at + 1, int(np.searchsorted(sizes, base + self.slice_chars, side="right")))
             parts.append(self.encode_slice(texts.slice(at, to - at)))
             at = to
+        pa.default_memory_pool().release_unused()
         counts = np.concatenate([c for c, _ in parts]) if parts else np.zeros(0, np.int64)
         ids = np.concatenate([i for _, i in parts]) if parts else np.zeros(0, np.int32)
         return np.concatenate([[0], np.cumsum(counts)]), ids
