@@ -25,6 +25,7 @@ def main(argv=None):
     p.add_argument("--out", required=True)
     p.add_argument("--negations", help="text file of the scorer's negation words, one per line")
     p.add_argument("--boosters", help="CSV of (word, scalar)")
+    p.add_argument("--scorer", choices=["core", "full"], default="core", help="full: idioms, contrast and emphasis too")
     p.add_argument("--top-k", type=int, default=5)
     p = sub.add_parser("aspect-input")
     p.add_argument("--clean", required=True)
@@ -61,7 +62,7 @@ def main(argv=None):
         jobs.preprocess(spark, a.reviews, a.meta, a.out, a.exclude_category, a.emoji)
     elif a.job == "aspects":
         jobs.extract_aspects(spark, a.tokens, a.lexicon, a.out, negations_path=a.negations, boosters_path=a.boosters,
-                             top_k=a.top_k)
+                             top_k=a.top_k, scorer=a.scorer)
     elif a.job == "aspect-input":
         jobs.aspect_input(spark, a.clean, a.contractions, a.out, a.min_votes)
     elif a.job == "split":

@@ -56,6 +56,20 @@ BOOSTERS_DOWN = [
 ]
 DEFAULT_BOOSTERS = [(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN]
 
+# FIXED VALUES: boosters of two words, idioms and their valences, emphasis of
+# capitals and of marks, and the weights of "never so / this" and "but" in the
+# published phrase scorer.
+BOOSTER_PHRASES = [("just enough", -0.293), ("kind of", -0.293), ("sort of", -0.293)]
+IDIOMS = [
+    ("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("yeah right", -2.0),
+    ("cut the mustard", 2.0), ("kiss of death", -1.5), ("hand to mouth", -2.0),
+]
+CAPITALS_INCREMENT = 0.733
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4
+QUESTION, MANY_QUESTIONS = 0.18, 0.96
+NEVER_SO = [1.5, 1.25]
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+
 # FIXED VALUES: emoticons removed by the cleaning step, in this order.
 EMOTICONS = [":|", ":)", ":(", ":/"]
 

@@ -51,12 +51,12 @@ def _roles(t: DataFrame, child_cond: Column, payload: list[str]) -> DataFrame:
              .select("doc_id", "r.*"))
 
 
-# A token and its children share the window (doc_id, key); with no order
+# A token and its children share the window (doc_id, asin, key); with no order
 # the frame is the whole group, so each aggregate is computed once per
 # group.  Windows beat a grouped aggregate here: keys are nearly unique,
 # so a partial + final aggregation would only double the work.
 def _group():
-    return Window.partitionBy("doc_id", "key")
+    return Window.partitionBy("doc_id", "asin", "key")
 
 
 def _last(value: Column, cond: Column) -> Column:
@@ -108,8 +108,9 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
     rule 4 found none).
 
     One exchange: tokens are hash-partitioned by document, then two
-    windows keyed by (doc_id, token) reuse that partitioning."""
-    t = (effective_stop(tokens, pronouns)
+    windows keyed by (doc_id, asin, token) reuse that partitioning.  Tokens
+    without a document take no part: nothing tells whose they are."""
+    t = (effective_stop(tokens.filter(F.col("doc_id").isNotNull()), pronouns)
          .select("doc_id", "asin", "idx", "text", "head_idx", "dep", "pos", "tag", "is_stop")
          .repartition("doc_id"))
     hv = head_view(t, negations)

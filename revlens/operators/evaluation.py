@@ -67,7 +67,9 @@ def weighted_metrics(pred: DataFrame, label: str = "label", prediction: str = "p
 
 def confusion_matrix(pred: DataFrame, classes: list[int], label: str = "label",
                      prediction: str = "prediction") -> DataFrame:
-    """One row per class seen as label or as prediction, one column per predicted class."""
+    """One row per class seen as label or as prediction, one column per
+    predicted class and ``pred_other`` for all other predictions and nulls, so
+    that a row sums to the class's support."""
     c = pair_counts(pred, label, prediction)
     roles = F.array(F.struct("label", "prediction", "n"),
                     F.when(F.col("prediction").isNotNull(),
@@ -76,6 +78,8 @@ def confusion_matrix(pred: DataFrame, classes: list[int], label: str = "label",
     c = c.select(F.explode(roles).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
     aggs = [F.sum(F.when(F.col("prediction") == float(k), F.col("n")).otherwise(0)).cast("bigint").alias(f"pred_{k}")
             for k in classes]
+    known = F.coalesce(F.col("prediction").isin([float(k) for k in classes]), F.lit(False))
+    aggs.append(F.sum(F.when(known, 0).otherwise(F.col("n"))).cast("bigint").alias("pred_other"))
     return c.groupBy(F.col("label").cast("int").alias("label")).agg(*aggs)
 
 
@@ -103,12 +107,19 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
+def with_score(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """The rows that have a label and a score."""
+    s = F.col(score).cast("double")
+    return scored.filter(F.col(label).isNotNull() & s.isNotNull() & ~F.isnan(s))
+
+
 def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame:
     """E5: one-vs-rest ROC curve, one point per distinct score threshold
     (descending): fpr and tpr of "score >= threshold", and the origin (threshold infinity).  Rows are reduced to
     per-score counts first; the cumulative counts come from range-
-    partitioned running sums, not a single-task window."""
-    per_score = (scored.groupBy(F.col(score).alias("threshold"))
+    partitioned running sums, not a single-task window.  Rows without a label
+    or a score (null or NaN) are on no side of a threshold and are left out."""
+    per_score = (with_score(scored, label, score).groupBy(F.col(score).alias("threshold"))
                        .agg(F.sum(F.when(F.col(label) == positive, 1).otherwise(0)).cast("bigint").alias("tp"),
                             F.sum(F.when(F.col(label) == positive, 0).otherwise(1)).cast("bigint").alias("fp")))
     cum = running_sums(per_score, [("threshold", False)], ["tp", "fp"])

@@ -37,10 +37,11 @@ def idf(tf: str = "tf", out: str = "features") -> IDF:
 
 def tfidf_exact(docs: DataFrame, doc_id: str = "review_id", words: str = "words", digits: int = 10) -> DataFrame:
     """L4: unhashed TF-IDF with the same formula as L2+L3: one row per
-    (document, word).  The document count is a scalar subquery."""
+    (document, word).  The document count is a scalar subquery.  Every input
+    row is a document, whatever its id."""
     # read twice: for the document frequencies and for the rows
-    tf = materialize(explode_words(docs.select(doc_id, words), words, doc_id)
-                     .groupBy(doc_id, "word").agg(F.count(F.lit(1)).alias("tf")))
+    tf = materialize(explode_words(docs.select(doc_id, words, F.monotonically_increasing_id().alias("__row")), words, doc_id, "__row")
+                     .groupBy("__row", doc_id, "word").agg(F.count(F.lit(1)).alias("tf")))
     # materialised so both join inputs are shuffle stages: AQE broadcasts the
     # vocabulary by measured size or splits the partitions of common words
     df_ = materialize(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
@@ -66,11 +67,12 @@ def encode_fixed_length(docs: DataFrame, vocab: DataFrame, doc_id: str = "review
     an attention mask (truncation to ``max_len - 2`` words is the
     operator's meaning)."""
     body = max_len - 2
-    ex = (docs.select(doc_id, F.col(label).cast("int").alias("targets"),
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), doc_id, label, words)
+    ex = (rows.select("__row", doc_id, F.col(label).cast("int").alias("targets"),
                       F.posexplode_outer(F.slice(words, 1, body)).alias("pos", "word")))
     ided = ex.join(vocab.select("word", "id"), "word", "left").withColumn("id", F.coalesce("id", F.lit(D.UNK_ID)))
-    # the label rides along in the grouping key: no join back to the documents
-    seq = (ided.groupBy(doc_id, "targets")
+    # one row out per row in, whatever its id; id and label ride along in the grouping key: no join back
+    seq = (ided.groupBy("__row", doc_id, "targets")
                .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("__s"))
                .select(doc_id, "targets", F.transform("__s", lambda x: x["id"]).alias("__ids")))
     n = F.size("__ids")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
+from revlens.operators.ordered import dense_rank_by
 
 
 def with_text(df: DataFrame, text_col: str = "review_text") -> DataFrame:
@@ -49,6 +50,15 @@ def surrogate_id(df: DataFrame, key_cols: list[str], name: str = "uid") -> DataF
     return df.withColumn(name, F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint"))
 
 
+def unique_row_id(df: DataFrame, key_cols: list[str], name: str = "uid") -> DataFrame:
+    """F13 with an id per row: 1, 2, ... in the order of the key's md5, then the
+    key.  It does not depend on partitioning, repeated keys get neighbouring
+    ids, and no hash can collide.  Range-partitioned running counts."""
+    key = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in key_cols])
+    keyed = df.withColumn("__md5", F.md5(key)).withColumn("__key", key)
+    return dense_rank_by(keyed, [("__md5", True), ("__key", True)], name=name).drop("__md5", "__key")
+
+
 def preview(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
     """first ``n`` rows under an explicit order (top-k, not a sample)."""
     return df.orderBy(*order_cols).limit(n)

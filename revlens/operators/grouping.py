@@ -43,15 +43,21 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     starts from the first review is then recovered block-wise (see
     ``_chain_starts``).  No step gathers a product in one task; a block of
     ``block_reviews`` positions and a chunk (at most ``limit`` characters,
-    or one long review) are the only groups collected."""
+    or one long review) are the only groups collected.
+
+    Every row has a key of its own, so ``order_key`` may repeat or be null
+    (nulls first; equal keys in the order of their texts' hashes)."""
     spark = df.sparkSession
     # every join below is on the product: a null product gets a key of its own
     kind = df.schema[product].dataType
     keyed = F.when(F.col(product).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(product).cast("string")))
-    rows = df.filter(F.col(text).isNotNull()).select(keyed.alias(product), order_key, text)
-    skel_in = rows.select(product, order_key, F.length(text).cast("long").alias("len"), F.lit(1).alias("one"))
-    skel = running_sums(skel_in, [(order_key, True)], ["one", "len"], partition_by=[product])
-    skel = _ckpt(skel.select(product, order_key, "len", F.col("cum_one").alias("pos"), F.col("cum_len").alias("P"))
+    # read for the lengths and for the texts: written once, so that the row keys stay
+    rows = _ckpt(df.filter(F.col(text).isNotNull()).select(keyed.alias(product), order_key, text,
+                                                           F.monotonically_increasing_id().alias("row")))
+    skel_in = rows.select(product, order_key, "row", F.xxhash64(text).alias("h"), F.length(text).cast("long").alias("len"),
+                          F.lit(1).alias("one"))
+    skel = running_sums(skel_in, [(order_key, True), ("h", True), ("row", True)], ["one", "len"], partition_by=[product])
+    skel = _ckpt(skel.select(product, "row", "len", F.col("cum_one").alias("pos"), F.col("cum_len").alias("P"))
                      .withColumn("P0", F.col("P") - F.col("len")))
     # per-product sizes are joined back to per-review rows: materialised so
     # AQE can broadcast them by measured size or split a hot product's rows
@@ -77,12 +83,12 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     # chunk number of every review: chunk starts up to its position
     marked = (skel.join(starts.select(product, F.col("s").alias("pos"), F.lit(1).alias("is_start")),
                         [product, "pos"], "left")
-                  .select(product, order_key, "pos", F.coalesce("is_start", F.lit(0)).alias("is_start")))
+                  .select(product, "row", "pos", F.coalesce("is_start", F.lit(0)).alias("is_start")))
     numbered = running_sums(marked, [("pos", True)], ["is_start"], partition_by=[product])
     numbered = numbered.join(sizes.select(product, "first_long"), product).select(
-        product, order_key, "pos",
+        "row", "pos",
         (F.col("cum_is_start") - 1 + F.when(F.col("first_long"), 1).otherwise(0)).cast("int").alias("chunk"))
-    full = (rows.join(numbered, [product, order_key])
+    full = (rows.join(numbered, "row")
                 .groupBy(product, "chunk")
                 .agg(F.count(F.lit(1)).alias("n_reviews"),
                      F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", text))), lambda x: x[text]),

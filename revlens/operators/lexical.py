@@ -1,35 +1,26 @@
 """Dictionary-based word rewrites.
 
-Dictionaries are tables; words meet them in an equi-join, which Catalyst
-broadcasts only below its size threshold.  Token-table inputs are regrouped
-per document, which is bounded by one text."""
+Lemma tables are of any size: words meet them in an equi-join, which Catalyst
+broadcasts only below its size threshold.  Contractions are a dictionary of
+checked size, compiled into the plan.  Token-table inputs are regrouped per
+document, which is bounded by one text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.session import materialize
+from revlens.functions.phrases import Phrases
 
 
 def expand_contractions_df(df: DataFrame, key: str, text: str, dictionary: DataFrame,
                            short: str = "short", long: str = "long") -> DataFrame:
-    """Replace each space-separated word found in the dictionary table.
-
-    Every row has a key of its own, so repeated values of ``key`` do not
-    matter; a null text stays null; of several entries for a word the smallest
-    counts.  Only words that are in the dictionary are shuffled, by row."""
-    row = "__row"
-    rows = materialize(df.withColumn(row, F.monotonically_increasing_id()))
-    words = (rows.select(row, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("__i", "__w"))
-                 .filter(F.col("__w").isNotNull()))
-    d = dictionary.filter(F.col(short).isNotNull()).groupBy(F.col(short).alias("__w")).agg(F.min(long).alias("__l"))
-    found = (words.join(d, "__w").filter(F.col("__l").isNotNull())
-                  .groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("__i", "__l"))).alias("__m")))
-    new = F.array_join(F.transform(F.split(F.col(text), " ", -1),
-                                   lambda w, i: F.coalesce(F.try_element_at(F.col("__m"), i), w)), " ")
-    return (rows.join(found, row, "left")
-                .withColumn(text, F.when(F.col("__m").isNull(), F.col(text)).otherwise(new)).select(*df.columns))
+    """Replace every dictionary phrase in running text, next to
+    punctuation, quotes and line ends too (``functions.phrases``).
+
+    One projection: no shuffle, no checkpoint, and ``key`` may repeat or be
+    null.  The dictionary is collected, behind a check of its size."""
+    return df.withColumn(text, Phrases.of(dictionary, short, long).rewrite(F.col(text)))
 
 
 def _rebuild(tokens: DataFrame, word: Column, keep: Column | None = None) -> DataFrame:

@@ -48,11 +48,11 @@ def _block_topk(k: int):
     def run(batches):
         for pdf in batches:
             out = []
-            for a_ids, a_vec, b_ids, b_vec in zip(pdf["a_ids"], pdf["a_vecs"], pdf["b_ids"], pdf["b_vecs"]):
-                A = np.stack([np.asarray(v, dtype=np.float64) for v in a_vec])
-                B = np.stack([np.asarray(v, dtype=np.float64) for v in b_vec])
-                a_ids = np.asarray(a_ids, dtype=np.int64)
-                b_ids = np.asarray(b_ids, dtype=np.int64)
+            for a, b in zip(pdf["a"], pdf["b"]):
+                A = np.stack([np.asarray(x["u"], dtype=np.float64) for x in a])
+                B = np.stack([np.asarray(x["u"], dtype=np.float64) for x in b])
+                a_ids = np.array([x["id"] for x in a], dtype=np.int64)
+                b_ids = np.array([x["id"] for x in b], dtype=np.int64)
                 S = np.round(A @ B.T, 6)
                 S[a_ids[:, None] == b_ids[None, :]] = -np.inf  # no self match
                 kk = min(k, len(b_ids))
@@ -74,40 +74,59 @@ def _block_topk(k: int):
     return run
 
 
+def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str, block_col: str) -> DataFrame:
+    """id, blk, dim and the vector u of length one of every row that takes part.
+
+    A null identifier, label or vector, and a vector with a null, NaN or
+    infinite entry, take no part; vectors are compared with vectors of their
+    own length only.  A zero vector stays zero (cosine 0 with every vector)
+    instead of failing the division under ANSI mode."""
+    v = F.col(vec_col)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = vectors.filter(F.coalesce(~bad & (F.size(v) > 0), F.lit(False)) & F.col(id_col).isNotNull() & F.col(block_col).isNotNull())
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    return rows.select(
+        F.col(id_col).cast("long").alias("id"), F.col(block_col).alias("blk"), F.size(v).alias("dim"),
+        F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm))
+         .otherwise(F.transform(v, lambda x: x.cast("double") * 0.0)).alias("u"))
+
+
+def tiled_search(queries: DataFrame, index: DataFrame, key: list[str], k: int, block_rows: int, b_factor: int) -> DataFrame:
+    """(id, nbr, sim): candidates for the k nearest (id, u) of ``index`` to every (id, u) of
+    ``queries`` with the same ``key``.
+
+    Rows of a key are cut into query tiles of about ``block_rows`` and
+    candidate tiles ``b_factor`` times larger; the tile pairs of a key are
+    joined and a vectorised kernel (numpy matrix product per tile pair) emits
+    only each row's local top-k, so no task holds more than two tiles."""
+    def tiles(rows: DataFrame, size: int, name: str) -> DataFrame:
+        # one row per key, joined back to every vector: materialised so AQE
+        # broadcasts it by measured size (or splits a hot key's rows)
+        sizes = materialize(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")))
+        return (rows.join(sizes, key)
+                    .withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(size)).cast("long")))
+                    .groupBy(*key, "tile").agg(F.collect_list(F.struct("id", "u")).alias(name)).drop("tile"))
+    pairs = tiles(queries, block_rows, "a").join(tiles(index, block_rows * b_factor, "b"), key).select("a", "b")
+    return pairs.mapInPandas(_block_topk(k), _PAIR_SCHEMA)
+
+
+def best_neighbours(candidates: DataFrame, k: int) -> DataFrame:
+    """(id, nbr, sim, rank): the k nearest of (id, nbr, sim); a neighbour found several times counts once."""
+    rn = F.row_number().over(Window.partitionBy("id").orderBy(F.col("sim").desc(), F.col("nbr").asc()))
+    once = candidates.groupBy("id", "nbr").agg(F.max("sim").alias("sim"))
+    return once.withColumn("rank", rn).filter(F.col("rank") <= k)
+
+
 def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
                  block_col: str = "label", block_rows: int = 1024, b_factor: int = 8) -> DataFrame:
     """For every vector, the ``k`` most cosine-similar vectors of the
     same block (``label``); ties by rounded similarity, then id.
 
-    Exact search.  Each block is cut into query tiles of about
-    ``block_rows`` vectors and candidate tiles ``b_factor`` times larger;
-    the tile pairs of a block are joined on the block key and a vectorised
-    kernel (numpy matrix product per tile pair) emits only each row's local
-    top-k, so no task holds more than two tiles and no all-pairs table is
-    materialised.  The final top-k per vector merges at most
-    k x (candidate tiles) rows."""
-    norm = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    # a zero vector stays zero (cosine 0 with every vector) instead of
-    # failing the division under ANSI mode
-    unit = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.col(block_col).alias("blk"),
-        F.when(norm > 0, F.transform(vec_col, lambda x: x.cast("double") / norm))
-         .otherwise(F.transform(vec_col, lambda x: x.cast("double") * 0.0)).alias("u"))
-    # one row per block, joined back to every vector: materialised so AQE
-    # broadcasts it by measured size (or splits a hot block's rows)
-    sizes = materialize(unit.groupBy("blk").agg(F.count(F.lit(1)).alias("n")))
-    sized = unit.join(sizes, "blk")
-
-    def tiles(rows: int) -> DataFrame:
-        return (sized.withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(rows)).cast("long")))
-                     .groupBy("blk", "tile")
-                     .agg(F.collect_list("id").alias("ids"), F.collect_list("u").alias("vecs")))
-    a = tiles(block_rows).select("blk", F.col("ids").alias("a_ids"), F.col("vecs").alias("a_vecs"))
-    b = tiles(block_rows * b_factor).select("blk", F.col("ids").alias("b_ids"), F.col("vecs").alias("b_vecs"))
-    pairs = a.join(b, "blk").select("a_ids", "a_vecs", "b_ids", "b_vecs")
-    cand = pairs.mapInPandas(_block_topk(k), _PAIR_SCHEMA)
-    rn = F.row_number().over(Window.partitionBy("id").orderBy(F.col("sim").desc(), F.col("nbr").asc()))
-    return cand.withColumn("rank", rn).filter(F.col("rank") <= k)
+    Exact search over tile pairs (``tiled_search``); the final top-k per
+    vector merges at most k x (candidate tiles) rows.  Rows with one
+    identifier are one product with several vectors."""
+    unit = unit_vectors(vectors, id_col, vec_col, block_col)
+    return best_neighbours(tiled_search(unit, unit, ["blk", "dim"], k, block_rows, b_factor), k)
 
 
 def similar_wide(topk: DataFrame, k: int = 5, prefix: str = "P") -> DataFrame:

@@ -60,6 +60,8 @@ SELECT 'P' || CAST(id AS VARCHAR) AS asin, """ + ", ".join(
     f"max(CASE WHEN rk = {k} THEN 'P' || CAST(nbr AS VARCHAR) END) AS sim_prod{k}" for k in range(1, 6)) + """
 FROM r WHERE rk <= 5 GROUP BY id"""
 
+SQL["similar_products_indexed"] = SQL["similar_products_topk"]  # exact where a label is one cell
+
 # ----------------------------------------------------------------- sampling
 def _split(key, weights, names, seed=42):
     b = HASH32(f"CAST({key} AS VARCHAR) || ':{seed}'")
@@ -113,6 +115,7 @@ SQL["eval_weighted"] = _ev("""SELECT round(sum(support * precision) / sum(suppor
   round(sum(tp) / sum(support), 12) AS accuracy FROM pc WHERE support > 0""")
 SQL["confusion_matrix"] = _ev("SELECT CAST(label AS INTEGER) AS label, " + ", ".join(
     f"CAST(sum(CASE WHEN prediction = {k} THEN n ELSE 0 END) AS BIGINT) AS pred_{k}" for k in range(4))
+    + ", CAST(sum(CASE WHEN prediction IN (0, 1, 2, 3) THEN 0 ELSE n END) AS BIGINT) AS pred_other"
     + " FROM (SELECT * FROM counts UNION ALL SELECT DISTINCT prediction, NULL, 0 FROM counts) GROUP BY label")
 SQL["classification_report"] = _ev("""
 SELECT CAST(CAST(cls AS INTEGER) AS VARCHAR) AS class, round(precision, 12) AS precision, round(recall, 12) AS recall,
@@ -258,6 +261,14 @@ _cm = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.CONTRACTION_MAP)
 SQL["expand_contractions"] = cleaned_sql(
     f"SELECT review_id, array_to_string(list_transform(string_split(review_text, ' '), "
     f"lambda w: CASE w {_cm} ELSE w END), ' ') AS review_text FROM cleaned")
+# words with their apostrophes, and what stands between them; quotes at a word's ends stay outside
+_word = "regexp_extract(t, '(?s)^([''’]*)(.*?)([''’]*)$', {})"
+_new = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.CONTRACTION_MAP)
+_new = f"(CASE lower({_word.format(2)}) {_new} ELSE {_word.format(2)} END)"
+_raised = f"(CASE WHEN {_word.format(2)}[1] <> lower({_word.format(2)}[1]) THEN upper({_new}[1]) || {_new}[2:] ELSE {_new} END)"
+SQL["expand_contractions_text"] = f"""
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[\\pL\\pN_''’]+|[^\\pL\\pN_''’]+'),
+       lambda t: {_word.format(1)} || {_raised} || {_word.format(3)}), '') AS text FROM documents"""
 _tags = ", ".join(f"'{t}'" for t in FX.POS_KEEP_TAGS)
 SQL["pos_filter"] = with_views(["tokens"], f"""
 SELECT doc_id, ' ' || coalesce(string_agg(text || ' ', '' ORDER BY idx) FILTER (WHERE tag IN ({_tags})), '') AS text
@@ -340,3 +351,7 @@ GROUP BY asin, aspect, part""", SCORED)
 
 SQL["surrogate_id"] = cleaned_sql("""
 SELECT review_id, asin, label, CAST('0x' || substr(md5(CAST(review_id AS VARCHAR)), 1, 15) AS BIGINT) AS uid FROM cleaned""")
+
+SQL["unique_row_id"] = cleaned_sql("""
+SELECT review_id, asin, label, row_number() OVER (ORDER BY md5(CAST(review_id AS VARCHAR)), CAST(review_id AS VARCHAR)) AS uid
+FROM cleaned""")

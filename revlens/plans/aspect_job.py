@@ -15,15 +15,17 @@ from revlens.session import materialize
 MAP_PAGE_SIZE = 1000
 
 
-def scored(pairs: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame) -> DataFrame:
+def scored(pairs: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
+           scorer=POL.phrase_polarity) -> DataFrame:
     """A11 on materialized pairs: the distinct phrases are scored once and
-    joined back to their uses."""
+    joined back to their uses.  ``scorer`` is ``phrase_polarity`` (the core of
+    the method) or ``text_polarity`` (all of it)."""
     phrases = pairs.select(F.col("score_phrase").alias("phrase")).filter(F.col("phrase").isNotNull()).distinct()
     # Materialised so that both join inputs are shuffle stages: AQE then
     # broadcasts the phrase table by its measured size, or splits the pair
     # partitions of a very common phrase (skew join).  Left partitioned by
     # phrase from its own window, the join could do neither.
-    pol = materialize(POL.phrase_polarity(phrases, lexicon, negations_df, boosters))
+    pol = materialize(scorer(phrases, lexicon, negations_df, boosters))
     return A.score_pairs(pairs, pol)
 
 
@@ -37,8 +39,8 @@ def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: Dat
 
 
 def product_aspect_table(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
-                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5) -> DataFrame:
+                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5, scorer=POL.phrase_polarity) -> DataFrame:
     """A12.  The top aspects come from the pairs; only the rows are scored."""
     pairs = materialize(A.aspect_pairs(tokens, negation_words))
     top = A.top_aspects(A.aspect_frequency(pairs), k)
-    return A.product_aspects(scored(pairs, lexicon, negations_df, boosters), top)
+    return A.product_aspects(scored(pairs, lexicon, negations_df, boosters, scorer), top)

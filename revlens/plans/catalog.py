@@ -20,6 +20,7 @@ from revlens.operators import models as MD
 from revlens.operators import polarity as POL
 from revlens.operators import products as PR
 from revlens.operators import sampling as K
+from revlens.operators import similar_index as SI
 from revlens.plans import aspect_job as AJ
 from revlens.plans import cleaning
 from revlens.session import materialize, scratch_path
@@ -226,6 +227,12 @@ def q_similar_enriched_long(spark, sf_dir):
     return J.enrich_slots_long(J.attach(p, FX.similar_products(spark, sf_dir)), p)
 
 
+@register("similar_products_indexed")
+def q_similar_products_indexed(spark, sf_dir):
+    """X2 through the index; labels of one cell are searched whole."""
+    return PR.similar_wide(SI.similar_topk_indexed(FX.table(spark, sf_dir, "embeddings"), k=5))
+
+
 @register("similar_products_topk")
 def q_similar_products_topk(spark, sf_dir):
     e = FX.table(spark, sf_dir, "embeddings")
@@ -333,6 +340,17 @@ def q_aspect_pairs(spark, sf_dir):
     return scored_pairs(spark, sf_dir).select("doc_id", "asin", "rule", "idx", "aspect", "modifier", "polarity")
 
 
+@register("sentence_polarity")
+def q_sentence_polarity(spark, sf_dir):
+    """A11 in full over every sentence of every document: sentences, mean and extreme polarities."""
+    sentences = FX.table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))).alias("phrase"))
+    pol = materialize(POL.text_polarity(sentences, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark)))
+    return sentences.join(pol, "phrase").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("sentences"), F.round(F.avg("polarity"), 6).alias("mean_polarity"),
+        F.min("polarity").alias("lowest"), F.max("polarity").alias("highest"))
+
+
 @register("phrase_polarity")
 def q_phrase_polarity(spark, sf_dir):
     phrases = pairs(spark, sf_dir).select(F.col("modifier").alias("phrase")).distinct()
@@ -377,6 +395,13 @@ def q_expand_contractions(spark, sf_dir):
     return LX.expand_contractions_df(c, "review_id", "review_text", FX.contraction_map(spark))
 
 
+@register("expand_contractions_text")
+def q_expand_contractions_text(spark, sf_dir):
+    """T19 over whole raw texts: next to punctuation and line ends, any case."""
+    return LX.expand_contractions_df(FX.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text",
+                                     FX.contraction_map(spark))
+
+
 @register("pos_filter")
 def q_pos_filter(spark, sf_dir):
     return LX.pos_filter(FX.tokens(spark, sf_dir), FX.POS_KEEP_TAGS)
@@ -491,6 +516,11 @@ def q_model_round_trip(spark, sf_dir):
     return model.transform(test).select("review_id", "label", "prediction")
 
 
+@register("unique_row_id")
+def q_unique_row_id(spark, sf_dir):
+    return FL.unique_row_id(cleaned(spark, sf_dir).select("review_id", "asin", "label"), ["review_id"])
+
+
 @register("surrogate_id")
 def q_surrogate_id(spark, sf_dir):
     return FL.surrogate_id(cleaned(spark, sf_dir).select("review_id", "asin", "label"), ["review_id"])
@@ -500,17 +530,16 @@ def q_surrogate_id(spark, sf_dir):
 
 
 def aspect_input(spark, sf_dir):
-    """The aspect job's review input - cleaned, at least five votes,
-    contractions expanded - checkpointed once: the ordering passes scan it
-    several times (key sample, counts, rows) and must not re-clean texts."""
+    """The aspect job's review input: cleaned, at least five votes, contractions expanded."""
     c = FL.min_votes(cleaned(spark, sf_dir), 5).select("asin", "review_id", "review_text")
-    return materialize(LX.expand_contractions_df(c, "review_id", "review_text", FX.contraction_map(spark)))
+    return LX.expand_contractions_df(c, "review_id", "review_text", FX.contraction_map(spark))
 
 
 @register("reviews_per_product")
 def q_reviews_per_product(spark, sf_dir):
     """G1 in long form over the aspect job's input."""
-    return GR.reviews_per_product(aspect_input(spark, sf_dir))
+    # the ordering passes scan it several times (key sample, counts, rows) and must not re-clean texts
+    return GR.reviews_per_product(materialize(aspect_input(spark, sf_dir)))
 
 
 CHUNK_LIMIT = 20_000
@@ -519,5 +548,5 @@ CHUNK_LIMIT = 20_000
 @register("chunk_reviews")
 def q_chunk_reviews(spark, sf_dir):
     """G2 over the aspect job's input (cleaned, >= 5 votes, contractions
-    expanded), with a 20,000-character limit so the test data chunks."""
+    expanded), with a 20,000-character limit so the test data chunks; written once, by the operator."""
     return GR.greedy_chunks(aspect_input(spark, sf_dir), CHUNK_LIMIT)

@@ -20,6 +20,7 @@ from revlens.operators import filters as FL
 from revlens.operators import joins as J
 from revlens.operators import lexical as LX
 from revlens.operators import models as MD
+from revlens.operators import polarity as POL
 from revlens.operators import sampling as K
 from revlens.plans import aspect_job, cleaning
 from revlens.session import materialize
@@ -67,17 +68,19 @@ BOOSTERS = T.StructType([T.StructField("word", T.StringType()), T.StructField("s
 def extract_aspects(spark: SparkSession, tokens_path: str, lexicon_path: str, out_path: str,
                     negations: list[str] = D.NEGATION_WORDS, boosters_path: str | None = None,
                     top_k: int = 5, negations_path: str | None = None,
-                    scorer_negations: list[str] = D.SCORER_NEGATIONS) -> DataFrame:
+                    scorer_negations: list[str] = D.SCORER_NEGATIONS, scorer: str = "core") -> DataFrame:
     """Parsed tokens (Parquet) + valence lexicon (CSV word,valence) ->
     (asin, aspect, modifier, polarity) JSON lines.  ``negations`` are the words
-    of the determiner rule; the phrase scorer has its own negation words."""
+    of the determiner rule; the phrase scorer has its own negation words.
+    ``scorer`` "full" adds idioms, contrast and emphasis to its core."""
     tokens = spark.read.schema(TOKENS).parquet(tokens_path)
     lexicon = S.read_csv(spark, lexicon_path, LEXICON, multi_line=True)  # a small file whose words may hold line ends
     neg = (S.read_text(spark, negations_path).select(F.col("value").alias("word")) if negations_path
            else S.values_table(spark, list(scorer_negations), ["word"]))
     bst = (S.read_csv(spark, boosters_path, BOOSTERS) if boosters_path
            else S.values_table(spark, D.DEFAULT_BOOSTERS, ["word", "scalar"]))
-    out = aspect_job.product_aspect_table(tokens, lexicon, neg, bst, negations, k=top_k)
+    out = aspect_job.product_aspect_table(tokens, lexicon, neg, bst, negations, k=top_k,
+                                          scorer={"core": POL.phrase_polarity, "full": POL.text_polarity}[scorer])
     S.write_json(out, out_path)
     return out
 

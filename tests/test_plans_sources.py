@@ -19,7 +19,7 @@ def plan(df):
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
                 "FlatMapGroupsInArrow")
 # the three documented places where Python runs on workers
-PYTHON_ALLOWED = {"score_batches", "similar_products_topk", "chunk_reviews"}
+PYTHON_ALLOWED = {"score_batches", "similar_products_topk", "similar_products_indexed", "chunk_reviews"}
 
 
 def test_no_python_workers_outside_the_documented_places(spark):

@@ -1,0 +1,96 @@
+"""Repeated and null identifiers, scores and classes in the operators that group by them."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from revlens import dictionaries as D
+from revlens.operators import aspects as A
+from revlens.operators import evaluation as EV
+from revlens.operators import features as FE
+from revlens.operators import filters as FL
+from revlens.operators import grouping as GR
+from tests.conftest import rows
+
+
+def greedy(texts, limit):
+    """The chunks of one product's texts, by the rule's wording."""
+    chunks, held, size = [], [], 0
+    for t in texts:
+        if size + len(t) > limit:
+            chunks.append(held)
+            held, size = [t], len(t)
+        else:
+            held, size = held + [t], size + len(t)
+    return [" ".join(c) for c in chunks + [held]]
+
+
+def test_chunks_with_repeated_and_null_review_ids(spark):
+    df = spark.createDataFrame([("P", 1, "x"), ("P", 1, "y"), ("P", 2, "z")], "asin string, review_id long, review_text string")
+    (r,) = GR.greedy_chunks(df, 100).collect()
+    assert r["n_reviews"] == 3 and sorted(r["text"].split()) == ["x", "y", "z"] and r["text"].endswith("z")
+    null = df.union(spark.createDataFrame([("P", None, "n"), (None, None, "m"), (None, 5, "k")], df.schema))
+    got = {(r["asin"], r["chunk"]): (r["n_reviews"], r["text"]) for r in GR.greedy_chunks(null, 100).collect()}
+    assert got[("P", 0)][0] == 4 and got[("P", 0)][1].startswith("n ")
+    assert got[(None, 0)] == (2, "m k")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_chunks_of_random_repeated_ids(spark, seed):
+    rng = random.Random(seed)
+    # equal texts behind equal ids, so that the order among them does not show
+    data = [(p, i, "w" * (1 + (i or 0) * 3 % 11)) for p in ("A", None) for i in (rng.choice([None, 1, 2, 3, 4, 5, 6]) for _ in range(40))]
+    df = spark.createDataFrame(data, "asin string, review_id long, review_text string").repartition(4)
+    got = {(r["asin"], r["chunk"]): r["text"] for r in GR.greedy_chunks(df, 25, block_reviews=8).collect()}
+    for p in ("A", None):
+        texts = [t for q, i, t in sorted(data, key=lambda x: (x[1] is not None, x[1] or 0)) if q == p]
+        assert [got[(p, c)] for c in range(len(greedy(texts, 25)))] == greedy(texts, 25)
+
+
+def test_encoded_rows_keep_their_length(spark):
+    docs = spark.createDataFrame([(1, ["a"] * 400, 0.0), (1, ["b"] * 400, 0.0), (None, ["a"], 1.0), (None, None, 1.0), (2, [], 0.0)],
+                                 "review_id long, words array<string>, label double")
+    got = FE.encode_fixed_length(docs, FE.build_vocabulary(docs)).collect()
+    assert len(got) == 5 and all(len(r["input_ids"]) == len(r["attention_mask"]) == D.MAX_LEN for r in got)
+    assert sorted(sum(r["attention_mask"]) for r in got) == [2, 2, 3, 402, 402]
+
+
+def test_exact_tfidf_counts_every_row_as_a_document(spark):
+    docs = spark.createDataFrame([(1, ["a", "a"]), (1, ["a", "b"]), (2, ["b"]), (None, ["c"])], "review_id long, words array<string>")
+    got = rows(FE.tfidf_exact(docs), "word", "tf", "df")
+    assert got == sorted([("a", 2, 2), ("a", 1, 2), ("b", 1, 2), ("b", 1, 2), ("c", 1, 1)])
+
+
+TOKENS = "doc_id long, asin string, idx int, text string, head_idx int, dep string, pos string, tag string, is_stop boolean"
+
+
+def test_aspects_of_documents_without_or_with_one_id(spark):
+    def sentence(doc, asin, adjective, noun):
+        return [(doc, asin, 0, adjective, 1, "amod", "ADJ", "JJ", False), (doc, asin, 1, noun, 1, "ROOT", "NOUN", "NN", False)]
+    kept = sentence(7, "P1", "great", "sound") + sentence(7, "P2", "bad", "cable")
+    lost = sentence(None, "P1", "poor", "fit") + sentence(None, "P2", "odd", "smell")
+    got = rows(A.aspect_pairs(spark.createDataFrame(kept + lost, TOKENS)), "asin", "aspect", "modifier")
+    assert got == [("P1", "sound", "great"), ("P2", "cable", "bad")]
+
+
+def test_no_prediction_is_lost_from_the_confusion_matrix(spark):
+    p = spark.createDataFrame([(1.0, 7.0), (1.0, 1.0), (0.0, None), (0.0, 0.0)], "label double, prediction double")
+    got = {r["label"]: r.asDict() for r in EV.confusion_matrix(p, [0, 1]).collect()}
+    assert (got[1]["pred_1"], got[1]["pred_other"], got[0]["pred_0"], got[0]["pred_other"]) == (1, 1, 1, 1)
+    assert sum(got[7][c] for c in ("pred_0", "pred_1", "pred_other")) == 0
+
+
+def test_rows_without_score_are_not_on_the_curve(spark):
+    s = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, float("nan")), (1, None), (None, 0.5)], "label int, score double")
+    points = rows(EV.roc_points(s, "label", "score", 1), "threshold", "cum_tp", "cum_fp")
+    assert points == [(0.1, 1, 1), (0.9, 1, 0), (float("inf"), 0, 0)]
+    assert EV.roc_auc(s, "label", "score", 1).head()["auc"] == 1.0
+
+
+def test_unique_row_ids(spark):
+    df = spark.createDataFrame([(i % 7,) for i in range(100)] + [(None,)] * 3, "k long").repartition(6)
+    ids = rows(FL.unique_row_id(df, ["k"]), "uid")
+    assert ids == [(i,) for i in range(1, 104)]
+    one = {(r["k"], r["uid"]) for r in FL.unique_row_id(df, ["k"]).collect()}
+    assert one == {(r["k"], r["uid"]) for r in FL.unique_row_id(df.repartition(3), ["k"]).collect()}
