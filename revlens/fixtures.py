@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
+from revlens.operators.ordered import dense_rank_by
 from revlens.sources.files import values_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
@@ -163,6 +164,18 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (bucket(F.col("text"), 9) - 4).cast("double").alias("valence")))
 
 
+def subword_vocabulary(words: DataFrame) -> DataFrame:
+    """(piece, id) from the distinct words of a table: beginnings and inner
+    parts of up to four characters that stand in three words at least."""
+    w = words.select("word").filter(F.length("word") > 0).distinct()
+    at = w.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("p")) \
+          .select("word", "p", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n")) \
+          .filter(F.col("p") + F.col("n") - 1 <= F.length("word"))
+    piece = F.concat(F.when(F.col("p") > 1, F.lit("##")).otherwise(F.lit("")), F.col("word").substr(F.col("p"), F.col("n")))
+    kept = at.select("word", piece.alias("piece")).distinct().groupBy("piece").count().filter("count >= 3").select("piece")
+    return dense_rank_by(kept, [("piece", True)], name="r").select("piece", (F.col("r") + 3).cast("int").alias("id"))
+
+
 # Dictionaries of the fixture (inline VALUES in both engines).
 EMOJI_MAP = [("é", ":e_acute:"), ("ß", ":sharp_s:"), ("ü", ":u_umlaut:"), ("ñ", ":n_tilde:")]
 CONTRACTION_MAP = [("it", "it is"), ("that", "that is"), ("on", "on the"), ("was", "was not")]

@@ -34,12 +34,13 @@ def folded(phrase: str) -> str:
     return " ".join(phrase.replace("’", "'").lower().split())
 
 
-def _atom(ch: str) -> str:
-    return _CLASSES.get(ch) or _SPECIAL.sub(r"\\\g<0>", ch)
+def _atom(ch: str, exact: bool = False) -> str:
+    return (None if exact else _CLASSES.get(ch)) or _SPECIAL.sub(r"\\\g<0>", ch)
 
 
-def trie_regex(phrases: Iterable[str]) -> str:
-    """A regex of the phrases; at each place the longest is tried first."""
+def trie_regex(phrases: Iterable[str], exact: bool = False) -> str:
+    """A regex of the phrases; at each place the longest is tried first.  ``exact``: a space and
+    an apostrophe stand for themselves only."""
     root: dict = {}
     for p in phrases:
         node = root
@@ -51,8 +52,8 @@ def trie_regex(phrases: Iterable[str]) -> str:
         prefix = ""
         while len(node) == 1 and "" not in node:
             (ch, node), = node.items()
-            prefix += _atom(ch)
-        branches = [_atom(ch) + emit(child) for ch, child in sorted(node.items()) if ch]
+            prefix += _atom(ch, exact)
+        branches = [_atom(ch, exact) + emit(child) for ch, child in sorted(node.items()) if ch]
         if not branches:
             return prefix
         # greedy: a longer phrase before the one that ends here

@@ -101,11 +101,11 @@ def head_view(tokens: DataFrame, negations: list[str]) -> DataFrame:
 
 
 def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
-                 pronouns: list[str] = D.PRODUCT_PRONOUNS) -> DataFrame:
+                 pronouns: list[str] = D.PRODUCT_PRONOUNS, rule5_scores_token: bool = False) -> DataFrame:
     """A1-A7 + A10: every (aspect, modifier) pair with its rule and the
     emitting token; ``score_phrase`` is the phrase whose polarity the pair
     carries (rule 5 scores rule 4's modifier of the same token, null when
-    rule 4 found none).
+    rule 4 found none; with ``rule5_scores_token`` its own token).
 
     One exchange: tokens are hash-partitioned by document, then two
     windows keyed by (doc_id, asin, token) reuse that partitioning.  Tokens
@@ -125,7 +125,7 @@ def aspect_pairs(tokens: DataFrame, negations: list[str] = D.NEGATION_WORDS,
         (2, F.col("nsubj"), m2, m2),
         (3, F.col("nsubj"), m3, m3),
         (4, F.col("nsubj_any"), m4, m4),
-        (5, F.when(F.col("cop").isNotNull(), F.col("nsubj")), F.col("text"), m4),
+        (5, F.when(F.col("cop").isNotNull(), F.col("nsubj")), F.col("text"), F.col("text") if rule5_scores_token else m4),
         (6, F.when(intj, F.col("nsubj")), F.col("text"), F.col("text")),
         (7, F.col("nsubj"), m7, m7),
     ]

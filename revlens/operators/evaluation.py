@@ -6,10 +6,12 @@ rows per class and map task); the rest works on per-class rows."""
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.ordered import running_sums
+from revlens.operators.ordered import dense_rank_by, running_sums
 from revlens.session import materialize
 
 
@@ -122,7 +124,12 @@ def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame
     per_score = (with_score(scored, label, score).groupBy(F.col(score).alias("threshold"))
                        .agg(F.sum(F.when(F.col(label) == positive, 1).otherwise(0)).cast("bigint").alias("tp"),
                             F.sum(F.when(F.col(label) == positive, 0).otherwise(1)).cast("bigint").alias("fp")))
-    cum = running_sums(per_score, [("threshold", False)], ["tp", "fp"])
+    return _curve(per_score)
+
+
+def _curve(per_threshold: DataFrame) -> DataFrame:
+    """Points from (threshold, tp, fp), and the origin."""
+    cum = running_sums(per_threshold, [("threshold", False)], ["tp", "fp"])
     # the running sums rest on a checkpoint: the totals don't read the predictions again
     totals = cum.agg(F.max("cum_tp").alias("P"), F.max("cum_fp").alias("N"))
     P, N = totals.select("P").scalar(), totals.select("N").scalar()
@@ -137,11 +144,62 @@ def roc_points(scored: DataFrame, label: str, score: str, positive) -> DataFrame
     return points.unionByName(origin)
 
 
+def drop_collinear(points: DataFrame) -> DataFrame:
+    """E5 without the points that lie on the line between their neighbours:
+    those whose step from the point before equals the step to the next one.
+    The ends stay.  Neighbours meet by position in an equi-join."""
+    placed = materialize(dense_rank_by(points, [("threshold", False)], name="at"))
+    after = placed.select((F.col("at") - 1).alias("at"), F.col("tp").alias("next_tp"), F.col("fp").alias("next_fp"))
+    straight = (F.col("at") > 1) & (F.col("tp") == F.col("next_tp")) & (F.col("fp") == F.col("next_fp"))
+    return placed.join(after, "at", "left").filter(~F.coalesce(straight, F.lit(False))).select(*points.columns)
+
+
+SKETCH_SIZE = 800
+
+
+def roc_points_sketched(scored: DataFrame, label: str, score: str, positive, max_points: int = 1000,
+                        sketch_size: int = SKETCH_SIZE) -> DataFrame:
+    """E5 with at most ``max_points`` thresholds (the origin included), however many scores there are.
+
+    Thresholds are quantiles of all scores from mergeable KLL sketches.  The
+    counts at each threshold are exact: only thresholds are left out, so every
+    point lies on the exact curve."""
+    s = with_score(scored, label, score).select(F.col(score).cast("double").alias("s"),
+                                                F.coalesce(F.col(label) == positive, F.lit(False)).alias("p"))
+    n = max_points - 1
+    shares = F.array(*[F.lit(i / n) for i in range(n)])
+    sketch = s.agg(F.kll_sketch_agg_double("s", sketch_size).alias("k"), F.min("s").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 0")
+    cuts = sketch.select(F.array_sort(F.array_distinct(F.concat(F.array("least"), F.kll_sketch_get_quantile_double("k", shares)))).alias("c"))
+    found = cuts.head()
+    if found is None:
+        return roc_points(scored, label, score, positive).limit(0)
+    # at most max_points numbers: the largest cut not above a score stands for it
+    table = np.unique(np.array(found["c"][:n + 1], float))[:n].tolist()
+    splits = sorted({float("-inf"), *table, float("inf")})
+    cut = Bucketizer(splits=splits, inputCol="s", outputCol="at").transform(s)
+    numbers = F.array(*[F.lit(c) for c in splits])
+    binned = cut.withColumn("threshold", F.element_at(numbers, F.col("at").cast("int") + 1))
+    per_cut = binned.groupBy("threshold").agg(F.sum(F.col("p").cast("int")).cast("bigint").alias("tp"),
+                                              F.sum((~F.col("p")).cast("int")).cast("bigint").alias("fp"))
+    return _curve(per_cut)
+
+
 def roc_auc(scored: DataFrame, label: str, score: str, positive, digits: int = 10) -> DataFrame:
     """Trapezoidal area under the E5 curve (from the origin)."""
-    pts = roc_points(scored, label, score, positive)
+    return _area(roc_points(scored, label, score, positive), digits).select("auc")
+
+
+def roc_auc_sketched(scored: DataFrame, label: str, score: str, positive, digits: int = 10, max_points: int = 1000) -> DataFrame:
+    """E6 from a bounded number of thresholds: auc and ``error``, a bound of its
+    distance from the exact area (half the positives times the negatives that
+    share a threshold, over all such pairs)."""
+    return _area(roc_points_sketched(scored, label, score, positive, max_points), digits)
+
+
+def _area(pts: DataFrame, digits: int) -> DataFrame:
     P = F.sum(F.col("tp").cast("double"))
     N = F.sum(F.col("fp").cast("double"))
     area = F.try_divide(F.sum(F.col("fp").cast("double") * (2 * F.col("cum_tp") - F.col("tp")).cast("double")),
                         2 * P * N)
-    return pts.agg(F.round(area, digits).alias("auc"))
+    mixed = F.try_divide(F.sum(F.col("tp").cast("double") * F.col("fp").cast("double")), 2 * P * N)
+    return pts.agg(F.round(area, digits).alias("auc"), mixed.alias("error"))

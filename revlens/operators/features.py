@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens import dictionaries as D
@@ -75,9 +75,13 @@ def encode_fixed_length(docs: DataFrame, vocab: DataFrame, doc_id: str = "review
     seq = (ided.groupBy("__row", doc_id, "targets")
                .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("__s"))
                .select(doc_id, "targets", F.transform("__s", lambda x: x["id"]).alias("__ids")))
-    n = F.size("__ids")
-    ids = F.concat(F.array(F.lit(D.CLS_ID)), F.col("__ids"), F.array(F.lit(D.SEP_ID)),
-                   F.array_repeat(F.lit(D.PAD_ID), F.lit(body) - n))
+    return seq.select(doc_id, *fixed_length(F.col("__ids"), max_len), "targets")
+
+
+def fixed_length(ids: Column, max_len: int, cls_id: int = D.CLS_ID, sep_id: int = D.SEP_ID, pad_id: int = D.PAD_ID) -> list[Column]:
+    """input_ids and attention_mask of at most ``max_len - 2`` ids: markers at both ends, padded to ``max_len``."""
+    body = max_len - 2
+    n = F.size(ids)
+    full = F.concat(F.array(F.lit(cls_id)), ids, F.array(F.lit(sep_id)), F.array_repeat(F.lit(pad_id), F.lit(body) - n))
     mask = F.concat(F.array_repeat(F.lit(1), n + 2), F.array_repeat(F.lit(0), F.lit(body) - n))
-    return seq.select(doc_id, ids.cast("array<int>").alias("input_ids"),
-                      mask.cast("array<int>").alias("attention_mask"), "targets")
+    return [full.cast("array<int>").alias("input_ids"), mask.cast("array<int>").alias("attention_mask")]

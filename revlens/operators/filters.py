@@ -29,9 +29,12 @@ def min_votes(df: DataFrame, n: int = 5, vote_col: str = "vote") -> DataFrame:
 
 
 def rating_label(overall: Column, positive: float = D.POSITIVE_THRESHOLD,
-                 negative: float = D.NEGATIVE_THRESHOLD) -> Column:
+                 negative: float = D.NEGATIVE_THRESHOLD, null_ratings: bool = True) -> Column:
     """rating -> 2.0 positive (>= 4), 1.0 neutral (> 2), else 0.0.
-    A null rating falls through to 0.0, as in the original rule."""
+    A null rating falls through to 0.0, as in the original rule; without
+    ``null_ratings`` it has no label (null), so that such rows can be dropped."""
+    if not null_ratings:
+        return F.when(overall.isNotNull(), rating_label(overall, positive, negative))
     return (F.when(overall >= positive, F.lit(2.0))
              .when(overall > negative, F.lit(1.0))
              .otherwise(F.lit(0.0)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.ordered import null_safe_join
 from revlens.session import materialize
 
 
@@ -46,7 +47,8 @@ def enrich_slots_wide(base: DataFrame, products: DataFrame, n_slots: int = 5,
 
 
 def enrich_slots_long(base: DataFrame, products: DataFrame, n_slots: int = 5,
-                      key: str = "asin", attrs: list[str] = SLOT_ATTRS) -> DataFrame:
+                      key: str = "asin", attrs: list[str] = SLOT_ATTRS,
+                      null_keys_match: bool = False) -> DataFrame:
     """The same rows as J3 with one join of the product table: unpivot the
     slots, join once, and bring each slot's matches back to its row.  Rows are
     identified by a key of their own, so repeated base keys stay apart; a
@@ -54,9 +56,12 @@ def enrich_slots_long(base: DataFrame, products: DataFrame, n_slots: int = 5,
     row = "__row"
     rows = materialize(base.withColumn(row, F.monotonically_increasing_id()))
     slot_cols = [F.col(f"sim_prod{s}") for s in range(1, n_slots + 1)]
-    longf = rows.select(row, F.posexplode(F.array(*slot_cols)).alias("slot", "sim")).filter(F.col("sim").isNotNull())
+    longf = rows.select(row, F.posexplode(F.array(*slot_cols)).alias("slot", "sim"))
+    if not null_keys_match:
+        longf = longf.filter(F.col("sim").isNotNull())
     right = products.select(F.col(key).alias("sim"), F.struct(*attrs).alias("p"))
-    found = longf.join(right, on="sim").groupBy(row).agg(*[
+    met = null_safe_join(longf, right, ["sim"]) if null_keys_match else longf.join(right, on="sim")
+    found = met.groupBy(row).agg(*[
         F.collect_list(F.when(F.col("slot") == s, F.col("p"))).alias(f"__p{s + 1}") for s in range(n_slots)])
     out = rows.join(found, row, "left")
     for s in range(1, n_slots + 1):

@@ -292,6 +292,31 @@ FROM tf JOIN dfr USING (word), (SELECT count(*) AS m FROM tok)""", [
 VOCAB = ("vocab", f"""SELECT word, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, word) + {D.FIRST_WORD_ID - 1} AS INTEGER) AS id
 FROM (SELECT word, count(*) AS cnt FROM (SELECT unnest(words) AS word FROM tok) GROUP BY word)""")
 SQL["build_vocabulary"] = cleaned_sql("SELECT * FROM vocab", [TOK, VOCAB])
+_SUBWORDS = [
+    TOK,
+    ("dw", "SELECT DISTINCT word FROM (SELECT unnest(words) AS word FROM tok) WHERE length(word) > 0"),
+    ("parts", """SELECT DISTINCT word, p > 1 AS cont, substr(word, p, n) AS body
+FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM dw), (VALUES (1), (2), (3), (4)) l(n) WHERE p + n - 1 <= length(word)"""),
+    ("sv", """SELECT cont, body, CAST(row_number() OVER (ORDER BY CASE WHEN cont THEN '##' ELSE '' END || body) + 3 AS INTEGER) AS id
+FROM (SELECT cont, body FROM parts GROUP BY ALL HAVING count(*) >= 3)"""),
+    ("cut", """SELECT word, 1 AS i, []::INTEGER[] AS ids FROM dw WHERE length(word) <= 100
+UNION ALL SELECT word, i + n, ids || [id] FROM (
+  SELECT c.word, c.i, c.ids, n, v.id, row_number() OVER (PARTITION BY c.word ORDER BY n DESC) AS r
+  FROM cut c, (VALUES (1), (2), (3), (4)) l(n), sv v
+  WHERE c.i + n - 1 <= length(c.word) AND v.body = substr(c.word, c.i, n) AND v.cont = (c.i > 1)) WHERE r = 1"""),
+    ("wp", f"""SELECT dw.word, coalesce(c.ids, [{D.UNK_ID}]) AS ids
+FROM dw LEFT JOIN cut c ON c.word = dw.word AND c.i = length(dw.word) + 1"""),
+]
+SQL["encode_subwords"] = cleaned_sql(f"""
+SELECT review_id, CAST([{D.CLS_ID}] || ids || [{D.SEP_ID}] || list_resize([]::INTEGER[], {D.MAX_LEN - 2} - len(ids), {D.PAD_ID})
+                       AS INTEGER[]) AS input_ids,
+       CAST(list_resize([]::INTEGER[], len(ids) + 2, 1) || list_resize([]::INTEGER[], {D.MAX_LEN - 2} - len(ids), 0)
+            AS INTEGER[]) AS attention_mask,
+       CAST(label AS INTEGER) AS targets
+FROM (SELECT tok.review_id, tok.label, coalesce(e.ids, []::INTEGER[])[1:{D.MAX_LEN - 2}] AS ids
+      FROM tok LEFT JOIN (SELECT review_id, flatten(list(wp.ids ORDER BY pos)) AS ids
+            FROM (SELECT review_id, unnest(range(len(words))) AS pos, unnest(words) AS word FROM tok) x
+            JOIN wp USING (word) GROUP BY review_id) e USING (review_id))""", _SUBWORDS).replace("WITH ", "WITH RECURSIVE ", 1)
 SQL["encode_fixed_length"] = cleaned_sql(f"""
 SELECT review_id, CAST([{D.CLS_ID}] || ids || [{D.SEP_ID}] || list_resize([]::INTEGER[], {D.MAX_LEN - 2} - len(ids), {D.PAD_ID})
                        AS INTEGER[]) AS input_ids,

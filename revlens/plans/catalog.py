@@ -21,6 +21,7 @@ from revlens.operators import polarity as POL
 from revlens.operators import products as PR
 from revlens.operators import sampling as K
 from revlens.operators import similar_index as SI
+from revlens.operators import subwords as SW
 from revlens.plans import aspect_job as AJ
 from revlens.plans import cleaning
 from revlens.session import materialize, scratch_path
@@ -463,6 +464,14 @@ def q_encode_fixed_length(spark, sf_dir):
     return encoded(spark, sf_dir)
 
 
+@register("encode_subwords")
+def q_encode_subwords(spark, sf_dir):
+    """L9 with a supplied sub-word vocabulary (here cut from the words of the table)."""
+    t = word_lists(spark, sf_dir)
+    vocab = materialize(FX.subword_vocabulary(FE.explode_words(t, "words")))
+    return SW.encode_subwords(t, vocab)
+
+
 @register("score_batches")
 def q_score_batches(spark, sf_dir):
     """A bag-of-ids model fitted on the training split (one distributed

@@ -6,7 +6,9 @@ asked for explicitly, which funnels all rows through one task."""
 
 from __future__ import annotations
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revlens import schemas
@@ -35,27 +37,110 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _writer(df: DataFrame, single_file: bool):
-    return (df.coalesce(1) if single_file else df).write.mode("overwrite")
+def _writer(df: DataFrame):
+    return df.write.mode("overwrite")
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
     """S5 (S8 with ``single_file``)."""
-    _writer(df, single_file).json(path)
+    _writer(df).json(path)
+    if single_file:
+        join_parts(df.sparkSession, path)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> None:
     """CSV, overwrite mode; values are written as is (no whitespace
     trimming) and quotes are doubled so ``read_csv`` restores them."""
-    (_writer(df, single_file)
-        .options(**dict(CSV_OPTS, header=str(header).lower()))
-        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-        .csv(path))
+    def write(rows: DataFrame, to: str, with_header: bool) -> None:
+        (_writer(rows).options(**dict(CSV_OPTS, header=str(with_header).lower()))
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+            .csv(to))
+
+    if not (single_file and header):
+        write(df, path, header)
+    else:
+        # the header once, as the writer itself quotes it: a row of names
+        names = df.sparkSession.range(1).select(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+        write(df, path, False)
+        write(names.coalesce(1), f"{path.rstrip('/')}/{HEADER}", False)
+    if single_file:
+        join_parts(df.sparkSession, path)
 
 
 def write_text(df: DataFrame, path: str, single_file: bool = False) -> None:
     """One line out per row of the single string column."""
-    _writer(df, single_file).text(path)
+    _writer(df).text(path)
+    if single_file:
+        join_parts(df.sparkSession, path)
+
+
+HEADER = "_header"
+
+
+def join_parts(spark: SparkSession, path: str) -> None:
+    """The part files of a folder, written in parallel, become one, in
+    their order (a header's first).
+
+    No task sees all rows.  A file system that can (HDFS) moves the blocks
+    together itself; on any other the bytes are appended as a stream, a buffer
+    at a time, and a part goes once it is in."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    folder = path_of(path)
+    fs = folder.getFileSystem(conf)
+
+    def parts_of(where) -> list:
+        found = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+        return sorted(found, key=lambda p: p.getName())
+
+    header = path_of(folder, HEADER)
+    parts = (parts_of(header) if fs.exists(header) else []) + parts_of(folder)
+    keep = {p.toString() for p in parts}
+    for s in fs.listStatus(folder):  # empty parts
+        if s.getPath().getName().startswith("part-") and s.getPath().toString() not in keep:
+            fs.delete(s.getPath(), False)
+    suffix = "".join(f".{x}" for x in (parts[0].getName().split(".")[1:] if parts else ["txt"]))
+    joined = path_of(folder, f"_joining{suffix}")
+    out = fs.create(joined, True)
+    try:
+        rest = parts
+        if parts:
+            first = fs.open(parts[0])
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(first, out, conf, False)
+            first.close()
+            rest = parts[1:]
+        out.close()
+        _append(spark, fs, joined, rest, conf)
+    finally:
+        out.close()
+    for p in parts:
+        fs.delete(p, False)
+    if fs.exists(header):
+        fs.delete(header, True)
+    fs.rename(joined, path_of(folder, f"part-00000{suffix}"))
+
+
+def _append(spark: SparkSession, fs, target, parts: list, conf) -> None:
+    if not parts:
+        return
+    jvm = spark._jvm
+    try:
+        array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, p in enumerate(parts):
+            array[i] = p
+        fs.concat(target, array)
+        return
+    except UnsupportedOperationException:
+        pass
+    whole = target.suffix(".whole")
+    out = fs.create(whole, True)
+    for p in [target, *parts]:
+        piece = fs.open(p)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(piece, out, conf, False)
+        piece.close()
+    out.close()
+    fs.delete(target, False)
+    fs.rename(whole, target)
 
 
 def values_table(spark: SparkSession, rows: list, columns: list[str]) -> DataFrame:
