@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import col, map_texts, staged, table, utf8
+from revlens.llm.common import col, map_texts, staged, table, utf8, worker_state
 
 CHUNK_BITS = 5  # a chunk has about 2^5 bytes
 MIN_CHUNK = 8  # of chunk ends closer than this the first one counts
@@ -50,6 +50,11 @@ REACH = 16  # bytes that the gear hash sees
 ANCHOR_WINDOW = 40  # the smallest hash of so many places in a row ends a chunk
 BYTES_AT_ONCE = 1 << 22
 WORD = re.compile(rb"\S+")
+NO_SPACE = np.array([not bytes([b]).isspace() for b in range(256)])
+#: Slices share running sums over a block and what lies up to SLICE_BYTES behind it.
+SLICE_BLOCK = 1 << 18
+SLICE_BYTES = 1 << 12
+SLICE_BASES = (1_103_515_245, 1_664_525_007)
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -218,26 +223,55 @@ def anchors(data: bytes) -> np.ndarray:
     return np.unique(np.concatenate([*found, [n][:n]])).astype(np.int64)
 
 
-def anchored_chunks(data: bytes) -> tuple[list[int], list[int], list[int]]:
+class PowerSums:
+    """Digests of many slices of a text: a polynomial over its bytes, modulo 2^31 - 1, for two
+    bases, from running sums that all slices share.  Slices over SLICE_BYTES have an own digest."""
+
+    def __init__(self, modulus: int = (1 << 31) - 1):
+        self.modulus = modulus
+        n = SLICE_BLOCK + SLICE_BYTES
+        self.tables = [(self.powers(base, n), self.powers(pow(base, -1, modulus), SLICE_BLOCK)) for base in SLICE_BASES]
+
+    def powers(self, base: int, n: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < n:
+            out = np.concatenate([out, out * np.uint64(pow(base, len(out), self.modulus)) % np.uint64(self.modulus)])
+        return out[:n]
+
+    def __call__(self, data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        import xxhash
+
+        raw, p = np.frombuffer(data, dtype=np.uint8), np.uint64(self.modulus)
+        out = np.zeros(len(begins), np.uint64)
+        short = len(data) <= SLICE_BLOCK
+        for block in [0][:len(begins)] if short else np.unique(begins // SLICE_BLOCK).tolist():
+            at = block * SLICE_BLOCK
+            mine = slice(None) if short else np.flatnonzero(begins // SLICE_BLOCK == block)
+            b, e = begins[mine] - at, np.minimum(ends[mine] - at, SLICE_BLOCK + SLICE_BYTES)
+            part = raw[at:at + int(e.max())].astype(np.uint64) + np.uint64(1)
+            for up, down in self.tables:
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[:len(part)])])  # below 2^60
+                out[mine] = (out[mine] << np.uint64(31)) | ((sums[e] - sums[b]) % p * down[b] % p)
+        for i in np.flatnonzero(ends - begins > SLICE_BYTES).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[begins[i]:ends[i]])
+        return out
+
+
+def anchored_chunks(data: bytes, digests_of: PowerSums) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Digests, begins and ends of the chunks, each with the 16 bytes before it; equal
     neighbours (repeated words) are one."""
-    import xxhash
-
     ends = anchors(data)
     begins = np.maximum(np.concatenate([[0], ends[:-1]])[:len(ends)] - REACH, 0)
-    digest = xxhash.xxh3_64_intdigest
-    digests = np.array([digest(data[b:e]) for b, e in zip(begins.tolist(), ends.tolist())], dtype=np.uint64)
+    digests = digests_of(data, begins, ends)
     first = np.flatnonzero(np.concatenate([[True], digests[1:] != digests[:-1]])[:len(ends)])
     last = np.append(first[1:], len(ends))[:len(first)] - 1
-    return digests[first].tolist(), begins[first].tolist(), ends[last].tolist()
+    return digests[first], begins[first], ends[last]
 
 
-def word_windows(data: bytes, marks: list[tuple[int, int]], min_words: int) -> tuple[list[int], list[int], list[int], list[int]]:
+def word_windows(data: bytes, marks: list[tuple[int, int]], min_words: int,
+                 digests_of: PowerSums) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Digests, begins, ends and first word of the windows of ``min_words`` whole words within
     ANCHOR_WINDOW bytes of the marks.  Words are numbered within a stretch of marks."""
-    import xxhash
-
-    digest = xxhash.xxh3_64_intdigest
     stretches: list[list[int]] = []
     for begin, end in sorted(marks):
         begin, end = max(begin - ANCHOR_WINDOW, 0), min(end + ANCHOR_WINDOW, len(data))
@@ -245,34 +279,39 @@ def word_windows(data: bytes, marks: list[tuple[int, int]], min_words: int) -> t
             stretches[-1][1] = max(stretches[-1][1], end)
         else:
             stretches.append([begin, end])
-    out = ([], [], [], [])
+    raw = np.frombuffer(data, dtype=np.uint8)
+    none = np.zeros(0, np.int64)
+    out = [[none], [none], [none]]
     for begin, end in stretches:
-        words = [m.span() for m in WORD.finditer(data, begin, end)]
-        if words and words[0][0] == begin > 0 and not data[begin - 1:begin].isspace():
-            del words[0]
-        if words and words[-1][1] == end < len(data) and not data[end:end + 1].isspace():
-            del words[-1]
-        for k in range(len(words) - min_words + 1):
-            b, e = words[k][0], words[k + min_words - 1][1]
-            for column, value in zip(out, (digest(data[b:e]), b, e, k)):
+        black = np.concatenate([[False], NO_SPACE[raw[begin:end]], [False]])
+        starts, stops = (np.flatnonzero(x) + begin for x in (black[1:] & ~black[:-1], black[:-1] & ~black[1:]))
+        if len(starts) and starts[0] == begin > 0 and NO_SPACE[raw[begin - 1]]:
+            starts, stops = starts[1:], stops[1:]
+        if len(starts) and stops[-1] == end < len(data) and NO_SPACE[raw[end]]:
+            starts, stops = starts[:-1], stops[:-1]
+        n = len(starts) - min_words + 1
+        if n > 0:
+            for column, value in zip(out, (starts[:n], stops[min_words - 1:], np.arange(n))):
                 column.append(value)
-    return out
-
-
-def merged_windows(marks: list[tuple[int, int, int, int]], min_words: int) -> list[tuple[int, int, int, int]]:
-    """(first byte, end, words, source) of the unions of overlapping windows (begin, end, first word, source)."""
-    out, k = [], 0
-    marks = sorted(marks)
-    while k < len(marks):
-        begin, end, first, source = marks[k]
-        last = first
-        k += 1
-        while k < len(marks) and marks[k][0] < end:
-            _, end, last, other = marks[k]
-            source = min(source, other)
-            k += 1
-        out.append((begin, end, last - first + min_words, source))
-    return out
+    begins, ends, first = (np.concatenate(c) for c in out)
+    return digests_of(data, begins, ends), begins, ends, first
+
+
+def merged_windows(marks: pa.ListArray, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(offsets, [first byte, end, words, source]): the unions of overlapping windows (place, first
+    word, source) in each list, a union's words counted and its smallest source."""
+    sizes = np.diff(marks.offsets.to_numpy())
+    place, word, source = (c.to_numpy() for c in marks.flatten().flatten())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    begin = place >> 32
+    order = np.lexsort((source, word, place, row))
+    row, begin, end, word, source = row[order], begin[order], (begin + (place & 0xFFFFFFFF))[order], word[order], source[order]
+    # a window that begins before the one before it has ended belongs to its union
+    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (begin[1:] >= end[:-1])])[:len(row)])
+    last = np.append(first[1:], len(row))[:len(first)] - 1
+    found = [begin[first], end[last], word[last] - word[first] + min_words,
+             np.minimum.reduceat(source, first) if len(first) else source]
+    return np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(sizes)))]), found
 
 
 def released(df: DataFrame, name: str) -> DataFrame:
@@ -295,21 +334,25 @@ def discard(made: DataFrame) -> None:
 
 
 def pieces(docs: DataFrame, column: str, names: list[str], make_lists) -> DataFrame:
-    """id, h and one row per piece: its digest and the named integers.  ``make_lists(value)`` gives
-    the digests and integers of a row's pieces as lists."""
+    """id, h and one row per piece: its digest and the named integers.  ``make_lists(text, marks,
+    digests_of)`` gives the digests and integers of a row's pieces as arrays."""
     piece = T.StructType([T.StructField("digest", T.LongType()), *[T.StructField(n, T.IntegerType()) for n in names]])
 
     def make_kernel():
+        digests_of = worker_state(("power-sums",), PowerSums)
+
         def kernel(values: pa.Array) -> list[pa.Array]:
-            columns, sizes = [[] for _ in piece.names], [0]
+            columns, sizes = [[np.zeros(0, np.int64)] for _ in piece.names], [0]
             texts = utf8(values.field(0)) if pa.types.is_struct(values.type) else utf8(values)
             marks = values.field(1).to_pylist() if pa.types.is_struct(values.type) else [None] * len(texts)
             for data, m in zip(texts, marks):
-                for c, found in zip(columns, make_lists(data, m)):
-                    c += found
-                sizes.append(len(columns[0]))
-            arrays = [pa.array(np.array(columns[0], dtype=np.uint64).view(np.int64), pa.int64())]
-            arrays += [pa.array(c, pa.int32()) for c in columns[1:]]
+                found = make_lists(data, m, digests_of)
+                columns[0].append(found[0].view(np.int64))
+                for c, x in zip(columns[1:], found[1:]):
+                    c.append(x)
+                sizes.append(sizes[-1] + len(found[0]))
+            arrays = [pa.array(np.concatenate(columns[0]))]
+            arrays += [pa.array(np.concatenate(c).astype(np.int32)) for c in columns[1:]]
             return [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(arrays, names=piece.names))]
 
         return kernel
@@ -332,7 +375,7 @@ def find_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", mi
     carry = list(carry or [ident])
     ident_col, h = col(ident).cast("long").alias("id"), F.xxhash64(col(ident), col(text)).alias("h")
     slim = docs.select(ident_col, h, col(text).alias("t")).filter("id is not null and t <> ''")
-    chunked = pieces(slim, "t", ["begin", "end"], lambda data, _: anchored_chunks(data))
+    chunked = pieces(slim, "t", ["begin", "end"], lambda data, _, digests_of: anchored_chunks(data, digests_of))
     # the windows of the first document are needed as well as those of the later ones; begin and size travel as one number
     place = (F.shiftleft(F.col("begin").cast("long"), 32) + F.col("end") - F.col("begin")).alias("place")
     placed = chunked.select("h", "digest", place)
@@ -341,19 +384,17 @@ def find_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", mi
     discard(chunked)
     near = slim.join(marks, "h").select("id", "h", F.struct("t", "marks").alias("x"))
     windows = pieces(near, "x", ["begin", "end", "word"],
-                     lambda data, m: word_windows(data, [(p >> 32, (p >> 32) + (p & 0xFFFFFFFF)) for p in m], min_words))
+                     lambda data, m, digests_of: word_windows(
+                         data, [(p >> 32, (p >> 32) + (p & 0xFFFFFFFF)) for p in m], min_words, digests_of))
     # a set, because identical rows give the same windows twice
     repeats = windows.select("id", "h", "digest", place, "word").join(shared_digests(windows), "digest") \
         .filter("source < id").groupBy("id", "h").agg(F.collect_set(F.struct("place", "word", "source")).alias("marks"))
 
     def make_kernel():
         def kernel(marks: pa.Array) -> list[pa.Array]:
-            out = []
-            for row in marks.to_pylist():
-                places = [(m["place"] >> 32, (m["place"] >> 32) + (m["place"] & 0xFFFFFFFF), m["word"], m["source"]) for m in row]
-                out.append([dict(zip(SPAN.names, s)) for s in merged_windows(places, min_words)])
-            kind = pa.list_(pa.struct([(f.name, pa.int64() if f.name == "source_doc_id" else pa.int32()) for f in SPAN.fields]))
-            return [pa.array(out, kind)]
+            offsets, columns = merged_windows(marks, min_words)
+            values = [pa.array(c, pa.int64() if f.name == "source_doc_id" else pa.int32()) for c, f in zip(columns, SPAN.fields)]
+            return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(values, names=SPAN.names))]
 
         return kernel
 
