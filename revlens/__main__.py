@@ -6,6 +6,7 @@ import argparse
 import importlib
 import json
 
+from revlens.operators.models import model_of_file
 from revlens.plans import jobs
 from revlens.session import build_session
 
@@ -39,6 +40,7 @@ def main(argv=None):
     p = sub.add_parser("score")
     p.add_argument("--clean", required=True)
     p.add_argument("--model", required=True, help="module:function that returns a predict function")
+    p.add_argument("--model-file", help="saved model; --model then names a function (local path) -> predict function")
     p.add_argument("--predictions", required=True)
     p = sub.add_parser("classify")
     p.add_argument("--clean", required=True)
@@ -69,7 +71,8 @@ def main(argv=None):
         jobs.split_sets(spark, a.clean, a.out, a.per_label)
     elif a.job == "score":
         module, _, name = a.model.partition(":")
-        jobs.score(spark, a.clean, getattr(importlib.import_module(module), name), a.predictions)
+        make = getattr(importlib.import_module(module), name)
+        jobs.score(spark, a.clean, model_of_file(spark, a.model_file, make) if a.model_file else make, a.predictions)
     elif a.job == "classify":
         m = jobs.train_classifier(spark, a.clean, a.model, a.predictions, a.kind)
         print(json.dumps(m.first().asDict()))

@@ -33,12 +33,19 @@ def demojize(c: Column, mapping: dict[str, str]) -> Column:
     The expression has the same few nodes for any number of entries."""
     if not mapping:
         return c
+    keys = list(mapping)
+    pattern, first = emoji_patterns(mapping)
+    pieces = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    names = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(mapping[k]) for k in keys]))
+    named = F.transform(pieces, lambda p: F.when(p.rlike("^" + first), F.coalesce(F.try_element_at(names, p), p)).otherwise(p))
+    return F.when(c.rlike(first), F.array_join(named, "")).otherwise(c)
+
+
+def emoji_patterns(mapping: dict[str, str]) -> tuple[str, str]:
+    """The pattern of mapped sequences and runs of other characters, and that of a sequence's first character."""
     keys = sorted(mapping, key=lambda k: (-len(k), k))
     first = "".join(_class_escape(k) for k in sorted({k[0] for k in keys}))
-    pieces = F.regexp_extract_all(c, F.lit(f"(?s){'|'.join(map(_quoted, keys))}|[^{first}]+|."), F.lit(0))
-    names = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(mapping[k]) for k in keys]))
-    named = F.transform(pieces, lambda p: F.when(p.rlike(f"^[{first}]"), F.coalesce(F.try_element_at(names, p), p)).otherwise(p))
-    return F.when(c.rlike(f"[{first}]"), F.array_join(named, "")).otherwise(c)
+    return f"(?s){'|'.join(map(_quoted, keys))}|[^{first}]+|.", f"[{first}]"
 
 
 def _class_escape(ch: str) -> str:

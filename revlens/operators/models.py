@@ -66,11 +66,17 @@ def fit_bag_model(encoded: DataFrame, buckets: int = 4096, n_classes: int = 3, i
 def bag_model(table: np.ndarray):
     """``make_predict_fn`` for ``score_batches`` from a ``fit_bag_model``
     table: sum of per-position log-likelihoods plus prior, arg-max class."""
+    predict_with = _bag_predictor()
+    return lambda: predict_with(table)
+
+
+def _bag_predictor():
+    """table -> predict function; a closure, so that workers need not import this package."""
     from revlens import dictionaries as D
-    buckets = table.shape[0] - 1
     first_word = D.FIRST_WORD_ID
 
-    def make_predict_fn():
+    def predict_with(table):
+        buckets = table.shape[0] - 1
         logp, prior = table[:-1], table[-1]
 
         def predict(ids: np.ndarray) -> np.ndarray:
@@ -79,6 +85,32 @@ def bag_model(table: np.ndarray):
             scores = (logp[ids % buckets] * real).sum(axis=1) + prior
             return scores.argmax(axis=1).astype(np.int32)
         return predict
+    return predict_with
+
+
+def bag_model_loader():
+    """A loader for ``model_of_file`` from a ``fit_bag_model`` table saved by ``numpy.save``:
+    the table is mapped into memory, so the workers of a machine share its pages."""
+    predict_with = _bag_predictor()
+
+    def load(path: str):
+        import numpy
+        return predict_with(numpy.load(path, mmap_mode="r"))
+    return load
+
+
+def model_of_file(spark, path: str, load):
+    """L8 + L11: ``make_predict_fn`` for ``score_batches`` from a saved model.
+
+    Spark ships the file (any path it can read) to every executor once, instead
+    of closing over it in every task; ``load(local path)`` runs once per Python
+    worker and returns the predict function."""
+    spark.sparkContext.addFile(path)
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+
+    def make_predict_fn():
+        from pyspark import SparkFiles
+        return load(SparkFiles.get(name))
     return make_predict_fn
 
 

@@ -380,3 +380,5 @@ SELECT review_id, asin, label, CAST('0x' || substr(md5(CAST(review_id AS VARCHAR
 SQL["unique_row_id"] = cleaned_sql("""
 SELECT review_id, asin, label, row_number() OVER (ORDER BY md5(CAST(review_id AS VARCHAR)), CAST(review_id AS VARCHAR)) AS uid
 FROM cleaned""")
+
+SQL["clean_reviews_sql"] = SQL["clean_reviews"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revlens import fixtures as FX
 from revlens import schemas
 from revlens.fixtures import hash32
+from revlens.functions import sql as SF
 from revlens.functions import text as T
 from revlens.operators import aspects as A
 from revlens.operators import evaluation as EV
@@ -161,7 +162,7 @@ def q_scan_json_reviews(spark, sf_dir):
 def q_scan_json_inferred(spark, sf_dir):
     path = scratch_path(spark, "reviews-json-inferred")
     S.write_json(raw_reviews(spark, sf_dir), path)
-    return S.read_json(spark, path, None)
+    return S.read_json_inferred(spark, path)
 
 
 @register("scan_csv_reviews")
@@ -228,6 +229,17 @@ def q_similar_enriched_long(spark, sf_dir):
     return J.enrich_slots_long(J.attach(p, FX.similar_products(spark, sf_dir)), p)
 
 
+@register("clean_reviews_sql")
+def q_clean_reviews_sql(spark, sf_dir):
+    """T18 in plain SQL over the registered functions."""
+    SF.register(spark, dict(FX.EMOJI_MAP))
+    return spark.sql("""
+        SELECT r.* EXCEPT (vote, review_text), vote_to_int(vote) AS vote, clean_review_text(review_text) AS review_text,
+               rating_label(overall) AS label
+        FROM {reviews} r LEFT ANTI JOIN (SELECT asin FROM {meta} WHERE main_cat = 'Books') b ON r.asin = b.asin
+        WHERE review_text IS NOT NULL""", reviews=FX.reviews(spark, sf_dir), meta=FX.meta(spark, sf_dir))
+
+
 @register("similar_products_indexed")
 def q_similar_products_indexed(spark, sf_dir):
     """X2 through the index; labels of one cell are searched whole."""

@@ -1,17 +1,20 @@
 """File scans and sinks.
 
 Scans take declared schemas so no inference pass runs over the data;
-sinks are distributed (one file per task) unless ``single_file`` is
-asked for explicitly, which funnels all rows through one task."""
+sinks are distributed (one file per task); with ``single_file`` the parts
+are joined afterwards."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revlens import schemas
+from revlens.session import materialize
 
 CSV_OPTS = {"header": "true", "escape": '"', "quote": '"'}
 
@@ -25,6 +28,22 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = schema
     return r.json(path)
 
 
+def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """S2 with the text read and parsed once: lines become VARIANT values,
+    written; their common schema is one aggregate over them, and the columns
+    are typed extractions.  A line that does not parse is a row of nulls.
+    Numbers with decimals are doubles, as inference by ``read.json`` has it."""
+    parsed = materialize(spark.read.text(path).select(F.try_parse_json("value").alias("v")))
+    kind = parsed.agg(F.schema_of_variant_agg("v")).head()[0]
+    if not kind or not kind.startswith("OBJECT<"):
+        return parsed.select()
+    # whole numbers are BIGINT; a decimal without places is "1.0", or beyond a long
+    ddl = re.sub(r"DECIMAL\((\d+),\s*(\d+)\)", lambda m: m[0] if m[2] == "0" and int(m[1]) > 18 else "DOUBLE",
+                 kind.replace("OBJECT<", "STRUCT<"))
+    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
+    return parsed.select(F.try_variant_get("v", "$", ddl).alias("r")).select("r.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, multi_line: bool = False) -> DataFrame:
     """S3: CSV with header.  ``multi_line`` is needed where quoted fields hold
     line ends; such a file cannot be split, so it is one task."""
