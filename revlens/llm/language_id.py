@@ -33,12 +33,11 @@ from revlens.llm.common import col, held_out, map_texts, table
 UNKNOWN = "und"
 
 #: The training sample: about SAMPLE_DOCS (at most SAMPLE_DOCS + SALTS) excerpts of EXCERPT_CHARS characters per
-#: language, of which DICT_BYTES normalised bytes make the dictionary, and at most
-#: MAX_LANGUAGES languages (the most frequent ones).  These bounds hold at any input size.
+#: language, of which DICT_BYTES normalised bytes make the dictionary.  These bounds hold at any input size.
+#: Every language that has a labelled text is learned; the driver and each worker hold one dictionary a language.
 SAMPLE_DOCS = 384
 EXCERPT_CHARS = 1_200
 DICT_BYTES = 65_536
-MAX_LANGUAGES = 256
 SALTS = 64
 #: Encoding: zstandard level, bytes per block, and the relative gap between the best
 #: and second-best size under which a text is rejected.
@@ -61,8 +60,7 @@ def normalise(text: str) -> bytes:
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS,
-          excerpt_chars: int = EXCERPT_CHARS, dict_bytes: int = DICT_BYTES,
-          max_languages: int = MAX_LANGUAGES) -> list[tuple[str, bytes]]:
+          excerpt_chars: int = EXCERPT_CHARS, dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the language with most rows first.
 
     The sample of a language is about ``sample_docs`` texts, those of smallest
@@ -70,7 +68,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     gives an excerpt at a place that depends on the hash."""
     rows = labelled.select(col(text).alias("t"), col(lang).alias("l")).filter(
         F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
-    counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()
+    counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").collect()
     hashed = rows.withColumn("h", F.xxhash64("t"))
     start = F.pmod("h", F.greatest(F.length("t") - excerpt_chars, F.lit(0)) + 1).cast("int") + 1
     cut = hashed.select("l", "h", F.substring("t", start, F.lit(excerpt_chars)).alias("e"))
