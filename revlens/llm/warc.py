@@ -9,13 +9,15 @@ payload.
 
 Defined results: a null payload is empty; payloads below ``min_bytes`` are
 always responses; a null url gives an empty target; of rows with the same
-smallest identifier and equal payloads one is the response (rows with a null
-identifier come last); an empty table gives an empty archive.
+smallest identifier and equal payloads one, by (url, row), is the response
+(rows with a null identifier come last); rows that share an identifier have
+records with different WARC-Record-IDs, since those also carry a row number of
+the archive; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm.common import col, staged, table
@@ -37,8 +39,9 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*groups), CONV32, BASE32)
 
 
-def record_id(ident: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(ident.cast("string"), F.lit("null")), F.lit(">"))
+def record_id(page: Column, row: Column) -> Column:
+    """Page identifier and row number in the archive: unique also where pages share an identifier."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), row.cast("string"), F.lit(">"))
 
 
 def header(fields: list[tuple[str, Column]]) -> Column:
@@ -55,76 +58,88 @@ def write(pages: DataFrame, path: str, ident: str = "page_id", url: str = "url",
                         F.coalesce(col(payload), F.lit("")).cast("binary").alias("body"))
     rows = rows.select("page", "url", F.sha2("body", 256).alias("sha256"), "body")
     # short rows decide who is the response; the bodies of copies are dropped before the shuffle where tasks meet them
+    # row numbers are given once, in the written table, so that every reader sees the same ones
     slim = staged(rows.select("page", "url", "sha256", base32_sha1(F.col("body")).alias("sha1"),
-                              F.octet_length("body").cast("long").alias("n")), "warc-records")
-    firsts = staged(slim.groupBy("sha256").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("records")), "warc-firsts")
-    marked = slim.join(firsts, "sha256").withColumn("is_first", F.col("page").eqNullSafe(F.col("first")))
-    # rows that repeat the smallest identifier: one of them is the response
-    rank = F.row_number().over(Window.partitionBy("sha256", "page").orderBy("url"))
-    ties = marked.filter("is_first").withColumn("rank", rank).unionByName(marked.filter("not is_first").withColumn("rank", F.lit(1)))
-    response = (F.col("n") < min_bytes) | (F.col("is_first") & (F.col("rank") == 1))
+                              F.octet_length("body").cast("long").alias("n"), F.monotonically_increasing_id().alias("row")), "warc-records")
+    order = F.struct(F.col("page").isNull().alias("unnamed"), "page", "url", "row")
+    firsts = staged(slim.groupBy("sha256").agg(F.min(order).alias("first")), "warc-firsts")
+    marked = slim.join(firsts, "sha256")
+    response = (F.col("n") < min_bytes) | (F.col("row") == F.col("first.row"))
     revisit = ~response
     text = header([
         ("WARC-Type", F.when(response, "response").otherwise("revisit")),
-        ("WARC-Record-ID", record_id(F.col("page"))),
+        ("WARC-Record-ID", record_id(F.col("page"), F.col("row"))),
         ("WARC-Date", F.lit(WARC_DATE)),
         ("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", "")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        ("WARC-Refers-To", F.when(revisit, record_id(F.col("first")))),
+        ("WARC-Refers-To", F.when(revisit, record_id(F.col("first.page"), F.col("first.row")))),
         ("Content-Type", F.lit("text/html; charset=utf-8")),
         ("Content-Length", F.when(response, F.col("n")).otherwise(0).cast("string")),
     ])
-    ties.select(F.col("page"), "sha256", text.alias("header")).write.parquet(f"{path}/headers")
+    marked.select("page", "sha256", text.alias("header")).write.parquet(f"{path}/headers")
     rows.groupBy("sha256").agg(F.first("body").alias("body")) \
         .select("sha256", base32_sha1(F.col("body")).alias("sha1"), "body").write.parquet(f"{path}/payloads")
 
 
 def field(name: str) -> Column:
+    """The value of a named field of the column ``header``."""
     found = F.regexp_extract("header", rf"\r\n{name}: ([^\r]*)\r\n", 1)
     return F.when(found != "", found)
 
 
-def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """sha256, sha1, n of the stored payloads; a payload whose bytes don't give its digests fails the read."""
+def payloads(spark: SparkSession, path: str) -> DataFrame:
+    """sha256 and body of the stored payloads; a body that doesn't give its digest fails the read."""
     rows = spark.read.schema("sha256 string, sha1 string, body binary").parquet(f"{path}/payloads")
     good = (F.sha2("body", 256) == F.col("sha256")) & (base32_sha1(F.col("body")) == F.col("sha1"))
     wrong = F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.col("sha256"))).cast("string")
-    return rows.select(F.when(good, F.col("sha256")).otherwise(wrong).alias("sha256"), "sha1",
-                       F.octet_length("body").cast("long").alias("n"))
+    return rows.select(F.when(good, F.col("sha256")).otherwise(wrong).alias("sha256"), "body")
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("page long, sha256 string, header string").parquet(f"{path}/headers")
 
 
-def index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record, read from the archive: page, payload_bytes, payload_digest, record_type, refers_to."""
-    bodies = staged(verified_payloads(spark, path), "warc-verified")
-    rows = headers(spark, path).select("page", "sha256", field("WARC-Type").alias("record_type"),
-                                       F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("digest"),
-                                       F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1).alias("to"),
-                                       field("Content-Length").cast("long").alias("length"))
-    joined = rows.join(bodies, "sha256", "left")
-    good = (F.col("sha1") == F.col("digest")) & F.when(F.col("record_type") == "response", F.col("length") == F.col("n")) \
-        .otherwise(F.col("length") == 0)
-    wrong = F.raise_error(F.concat(F.lit("record does not match its payload: "), F.col("page").cast("string")))
-    return joined.select("page", F.when(good, F.col("n")).otherwise(wrong.cast("long")).alias("payload_bytes"),
-                         F.col("digest").alias("payload_digest"), "record_type",
-                         F.when(F.col("to") != "", F.col("to")).cast("long").alias("refers_to"))
-
-
 def records(spark: SparkSession, path: str, expand_revisits: bool = False) -> DataFrame:
     """page and the bytes of every record as a WARC file holds them: header,
-    block, two line ends.  With ``expand_revisits`` revisits carry their payload too."""
-    bodies = spark.read.schema("sha256 string, sha1 string, body binary").parquet(f"{path}/payloads")
+    block, two line ends.  With ``expand_revisits`` revisits carry their payload too.
+    A record whose payload is not in the archive fails the read."""
     rows = headers(spark, path)
-    block = F.when((field("WARC-Type") == "response") | F.lit(expand_revisits), F.col("body")).otherwise(F.lit(b""))
-    return rows.join(bodies, "sha256").select("page", F.concat(F.encode("header", "UTF-8"), block, F.lit(b"\r\n\r\n")).alias("record"))
+    lost = F.raise_error(F.concat(F.lit("record without its payload: "), F.col("sha256"))).cast("binary")
+    body = F.coalesce(F.col("body"), lost)
+    block = F.when((field("WARC-Type") == "response") | F.lit(expand_revisits), body).otherwise(F.lit(b""))
+    return rows.join(payloads(spark, path), "sha256", "left") \
+        .select("page", F.concat(F.encode("header", "UTF-8"), block, F.lit(b"\r\n\r\n")).alias("record"))
+
+
+def parsed(rebuilt: DataFrame) -> DataFrame:
+    """header (text, with its last line end) and block (bytes) of the column ``record``."""
+    head = F.substring_index(F.col("record").cast("string"), CRLF + CRLF, 1)
+    cut = rebuilt.withColumn("header", F.concat(head, F.lit(CRLF)))
+    begin = F.octet_length("header") + len(CRLF) + 1
+    size = F.octet_length("record") - F.octet_length("header") - 3 * len(CRLF)
+    return cut.select("header", F.substring("record", begin, size).alias("block"))
+
+
+def index(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record, read from the rebuilt records with their whole
+    payloads: page, payload_bytes, payload_digest, record_type, refers_to."""
+    rows = parsed(records(spark, path, expand_revisits=True)).select(
+        F.regexp_extract(field("WARC-Record-ID"), "^<urn:page:(-?[0-9]+|null):", 1).alias("page"),
+        field("WARC-Type").alias("record_type"), F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("digest"),
+        F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+):", 1).alias("to"),
+        field("Content-Length").cast("long").alias("length"),
+        F.octet_length("block").cast("long").alias("n"), base32_sha1(F.col("block")).alias("sha1"))
+    good = (F.col("sha1") == F.col("digest")) & (F.col("length") == F.when(F.col("record_type") == "response", F.col("n")).otherwise(0))
+    wrong = F.raise_error(F.concat(F.lit("record does not match its payload: "), F.col("page")))
+    return rows.select(F.when(F.col("page") != "null", F.col("page")).cast("long").alias("page"),
+                       F.when(good, F.col("n")).otherwise(wrong.cast("long")).alias("payload_bytes"),
+                       F.col("digest").alias("payload_digest"), "record_type",
+                       F.when(F.col("to") != "", F.col("to")).cast("long").alias("refers_to"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive every page and report the records as read back."""
+    """Archive every page, rebuild every record and report what the records say."""
     path = scratch_path(spark, "warc")
     write(table(spark, sf_dir, "pages"), path)
     return index(spark, path).withColumnRenamed("page", "page_id")

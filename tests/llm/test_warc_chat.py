@@ -57,12 +57,31 @@ def test_records_are_rebuilt_and_stored_once(spark, tmp_path):
             head, _, rest = records[p].partition(b"\r\n\r\n")
             assert rest == body + b"\r\n\r\n" and head.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
             assert f"Content-Length: {len(body)}".encode() in head.split(b"\r\n")
-    assert b"WARC-Type: revisit" in records[3] and b"WARC-Refers-To: <urn:page:1>" in records[3]
+    assert b"WARC-Type: revisit" in records[3] and b"WARC-Refers-To: <urn:page:1:" in records[3]
     assert b"WARC-Target-URI: uX: y" in records[5]
     full = {r.page: bytes(r.record) for r in warc.records(spark, path, expand_revisits=True).filter("page = 3").collect()}
     assert full[3].endswith("\r\n\r\nsame é\r\n\r\n".encode())
 
 
+def test_record_ids_are_unique_and_revisits_name_one_record(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write(pages(spark, ROWS + [(1, "u1", "same é")] * 3 + [(None, None, None)] * 2), path)
+    rows = [(r.id, r.kind, r.to) for r in warc.parsed(warc.records(spark, path)).select(
+        warc.field("WARC-Record-ID").alias("id"), warc.field("WARC-Type").alias("kind"), warc.field("WARC-Refers-To").alias("to")).collect()]
+    assert len({i for i, _, _ in rows}) == len(rows) == len(ROWS) + 5
+    responses = {i for i, kind, _ in rows if kind == "response"}
+    assert all(to in responses for _, kind, to in rows if kind == "revisit")
+
+
+def test_a_lost_payload_is_noticed(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write(pages(spark), path)
+    spark.read.parquet(f"{path}/payloads").filter("length(body) > 0").write.parquet(str(tmp_path / "v/payloads"))
+    spark.read.parquet(f"{path}/headers").write.parquet(str(tmp_path / "v/headers"))
+    with pytest.raises(Exception, match="record without its payload"):
+        warc.index(spark, str(tmp_path / "v")).collect()
+
+
 def test_small_payloads_are_not_revisited(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write(pages(spark), path, min_bytes=10)
