@@ -73,6 +73,21 @@ def test_record_ids_are_unique_and_revisits_name_one_record(spark, tmp_path):
     assert all(to in responses for _, kind, to in rows if kind == "revisit")
 
 
+def test_buckets_spare_the_payloads_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "w")
+    buckets = warc.write(pages(spark), path, buckets=3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rebuilt = warc.records(spark, path, buckets=buckets)
+        got = sorted((r.page or 0, bytes(r.record)) for r in rebuilt.collect())
+        plan = rebuilt._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted((r.page or 0, bytes(r.record)) for r in warc.records(spark, path).collect())
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("revlens_payloads")]
+
+
 def test_a_lost_payload_is_noticed(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write(pages(spark), path)
