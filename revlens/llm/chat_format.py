@@ -6,21 +6,31 @@ rendered once as the prompt; what follows on each side is rendered as that
 side's completion, with the character ranges that the loss is taken on (the
 contents of assistant turns, end mark included).
 
+No pair is gathered in one task.  Turns get their positions from
+range-partitioned running counts, the two sides meet by (pair, position), the
+prompt ends before the smallest position at which they differ, and the result
+comes in pages of at most PAGE_TURNS turns of prompt and of each completion.
+
 Defined results: turns are ordered by (turn, role, text), nulls first; equal
 turns have equal role and text, nulls equal to nulls; a null role is written
 as ``unknown`` and a null text as empty; turns without a pair identifier form
 the pair null; a pair with one side only has an empty completion on the other
 and its whole common prefix is empty; identical sides give a prompt and two
-empty completions.  One pair is one output row, so its turns meet in one task.
+empty completions.  One pair of up to PAGE_TURNS turns is one row; a longer one
+has a row for each page, whose ranges count from the page's first character.
+Sides other than ``chosen`` and ``rejected`` count as neither; a pair without
+turns of either has one row of empty texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import col, table
+from revlens.llm.common import col, staged, table
+from revlens.operators.ordered import dense_rank_by, null_safe_join
 
+PAGE_TURNS = 256
 # fixed values: the marks around a turn
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "<|end|>\n"
 
@@ -44,46 +54,69 @@ def masks(turns: Column) -> Column:
     return F.array_join(F.aggregate(turns, start, add, lambda s: s["spans"]), ";")
 
 
+def with_positions(turns: DataFrame, group: list[str]) -> DataFrame:
+    """Add ``k``, the position from 1 of a turn within its group by (turn, role, text)."""
+    numbered = turns.withColumn("__row", F.monotonically_increasing_id())  # so that many equal turns spread over ranges
+    order = [(name, True) for name in ("turn", "role", "text", "__row")]
+    return dense_rank_by(numbered, order, "k", partition_by=group).drop("__row")
+
+
 def format_pairs(turns: DataFrame, pair: str = "pair_id", side: str = "side", turn: str = "turn", role: str = "role",
-                 text: str = "text") -> DataFrame:
-    """pair_id, n_prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask of every pair."""
-    one = F.struct(col(turn).alias("turn"), col(role).alias("role"), col(text).alias("text"))
-    both = turns.groupBy(col(pair).alias("pair_id")).agg(
-        F.sort_array(F.collect_list(F.when(col(side) == "chosen", one))).alias("c"),
-        F.sort_array(F.collect_list(F.when(col(side) == "rejected", one))).alias("r"))
-    same = F.zip_with("c", "r", lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"]))
-    shared = F.array_position(F.concat(same, F.array(F.lit(False))), False)  # zip_with fills the shorter side with nulls
-    shared = F.least(shared - 1, F.size("c").cast("long"), F.size("r").cast("long")).cast("int")
-    cut = both.withColumn("n", shared)
-    render = lambda turns: F.array_join(F.transform(turns, rendered), "")
-    rest = lambda name: F.slice(name, F.col("n") + 1, F.greatest(F.size(name) - F.col("n"), F.lit(0)))
-    return cut.select("pair_id", F.col("n").cast("long").alias("n_prompt_turns"),
-                      render(F.slice("c", F.lit(1), F.col("n"))).alias("prompt"),
-                      render(rest("c")).alias("chosen"), render(rest("r")).alias("rejected"),
-                      masks(rest("c")).alias("chosen_mask"), masks(rest("r")).alias("rejected_mask"))
+                 text: str = "text", page_turns: int = PAGE_TURNS) -> DataFrame:
+    """pair_id, page (from 0), n_prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask of every pair."""
+    plain = turns.select(col(pair).alias("pair_id"), F.when(col(side).isin("chosen", "rejected"), col(side)).alias("side"),
+                         col(turn).alias("turn"), col(role).alias("role"), col(text).alias("text"))
+    return of_placed(with_positions(plain, ["pair_id", "side"]), page_turns)
+
+
+def of_placed(placed: DataFrame, page_turns: int = PAGE_TURNS) -> DataFrame:
+    """``format_pairs`` of turns (pair_id, side, k, role, text) that know their positions."""
+    one = F.struct("role", "text")
+    keys = placed.withColumn("k", F.when(F.col("side").isNotNull(), F.col("k")))  # a turn of neither side only names its pair
+    both = staged(keys.groupBy("pair_id", "k").agg(F.max(F.when(F.col("side") == "chosen", one)).alias("c"),
+                                                   F.max(F.when(F.col("side") == "rejected", one)).alias("r")), "chat-aligned")
+    same = F.col("c").isNotNull() & F.col("r").isNotNull() & F.col("c.role").eqNullSafe(F.col("r.role")) \
+        & F.col("c.text").eqNullSafe(F.col("r.text"))
+    cuts = staged(both.groupBy("pair_id").agg(F.coalesce(F.min(F.when(~same, F.col("k"))) - 1, F.max("k"), F.lit(0)).alias("n")), "chat-cuts")
+    cut = null_safe_join(both, cuts, ["pair_id"])
+    shared = F.col("k") <= F.col("n")
+    first = F.when(shared, F.lit(1)).otherwise(F.col("n") + 1)  # of the section the turn is in
+    rows = cut.withColumn("page", F.coalesce(F.floor((F.col("k") - first) / page_turns), F.lit(0)).cast("long"))
+
+    def listed(which: Column, name: str) -> Column:
+        got = F.collect_list(F.when(which & F.col(name).isNotNull(),
+                                    F.struct("k", F.col(f"{name}.role").alias("role"), F.col(f"{name}.text").alias("text"))))
+        return F.sort_array(got)
+
+    pages = rows.groupBy("pair_id", "page", F.col("n").alias("n_prompt_turns")).agg(
+        listed(shared, "c").alias("p"), listed(~shared, "c").alias("c"), listed(~shared, "r").alias("r"))
+    render = lambda name: F.array_join(F.transform(name, rendered), "")
+    return pages.select("pair_id", "page", F.col("n_prompt_turns").cast("long"), render("p").alias("prompt"), render("c").alias("chosen"),
+                        render("r").alias("rejected"), masks(F.col("c")).alias("chosen_mask"), masks(F.col("r")).alias("rejected_mask"))
 
 
 def preference_turns(conversations: DataFrame) -> DataFrame:
-    """Preference pairs from plain conversations, in long form: chosen is the
-    conversation itself; rejected has, instead of each last assistant turn's
-    text, the text of the turn before it (an answer that echoes), and stops there."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = conversations.select("conv_id", "turn", "role", "text", F.row_number().over(order).alias("k"),
-                                  F.lag("text").over(order).alias("echo"),
-                                  F.max(F.when(F.col("role") == "assistant", F.struct("turn", "role", "text"))).over(whole).alias("last"))
-    placed = placed.withColumn("last_k", F.max(F.when(F.col("role") == "assistant", F.col("k"))).over(whole)).drop("last")
+    """Preference pairs from plain conversations (pair_id, side, k, role, text):
+    chosen is the conversation itself; rejected has, instead of each last
+    assistant turn's text, the text of the turn before it (an answer that
+    echoes), and stops there.  Both sides keep the conversation's positions."""
+    placed = staged(with_positions(conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text"), ["pair_id"])
+                    .drop("turn"), "chat-placed")
+    lasts = placed.groupBy("pair_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("k"))).alias("last_k"))
+    # a second row per conversation at most: the turn before its last answer
+    before = placed.select("pair_id", (F.col("k") + 1).alias("last_k"), F.col("text").alias("echo"))
+    echoes = staged(null_safe_join(lasts, before, ["pair_id", "last_k"], "left"), "chat-echoes")
+    known = null_safe_join(placed, echoes, ["pair_id"])
     sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text")),
                     F.struct(F.lit("rejected").alias("side"),
                              F.when(F.col("k") == F.col("last_k"), F.col("echo")).otherwise(F.col("text")).alias("text")))
     kept = F.filter(sides, lambda s: (s["side"] == "chosen") | F.col("last_k").isNull() | (F.col("k") <= F.col("last_k")))
-    return placed.select(F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(kept).alias("s")) \
-        .select("pair_id", "s.side", "turn", "role", "s.text")
+    return known.select("pair_id", "k", "role", F.explode(kept).alias("s")).select("pair_id", "s.side", "k", "role", "s.text")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions of every conversation's preference pair."""
-    return format_pairs(preference_turns(table(spark, sf_dir, "conversations")))
+    return of_placed(preference_turns(table(spark, sf_dir, "conversations")))
 
 
 ORACLE = """
@@ -97,13 +130,14 @@ r AS (SELECT *, CASE WHEN k = last_k THEN echo ELSE text END AS rtext,
              last_k IS NULL OR k <= last_k AS in_r FROM lasts),
 -- the sides part at the echo unless it equals the answer; then at the first turn the rejected side lacks
 p AS (SELECT *, min(CASE WHEN NOT in_r OR rtext IS DISTINCT FROM text THEN k END) OVER (PARTITION BY conv_id) AS part FROM r),
-s AS (SELECT *, coalesce(k < part, true) AS shared,
+s AS (SELECT *, coalesce(k < part, true) AS shared, (k - CASE WHEN coalesce(k < part, true) THEN 1 ELSE part END) // 256 AS page,
+             coalesce(part - 1, n) AS n_prompt_turns,
              '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS head,
              coalesce(text, '') AS ct, coalesce(rtext, '') AS rt, '<|end|>' || chr(10) AS tail FROM p),
 o AS (SELECT *, coalesce(sum(CASE WHEN NOT shared THEN length(head || ct || tail) END) OVER v, 0) AS cat,
              coalesce(sum(CASE WHEN NOT shared AND in_r THEN length(head || rt || tail) END) OVER v, 0) AS rat
-      FROM s WINDOW v AS (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT conv_id AS pair_id, count(*) FILTER (shared) AS n_prompt_turns,
+      FROM s WINDOW v AS (PARTITION BY conv_id, page ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT conv_id AS pair_id, page, n_prompt_turns,
        coalesce(string_agg(head || ct || tail, '' ORDER BY k) FILTER (shared), '') AS prompt,
        coalesce(string_agg(head || ct || tail, '' ORDER BY k) FILTER (NOT shared), '') AS chosen,
        coalesce(string_agg(head || rt || tail, '' ORDER BY k) FILTER (NOT shared AND in_r), '') AS rejected,
@@ -111,5 +145,5 @@ SELECT conv_id AS pair_id, count(*) FILTER (shared) AS n_prompt_turns,
                 FILTER (NOT shared AND role = 'assistant'), '') AS chosen_mask,
        coalesce(string_agg(CAST(rat + length(head) AS BIGINT) || '-' || CAST(rat + length(head) + length(rt) + 7 AS BIGINT), ';' ORDER BY k)
                 FILTER (NOT shared AND in_r AND role = 'assistant'), '') AS rejected_mask
-FROM o GROUP BY conv_id
+FROM o GROUP BY conv_id, page, n_prompt_turns
 """

@@ -5,16 +5,21 @@ vocabulary.  Each Arrow batch of documents is a shard: its word positions from
 which a match of the shortest window could start (all words known, all
 neighbouring pairs known: a lossless test) are put into one array, and a
 suffix array sorts them.  Every suffix of every benchmark item is located by
-binary search; its neighbours give the longest verbatim match, and the
-interval of suffixes that begin with its window gives all places of it.
-Documents never leave their task: there is no shuffle.
+binary search; the interval of suffixes that begin with its window gives all
+places of it, and the sorted test suffixes around a training suffix give the
+longest verbatim match that begins there.  Two suffixes are compared by names
+of their stretches of 1, 2, 4, ... words (equal names, equal words), so that a
+comparison takes steps by the logarithm of the match and repeated words cost
+no more than others.  Documents never leave their task: there is no shuffle.
 
 The benchmark is read in blocks of about BLOCK_BYTES of text by item hash; a
 block is what the driver and a worker hold at a time, whatever the size of
 the benchmark.
 
 Defined results: null texts and texts without words have no words and are
-clean; an item without words has no window; an item with fewer words than the
+clean; ``matches`` has every longest verbatim match with a window in it that
+is not the tail of one beginning a word earlier, in document order (where
+several items have it, one of them is named); an item without words has no window; an item with fewer words than the
 window is one window; repeated items and equal windows count once per item
 identifier; a null item identifier is written as ``null``; an empty benchmark
 leaves all documents clean.
@@ -43,7 +48,8 @@ WORD_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else
 MATCH = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("item_word", T.IntegerType()),
                       T.StructField("doc_word", T.IntegerType()), T.StructField("n_words", T.IntegerType())])
 FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-          T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", MATCH)]
+          T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", MATCH),
+          T.StructField("matches", T.ArrayType(MATCH))]
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -90,7 +96,7 @@ class Block:
         self.shortest = min(self.window_len, default=window)
         self.window_at = np.array(self.window_at, dtype=np.int64)
         self.window_len = np.array(self.window_len, dtype=np.int64)
-        self.starts = np.flatnonzero(self.tokens[:-1])  # every test suffix
+        self.starts = suffix_array(self.tokens)  # every test suffix, sorted
 
     def pairs(self) -> np.ndarray:
         seen = np.zeros(PAIR_SLOTS, dtype=bool)
@@ -121,25 +127,49 @@ def suffix_array(tokens: np.ndarray) -> np.ndarray:
     return order[tokens[order] > 0]
 
 
-def compare(test: np.ndarray, at: np.ndarray, train: np.ndarray, where: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sign of test - train, equal words) of suffix pairs, looking at ``most`` words at most."""
-    sign = np.zeros(len(at), dtype=np.int8)
-    same = np.zeros(len(at), dtype=np.int64)
-    live = np.arange(len(at))
-    depth = 0
-    while len(live):
-        live = live[most[live] > depth]
-        x, y = test[at[live] + depth], train[where[live] + depth]
-        differ = x != y
-        sign[live[differ]] = np.where(x[differ] < y[differ], -1, 1)
-        ended = differ | (x == 0)
-        same[live[~ended]] += 1
-        live = live[~ended]
-        depth += 1
-    return sign, same
-
-
-def insertion(test: np.ndarray, at: np.ndarray, train: np.ndarray, order: np.ndarray, most: np.ndarray, after_equal: bool) -> np.ndarray:
+class Names:
+    """Names of the stretches of 1, 2, 4, ... words of the test words and of the
+    training words: equal exactly where the words are; 0 where a stretch ends
+    sooner or, in the training words, where no test stretch is equal.  Levels go
+    as far as some training stretch is equal."""
+
+    def __init__(self, test: np.ndarray, train: np.ndarray):
+        self.test, self.train = [test.astype(np.int32)], [train.astype(np.int32)]
+        size = 1
+        while self.train[-1].any() and size < len(test):
+            x, y = self._codes(self.test[-1], size), self._codes(self.train[-1], size)
+            known, names = np.unique(x, return_inverse=True)
+            if len(known) < 2:
+                break  # no test stretch is that long
+            at = np.minimum(np.searchsorted(known, y), len(known) - 1)
+            # code 0 sorts first and keeps the name 0
+            self.test.append(names.astype(np.int32) if known[0] == 0 else names.astype(np.int32) + 1)
+            self.train.append(np.where((y > 0) & (known[at] == y), at if known[0] == 0 else at + 1, 0).astype(np.int32))
+            size *= 2
+
+    @staticmethod
+    def _codes(names: np.ndarray, size: int) -> np.ndarray:
+        after = np.zeros(len(names), dtype=np.int64)
+        after[:max(len(names) - size, 0)] = names[size:]
+        return np.where((names > 0) & (after > 0), (names.astype(np.int64) << 32) | after, 0)
+
+    def same(self, at: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Equal words of pairs of a test suffix and a training suffix."""
+        length = np.zeros(len(at), dtype=np.int64)
+        for level in range(len(self.test) - 1, -1, -1):
+            # a stretch and the 0 behind it lie within the words, so the places do too
+            x, y = self.test[level][at + length], self.train[level][where + length]
+            length += ((x == y) & (x > 0)).astype(np.int64) << level
+        return length
+
+    def sign(self, at: np.ndarray, where: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
+        """Of test - training suffixes, looking at ``most`` words at most."""
+        length = self.same(at, where)
+        out = np.sign(self.test[0][at + length].astype(np.int64) - self.train[0][where + length])
+        return out if most is None else np.where(length >= most, 0, out)
+
+
+def insertion(names: Names, at: np.ndarray, order: np.ndarray, most: np.ndarray | None = None, after_equal: bool = False) -> np.ndarray:
     """Binary search of all test suffixes at once in the sorted training suffixes."""
     low = np.zeros(len(at), dtype=np.int64)
     high = np.full(len(at), len(order), dtype=np.int64)
@@ -148,7 +178,7 @@ def insertion(test: np.ndarray, at: np.ndarray, train: np.ndarray, order: np.nda
         if not len(open_):
             return low
         mid = (low[open_] + high[open_]) // 2
-        sign, _ = compare(test, at[open_], train, order[mid], most[open_])
+        sign = names.sign(at[open_], order[mid], None if most is None else most[open_])
         right = sign >= 0 if after_equal else sign > 0
         low[open_[right]] = mid[right] + 1
         high[open_[~right]] = mid[~right]
@@ -185,34 +215,36 @@ def shard(block: Block, pairs: np.ndarray, docs: list[list[bytes]]):
 
 
 def search(block: Block, pairs: np.ndarray, docs: list[list[bytes]]):
-    """Per document of the batch: hit word places, items, longest match."""
+    """Per document of the batch: hit word places, items, matches."""
     hit: dict[int, np.ndarray] = {}
     items: dict[int, set[str]] = {}
-    longest: dict[int, tuple] = {}
+    matches: dict[int, list[tuple]] = {}
     tokens, owner, place = shard(block, pairs, docs)
     order = suffix_array(tokens)
     if not len(order) or not len(block.window_at):
-        return hit, items, longest
+        return hit, items, matches
     test, starts = block.tokens, block.starts
-    deep = np.full(len(starts), len(tokens), dtype=np.int64)
-    at = insertion(test, starts, tokens, order, deep, False)
-    best = np.zeros(len(starts), dtype=np.int64)
-    for shift in (-1, 0):
-        ok = np.flatnonzero((at + shift >= 0) & (at + shift < len(order)))
-        _, same = compare(test, starts[ok], tokens, order[at[ok] + shift], deep[ok])
-        best[ok] = np.maximum(best[ok], same)
-    longest_at = np.zeros(len(test), dtype=np.int64)  # longest verbatim match of the suffix at a place
-    longest_at[starts] = best
-    found = np.flatnonzero(longest_at[block.window_at] >= block.window_len)
-    if not len(found):
-        return hit, items, longest
-    q, most = block.window_at[found], block.window_len[found]
-    low = insertion(test, q, tokens, order, most, False)
-    high = insertion(test, q, tokens, order, most, True)
+    names = Names(test, tokens)
+    at = insertion(names, starts, order)  # ascending, as the test suffixes are sorted
+    # the sorted test suffixes on both sides of a training suffix have its longest match
+    best = np.zeros(len(tokens), dtype=np.int64)
+    best_at = np.zeros(len(tokens), dtype=np.int64)
+    after = np.searchsorted(at, np.arange(len(order)), side="right")
+    for side in (after - 1, after):
+        ok = np.flatnonzero((side >= 0) & (side < len(starts)))
+        spot, of = order[ok], starts[side[ok]]
+        same = names.same(of, spot)
+        better = same > best[spot]
+        best[spot[better]], best_at[spot[better]] = same[better], of[better]
+    # all places of all windows
+    q, most = block.window_at, block.window_len
+    low = insertion(names, q, order, most)
+    high = insertion(names, q, order, most, True)
     count = high - low
-    which = np.repeat(np.arange(len(found)), count)
+    which = np.repeat(np.arange(len(q)), count)
+    if not len(which):
+        return hit, items, matches
     spot = order[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
-    _, same = compare(test, q[which], tokens, spot, np.full(len(which), len(tokens), dtype=np.int64))
     change = np.zeros(len(tokens) + 1, dtype=np.int64)
     np.add.at(change, spot, 1)
     np.add.at(change, spot + most[which], -1)
@@ -221,22 +253,27 @@ def search(block: Block, pairs: np.ndarray, docs: list[list[bytes]]):
     for d, places in zip(docs_hit.tolist(), np.split(place[covered], begins[1:])):
         hit[d] = places
     of = owner[spot]
-    for code in np.unique(of * len(found) + which).tolist():
-        items.setdefault(code // len(found), set()).update(block.window_items[int(found[code % len(found)])])
-    # per document the longest match; ties: first in the document, then first in the block
-    by = np.lexsort((q[which], place[spot], -same, of))
-    head = by[np.concatenate([[True], of[by][1:] != of[by][:-1]])]
-    for k in head.tolist():
-        i = int(q[which[k]])
-        longest[int(of[k])] = (block.item_ids[block.item_of[i]], block.place[i], int(place[spot[k]]), int(same[k]))
-    return hit, items, longest
+    for code in np.unique(of * len(q) + which).tolist():
+        items.setdefault(code // len(q), set()).update(block.window_items[code % len(q)])
+    # matches: they begin with a window, or the window lies further inside and the match begins before it
+    tail = np.zeros(len(tokens), dtype=bool)  # the match is the rest of the one a word earlier
+    tail[1:] = (best[:-1] == best[1:] + 1) & (best[1:] > 0)
+    windows = np.zeros(len(tokens) + 1, dtype=np.int64)  # smallest end of a window beginning at or after a place
+    windows[:] = len(tokens) + 1
+    np.minimum.at(windows, spot, spot + most[which])
+    windows = np.minimum.accumulate(windows[::-1])[::-1]
+    heads = np.flatnonzero((best > 0) & ~tail)
+    for i in heads[windows[heads] <= heads + best[heads]].tolist():
+        k = int(best_at[i])
+        matches.setdefault(int(owner[i]), []).append((block.item_ids[block.item_of[k]], block.place[k], int(place[i]), int(best[i])))
+    return hit, items, matches
 
 
 def blocks_of(benchmark: DataFrame, text: str, item: str, window: int, block_bytes: int):
     """Broadcast blocks of the benchmark; each passes the driver on its own."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.coalesce(col(item).cast("string"), F.lit("null")).alias("i"),
-                            F.coalesce(col(text), F.lit("")).cast("binary").alias("t"))
+                            F.coalesce(col(text), F.lit("")).cast("binary").alias("t")).distinct()  # equal rows share a block
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     out = []
@@ -250,7 +287,7 @@ def blocks_of(benchmark: DataFrame, text: str, item: str, window: int, block_byt
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "text", item: str = "item_id",
                        benchmark_text: str = "text", window: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``row`` and n_words, n_hit, items (sorted), longest match of every document."""
+    """``row`` and n_words, n_hit, items (sorted), longest match and all matches of every document."""
     shared = blocks_of(benchmark, benchmark_text, item, window, block_bytes)
 
     def make_kernel():
@@ -260,7 +297,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str],
             docs_words = [words_of(d) for d in utf8(texts)]
             hits: dict[int, np.ndarray] = {}
             items: dict[int, set[str]] = {}
-            longest: dict[int, tuple] = {}
+            matches: dict[int, list[tuple]] = {}
             for k, b in enumerate(shared):
                 block = b.value
                 if k not in tables:
@@ -272,18 +309,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str],
                     hits[d] = np.union1d(hits[d], places) if d in hits else places
                 for d, names in found[1].items():
                     items.setdefault(d, set()).update(names)
-                for d, match in found[2].items():
-                    if d not in longest or match[3] > longest[d][3]:
-                        longest[d] = match
+                for d, more in found[2].items():
+                    matches.setdefault(d, []).extend(more)
                 if len(shared) > 1:
                     b.__dict__.pop("_value", None)  # hold one block at a time
             n = len(docs_words)
-            match = [None if d not in longest else dict(zip(("item_id", "item_word", "doc_word", "n_words"), longest[d]))
-                     for d in range(n)]
+            names = ("item_id", "item_word", "doc_word", "n_words")
+            # the order is by content, whatever the blocks; the longest is the first of the longest ones
+            every = [[dict(zip(names, m)) for m in sorted(matches.get(d, ()), key=lambda m: (m[2], -m[3], m[0], m[1]))] for d in range(n)]
+            longest = [max(ms, key=lambda m: m["n_words"], default=None) for ms in every]
             kind = pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())])
             return [pa.array([len(w) for w in docs_words], pa.int64()),
                     pa.array([len(hits.get(d, ())) for d in range(n)], pa.int64()),
-                    pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())), pa.array(match, kind)]
+                    pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+                    pa.array(longest, kind), pa.array(every, pa.list_(kind))]
 
         return kernel
 

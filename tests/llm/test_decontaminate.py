@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ def brute(docs, items, window=10):
 def run(spark, docs, items, **kw):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    rows = D.find_contamination(d, b, ["doc_id"], **kw).select("row.doc_id", "n_words", "n_hit", "items", "longest").collect()
+    rows = D.find_contamination(d, b, ["doc_id"], **kw).select("row.doc_id", "n_words", "n_hit", "items", "longest", "matches").collect()
     return [(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows], rows
 
 
@@ -63,6 +64,56 @@ def test_longest_match_and_its_places(spark):
     assert one.n_hit == 17 and next(r for r in rows if r.doc_id == 2).longest is None
 
 
+def brute_matches(doc, items, window):
+    """(first word, words) of the longest matches that hold a window and are not tails."""
+    words, listed = brute_words(doc), [brute_words(t) for _, t in items]
+
+    def longest(p):
+        best = 0
+        for iw in listed:
+            for k in range(len(iw)):
+                n = 0
+                while p + n < len(words) and k + n < len(iw) and words[p + n] == iw[k + n]:
+                    n += 1
+                best = max(best, n)
+        return best
+    windows = {tuple(iw[k:k + min(window, len(iw))]) for iw in listed if iw for k in range(len(iw) - min(window, len(iw)) + 1)}
+    sizes = {len(w) for w in windows}
+    long = [longest(p) for p in range(len(words))]
+    out = []
+    for p, n in enumerate(long):
+        holds = any(tuple(words[i:i + s]) in windows for s in sizes for i in range(p, p + n - s + 1))
+        if n and holds and not (p and long[p - 1] == n + 1):
+            out.append((p, n))
+    return out
+
+
+def test_all_matches_equal_brute_force(spark):
+    random.seed(5)
+    text = lambda n: " ".join(random.choice("abcd") for _ in range(n))
+    items = [(i, text(random.choice([2, 3, 5, 9, 30]))) for i in range(8)]
+    docs = [(i, text(random.choice([0, 4, 30, 80]))) for i in range(60)]
+    _, rows = run(spark, docs, items, window=5)
+    texts = dict(docs)
+    some = 0
+    for r in rows:
+        want = brute_matches(texts[r.doc_id], items, 5)
+        assert [(m.doc_word, m.n_words) for m in r.matches] == want
+        for m in r.matches:
+            words = brute_words(texts[r.doc_id])[m.doc_word:m.doc_word + m.n_words]
+            assert brute_words(items[int(m.item_id)][1])[m.item_word:m.item_word + m.n_words] == words
+        some += len(want)
+    assert some > 100
+
+
+def test_a_word_repeated_in_item_and_document_takes_no_quadratic_time():
+    began = time.process_time()
+    block = D.Block([("1", b"the " * 20_000)], 10)
+    hit, items, matches = D.search(block, block.pairs(), [[b"the"] * 20_000])
+    assert len(hit[0]) == 20_000 and items == {0: {"1"}} and matches[0] == [("1", 0, 0, 20_000)]
+    assert time.process_time() - began < 5
+
+
 def test_repeated_words_and_very_long_texts(spark):
     docs = [(1, "the " * 100_000), (2, ("the " * 9 + "end ") * 2_000)]
     got, _ = run(spark, docs, [(1, "the " * 12), (2, "the " * 9 + "end")])

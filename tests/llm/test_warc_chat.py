@@ -154,7 +154,7 @@ def test_pairs_match_brute_force(spark):
               (5, "rejected", None, "assistant", "q"), (5, "chosen", 2, "assistant", "q"), (5, "chosen", 1, "assistant", "q"),
               (6, "chosen", 0, "user", "dup"), (6, "chosen", 0, "user", "dup"), (6, "rejected", 0, "user", "dup")]
     df = spark.createDataFrame(turns, "pair_id long, side string, turn long, role string, text string").repartition(5)
-    got = {r[0]: tuple(r[1:]) for r in C.format_pairs(df.withColumn("prompt", F.lit(0))).collect()}
+    got = {r.pair_id: tuple(r[2:]) for r in C.format_pairs(df.withColumn("prompt", F.lit(0))).collect()}
     assert got == brute_pairs(turns)
     assert C.format_pairs(df.limit(0)).count() == 0
 
@@ -167,10 +167,31 @@ def test_masked_text_is_the_answer(spark):
     assert r.prompt == "<|user|>\nq<|end|>\n" and r.rejected[a:b] == "bad answer<|end|>" and r.chosen_mask == "14-25"
 
 
+def test_a_long_pair_comes_in_pages_of_the_same_turns(spark):
+    turns = [("long", s, k, "assistant" if k % 2 else "user", f"t{k}" if k < 23 or s == "chosen" else f"other {k}")
+             for s in ("chosen", "rejected") for k in range(60 if s == "chosen" else 41)]
+    turns += [("short", s, 0, "assistant", s) for s in ("chosen", "rejected")]
+    df = spark.createDataFrame(turns, "pair_id string, side string, turn long, role string, text string").repartition(4)
+    got = sorted(C.format_pairs(df, page_turns=10).collect(), key=lambda r: (r.pair_id, r.page))
+    whole = brute_pairs(turns)
+    assert [(r.pair_id, r.page) for r in got] == [("long", 0), ("long", 1), ("long", 2), ("long", 3), ("short", 0)]
+    long = [r for r in got if r.pair_id == "long"]
+    assert {r.n_prompt_turns for r in long} == {23}
+    for i, name in enumerate(("prompt", "chosen", "rejected")):
+        assert "".join(r[name] for r in long) == whole["long"][1 + i]
+    for name in ("chosen", "rejected"):
+        learned = [r[name][int(a):int(b)] for r in long for a, b in (m.split("-") for m in r[f"{name}_mask"].split(";") if m)]
+        mask = whole["long"][4 if name == "chosen" else 5]
+        text = whole["long"][2 if name == "chosen" else 3]
+        assert learned == [text[int(a):int(b)] for a, b in (m.split("-") for m in mask.split(";"))]
+
+
 def test_query_equals_its_sql_on_odd_conversations(spark, save):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "system", "s"), (3, 0, "user", "x"),
             (3, 1, "assistant", "x"), (3, 2, "user", "y"), (4, 0, "assistant", "first"), (5, 0, None, None),
-            (5, 1, "assistant", None), (6, None, "user", "n"), (6, 1, "assistant", "m"), (None, 0, "user", "z"), (None, 1, "assistant", "w")]
+            (5, 1, "assistant", None), (6, None, "user", "n"), (6, 1, "assistant", "m"), (None, 0, "user", "z"), (None, 1, "assistant", "w"),
+            (8, 0, "user", "twice"), (8, 0, "user", "twice"), (8, 0, "user", "twice")]
+    rows += [(7, k, "assistant" if k % 3 == 1 else "user", f"turn {k}") for k in range(700)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     sf = save(conversations=df)
     con = duckdb.connect()
@@ -179,7 +200,7 @@ def test_query_equals_its_sql_on_odd_conversations(spark, save):
     names = [d[0] for d in res.description]
     want = sorted((tuple(r) for r in res.fetchall()), key=str)
     got = sorted((tuple(r[n] for n in names) for r in C.op5_chat_format(spark, sf).collect()), key=str)
-    assert got == want and len(got) == 7
+    assert got == want and len(got) == 11
 
 
 def test_native_plan_has_no_python(spark):
