@@ -2,7 +2,8 @@
 
 A text is cut only where its tokenizer provably starts anew (white space that
 the pre-tokenizer drops, or a single space or line feed between two other
-characters for a byte-level one), and each distinct piece is encoded once per
+characters for a byte-level one; only for split patterns and normalizers known
+to be safe, else texts stay whole), and each distinct piece is encoded once per
 worker, in a cache of bounded size.
 
 A piece that cannot be cut and is long goes through tree concatenation: its
@@ -46,6 +47,8 @@ DROPPED_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 ODD_CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to str.split, not to the tokenizer
 # a byte-level piece that stands in odd white space: empty, a lone line feed, or with white space inside
 ODD_PIECE = re.compile(r"\n?|.*?(?:(?!^)\n|[^\S\n]|\u180e).*", re.S)
+# fixed values: split patterns none of whose matches holds white space or looks at it
+SPACELESS_SPLITS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", r"\S+", r"[^\s]+")
 PLAIN_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # letters in every version of Unicode
 WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s'\0\u180e]+)")
 LETTER_INSIDE = re.compile(r"[^\w\s].*[^\W\d_]", re.S)
@@ -82,14 +85,21 @@ def cut_rule(text: str) -> str:
     if not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
         return "byte_level"
     steps = pre.get("pretokenizers", [])
-    splits = [s for s in steps if s.get("type") == "Split"]
-    kinds = [s.get("type") for s in norm.get("normalizers", [])]
-    if (splits and steps[0] is splits[0] and splits[0].get("behavior") == "Removed" and splits[0].get("invert")
-            and r"[^\s" in splits[0]["pattern"].get("Regex", "") and set(kinds) <= {"NFC", "Replace", "Lowercase"}):
+    words = (len(steps) in (1, 2) and steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed"
+             and steps[0].get("invert") and steps[0]["pattern"].get("Regex") in SPACELESS_SPLITS)
+    marks = all(s.get("type") == "ByteLevel" and not s.get("add_prefix_space") for s in steps[1:])
+    if words and marks and all(keeps_space(n) for n in norm.get("normalizers", [norm] if norm else [])):
         return "dropped"
     return "whole"
 
 
+def keeps_space(normalizer: dict) -> bool:
+    """Does the step leave white space and what touches it as they are, or squeeze it to a space?"""
+    if normalizer.get("type") == "Replace":
+        return normalizer["pattern"].get("Regex") == r"\s+" and normalizer.get("content") == " "
+    return normalizer.get("type") in ("NFC", "Lowercase")
+
+
 # ---- tree concatenation -------------------------------------------------------------------
 
 def join(tokenizer, text: str, begin: int, mid: int, end: int, left, right, window: int):

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -29,6 +30,32 @@ def test_pieces_equal_the_whole_text(name):
         assert got == pieces.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def changed(pattern=None, normalizer=None, step=None):
+    j = json.loads(bpe.tokenizer_json(bpe.default_path("word_bpe_49k.json")))
+    if pattern:
+        j["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": pattern}
+    if normalizer:
+        j["normalizer"]["normalizers"].append({"type": "Replace", **normalizer})
+    if step:
+        j["pre_tokenizer"]["pretokenizers"][1].update(step)
+    return json.dumps(j)
+
+
+@pytest.mark.parametrize("spec, rule", [
+    (changed(), "dropped"), (changed(r"\S+"), "dropped"),
+    (changed(r"[^\s]+ [^\s]+|[^\s]+"), "whole"), (changed(normalizer={"pattern": {"String": " "}, "content": "x"}), "whole"),
+    (changed(normalizer={"pattern": {"String": "a b"}, "content": "c"}), "whole"),
+    (changed(normalizer={"pattern": {"Regex": r"\s+"}, "content": "y"}), "whole"), (changed(step={"add_prefix_space": True}), "whole")])
+def test_only_safe_tokenizers_are_cut(spec, rule):
+    assert bpe.cut_rule(spec) == rule
+    random.seed(3)
+    pieces = bpe.Pieces(spec, tuple, limit=300)
+    for _ in range(400):
+        text = "".join(random.choice(PARTS) for _ in range(random.randint(0, 40)))
+        got = [i for v in pieces.lookup(text) for i in v]
+        assert got == pieces.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_long_pieces_do_not_outgrow_the_cache(name):
     random.seed(7)
