@@ -64,11 +64,11 @@ def test_stages_on_odd_and_empty_rows(spark, odd_docs, save):
 
 def test_every_operator_is_registered_once():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
     assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {
-        "op2_exact_dedup", "op4_decontaminate", "op5_chat_format", "op10_warc"}
+        "op2_exact_dedup", "op4_decontaminate", "op5_chat_format", "op10_warc", "op12_hard_negatives"}
 
 
 def test_native_operators_plan_no_python(spark):
