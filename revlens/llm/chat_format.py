@@ -17,7 +17,8 @@ as ``unknown`` and a null text as empty; turns without a pair identifier form
 the pair null; a pair with one side only has an empty completion on the other
 and its whole common prefix is empty; identical sides give a prompt and two
 empty completions.  One pair of up to PAGE_TURNS turns is one row; a longer one
-has a row for each page, whose ranges count from the page's first character.
+has a row for each page, whose ranges count from the page's first character;
+``whole_pairs`` (the registered query) puts the pages of a pair together again.
 Sides other than ``chosen`` and ``rejected`` count as neither; a pair without
 turns of either has one row of empty texts.
 """
@@ -95,6 +96,30 @@ def of_placed(placed: DataFrame, page_turns: int = PAGE_TURNS) -> DataFrame:
                         render("r").alias("rejected"), masks(F.col("c")).alias("chosen_mask"), masks(F.col("r")).alias("rejected_mask"))
 
 
+def whole_pairs(pages: DataFrame) -> DataFrame:
+    """One row per pair from the pages of ``format_pairs``: whole texts, and ranges that count from the
+    beginning of the whole completion.  A pair's pages meet, not its turns."""
+    names = ("prompt", "chosen", "rejected")
+    p = pages.groupBy("pair_id", "n_prompt_turns").agg(
+        F.sort_array(F.collect_list(F.struct("page", *names, "chosen_mask", "rejected_mask"))).alias("p"))
+
+    def mask(name: str) -> Column:
+        def moved(spans: Column, at: Column) -> Column:
+            ends = F.transform(F.split(spans, "-"), lambda x: (x.cast("int") + at).cast("string"))
+            return F.array_join(ends, "-")
+
+        def add(state: Column, page: Column) -> Column:
+            here = F.transform(F.filter(F.split(page[f"{name}_mask"], ";"), lambda x: x != ""), lambda x: moved(x, state["at"]))
+            return F.struct((state["at"] + F.length(page[name])).alias("at"), F.concat(state["spans"], here).alias("spans"))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
+        long = F.array_join(F.aggregate("p", start, add, lambda s: s["spans"]), ";")
+        return F.when(F.size("p") == 1, F.col("p")[0][f"{name}_mask"]).otherwise(long).alias(f"{name}_mask")
+
+    text = lambda name: F.array_join(F.transform("p", lambda x: x[name]), "").alias(name)
+    return p.select("pair_id", "n_prompt_turns", *map(text, names), mask("chosen"), mask("rejected"))
+
+
 def preference_turns(conversations: DataFrame) -> DataFrame:
     """Preference pairs from plain conversations (pair_id, side, k, role, text):
     chosen is the conversation itself; rejected has, instead of each last
@@ -115,8 +140,8 @@ def preference_turns(conversations: DataFrame) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt and masked completions of every conversation's preference pair."""
-    return of_placed(preference_turns(table(spark, sf_dir, "conversations")))
+    """Prompt and masked completions of every conversation's preference pair, one row each."""
+    return whole_pairs(of_placed(preference_turns(table(spark, sf_dir, "conversations"))))
 
 
 ORACLE = """
@@ -130,14 +155,13 @@ r AS (SELECT *, CASE WHEN k = last_k THEN echo ELSE text END AS rtext,
              last_k IS NULL OR k <= last_k AS in_r FROM lasts),
 -- the sides part at the echo unless it equals the answer; then at the first turn the rejected side lacks
 p AS (SELECT *, min(CASE WHEN NOT in_r OR rtext IS DISTINCT FROM text THEN k END) OVER (PARTITION BY conv_id) AS part FROM r),
-s AS (SELECT *, coalesce(k < part, true) AS shared, (k - CASE WHEN coalesce(k < part, true) THEN 1 ELSE part END) // 256 AS page,
-             coalesce(part - 1, n) AS n_prompt_turns,
+s AS (SELECT *, coalesce(k < part, true) AS shared,
              '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS head,
              coalesce(text, '') AS ct, coalesce(rtext, '') AS rt, '<|end|>' || chr(10) AS tail FROM p),
 o AS (SELECT *, coalesce(sum(CASE WHEN NOT shared THEN length(head || ct || tail) END) OVER v, 0) AS cat,
              coalesce(sum(CASE WHEN NOT shared AND in_r THEN length(head || rt || tail) END) OVER v, 0) AS rat
-      FROM s WINDOW v AS (PARTITION BY conv_id, page ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT conv_id AS pair_id, page, n_prompt_turns,
+      FROM s WINDOW v AS (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT conv_id AS pair_id, count(*) FILTER (shared) AS n_prompt_turns,
        coalesce(string_agg(head || ct || tail, '' ORDER BY k) FILTER (shared), '') AS prompt,
        coalesce(string_agg(head || ct || tail, '' ORDER BY k) FILTER (NOT shared), '') AS chosen,
        coalesce(string_agg(head || rt || tail, '' ORDER BY k) FILTER (NOT shared AND in_r), '') AS rejected,
@@ -145,5 +169,5 @@ SELECT conv_id AS pair_id, page, n_prompt_turns,
                 FILTER (NOT shared AND role = 'assistant'), '') AS chosen_mask,
        coalesce(string_agg(CAST(rat + length(head) AS BIGINT) || '-' || CAST(rat + length(head) + length(rt) + 7 AS BIGINT), ';' ORDER BY k)
                 FILTER (NOT shared AND in_r AND role = 'assistant'), '') AS rejected_mask
-FROM o GROUP BY conv_id, page, n_prompt_turns
+FROM o GROUP BY conv_id
 """

@@ -200,7 +200,7 @@ def test_query_equals_its_sql_on_odd_conversations(spark, save):
     names = [d[0] for d in res.description]
     want = sorted((tuple(r) for r in res.fetchall()), key=str)
     got = sorted((tuple(r[n] for n in names) for r in C.op5_chat_format(spark, sf).collect()), key=str)
-    assert got == want and len(got) == 11
+    assert got == want and len(got) == 9  # one whole row per conversation, the one of 700 turns too
 
 
 def test_native_plan_has_no_python(spark):
