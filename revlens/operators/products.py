@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revlens.session import materialize
 
@@ -39,38 +38,37 @@ def product_table(meta: DataFrame, kpis: DataFrame) -> DataFrame:
     ).join(kpis, on="asin", how="left")
 
 
-_PAIR_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("nbr", T.LongType()), T.StructField("sim", T.DoubleType()),
-])
-
-
-def _block_topk(k: int):
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for a, b in zip(pdf["a"], pdf["b"]):
-                A = np.stack([np.asarray(x["u"], dtype=np.float64) for x in a])
-                B = np.stack([np.asarray(x["u"], dtype=np.float64) for x in b])
-                a_ids = np.array([x["id"] for x in a], dtype=np.int64)
-                b_ids = np.array([x["id"] for x in b], dtype=np.int64)
-                S = np.round(A @ B.T, 6)
-                S[a_ids[:, None] == b_ids[None, :]] = -np.inf  # no self match
-                kk = min(k, len(b_ids))
-                # order by similarity desc, then neighbour id asc
-                order = np.lexsort((np.broadcast_to(b_ids, S.shape), -S), axis=1)[:, :kk]
-                sims = np.take_along_axis(S, order, axis=1)
-                nbrs = b_ids[order]
-                keep = np.isfinite(sims)
-                out.append(pd.DataFrame({
-                    "id": np.repeat(a_ids, kk)[keep.ravel()],
-                    "nbr": nbrs.ravel()[keep.ravel()],
-                    "sim": sims.ravel()[keep.ravel()],
-                }))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-            else:
-                yield pd.DataFrame({"id": pd.Series(dtype="int64"), "nbr": pd.Series(dtype="int64"),
-                                    "sim": pd.Series(dtype="float64")})
+_PAIR_SCHEMA = "id long, nbr long, sim double"
+#: Query rows whose similarities a kernel holds at once.
+SLAB_ROWS = 256
+
+
+def _block_topk(k: int, slab: int = SLAB_ROWS):
+    def vectors(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        u = tile["u"].combine_chunks()
+        return tile["id"].to_numpy(), u.flatten().to_numpy().reshape(len(u), -1).astype(np.float64, copy=False)
+
+    def run(queries: pa.Table, index: pa.Table) -> pa.Table:
+        ids, nbrs, sims = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+        if queries.num_rows and index.num_rows:
+            (a_ids, A), (b_ids, B) = vectors(queries), vectors(index)
+            kk = min(k, len(b_ids))
+            for at in range(0, len(a_ids), slab):
+                own = a_ids[at:at + slab]
+                S = np.round(A[at:at + slab] @ B.T, 6)
+                S[own[:, None] == b_ids[None, :]] = -np.inf  # no self match
+                # similarity descending, then neighbour id ascending; only what reaches the k-th place is ordered
+                least = np.partition(S, len(b_ids) - kk, axis=1)[:, len(b_ids) - kk]
+                row, col = np.nonzero((S >= least[:, None]) & np.isfinite(S))
+                order = np.lexsort((b_ids[col], -S[row, col], row))
+                row, col = row[order], col[order]
+                first = np.searchsorted(row, np.arange(len(own)))
+                best = np.arange(len(row)) - first[row] < kk
+                row, col = row[best], col[best]
+                ids.append(own[row])
+                nbrs.append(b_ids[col])
+                sims.append(S[row, col])
+        return pa.table({"id": np.concatenate(ids), "nbr": np.concatenate(nbrs), "sim": np.concatenate(sims)})
     return run
 
 
@@ -95,19 +93,24 @@ def tiled_search(queries: DataFrame, index: DataFrame, key: list[str], k: int, b
     """(id, nbr, sim): candidates for the k nearest (id, u) of ``index`` to every (id, u) of
     ``queries`` with the same ``key``.
 
-    Rows of a key are cut into query tiles of about ``block_rows`` and
-    candidate tiles ``b_factor`` times larger; the tile pairs of a key are
-    joined and a vectorised kernel (numpy matrix product per tile pair) emits
-    only each row's local top-k, so no task holds more than two tiles."""
-    def tiles(rows: DataFrame, size: int, name: str) -> DataFrame:
-        # one row per key, joined back to every vector: materialised so AQE
-        # broadcasts it by measured size (or splits a hot key's rows)
-        sizes = materialize(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")))
-        return (rows.join(sizes, key)
-                    .withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(size)).cast("long")))
-                    .groupBy(*key, "tile").agg(F.collect_list(F.struct("id", "u")).alias(name)).drop("tile"))
-    pairs = tiles(queries, block_rows, "a").join(tiles(index, block_rows * b_factor, "b"), key).select("a", "b")
-    return pairs.mapInPandas(_block_topk(k), _PAIR_SCHEMA)
+    Rows of a key are cut into query tiles of about ``block_rows`` and candidate
+    tiles ``b_factor`` times larger.  Every row is sent to the tile pairs that it
+    takes part in, and a vectorised kernel gets one tile pair at a time and emits
+    each query's local top-k: its memory does not grow with the tables."""
+    count = lambda rows, name: rows.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+    # one row per key, joined back to every vector: materialised so AQE
+    # broadcasts it by measured size (or splits a hot key's rows)
+    sizes = count(queries, "na").join(count(index, "nb"), key)
+    sizes = materialize(sizes.select(*key, F.ceil(F.col("na") / F.lit(block_rows)).cast("long").alias("na"),
+                                     F.ceil(F.col("nb") / F.lit(block_rows * b_factor)).cast("long").alias("nb")))
+
+    def tiles(rows: DataFrame, own: str, other: str):
+        # new columns: both sides may come from one table
+        return (rows.select(*key, "id", "u").join(sizes, key)
+                    .select(*[F.col(c).alias(c) for c in (*key, "id", "u")], F.pmod(F.xxhash64("id"), F.col(f"n{own}")).alias(f"t{own}"),
+                            F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"n{other}") - 1)).alias(f"t{other}"))
+                    .groupBy(*key, "ta", "tb"))
+    return tiles(queries, "a", "b").cogroup(tiles(index, "b", "a")).applyInArrow(_block_topk(k), _PAIR_SCHEMA)
 
 
 def best_neighbours(candidates: DataFrame, k: int) -> DataFrame:
@@ -118,7 +121,7 @@ def best_neighbours(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def similar_topk(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-                 block_col: str = "label", block_rows: int = 1024, b_factor: int = 8) -> DataFrame:
+                 block_col: str = "label", block_rows: int = 4096, b_factor: int = 2) -> DataFrame:
     """For every vector, the ``k`` most cosine-similar vectors of the
     same block (``label``); ties by rounded similarity, then id.
 

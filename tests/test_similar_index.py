@@ -66,3 +66,12 @@ def test_probe_codes_turn_the_least_certain_signs():
     p = np.array([[0.1, -5.0, 0.2, 3.0]])
     assert SI.probe_codes(p, 4, 3).tolist() == [[0b1101, 0b1100, 0b1001, 0b1000]]
     assert SI.probe_codes(p[:, :0], 0, 3).tolist() == [[0]]
+
+
+def test_a_kernel_sees_one_tile_pair(spark):
+    from revlens.operators import products as PR
+    v = spark.createDataFrame([(i, [float(i % 7) - 3, float(i % 11) - 5, 1.0], 0) for i in range(300)], "vec_id long, embedding array<double>, label int")
+    small = sorted(map(tuple, PR.similar_topk(v, k=5, block_rows=16, b_factor=2).collect()))
+    assert small == sorted(map(tuple, PR.similar_topk(v, k=5).collect())) and len(small) == 1500
+    plan = PR.similar_topk(v, k=5)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInPandas" not in plan
