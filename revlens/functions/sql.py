@@ -43,7 +43,7 @@ def bodies(emoji: dict[str, str] | None = None) -> dict[str, tuple[str, str, str
         faces = f"replace({faces}, {literal(face)}, '')"
     steps = {
         "demojize": _demojize(emoji or {}),
-        "normalize_newlines": "lower(translate(t, '\\n\\r', ' '))",
+        "normalize_newlines": "lower(replace(replace(t, '\\r', ''), '\\n', ' '))",
         "strip_links_mentions": _replaced("t", rf"(?U)(?:@|https?://)[^{T.PY_SPACE}]+"),
         "strip_non_ascii": _replaced("t", r"[^\x00-\x7f]"),
         "strip_punctuation": f"translate(t, {literal(D.ASCII_PUNCTUATION)}, '')",

@@ -30,7 +30,8 @@ def demojize(c: Column, mapping: dict[str, str]) -> Column:
 
     One regex cuts the text into mapped sequences and runs of characters that
     begin none of them; only pieces that begin like a sequence are looked up.
-    The expression has the same few nodes for any number of entries."""
+    The expression has the same few nodes for any number of entries.  ASCII
+    texts hold no sequence of a mapping that has no ASCII beginnings."""
     if not mapping:
         return c
     keys = list(mapping)
@@ -38,7 +39,8 @@ def demojize(c: Column, mapping: dict[str, str]) -> Column:
     pieces = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
     names = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(mapping[k]) for k in keys]))
     named = F.transform(pieces, lambda p: F.when(p.rlike("^" + first), F.coalesce(F.try_element_at(names, p), p)).otherwise(p))
-    return F.when(c.rlike(first), F.array_join(named, "")).otherwise(c)
+    found = c.rlike(first) if any(k[0].isascii() for k in keys) else ~is_ascii(c) & c.rlike(first)
+    return F.when(found, F.array_join(named, "")).otherwise(c)
 
 
 def emoji_patterns(mapping: dict[str, str]) -> tuple[str, str]:
@@ -58,19 +60,27 @@ def dictionary_to_map(df: DataFrame, key: str, value: str) -> dict:
     return {r[0]: r[1] for r in df.select(key, value).filter(F.col(key).isNotNull() & (F.col(key) != "")).collect()}
 
 
+def is_ascii(c: Column) -> Column:
+    """Whether a text has no character above U+007F: as many bytes as characters."""
+    return F.octet_length(c) == F.length(c)
+
+
 def normalize_newlines(c: Column) -> Column:
     """Drop CR, LF -> space, lower-case."""
-    return F.lower(F.translate(c, "\n\r", " "))
+    # a byte search each: ``translate`` looks up every character
+    return F.lower(F.replace(F.replace(c, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" ")))
 
 
 def strip_links_mentions(c: Column) -> Column:
     """Remove @mentions and http(s):// links up to the next whitespace."""
-    return F.regexp_replace(c, rf"(?U)(?:@|https?://)[^{PY_SPACE}]+", "")
+    # the pattern is tried only in texts that hold what a match begins with
+    found = c.contains("@") | c.contains("://")
+    return F.when(found, F.regexp_replace(c, rf"(?U)(?:@|https?://)[^{PY_SPACE}]+", "")).otherwise(c)
 
 
 def strip_non_ascii(c: Column) -> Column:
     """T4: remove characters above U+007F."""
-    return F.regexp_replace(c, r"[^\x00-\x7f]", "")
+    return F.when(is_ascii(c), c).otherwise(F.regexp_replace(c, r"[^\x00-\x7f]", ""))
 
 
 def strip_punctuation(c: Column) -> Column:
@@ -198,6 +208,6 @@ def tokenize(c: Column) -> Column:
     kept, trailing empty words dropped (an all-whitespace text gives no
     words, the empty text one empty word)."""
     low = F.lower(c)
-    body = F.regexp_replace(low, JAVA_SPACE + "+$", "")
+    body = F.rtrim(low, F.lit(" \t\n\x0b\f\r"))
     return F.when((low != F.lit("")) & (body == F.lit("")), F.array().cast("array<string>")) \
             .otherwise(F.split(body, JAVA_SPACE, -1))

@@ -51,9 +51,10 @@ def greedy_chunks(df: DataFrame, limit: int = 1_000_000, product: str = "asin",
     # every join below is on the product: a null product gets a key of its own
     kind = df.schema[product].dataType
     keyed = F.when(F.col(product).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(product).cast("string")))
-    # read for the lengths and for the texts: written once, so that the row keys stay
-    rows = _ckpt(df.filter(F.col(text).isNotNull()).select(keyed.alias(product), order_key, text,
-                                                           F.monotonically_increasing_id().alias("row")))
+    # read for the lengths and for the texts: written once, so that the row keys stay.  The null filter
+    # stands above the row keys: below them it would work out the whole text expression a second time
+    rows = _ckpt(df.select(keyed.alias(product), order_key, text, F.monotonically_increasing_id().alias("row"))
+                   .filter(F.col(text).isNotNull()))
     skel_in = rows.select(product, order_key, "row", F.xxhash64(text).alias("h"), F.length(text).cast("long").alias("len"),
                           F.lit(1).alias("one"))
     skel = running_sums(skel_in, [(order_key, True), ("h", True), ("row", True)], ["one", "len"], partition_by=[product])
