@@ -128,12 +128,17 @@ def _pick(values: list[str], b: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), b.cast("int"))
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokens(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataFrame:
     """A parsed-token table over every document, whole text.
 
     Annotations are hashed, not linguistic: they exercise every relation
-    and position the aspect rules look at."""
+    and position the aspect rules look at.  ``by_document``: the documents are
+    spread by their id before they are cut, so that a grouping of the tokens by
+    document needs no shuffle of tokens; as many partitions as the session
+    shuffles into, not merged into fewer, which would not fit a task's memory."""
     d = table(spark, sf_dir, "documents")
+    if by_document:
+        d = d.select("doc_id", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     w = d.select("doc_id", F.posexplode(F.split(F.col("text"), " ")).alias("i", "w")).filter(F.col("w") != "")
     i = F.col("i")
     # one md5 per token; four 8-hex-digit slices drive the four annotations

@@ -417,12 +417,12 @@ def q_expand_contractions_text(spark, sf_dir):
 
 @register("pos_filter")
 def q_pos_filter(spark, sf_dir):
-    return LX.pos_filter(FX.tokens(spark, sf_dir), FX.POS_KEEP_TAGS)
+    return LX.pos_filter(FX.tokens(spark, sf_dir, by_document=True), FX.POS_KEEP_TAGS)
 
 
 @register("lemmatize_lookup")
 def q_lemmatize_lookup(spark, sf_dir):
-    return LX.lemmatize(FX.tokens(spark, sf_dir), FX.lemma_map(spark))
+    return LX.lemmatize(FX.tokens(spark, sf_dir, by_document=True), FX.lemma_map(spark))
 
 
 # -------------------------------------------------- features, models (L, M5)
