@@ -46,10 +46,12 @@ def tfidf_exact(docs: DataFrame, doc_id: str = "review_id", words: str = "words"
     # vocabulary by measured size or splits the partitions of common words
     df_ = materialize(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     m = docs.select(F.count(F.lit(1))).scalar()
-    idf_c = F.log((m + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    return (tf.join(df_, "word")
-              .select(doc_id, "word", "tf", "df", F.round(idf_c, digits).alias("idf"),
-                      F.round(F.col("tf") * idf_c, digits).alias("tfidf")))
+    # logarithm and rounding once a word, not once a row; a word that stands once in a text weighs its idf
+    words_ = df_.withColumn("__idf", F.log((m + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))) \
+                .withColumn("idf", F.round("__idf", digits))
+    return (tf.join(words_, "word")
+              .select(doc_id, "word", "tf", "df", "idf",
+                      F.when(F.col("tf") == 1, F.col("idf")).otherwise(F.round(F.col("tf") * F.col("__idf"), digits)).alias("tfidf")))
 
 
 def build_vocabulary(docs: DataFrame, words: str = "words", first_id: int = D.FIRST_WORD_ID) -> DataFrame:
@@ -72,9 +74,11 @@ def encode_fixed_length(docs: DataFrame, vocab: DataFrame, doc_id: str = "review
                       F.posexplode_outer(F.slice(words, 1, body)).alias("pos", "word")))
     ided = ex.join(vocab.select("word", "id"), "word", "left").withColumn("id", F.coalesce("id", F.lit(D.UNK_ID)))
     # one row out per row in, whatever its id; id and label ride along in the grouping key: no join back
+    # place and id in one long, the place above the id: a quarter of the bytes of a struct, sorted as numbers
+    placed = F.col("pos").cast("long") * F.lit(1 << 32) + (F.col("id").cast("long") + F.lit(1 << 31))
     seq = (ided.groupBy("__row", doc_id, "targets")
-               .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("__s"))
-               .select(doc_id, "targets", F.transform("__s", lambda x: x["id"]).alias("__ids")))
+               .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), placed))).alias("__s"))
+               .select(doc_id, "targets", F.transform("__s", lambda x: (x % F.lit(1 << 32) - F.lit(1 << 31)).cast("int")).alias("__ids")))
     return seq.select(doc_id, *fixed_length(F.col("__ids"), max_len), "targets")
 
 
