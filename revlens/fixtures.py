@@ -171,11 +171,15 @@ def subword_vocabulary(words: DataFrame) -> DataFrame:
     """(piece, id) from the distinct words of a table: beginnings and inner
     parts of up to four characters that stand in three words at least."""
     w = words.select("word").filter(F.length("word") > 0).distinct()
-    at = w.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("p")) \
-          .select("word", "p", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n")) \
-          .filter(F.col("p") + F.col("n") - 1 <= F.length("word"))
-    piece = F.concat(F.when(F.col("p") > 1, F.lit("##")).otherwise(F.lit("")), F.col("word").substr(F.col("p"), F.col("n")))
-    kept = at.select("word", piece.alias("piece")).distinct().groupBy("piece").count().filter("count >= 3").select("piece")
+    size, word = F.length("word"), F.col("word")
+
+    def pieces_at(p: Column) -> Column:
+        mark = F.when(p > 1, F.lit("##")).otherwise(F.lit(""))
+        return F.transform(F.sequence(F.lit(1), F.least(F.lit(4), size - p + 1)), lambda n: F.concat(mark, word.substr(p, n)))
+
+    # a word's own repeats go inside its row: no grouping of (word, piece) rows
+    pieces = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), size), pieces_at)))
+    kept = w.select(F.explode(pieces).alias("piece")).groupBy("piece").count().filter("count >= 3").select("piece")
     return dense_rank_by(kept, [("piece", True)], name="r").select("piece", (F.col("r") + 3).cast("int").alias("id"))
 
 

@@ -67,8 +67,8 @@ def encode_subwords(docs: DataFrame, vocabulary: DataFrame, doc_id: str = "revie
     # a word is one id at least: later words cannot be seen
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), doc_id, F.col(label).cast("int").alias("targets"),
                        F.slice(F.filter(words, lambda w: w.isNotNull() & (w != "")), 1, body).alias("w"))
-    # read for the distinct words and for the rows
-    ex = materialize(rows.select("__row", doc_id, "targets", F.posexplode_outer("w").alias("pos", "word")))
+    # read for the distinct words and for the rows; written as lists, a fraction of the bytes of a row a word
+    ex = materialize(rows).select("__row", doc_id, "targets", F.posexplode_outer("w").alias("pos", "word"))
     # materialised so that AQE broadcasts it by measured size or splits the rows of a common word
     known = materialize(word_pieces(ex, vocabulary, unknown=unknown))
     seq = ex.join(known, "word", "left").groupBy("__row", doc_id, "targets") \
