@@ -128,17 +128,24 @@ def _pick(values: list[str], b: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), b.cast("int"))
 
 
-def tokens(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataFrame:
+def _pick4(values: list[str], digit: Column) -> Column:
+    """``_pick`` of four values by a number of which ``digit`` is the last hexadecimal one."""
+    whens = [digit.isin(*"0123456789abcdef"[k::4]) for k in range(4)]
+    return F.when(whens[0], values[0]).when(whens[1], values[1]).when(whens[2], values[2]).when(whens[3], values[3])
+
+
+def tokens(spark: SparkSession, sf_dir: str, by_document: int = False) -> DataFrame:
     """A parsed-token table over every document, whole text.
 
     Annotations are hashed, not linguistic: they exercise every relation
     and position the aspect rules look at.  ``by_document``: the documents are
     spread by their id before they are cut, so that a grouping of the tokens by
     document needs no shuffle of tokens; as many partitions as the session
-    shuffles into, not merged into fewer, which would not fit a task's memory."""
+    shuffles into (times ``by_document``, where a number is given), not merged
+    into fewer, which would not fit a task's memory."""
     d = table(spark, sf_dir, "documents")
     if by_document:
-        d = d.select("doc_id", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+        d = d.select("doc_id", "text").repartition(int(by_document) * int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     w = d.select("doc_id", F.posexplode(F.split(F.col("text"), " ")).alias("i", "w")).filter(F.col("w") != "")
     i = F.col("i")
     # one md5 per token; four 8-hex-digit slices drive the four annotations
@@ -147,6 +154,10 @@ def tokens(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataF
 
     def part(k: int, n: int) -> Column:
         return F.conv(F.substring(F.col("h"), 8 * k + 1, 8), 16, 10).cast("bigint") % F.lit(n)
+
+    def last(k: int) -> Column:
+        # a slice's rest by four is its last digit's
+        return F.substring(F.col("h"), 8 * k + 8, 1)
     return w.select(
         "doc_id",
         _p(F.col("doc_id") % 50).alias("asin"),
@@ -154,9 +165,9 @@ def tokens(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataF
         F.lower(F.col("w")).alias("text"),
         F.when(i % 5 == 0, i).when(i % 5 == 4, i - 1).otherwise(i - i % 5).alias("head_idx"),
         F.when(i % 5 == 0, F.lit("ROOT")).otherwise(_pick(DEPS, part(0, 11))).alias("dep"),
-        _pick(POS, part(1, 4)).alias("pos"),
+        _pick4(POS, last(1)).alias("pos"),
         _pick(TAGS, part(2, 3)).alias("tag"),
-        (part(3, 4) == 0).alias("is_stop"),
+        last(3).isin("0", "4", "8", "c").alias("is_stop"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from revlens import dictionaries as D
 from revlens.operators import aspects as A
 from revlens.operators import polarity as POL
-from revlens.session import materialize
+from revlens.session import materialize, stored
 
 # mentions per page of the aspect -> modifiers map (M2)
 MAP_PAGE_SIZE = 1000
@@ -30,17 +30,18 @@ def scored(pairs: DataFrame, lexicon: DataFrame, negations_df: DataFrame, booste
 
 
 def scored_aspect_pairs(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
-                        negation_words: list[str] = D.NEGATION_WORDS) -> DataFrame:
+                        negation_words: list[str] = D.NEGATION_WORDS, by_document: bool = False) -> DataFrame:
     """A10 + A11.  The pairs feed two consumers (distinct phrases to score,
-    and the rows to score), so they are checkpointed once to the shared
+    and the rows to score), so they are written once to the shared
     checkpoint folder: the token pass runs once and a lost executor does
     not send the job back to the token table."""
-    return scored(materialize(A.aspect_pairs(tokens, negation_words)), lexicon, negations_df, boosters)
+    return scored(stored(A.aspect_pairs(tokens, negation_words, by_document=by_document), "pairs"), lexicon, negations_df, boosters)
 
 
 def product_aspect_table(tokens: DataFrame, lexicon: DataFrame, negations_df: DataFrame, boosters: DataFrame,
-                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5, scorer=POL.phrase_polarity) -> DataFrame:
+                         negation_words: list[str] = D.NEGATION_WORDS, k: int = 5, scorer=POL.phrase_polarity,
+                         by_document: bool = False) -> DataFrame:
     """A12.  The top aspects come from the pairs; only the rows are scored."""
-    pairs = materialize(A.aspect_pairs(tokens, negation_words))
+    pairs = stored(A.aspect_pairs(tokens, negation_words, by_document=by_document), "pairs")
     top = A.top_aspects(A.aspect_frequency(pairs), k)
     return A.product_aspects(scored(pairs, lexicon, negations_df, boosters, scorer), top)

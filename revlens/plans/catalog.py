@@ -25,7 +25,7 @@ from revlens.operators import similar_index as SI
 from revlens.operators import subwords as SW
 from revlens.plans import aspect_job as AJ
 from revlens.plans import cleaning
-from revlens.session import materialize, scratch_path
+from revlens.session import materialize, scratch_path, stored
 from revlens.sources import files as S
 
 QUERIES: dict = {}
@@ -324,8 +324,12 @@ def q_roc_auc(spark, sf_dir):
 # ------------------------------------------------------------- aspects (A)
 
 
+# the tokens of a part are sorted by their heads in its task's memory
+TOKEN_SPREAD = 3
+
+
 def pairs(spark, sf_dir):
-    return A.aspect_pairs(FX.tokens(spark, sf_dir), FX.FIXTURE_NEGATIONS)
+    return A.aspect_pairs(FX.tokens(spark, sf_dir, by_document=TOKEN_SPREAD), FX.FIXTURE_NEGATIONS, by_document=True)
 
 
 def polarity_of(spark, sf_dir, phrases):
@@ -333,8 +337,8 @@ def polarity_of(spark, sf_dir, phrases):
 
 
 def scored_pairs(spark, sf_dir):
-    return AJ.scored_aspect_pairs(FX.tokens(spark, sf_dir), FX.lexicon(spark, sf_dir), FX.negations(spark),
-                                  FX.boosters(spark), FX.FIXTURE_NEGATIONS)
+    return AJ.scored_aspect_pairs(FX.tokens(spark, sf_dir, by_document=TOKEN_SPREAD), FX.lexicon(spark, sf_dir), FX.negations(spark),
+                                  FX.boosters(spark), FX.FIXTURE_NEGATIONS, by_document=True)
 
 
 for _r in range(1, 8):
@@ -388,15 +392,15 @@ def q_top_aspects(spark, sf_dir):
 
 @register("aspect_map")
 def q_aspect_map(spark, sf_dir):
-    found = materialize(pairs(spark, sf_dir))
+    found = stored(pairs(spark, sf_dir), "pairs")
     sp = AJ.scored(found, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark))
     return A.aspect_map_pages(sp, A.top_aspects(A.aspect_frequency(found)), page_size=AJ.MAP_PAGE_SIZE)
 
 
 @register("product_aspects")
 def q_product_aspects(spark, sf_dir):
-    return AJ.product_aspect_table(FX.tokens(spark, sf_dir), FX.lexicon(spark, sf_dir), FX.negations(spark),
-                                   FX.boosters(spark), FX.FIXTURE_NEGATIONS)
+    return AJ.product_aspect_table(FX.tokens(spark, sf_dir, by_document=TOKEN_SPREAD), FX.lexicon(spark, sf_dir), FX.negations(spark),
+                                   FX.boosters(spark), FX.FIXTURE_NEGATIONS, by_document=True)
 
 
 # ------------------------------------------------- lexical rewrites (T19-21)

@@ -106,3 +106,70 @@ def test_token_annotations_are_those_of_the_md5(spark, tmp_path):
         part = lambda k, n: int(h[8 * k:8 * k + 8], 16) % n
         want = ("ROOT" if i % 5 == 0 else FX.DEPS[part(0, 11)], FX.POS[part(1, 4)], FX.TAGS[part(2, 3)], part(3, 4) == 0)
         assert (r.dep, r.pos, r.tag, r.is_stop) == (want if doc else ("ROOT" if i == 0 else None, None, None, None))
+
+
+def _pairs_rule_by_rule(rows, neg):
+    """The rules as loops over one document's tokens: (rule, idx, aspect, modifier, score phrase)."""
+    toks = [dict(zip(("idx", "text", "head", "dep", "pos", "tag", "stop"), r)) for r in rows]
+    for t in toks:
+        t["stop"] = t["stop"] and t["text"] not in D.PRODUCT_PRONOUNS
+    kids = {t["idx"]: [c for c in toks if c["head"] == t["idx"] and c["idx"] != t["idx"]] for t in toks}
+    asp = lambda x: "product" if x in D.PRODUCT_PRONOUNS else x
+    join = lambda *x: " ".join(y for y in x if y)
+    adv = lambda t: next((c["text"] for c in kids[t["idx"]] if c["dep"] == "advmod"), None)
+    last = lambda cs: cs[-1] if cs else None
+    out = []
+    for t in toks:
+        ch = kids[t["idx"]]
+        of = lambda *deps, ch=ch: last([c for c in ch if c["dep"] in deps and not c["stop"]])
+        h = next((x for x in toks if x["idx"] == t["head"]), None)
+        if t["dep"] == "amod" and not t["stop"] and h:
+            no = any(c["dep"] == "det" and c["text"] in neg for c in kids[h["idx"]])
+            m = join("not" if no else "", adv(t), t["text"])
+            out.append((1, t["idx"], asp(h["text"]), m, m))
+        subj, any_subj, cop, attr, acomp, a = of("nsubj"), of("nsubj", "nsubjpass"), of("cop"), of("attr"), of("acomp"), of("advmod")
+        dobj = last([c for c in ch if c["dep"] == "dobj" and c["pos"] == "ADJ" and not c["stop"]])
+        not_ = last([c["text"] for c in ch if c["dep"] == "neg"])
+        modal = last([c["text"] if c["dep"] == "neg" else "not" for c in ch if c["dep"] == "neg" or c["dep"] == "aux" and c["tag"] == "MD"])
+        m4 = join(not_, adv(a), a["text"]) if a else None
+        if subj:
+            s = asp(subj["text"])
+            out += [(2, t["idx"], s, join(not_, dobj["text"]), join(not_, dobj["text"]))] if dobj else []
+            out += [(3, t["idx"], s, join(modal, acomp["text"]), join(modal, acomp["text"]))] if acomp else []
+            out += [(5, t["idx"], s, t["text"], m4)] if cop else []
+            out += [(6, t["idx"], s, t["text"], t["text"])] if t["pos"] == "INTJ" and not t["stop"] else []
+            out += [(7, t["idx"], s, join(not_, attr["text"]), join(not_, attr["text"]))] if attr else []
+        out += [(4, t["idx"], asp(any_subj["text"]), m4, m4)] if any_subj and a else []
+    return out
+
+
+def test_random_documents_equal_the_loop_form(spark):
+    import random
+
+    from revlens import fixtures as FX
+    rng = random.Random(5)
+    words = ["it", "this", "no", "not", "the", "great", "sound", "very", "is", "ok"]
+    docs = {}
+    for doc in range(300):
+        n = rng.randint(1, 25)
+        docs[doc, f"P{doc % 3}"] = [(i, rng.choice(words), rng.choice([rng.randrange(n), max(0, i - 1), i]), rng.choice([*FX.DEPS, "amod", "nsubj", "ROOT"]),
+                                     rng.choice(FX.POS), rng.choice(FX.TAGS), rng.random() < 0.3) for i in range(n)]
+    # two products' tokens under one document id are two texts
+    docs[0, "P9"] = docs[1, "P1"]
+    df = spark.createDataFrame([(d, a, *t) for (d, a), ts in docs.items() for t in ts], SCHEMA).repartition(5)
+    want = sorted(((d, a, *p) for (d, a), ts in docs.items() for p in _pairs_rule_by_rule(ts, D.NEGATION_WORDS)), key=repr)
+    cols = ["doc_id", "asin", "rule", "idx", "aspect", "modifier", "score_phrase"]
+    assert sorted((tuple(r[c] for c in cols) for r in A.aspect_pairs(df).collect()), key=repr) == want and len(want) > 300
+    assert {p[2] for p in want} == set(range(1, 8))
+
+
+def test_tokens_of_the_queries_are_not_shuffled_and_sorted_narrow(spark):
+    import re
+
+    from revlens.plans import catalog as C
+    from tests.conftest import SF_SMALL
+    p = C.pairs(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [m.start() for m in re.finditer("Exchange ", p)]
+    assert len(exchanges) == 1 and exchanges[0] > p.index("posexplode"), p
+    # what the window functions read is worked out above the sort
+    assert "_w0" not in p[p.rindex("Sort ["):], p
