@@ -393,8 +393,11 @@ def q_top_aspects(spark, sf_dir):
 @register("aspect_map")
 def q_aspect_map(spark, sf_dir):
     found = stored(pairs(spark, sf_dir), "pairs")
-    sp = AJ.scored(found, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark))
-    return A.aspect_map_pages(sp, A.top_aspects(A.aspect_frequency(found)), page_size=AJ.MAP_PAGE_SIZE)
+    top = materialize(A.top_aspects(A.aspect_frequency(found)))
+    # the map holds top aspects only: no other pair is scored
+    kept = stored(found.join(top, ["asin", "aspect"], "left_semi"), "top-pairs")
+    sp = AJ.scored(kept, FX.lexicon(spark, sf_dir), FX.negations(spark), FX.boosters(spark))
+    return A.aspect_map_pages(sp, top, page_size=AJ.MAP_PAGE_SIZE)
 
 
 @register("product_aspects")

@@ -173,3 +173,16 @@ def test_tokens_of_the_queries_are_not_shuffled_and_sorted_narrow(spark):
     assert len(exchanges) == 1 and exchanges[0] > p.index("posexplode"), p
     # what the window functions read is worked out above the sort
     assert "_w0" not in p[p.rindex("Sort ["):], p
+
+
+def test_aspect_map_scores_and_pages_only_top_aspects(spark, monkeypatch):
+    from revlens.plans import aspect_job as AJ
+    from revlens.plans import catalog as C
+    from tests.conftest import SF_SMALL
+    scored = []
+    kept = AJ.scored
+    monkeypatch.setattr(AJ, "scored", lambda pairs, *a, **k: scored.append(pairs) or kept(pairs, *a, **k))
+    pages = C.q_aspect_map(spark, SF_SMALL).collect()
+    # every mention of a top aspect, and no other, is scored and stands on a page
+    assert scored[0].count() == sum(len(r["modifiers"]) for r in pages) < C.pairs(spark, SF_SMALL).count()
+    assert {(r["asin"], r["aspect"]) for r in pages} == {(r["asin"], r["aspect"]) for r in C.q_top_aspects(spark, SF_SMALL).collect()}
